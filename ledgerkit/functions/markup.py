@@ -14,6 +14,8 @@ every name comparison below is case-insensitive.
 from __future__ import annotations
 
 import re
+import xml.parsers.expat as expat
+from html.entities import name2codepoint
 from html.parser import HTMLParser
 
 # --- fixed values (namespaces of the public XBRL specifications) ------------
@@ -27,7 +29,7 @@ _WS = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "text", "tail", "parent", "ns")
+    __slots__ = ("tag", "attrs", "children", "text", "tail", "parent", "ns", "lname", "uri")
 
     def __init__(self, tag, attrs, parent, ns):
         self.tag = tag
@@ -37,13 +39,15 @@ class Node:
         self.tail = ""
         self.parent = parent
         self.ns = ns  # prefix -> namespace in scope
+        prefix, _, local = tag.rpartition(":")
+        self.lname = local
+        self.uri = ns.get(prefix)
 
     def local(self):
-        return self.tag.rpartition(":")[2]
+        return self.lname
 
     def namespace(self):
-        prefix = self.tag.partition(":")[0] if ":" in self.tag else ""
-        return self.ns.get(prefix)
+        return self.uri
 
     def itertext(self):
         out = [self.text]
@@ -102,13 +106,39 @@ class _TreeBuilder(HTMLParser):
             self.cur.text += data
 
 
-def build_tree(markup: str) -> Node:
-    tb = _TreeBuilder()
-    tb.feed(markup)
-    tb.close()
+def _build_expat(markup: str) -> Node:
+    """Fast path for well-formed documents (C parser).  HTML entities such as
+    ``&nbsp;`` are resolved through the standard name table; names are
+    lower-cased to match the lenient path."""
+    tb = _TreeBuilder.__new__(_TreeBuilder)
+    tb.root = Node("#root", {}, None, {"xml": "http://www.w3.org/XML/1998/namespace"})
+    tb.cur = tb.root
+    p = expat.ParserCreate()
+    p.UseForeignDTD(True)
+    p.ExternalEntityRefHandler = lambda *a: 1
+    p.StartElementHandler = lambda tag, attrs: TreeStart(tb, tag, attrs)
+    p.EndElementHandler = lambda tag: tb.handle_endtag(tag.lower())
+    p.CharacterDataHandler = tb.handle_data
+    p.SkippedEntityHandler = lambda name, is_pe: tb.handle_data(
+        chr(name2codepoint[name]) if name in name2codepoint else f"&{name};")
+    p.Parse(markup, True)
     return tb.root
 
 
+def TreeStart(tb, tag, attrs):
+    tb.handle_starttag(tag.lower(), [(k.lower(), v) for k, v in attrs.items()])
+
+
+def build_tree(markup: str) -> Node:
+    try:
+        return _build_expat(markup)
+    except expat.ExpatError:
+        tb = _TreeBuilder()
+        tb.feed(markup)
+        tb.close()
+        return tb.root
+
+
 def _siblings(node):
     sibs = node.parent.children
     i = next(k for k, s in enumerate(sibs) if s is node)

@@ -66,6 +66,7 @@ pk AS (
     bool_or(CASE WHEN concept = 'CurrentAssets' AND rn = 1 THEN in_period END) AS current_assets_in_period,
     bool_or(CASE WHEN concept = 'NetAssetsLiabilities' AND rn = 1 THEN in_period END) AS net_assets_in_period,
     bool_or(CASE WHEN concept = 'CashBankOnHand' AND rn = 1 THEN in_period END) AS cash_in_period,
+    bool_or(CASE WHEN concept = 'Equity' AND rn = 1 THEN in_period END) AS equity_in_period,
     bool_or(CASE WHEN concept = 'Turnover' AND rn = 1 THEN in_period END) AS turnover_in_period,
     bool_or(CASE WHEN concept = 'OperatingProfitLoss' AND rn = 1 THEN in_period END) AS operating_profit_in_period,
     bool_or(CASE WHEN concept = 'AverageNumberEmployeesDuringPeriod' AND rn_raw = 1 THEN in_period END)
@@ -225,7 +226,7 @@ SELECT filing_id, current_assets, cash, net_current_assets, talcl, net_assets, t
   employees, current_assets_in_period, cash_in_period, turnover_in_period, operating_profit_in_period,
   employees_in_period,
   CASE WHEN net_assets_tag IS NOT NULL THEN net_assets_in_period
-       WHEN equity IS NOT NULL THEN false END AS net_assets_in_period
+       WHEN equity IS NOT NULL THEN equity_in_period END AS net_assets_in_period
 FROM rec"""),
     "employees": with_cte(FACTS_CTE, """
 SELECT 'F' || CAST(okey AS VARCHAR) AS filing_id, CAST(ord AS INTEGER) AS ord, raw_num AS employees_raw,

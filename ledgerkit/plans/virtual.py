@@ -143,14 +143,20 @@ def filing_lines(lineitem: DataFrame) -> DataFrame:
 def virtual_filings(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """orders + lineitem -> filings(filing_id, archive, member, source_file, published, content).
 
-    One shuffle of lineitem on the order key (collect of <= 7 rows per order);
-    the join to orders reuses that partitioning."""
+    lineitem and orders are hash-partitioned once on the order key into
+    ``spark.sql.shuffle.partitions`` parts (an explicit count, so AQE keeps the
+    parallelism for the Python parse that follows); the collect of <= 7 lines per
+    order and the join to orders both reuse that partitioning.  The markup is
+    built after the join, so only the small per-line strings are shuffled."""
+    n = int(lineitem.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lineitem = lineitem.repartition(n, "l_orderkey")
     rows = (filing_lines(lineitem)
             .groupBy("l_orderkey")
             .agg(F.array_sort(F.collect_list(F.struct(
                 "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
                 "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus", "markup"))).alias("rows")))
-    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = (orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+         .repartition(n, "o_orderkey"))
     f = o.join(rows, o.o_orderkey == rows.l_orderkey, "left")
 
     year = F.year("o_orderdate")
