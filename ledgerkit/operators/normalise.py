@@ -74,55 +74,52 @@ def with_periods(parsed: DataFrame) -> DataFrame:
     return df.withColumn("period_start", F.array_min(starts))
 
 
-def with_fact_values(df: DataFrame) -> DataFrame:
-    """Each fact gets ord, parsed value (X7/X8), raw number (N6), period flags and
-    funding slot (N8/N9), looking its context up inside the same row (N3)."""
-    def enrich(f, i):
-        ctx = _last(F.filter("_ctx", lambda c: c["id"] == f["context_ref"]))
-        in_inst = F.coalesce(F.array_contains("_inst_ids", f["context_ref"]), F.lit(False))
-        in_dur = F.coalesce(F.array_contains("_dur_ids", f["context_ref"]), F.lit(False))
-        value = F.when(f["kind"] == "nonFraction", bracket_negated(
-            displayed_number(f["raw_text"], f["scale"], f["sign"]), f["mark_before"], f["mark_after"]))
-        slot = F.when(ctx.isNotNull() & ctx["p_end"].eqNullSafe(F.col("period_end")),
-                      F.coalesce(ctx["bucket"], F.when(in_inst, F.lit("plain"))))
-        return F.struct(
-            i.alias("ord"), f["kind"].alias("kind"), f["concept"].alias("concept"),
-            f["raw_text"].alias("raw_text"), f["context_ref"].alias("context_ref"),
-            value.alias("value"), raw_number(f["raw_text"]).alias("raw_num"),
-            in_inst.alias("in_inst"), in_dur.alias("in_dur"), slot.alias("slot"))
-    return df.withColumn("_facts", F.transform("facts", enrich))
+def fact_rows(df: DataFrame) -> DataFrame:
+    """Facts as rows (explode, no shuffle): ord, parsed value (X7/X8), raw number
+    (N6), period flags and funding slot (N8/N9).  The context is looked up inside
+    the filing's own row (N3), so no join is needed."""
+    ex = df.select("*", F.posexplode_outer("facts").alias("ord", "f"))
+    f = F.col("f")
+    ctx = _last(F.filter("_ctx", lambda c: c["id"] == f["context_ref"]))
+    in_inst = F.coalesce(F.array_contains("_inst_ids", f["context_ref"]), F.lit(False))
+    in_dur = F.coalesce(F.array_contains("_dur_ids", f["context_ref"]), F.lit(False))
+    value = F.when(f["kind"] == "nonFraction", bracket_negated(
+        displayed_number(f["raw_text"], f["scale"], f["sign"]), f["mark_before"], f["mark_after"]))
+    slot = F.when(ctx.isNotNull() & ctx["p_end"].eqNullSafe(F.col("period_end")),
+                  F.coalesce(ctx["bucket"], F.when(in_inst, F.lit("plain"))))
+    return ex.withColumns({
+        "concept": f["concept"], "kind": f["kind"], "raw_text": f["raw_text"],
+        "value": value, "raw_num": raw_number(f["raw_text"]),
+        "in_inst": in_inst, "in_dur": in_dur, "slot": slot})
 
 
 def _pick(field: str) -> Column:
-    """struct(p in-period, a abs, o -ord, v value) of the winning fact, or null."""
-    pref = "in_dur" if field in vocab.DURATION_FIELDS else "in_inst"
+    """Max of struct(p in-period, a abs, o -ord, v value) over the field's facts."""
+    pref = F.col("in_dur") if field in vocab.DURATION_FIELDS else F.col("in_inst")
     names = vocab.FIELD_CONCEPTS[field]
-    if field == "employees":  # N6: raw displayed number, scale and brackets ignored
-        pool = F.filter("_facts", lambda f: f["concept"].isin(names) & f["raw_num"].isNotNull())
-        val = lambda f: f["raw_num"]
-    else:
-        pool = F.filter("_facts", lambda f: f["concept"].isin(names) & f["value"].isNotNull())
-        val = lambda f: f["value"]
-    return F.array_max(F.transform(pool, lambda f: F.struct(
-        f[pref].alias("p"), F.abs(val(f)).alias("a"), (-f["ord"]).alias("o"), val(f).alias("v"))))
+    val = F.col("raw_num") if field == "employees" else F.col("value")  # N6 uses the raw number
+    cond = F.col("concept").isin(names) & val.isNotNull()
+    return F.max(F.when(cond, F.struct(pref.alias("p"), F.abs(val).alias("a"), (-F.col("ord")).alias("o"),
+                                       val.alias("v"))))
 
 
 def _meta(tag: str) -> Column:
     """First non-blank text of a meta concept."""
-    return _first(F.filter("_facts", lambda f: (f["concept"] == tag) & (F.length(f["raw_text"]) > 0)))["raw_text"]
+    cond = (F.col("concept") == tag) & (F.length("raw_text") > 0)
+    return F.min(F.when(cond, F.struct(F.col("ord").alias("o"), F.col("raw_text").alias("t"))))["t"]
 
 
 def _funding_sum(names, slot) -> Column:
     """Sum of every matching fact in a slot (exact decimal), null when none."""
-    pool = F.filter("_facts", lambda f: f["concept"].isin(names) & f["value"].isNotNull() & (f["slot"] == slot))
-    total = F.aggregate(pool, F.lit(0).cast(DEC), lambda acc, f: acc + f["value"].cast(DEC))
-    return F.when(F.size(pool) > 0, total)
+    cond = F.col("concept").isin(names) & F.col("value").isNotNull() & (F.col("slot") == slot)
+    return F.sum(F.when(cond, F.col("value").cast(DEC)))
 
 
 def _creditors_last(slot) -> Column:
     """Creditors total per slot, last fact wins."""
-    return _last(F.filter("_facts", lambda f: f["concept"].isin(vocab.CREDITORS_TOTAL_CONCEPTS)
-                          & f["value"].isNotNull() & (f["slot"] == slot)))["value"]
+    cond = (F.col("concept").isin(vocab.CREDITORS_TOTAL_CONCEPTS) & F.col("value").isNotNull()
+            & (F.col("slot") == slot))
+    return F.max(F.when(cond, F.struct(F.col("ord").alias("o"), F.col("value").alias("v"))))["v"]
 
 
 def slot_total(within: Column, after: Column, plain: Column) -> Column:
@@ -131,9 +128,9 @@ def slot_total(within: Column, after: Column, plain: Column) -> Column:
                   F.coalesce(within, F.lit(0)) + F.coalesce(after, F.lit(0))).otherwise(plain)
 
 
-def detect_taxonomy(refs: Column, standard: Column) -> Column:
-    """N18."""
-    j = F.lower(F.concat(F.concat_ws(" ", refs), F.lit(" "), F.coalesce(standard, F.lit(""))))
+def detect_taxonomy(refs_text: Column, standard: Column) -> Column:
+    """On the space-joined references plus the tagged standard."""
+    j = F.lower(F.concat(refs_text, F.lit(" "), F.coalesce(standard, F.lit(""))))
     return (F.when(j.contains("frs-105") | j.contains("frs105") | j.contains("micro"), F.lit("FRS-105"))
             .when(j.contains("frs-102") | j.contains("frs102"), F.lit("FRS-102"))
             .when(j.contains("ifrs"), F.lit("IFRS")).otherwise(F.lit("unknown")))
@@ -164,19 +161,27 @@ PASS_THROUGH = ["filing_id", "source_file", "archive", "member", "published"]
 
 
 def picks(parsed: DataFrame) -> DataFrame:
-    """N1-N10 as columns on the parsed rows: ``_p_<field>`` structs, meta texts, funding."""
-    df = with_fact_values(with_periods(parsed))
-    cols = {f"_p_{f}": _pick(f) for f in PICK_FIELDS}
-    for key, tag in vocab.META_TAGS.items():
-        cols[f"_m_{key}"] = _meta(tag)
-    for label, names in vocab.FUNDING_CONCEPTS.items():
-        for slot in ("within", "after", "plain"):
-            cols[f"_fd_{label}_{slot}"] = _funding_sum(names, slot)
-    for slot in ("within", "after", "plain"):
-        cols[f"_cred_{slot}"] = _creditors_last(slot)
-    cols["_exempt"] = F.exists("_facts", lambda f: F.lower(f["concept"]).contains("exemptionfromaudit"))
-    cols["company_number"] = _first(F.filter("_ctx", lambda c: F.length(c["identifier"]) > 0))["identifier"]
-    return df.withColumns(cols)
+    """One aggregated row per filing with ``_p_<field>`` structs, meta texts
+    and funding sums.  Facts of a filing sit together in one partition, so the
+    partial aggregation collapses each filing before the one exchange on filing_id."""
+    df = with_periods(parsed)
+    first_ident = _first(F.filter("_ctx", lambda c: F.length(c["identifier"]) > 0))["identifier"]
+    keys = {c: F.col(c) for c in PASS_THROUGH if c in parsed.columns}
+    keys.update({
+        "company_number": first_ident,
+        "period_end": F.col("period_end"), "period_start": F.col("period_start"),
+        "_refs_text": F.concat_ws(" ", "refs"),
+        "taxonomy_version": taxonomy_version(F.col("refs")),
+        "currency": currency(F.col("units")),
+    })
+    rows = fact_rows(df.withColumns({k: v for k, v in keys.items() if k not in df.columns}))
+    aggs = [_pick(f).alias(f"_p_{f}") for f in PICK_FIELDS]
+    aggs += [_meta(tag).alias(f"_m_{key}") for key, tag in vocab.META_TAGS.items()]
+    aggs += [_funding_sum(names, slot).alias(f"_fd_{label}_{slot}")
+             for label, names in vocab.FUNDING_CONCEPTS.items() for slot in ("within", "after", "plain")]
+    aggs += [_creditors_last(slot).alias(f"_cred_{slot}") for slot in ("within", "after", "plain")]
+    aggs.append(F.coalesce(F.max(F.lower("concept").contains("exemptionfromaudit")), F.lit(False)).alias("_exempt"))
+    return rows.groupBy(*keys).agg(*aggs)
 
 
 def normalise(parsed: DataFrame, keep_internal: bool = False) -> DataFrame:
@@ -216,7 +221,7 @@ def normalise(parsed: DataFrame, keep_internal: bool = False) -> DataFrame:
                .when(cash.isNotNull(), F.lit("derived(net cash; no debt tagged)")))
 
     standard = F.col("_m_accounting_standard")
-    taxonomy = detect_taxonomy(F.col("refs"), standard)
+    taxonomy = detect_taxonomy(F.col("_refs_text"), standard)
     has_pl = v["turnover"].isNotNull() | v["operating_profit"].isNotNull()
     accounts_type = F.coalesce(F.col("_m_accounts_type"), F.when(taxonomy == "FRS-105", F.lit("micro"))
                                .when(has_pl, F.lit("full_or_small_with_pl"))
@@ -249,9 +254,9 @@ def normalise(parsed: DataFrame, keep_internal: bool = False) -> DataFrame:
     rec = {
         "company_number": F.col("company_number"),
         "taxonomy": taxonomy,
-        "taxonomy_version": taxonomy_version(F.col("refs")),
+        "taxonomy_version": F.col("taxonomy_version"),
         "accounting_standard": standard,
-        "currency": currency(F.col("units")),
+        "currency": F.col("currency"),
         "period_start": F.col("period_start"),
         "period_end": F.col("period_end"),
         "period_length_days": pld,
