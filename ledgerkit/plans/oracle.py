@@ -246,3 +246,186 @@ SELECT filing_id, total_assets, total_assets_prov, net_assets, net_assets_prov,
 SELECT filing_id, taxonomy, taxonomy_version, accounting_standard, currency, accounts_type, filleted, audited,
   dormant, period_length_days, completeness_score FROM rec"""),
 }
+
+
+# ---- aggregates, metadata, sampling, benchmark items ------------------------------------
+def pad8(x: str) -> str:
+    return f"(CASE WHEN length({x}) < 8 THEN lpad({x}, 8, '0') ELSE {x} END)"
+
+
+def money_sql(v: str) -> str:
+    return f"(CASE WHEN {v} < 0 THEN '(£' || format('{{:,.0f}}', abs({v})) || ')' ELSE '£' || format('{{:,.0f}}', {v}) END)"
+
+
+NAME = "coalesce(company_name, 'company ' || company_number)"
+
+PRODUCT_CTE = PICKS_CTE + f""",
+co AS (
+  SELECT {pad8('CAST(c_custkey AS VARCHAR)')} AS company_number, c_name AS company_name, c_mktsegment AS company_type,
+    CASE WHEN c_acctbal < 0 THEN 'Liquidation' ELSE 'Active' END AS company_status,
+    CASE WHEN c_custkey % 3 = 0 THEN 'MICRO ENTITY' WHEN c_custkey % 3 = 1 THEN 'SMALL' END AS accounts_category,
+    concat_ws('; ', printf('%05d - Activity %d', n_nationkey + 64000, n_nationkey),
+      CASE WHEN c_custkey % 2 = 0 THEN printf('%05d - Activity %d', n_regionkey + 70000, n_regionkey) END) AS sic_codes,
+    printf('N%d', n_nationkey) AS region_outcode, n_name AS post_town, r_name AS country
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+),
+prod AS (
+  SELECT r.* EXCLUDE (company_number), {pad8('r.company_number')} AS company_number,
+    printf('Prod224_%d_%s_%s.html', r.okey, {pad8('r.company_number')}, strftime(r.o_orderdate, '%Y%m%d'))
+      AS source_file,
+    cred_w AS f_within_creditors_total, cred_a AS f_after_creditors_total,
+    talcl AS total_assets_less_current_liabilities,
+    co.* EXCLUDE (company_number)
+  FROM rec r LEFT JOIN co ON co.company_number = {pad8('r.company_number')}
+),
+lat AS (
+  SELECT * EXCLUDE (rk) FROM (
+    SELECT *, row_number() OVER (PARTITION BY company_number
+                                 ORDER BY period_end DESC NULLS LAST, source_file, filing_id) AS rk
+    FROM prod WHERE company_number IS NOT NULL) WHERE rk = 1
+)"""
+
+EXTRACT_LINES = [
+    ("current_assets", "Current assets"), ("cash", "Cash at bank and in hand"),
+    ("f_within_creditors_total", "Creditors: amounts falling due within one year"),
+    ("net_current_assets", "Net current assets"),
+    ("total_assets_less_current_liabilities", "Total assets less current liabilities"),
+    ("f_after_creditors_total", "Creditors: amounts falling due after more than one year"),
+    ("net_assets", "Net assets"), ("turnover", "Turnover"), ("operating_profit", "Operating profit"),
+]
+MAKE_EXTRACT = ("concat_ws(chr(10), " + NAME + " || ' - accounts to ' || period_end || ' (amounts in ' || "
+                "coalesce(currency, 'GBP') || ')', "
+                + ", ".join(f"CASE WHEN {c} IS NOT NULL THEN '  {lab}: ' || {money_sql(c)} END"
+                            for c, lab in EXTRACT_LINES)
+                + ", CASE WHEN employees IS NOT NULL THEN '  Average number of employees: ' || "
+                  "CAST(CAST(round_even(employees, 0) AS BIGINT) AS VARCHAR) END"
+                + ", CASE WHEN concat_ws('; ', accounts_type, taxonomy) <> '' THEN '  Basis of preparation: ' || "
+                  "concat_ws('; ', accounts_type, taxonomy) END)")
+
+ITEM_NULLS = ("CAST(NULL AS DOUBLE) AS answer_num, CAST(NULL AS VARCHAR) AS answer_text, "
+              "CAST(NULL AS BOOLEAN) AS answer_bool")
+
+
+def _extraction_sql(field, n, label, employees):
+    unit = "a whole number" if employees else "an amount in pounds"
+    ans = "CAST(CAST(round_even(employees, 0) AS BIGINT) AS DOUBLE)" if employees else field
+    rel = "0.0" if employees else "0.005"
+    return f"""SELECT * FROM (SELECT 'extraction' AS category, 'numeric' AS answer_type,
+  'Extract from the accounts of a UK company:' || chr(10) || chr(10) || {MAKE_EXTRACT} || chr(10) || chr(10) ||
+  'Question: what is the company''s {label} for this period? Reply with {unit}.' AS question,
+  {ans} AS answer_num, CAST(NULL AS VARCHAR) AS answer_text, CAST(NULL AS BOOLEAN) AS answer_bool,
+  CAST({rel} AS DOUBLE) AS rel_tol, CAST(1.0 AS DOUBLE) AS abs_tol, company_number, '{field}' AS field
+  FROM lat WHERE company_name IS NOT NULL AND {field} IS NOT NULL
+  ORDER BY md5('42:{field}:' || company_number) LIMIT {n})"""
+
+
+def _items_sql():
+    from ..vocab import CLEAN_EXTRACTION_QUOTAS, FIELD_LABELS
+    ext = "\nUNION ALL\n".join(_extraction_sql(f, n, FIELD_LABELS[f], f == "employees")
+                               for f, n in CLEAN_EXTRACTION_QUOTAS.items()
+                               if f not in ("property_plant_equipment",))
+    # property_plant_equipment is never tagged in the virtual filings: its pool is empty.
+    nd = f"""SELECT * FROM (SELECT 'not_disclosed' AS category, 'not_disclosed' AS answer_type,
+  'Extract from the accounts of a UK company:' || chr(10) || chr(10) || {MAKE_EXTRACT} || chr(10) || chr(10) ||
+  'Question: what is the company''s turnover for this period? If these accounts do not show it, say so.' AS question,
+  CAST(NULL AS DOUBLE) AS answer_num, 'NOT_DISCLOSED' AS answer_text, CAST(NULL AS BOOLEAN) AS answer_bool,
+  CAST(NULL AS DOUBLE) AS rel_tol, CAST(NULL AS DOUBLE) AS abs_tol, company_number, CAST(NULL AS VARCHAR) AS field
+  FROM lat WHERE company_name IS NOT NULL AND turnover IS NULL AND net_assets IS NOT NULL
+  ORDER BY md5('42:not_disclosed:' || company_number) LIMIT 150)"""
+    targets = ", ".join(
+        f"CAST('0x' || substr(md5('42:draw:{j}:' || company_number), 1, 8) AS BIGINT) % 200" for j in range(5))
+    comp = f"""SELECT 'comparison' AS category, 'choice' AS answer_type,
+  'Net assets of five UK companies:' || chr(10) || string_agg(line, chr(10) ORDER BY pos) || chr(10) || chr(10) ||
+  'Question: which company has the highest net assets? Reply with its name.' AS question,
+  CAST(NULL AS DOUBLE) AS answer_num, arg_max(nm, (net_assets, -pos)) AS answer_text,
+  CAST(NULL AS BOOLEAN) AS answer_bool, CAST(NULL AS DOUBLE) AS rel_tol, CAST(NULL AS DOUBLE) AS abs_tol,
+  arg_max(company_number, (net_assets, -pos)) AS company_number, CAST(NULL AS VARCHAR) AS field
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY draw ORDER BY md5('42:' || CAST(draw AS VARCHAR) || ':' || company_number)) AS pos
+  FROM (SELECT DISTINCT company_number, company_name, net_assets, {NAME} AS nm,
+               '  - ' || {NAME} || ': net assets ' || {money_sql('net_assets')} AS line,
+               unnest([{targets}]) AS draw
+        FROM (SELECT * FROM lat WHERE company_name IS NOT NULL AND net_assets IS NOT NULL
+              ORDER BY md5('42:comparison:' || company_number) LIMIT 4000))
+) WHERE pos <= 5 GROUP BY draw"""
+    ratio = f"""SELECT * FROM (SELECT 'ratio' AS category, 'numeric' AS answer_type,
+  {NAME} || ' reports total liabilities of ' || {money_sql('total_liabilities')} || ' and net assets (equity) of ' ||
+  {money_sql('net_assets')} || '.' || chr(10) ||
+  'Question: what is its debt-to-equity ratio (total liabilities / equity), to two decimal places?' AS question,
+  round(total_liabilities / net_assets, 2) AS answer_num, CAST(NULL AS VARCHAR) AS answer_text,
+  CAST(NULL AS BOOLEAN) AS answer_bool, CAST(0.02 AS DOUBLE) AS rel_tol, CAST(0.05 AS DOUBLE) AS abs_tol,
+  company_number, CAST(NULL AS VARCHAR) AS field
+  FROM lat WHERE company_name IS NOT NULL AND total_liabilities > 0 AND net_assets > 0
+  ORDER BY md5('42:ratio:' || company_number) LIMIT 150)"""
+
+    def boolean(cond, salt):
+        return f"""SELECT * FROM (SELECT 'boolean' AS category, 'boolean' AS answer_type,
+  {NAME} || ' reports net assets of ' || {money_sql('net_assets')} || ' at its period end.' || chr(10) ||
+  'Question: are its net assets negative (balance-sheet insolvent)? Reply yes or no.' AS question,
+  CAST(NULL AS DOUBLE) AS answer_num, CAST(NULL AS VARCHAR) AS answer_text, net_assets < 0 AS answer_bool,
+  CAST(NULL AS DOUBLE) AS rel_tol, CAST(NULL AS DOUBLE) AS abs_tol, company_number, CAST(NULL AS VARCHAR) AS field
+  FROM lat WHERE company_name IS NOT NULL AND net_assets {cond} 0
+  ORDER BY md5('42:{salt}:' || company_number) LIMIT 60)"""
+    return {"items_extraction": ext, "items_not_disclosed": nd, "items_comparison": comp, "items_ratio": ratio,
+            "items_boolean": boolean("<", "insolvent") + "\nUNION ALL\n" + boolean(">", "solvent")}
+
+
+_ITEMS = _items_sql()
+COV = ["turnover", "gross_profit", "operating_profit", "total_assets", "total_liabilities", "net_assets", "cash",
+       "net_debt", "employees", "property_plant_equipment", "total_assets_less_current_liabilities"]
+_NULL_ALWAYS = {"gross_profit", "property_plant_equipment"}
+
+ORACLE.update({
+    "coverage": with_cte(PRODUCT_CTE, "SELECT count(*) AS record_count, " + ", ".join(
+        f"round(count({'NULL' if c in _NULL_ALWAYS else c}) / greatest(count(*), 1), 4) AS cov_{c}" for c in COV)
+        + " FROM prod"),
+    "distribution": with_cte(PRODUCT_CTE, """
+SELECT 'taxonomy' AS dimension, taxonomy AS value, count(*) AS n FROM prod WHERE taxonomy IS NOT NULL GROUP BY taxonomy
+UNION ALL
+SELECT 'accounts_type', accounts_type, count(*) FROM prod WHERE accounts_type IS NOT NULL GROUP BY accounts_type"""),
+    "top_concepts": with_cte(FACTS_CTE + ",\n" + META_CTE, """
+SELECT concept, count(*) AS n FROM (SELECT concept FROM vf UNION ALL SELECT concept FROM meta)
+GROUP BY concept ORDER BY n DESC, concept LIMIT 40"""),
+    "unique_companies": with_cte(PICKS_CTE, f"""
+SELECT count(DISTINCT {pad8('company_number')}) AS unique_companies FROM rec WHERE company_number IS NOT NULL"""),
+    "metadata_join": with_cte(PRODUCT_CTE, """
+SELECT filing_id, company_number, company_name, company_type, company_status, accounts_category, sic_codes,
+  region_outcode, post_town, country FROM prod"""),
+    "wanted_companies": with_cte(PRODUCT_CTE, """
+SELECT company_number, company_name FROM co WHERE company_number IN (SELECT company_number FROM prod)"""),
+    "match_rate": with_cte(PRODUCT_CTE, """
+SELECT count(*) AS filings, count(company_name) AS matched,
+  round(avg(CASE WHEN company_name IS NOT NULL THEN 1.0 ELSE 0.0 END::DOUBLE), 4) AS match_rate FROM prod"""),
+    "key_format_probe": """
+SELECT regexp_replace(CAST(o_custkey AS VARCHAR), '[0-9]', '9', 'g') AS shape, count(*) AS n, 'left' AS side
+FROM orders GROUP BY 1
+UNION ALL
+SELECT regexp_replace(CAST(c_custkey AS VARCHAR), '[0-9]', '9', 'g'), count(*), 'right' FROM customer GROUP BY 1""",
+    "latest_per_company": with_cte(PRODUCT_CTE, "SELECT company_number, filing_id, period_end, net_assets FROM lat"),
+    "sample_n": """
+SELECT c_custkey, c_name FROM customer ORDER BY md5('42:' || CAST(c_custkey AS VARCHAR)) LIMIT 100""",
+    "sample_per_archive": """
+SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source
+  ORDER BY md5('11:' || CAST(doc_id AS VARCHAR))) AS rn FROM documents) WHERE rn <= 5""",
+    "shuffle_number": """
+SELECT printf('q%04d', row_number() OVER (ORDER BY md5('42:' || CAST(c_custkey AS VARCHAR)))) AS id, c_custkey
+FROM (SELECT c_custkey FROM customer ORDER BY md5('42:' || CAST(c_custkey AS VARCHAR)) LIMIT 100)""",
+    "groups_of_five": """
+SELECT draw, arg_max(c_name, (c_acctbal, -pos)) AS winner, count(*) AS members FROM (
+  SELECT *, row_number() OVER (PARTITION BY draw ORDER BY md5('42:' || CAST(draw AS VARCHAR) || ':' || k)) AS pos
+  FROM (SELECT DISTINCT c_custkey, c_name, c_acctbal, CAST(c_custkey AS VARCHAR) AS k, unnest([""" + ", ".join(
+        f"CAST('0x' || substr(md5('42:draw:{j}:' || CAST(c_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 200"
+        for j in range(5)) + """]) AS draw FROM customer)
+) WHERE pos <= 5 GROUP BY draw""",
+    "items_extraction": with_cte(PRODUCT_CTE, _ITEMS["items_extraction"]),
+    "items_not_disclosed": with_cte(PRODUCT_CTE, _ITEMS["items_not_disclosed"]),
+    "items_comparison": with_cte(PRODUCT_CTE, _ITEMS["items_comparison"]),
+    "items_ratio": with_cte(PRODUCT_CTE, _ITEMS["items_ratio"]),
+    "items_boolean": with_cte(PRODUCT_CTE, _ITEMS["items_boolean"]),
+    "benchmark_table": with_cte(PRODUCT_CTE, "SELECT printf('q%04d', row_number() OVER (ORDER BY md5('42:' || "
+                                "concat_ws('|', category, coalesce(field, ''), company_number, md5(question))))) AS id, "
+                                "* FROM (" + "\nUNION ALL\n".join(
+                                    f"SELECT * FROM ({_ITEMS[k]})" for k in (
+                                        "items_extraction", "items_not_disclosed", "items_comparison",
+                                        "items_ratio", "items_boolean")) + ")"),
+})

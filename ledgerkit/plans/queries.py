@@ -124,3 +124,138 @@ QUERIES = {
     "derive_totals": q_derive_totals,
     "classify_filing": q_classify_filing,
 }
+
+
+# ---- aggregates, metadata, sampling, benchmark items -----------------------------------
+from ..operators import aggregates as A  # noqa: E402
+from ..operators import benchmark as B  # noqa: E402
+from ..operators import metadata as M  # noqa: E402
+from ..operators import sampling as W  # noqa: E402
+
+
+def companies(spark, sf):
+    return M.company_rows(table(spark, sf, "customer"), table(spark, sf, "nation"), table(spark, sf, "region"))
+
+
+def meta(spark, sf):
+    return M.metadata_projection(companies(spark, sf))
+
+
+def product(spark, sf):
+    """Published dataset rows (D2): flat records with company metadata."""
+    return flatten_record(M.join_metadata(records(spark, sf), meta(spark, sf)))
+
+
+def latest(spark, sf):
+    return W.latest_per_company(product(spark, sf))
+
+
+def q_coverage(spark, sf):
+    return A.field_coverage(product(spark, sf))
+
+
+def q_distribution(spark, sf):
+    p = product(spark, sf)
+    t = A.distribution(p, "taxonomy").select(F.lit("taxonomy").alias("dimension"),
+                                             F.col("taxonomy").alias("value"), "n")
+    a = A.distribution(p, "accounts_type").select(F.lit("accounts_type").alias("dimension"),
+                                                  F.col("accounts_type").alias("value"), "n")
+    return t.unionByName(a)
+
+
+def q_top_concepts(spark, sf):
+    return A.top_concepts(X.facts(parsed(spark, sf)))
+
+
+def q_unique_companies(spark, sf):
+    return A.unique_companies(records(spark, sf))
+
+
+def q_metadata_join(spark, sf):
+    return product(spark, sf).select("filing_id", "company_number", "company_name", "company_type",
+                                     "company_status", "accounts_category", "sic_codes", "region_outcode",
+                                     "post_town", "country")
+
+
+def q_wanted_companies(spark, sf):
+    return M.wanted_companies(meta(spark, sf), records(spark, sf)).select("company_number", "company_name")
+
+
+def q_match_rate(spark, sf):
+    return M.match_rate(product(spark, sf))
+
+
+def q_key_format_probe(spark, sf):
+    return M.key_format_probe(records(spark, sf), "company_number", companies(spark, sf), "CompanyNumber")
+
+
+def q_latest_per_company(spark, sf):
+    return latest(spark, sf).select("company_number", "filing_id", "period_end", "net_assets")
+
+
+def q_sample_n(spark, sf):
+    c = table(spark, sf, "customer")
+    return W.sample_n(c, 100, 42, F.col("c_custkey").cast("string")).select("c_custkey", "c_name")
+
+
+def q_sample_per_archive(spark, sf):
+    d = table(spark, sf, "documents")
+    return W.sample_per_group(d, "source", 5, 11, F.col("doc_id").cast("string")).select("doc_id", "source")
+
+
+def q_shuffle_number(spark, sf):
+    c = W.sample_n(table(spark, sf, "customer"), 100, 42, F.col("c_custkey").cast("string"))
+    return W.shuffle_and_number(c, "q", 42, F.col("c_custkey").cast("string")).select("id", "c_custkey")
+
+
+def q_groups_of_five(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    g = W.groups_of_draws(c, "c_custkey", 200, 5, 42)
+    return W.winner_of(g, "c_acctbal", "c_name")
+
+
+def q_items_extraction(spark, sf):
+    return B.items_extraction(latest(spark, sf))
+
+
+def q_items_not_disclosed(spark, sf):
+    return B.items_not_disclosed(latest(spark, sf))
+
+
+def q_items_comparison(spark, sf):
+    return B.items_comparison(latest(spark, sf))
+
+
+def q_items_ratio(spark, sf):
+    return B.items_ratio(latest(spark, sf))
+
+
+def q_items_boolean(spark, sf):
+    return B.items_boolean(latest(spark, sf))
+
+
+def q_benchmark_table(spark, sf):
+    return B.benchmark_table(latest(spark, sf))
+
+
+QUERIES.update({
+    "coverage": q_coverage,
+    "distribution": q_distribution,
+    "top_concepts": q_top_concepts,
+    "unique_companies": q_unique_companies,
+    "metadata_join": q_metadata_join,
+    "wanted_companies": q_wanted_companies,
+    "match_rate": q_match_rate,
+    "key_format_probe": q_key_format_probe,
+    "latest_per_company": q_latest_per_company,
+    "sample_n": q_sample_n,
+    "sample_per_archive": q_sample_per_archive,
+    "shuffle_number": q_shuffle_number,
+    "groups_of_five": q_groups_of_five,
+    "items_extraction": q_items_extraction,
+    "items_not_disclosed": q_items_not_disclosed,
+    "items_comparison": q_items_comparison,
+    "items_ratio": q_items_ratio,
+    "items_boolean": q_items_boolean,
+    "benchmark_table": q_benchmark_table,
+})
