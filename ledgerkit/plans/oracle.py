@@ -429,3 +429,143 @@ SELECT draw, arg_max(c_name, (c_acctbal, -pos)) AS winner, count(*) AS members F
                                         "items_extraction", "items_not_disclosed", "items_comparison",
                                         "items_ratio", "items_boolean")) + ")"),
 })
+
+
+# ---- grading -------------------------------------------------------------------------------
+MULT_RE = "(-?\\(?£?\\d+(?:\\.\\d+)?\\)?)\\s*(k|thousand|mn|million|m|bn|billion|b)\\b"
+FIRST_RE = "-?\\(?£?\\d[\\d]*(?:\\.\\d+)?\\)?"
+NOT_WORD = "[^\\p{L}\\p{N}_]"
+
+
+def _to_float(s):
+    s = f"trim({s})"
+    v = f"TRY_CAST(translate({s}, '()£,+', '') AS DOUBLE)"
+    return f"(CASE WHEN starts_with({s}, '(') AND ends_with({s}, ')') THEN -{v} ELSE {v} END)"
+
+
+def answer_number_sql(x):
+    """E12 in DuckDB; written as a scalar subquery over one prepared text."""
+    t0 = f"replace(lower(regexp_replace({x}, '^\\s+|\\s+$', '', 'g')), ',', '')"
+    t = f"(CASE WHEN strpos({t0}, '=') > 0 THEN trim(string_split({t0}, '=')[-1]) ELSE {t0} END)"
+    mult = ("CASE regexp_extract(t, '" + MULT_RE + "', 2) WHEN 'k' THEN 1e3 WHEN 'thousand' THEN 1e3 "
+            "WHEN 'm' THEN 1e6 WHEN 'mn' THEN 1e6 WHEN 'million' THEN 1e6 WHEN 'bn' THEN 1e9 "
+            "WHEN 'b' THEN 1e9 WHEN 'billion' THEN 1e9 END")
+    wm = f"({_to_float(chr(39).join(['regexp_extract(t, ', MULT_RE, ', 1)']))} * {mult})"
+    first = f"(CASE WHEN regexp_matches(t, '{FIRST_RE}') THEN {_to_float(chr(39).join(['regexp_extract(t, ', FIRST_RE, ', 0)']))} END)"
+    return (f"(SELECT CASE WHEN regexp_matches(t, '{MULT_RE}') AND {wm} IS NOT NULL THEN {wm} ELSE {first} END "
+            f"FROM (SELECT {t} AS t))")
+
+
+def grade_numeric_sql(text, truth, rel="0.01", ab="1.0"):
+    v = answer_number_sql(text)
+    return (f"coalesce((SELECT abs(v - ({truth})) <= ({ab}) OR (({truth}) <> 0 AND abs(v - ({truth})) / abs({truth}) "
+            f"<= ({rel})) FROM (SELECT {v} AS v)), false)")
+
+
+STOP = "['ltd', 'limited', 'plc', 'llp', 'llc', 'uk', 'the', 'company', 'co']"
+
+
+def norm_company_sql(s):
+    return (f"regexp_replace(array_to_string(list_filter(regexp_extract_all(lower({s}), '[\\p{{L}}\\p{{N}}_]+'), "
+            f"lambda w: NOT list_contains({STOP}, w)), ''), '[^a-z0-9]', '', 'g')")
+
+
+def grade_choice_sql(text, truth):
+    t, m = norm_company_sql(truth), norm_company_sql(text)
+    return (f"coalesce(coalesce(length({text}), 0) > 0 AND coalesce(length({truth}), 0) > 0 AND "
+            f"(CASE WHEN length({t}) < 3 THEN strpos({m}, {t}) > 0 ELSE strpos({m}, {t}) > 0 OR strpos({t}, {m}) > 0 END), false)")
+
+
+def _word_at(t, words):
+    pat = f"(?s)^(.*?(?:^|{NOT_WORD}))({words})(?:{NOT_WORD}|$)"
+    return f"regexp_matches({t}, '{pat}')", f"length(regexp_extract({t}, '{pat}', 1))"
+
+
+def grade_boolean_sql(text, truth):
+    t = f"lower(trim({text}))"
+    hy, py = _word_at(t, "yes|true|correct")
+    hn, pn = _word_at(t, "no|false|incorrect")
+    said = f"(CASE WHEN {hy} AND (NOT {hn} OR {py} < {pn}) THEN true WHEN {hn} THEN false END)"
+    return f"coalesce(length({text}) > 0 AND {said} = ({truth}), false)"
+
+
+def grade_not_disclosed_sql(text):
+    from ..vocab import NOT_DISCLOSED_LETTERS, NOT_DISCLOSED_PHRASES
+    t = f"lower({text})"
+    letters = f"regexp_replace({t}, '[^a-z]', '', 'g')"
+    q = lambda p: p.replace("'", "''")
+    parts = [f"strpos({t}, '{q(p)}') > 0" for p in NOT_DISCLOSED_PHRASES]
+    parts += [f"strpos({letters}, '{p}') > 0" for p in NOT_DISCLOSED_LETTERS]
+    return "coalesce(" + " OR ".join(parts) + ", false)"
+
+
+def _numeric_answers_sql():
+    p, q = "l_extendedprice", "l_quantity"
+    f0 = lambda x: f"format('{{:,.0f}}', {x})"
+    f2 = lambda x: f"format('{{:,.2f}}', {x})"
+    f3 = lambda x: f"format('{{:,.3f}}', {x})"
+    return f"""SELECT l_orderkey, l_linenumber,
+  CASE l_linenumber WHEN 1 THEN '£' || {f0(p)} WHEN 2 THEN 'about ' || {f0(q)} || 'k'
+    WHEN 3 THEN '(' || {f2(p)} || ')' WHEN 4 THEN 'roughly £' || {f3(p + ' / 1e6')} || ' million'
+    WHEN 5 THEN {f2(p)} || ' / 1 = ' || {f2(p)} WHEN 6 THEN 'The figure is not disclosed.'
+    ELSE 'It was ' || {f2(p + ' * (1 + l_discount)')} || '.' END AS model_text,
+  CASE WHEN l_linenumber = 2 THEN {q} * 1000 ELSE {p} END AS truth
+FROM lineitem"""
+
+
+def _answers_sql(items):
+    def one(provider, model, salt):
+        h = f"(CAST('0x' || substr(md5('{salt}' || id), 1, 2) AS BIGINT) % 10)"
+        good = ("CASE answer_type WHEN 'numeric' THEN format('{:,.2f}', answer_num) WHEN 'choice' THEN answer_text "
+                "WHEN 'boolean' THEN CASE WHEN answer_bool THEN 'Yes, it is.' ELSE 'No.' END "
+                "ELSE 'That figure is not disclosed in these accounts.' END")
+        text = (f"CASE WHEN {h} = 0 THEN '<error: timeout>' WHEN {h} <= 6 THEN {good} "
+                f"WHEN {h} = 7 THEN CASE WHEN answer_type = 'numeric' THEN '-' || format('{{:,.2f}}', answer_num) "
+                f"ELSE 'Ltd' END WHEN {h} = 8 THEN 'I am not sure.' ELSE 'Approximately £1.2 million' END")
+        return f"SELECT id AS item_id, '{provider}' AS provider, '{model}' AS model, {text} AS model_answer FROM {items}"
+    return one("p1", "m1", "a:") + " UNION ALL " + one("p2", "m2", "b:")
+
+
+def _graded_sql():
+    bt = ORACLE["benchmark_table"]
+    grade = (f"CASE answer_type WHEN 'numeric' THEN {grade_numeric_sql('model_answer', 'answer_num', 'coalesce(rel_tol, 0.01)', 'coalesce(abs_tol, 1.0)')} "
+             f"WHEN 'choice' THEN {grade_choice_sql('model_answer', 'answer_text')} "
+             f"WHEN 'boolean' THEN {grade_boolean_sql('model_answer', 'answer_bool')} "
+             f"WHEN 'not_disclosed' THEN {grade_not_disclosed_sql('model_answer')} ELSE false END")
+    return f"""bt AS ({bt}),
+ans AS ({_answers_sql('bt')}),
+graded AS (
+  SELECT a.item_id, a.provider, a.model, b.category, b.field, b.company_number, a.model_answer, b.answer_num,
+    {grade} AS correct, coalesce(starts_with(a.model_answer, '<error'), false) AS errored
+  FROM ans a JOIN bt b ON a.item_id = b.id
+)"""
+
+
+def _accuracy_sql(src):
+    return f"""SELECT a.*, g.n, g.errors FROM (
+  SELECT provider, model, category, count(*) AS scored, round(avg(correct::INT::DOUBLE), 4) AS accuracy
+  FROM {src} WHERE NOT errored GROUP BY ROLLUP (provider, model, category)
+) a LEFT JOIN (SELECT provider, model, count(*) AS n, count_if(errored) AS errors FROM {src} GROUP BY provider, model) g
+  ON a.provider = g.provider AND a.model = g.model
+WHERE a.model IS NOT NULL"""
+
+
+ORACLE.update({
+    "grade_numeric": f"""SELECT l_orderkey, l_linenumber, model_text, {answer_number_sql('model_text')} AS parsed,
+  {grade_numeric_sql('model_text', 'truth')} AS correct FROM ({_numeric_answers_sql()})""",
+    "grade_choice": f"""SELECT c_custkey, model_text, {grade_choice_sql('model_text', 'c_name')} AS correct FROM (
+  SELECT c_custkey, c_name, CASE c_custkey % 5 WHEN 0 THEN lower(c_name) || ' ltd'
+    WHEN 1 THEN 'The ' || c_name || ' Limited' WHEN 2 THEN 'Customer#' || lpad(CAST(c_custkey + 1 AS VARCHAR), 9, '0')
+    WHEN 3 THEN 'Ltd' ELSE replace(c_name, '#', ' & ') END AS model_text FROM customer)""",
+    "grade_boolean": f"""SELECT conv_id, turn, {grade_boolean_sql('text', 'turn % 2 = 0')} AS correct FROM conversations""",
+    "grade_not_disclosed": f"""SELECT conv_id, turn, {grade_not_disclosed_sql('text')} AS correct FROM conversations""",
+    "accuracy": "WITH " + PRODUCT_CTE.strip() + ",\n" + _graded_sql() + "\n" + _accuracy_sql("graded"),
+    "regrade": "WITH " + PRODUCT_CTE.strip() + ",\n" + _graded_sql() + """,
+kept AS (SELECT g.* FROM graded g LEFT JOIN lat l ON l.company_number = g.company_number
+         WHERE NOT (g.category = 'not_disclosed' AND coalesce(l.dormant, false)))
+""" + _accuracy_sql("kept"),
+    "sign_flips": "WITH " + PRODUCT_CTE.strip() + ",\n" + _graded_sql() + f"""
+SELECT provider, model, count_if(coalesce(NOT correct AND NOT errored AND field = 'net_assets' AND
+  abs({answer_number_sql('model_answer')} + answer_num) <= greatest(1.0, abs(answer_num) * 0.01), false)) AS sign_flips
+FROM graded GROUP BY provider, model""",
+})

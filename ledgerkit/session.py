@@ -44,3 +44,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialise(df):
+    """Cut lineage: an eager, reliable checkpoint into the shared checkpoint folder.
+
+    Used where one derived table feeds many branches of a plan (benchmark pools),
+    so the upstream parse runs once, and a lost executor re-reads the files
+    instead of recomputing the chain."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
