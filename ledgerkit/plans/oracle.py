@@ -569,3 +569,106 @@ SELECT provider, model, count_if(coalesce(NOT correct AND NOT errored AND field
   abs({answer_number_sql('model_answer')} + answer_num) <= greatest(1.0, abs(answer_num) * 0.01), false)) AS sign_flips
 FROM graded GROUP BY provider, model""",
 })
+
+
+# ---- entities, charges, catalogs -------------------------------------------------------------
+def _norm_text(x):
+    return f"trim(regexp_replace(regexp_replace(lower({x}), '[^a-z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+def _shelf(x):
+    n = f"upper(coalesce({x}, ''))"
+    n = f"regexp_replace({n}, '\\b(PLC|LIMITED|LTD)\\b', '', 'g')"
+    n = f"regexp_replace({n}, '\\b20\\d{{2}}[- ]?[0-9A-Z]*\\b', '', 'g')"
+    n = f"regexp_replace({n}, '\\bNO\\.?\\s*\\d+\\b', '', 'g')"
+    n = f"regexp_replace({n}, '\\s+', ' ', 'g')"
+    return f"trim({n}, ' -')"
+
+
+ENT_CTE = f"""pc AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS company_number,
+    upper(p_name) || ' ' || upper(p_brand) || CASE WHEN p_size % 3 = 0 THEN ' PLC' ELSE ' LIMITED' END AS company_name,
+    CASE WHEN p_size % 3 = 0 THEN 'plc' ELSE 'ltd' END AS company_type FROM part
+),
+tw AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS term FROM part),
+terms AS (
+  SELECT term, category, CASE WHEN category = 'lender' THEN 0 ELSE 1 END AS cat_rank,
+    row_number() OVER (PARTITION BY category ORDER BY term) AS rank
+  FROM (SELECT term, CASE WHEN length(term) % 2 = 0 THEN 'lender' ELSE 'spv' END AS category FROM tw)
+),
+mt AS (
+  SELECT pc.*, t.term, t.category, t.cat_rank, t.rank FROM pc JOIN terms t
+    ON length({_norm_text('t.term')}) > 0 AND strpos({_norm_text('pc.company_name')}, {_norm_text('t.term')}) > 0
+)"""
+
+CHG_CTE = f"""tg AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS company_number,
+    printf('SUPPLIER %d FUNDING 20%02d-1 PLC', s_suppkey, s_nationkey) AS company_name,
+    'active' AS company_status, 'plc' AS company_type, '2020-01-01' AS date_of_creation,
+    CASE WHEN s_suppkey % 2 = 0 THEN 'spv' ELSE 'lender' END AS category,
+    CASE WHEN s_suppkey % 2 = 0 THEN 'securitisation vehicle' ELSE 'non-bank lender' END AS refined_entity_type,
+    CASE s_nationkey % 3 WHEN 0 THEN 'auto' WHEN 1 THEN 'mortgage' ELSE 'consumer' END AS asset_class_guess,
+    CASE WHEN s_acctbal > 0 THEN 'true' ELSE 'false' END AS strict_non_bank_lender_scope
+  FROM supplier
+),
+ch AS (
+  SELECT CAST(user_id AS VARCHAR) AS company_number, 'C' || CAST(event_id AS VARCHAR) AS charge_code,
+    CASE event_type WHEN 'purchase' THEN 'satisfied' WHEN 'error' THEN 'part-satisfied' ELSE 'outstanding' END AS status,
+    CAST(regexp_extract(props, '"k":\\s*(-?\\d+)', 1) AS INTEGER) AS k
+  FROM events
+)"""
+
+IDX_CTE = """pg AS (
+  SELECT o_orderkey AS page_id, strftime(o_orderdate, '%Y-%m-%d') AS d, o_orderkey % 3 <> 0 AS sized,
+    CAST(format('{:.1f}', o_totalprice / 1e4) AS DOUBLE) AS size, o_orderstatus,
+    strftime(o_orderdate, '%B') AS month_name, year(o_orderdate) AS y, month(o_orderdate) AS m
+  FROM orders
+),
+cat AS (
+  SELECT 'Accounts_Bulk_Data-' || d || '.zip' AS name, d AS date,
+    arg_max(CASE WHEN sized THEN size END, CASE WHEN sized THEN page_id END) AS size_mb
+  FROM pg GROUP BY d
+),
+mcat AS (
+  SELECT DISTINCT 'Accounts_Monthly_Data-' || month_name || CAST(y AS VARCHAR) || '.zip' AS name,
+    CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month FROM pg
+)"""
+
+ORACLE.update({
+    "match_terms": with_cte(ENT_CTE, "SELECT company_number, term FROM mt"),
+    "find_entities": with_cte(ENT_CTE, """
+SELECT company_number, first(company_name) AS company_name, arg_min(category, (cat_rank, rank)) AS category,
+  array_to_string(list_sort(list_distinct(list(term))), '; ') AS matched_terms
+FROM mt GROUP BY company_number"""),
+    "term_hits": with_cte(ENT_CTE, """
+SELECT category, term, count(*) AS name_matched, count_if(lower(company_type) = 'plc') AS plc_matched
+FROM mt GROUP BY category, term"""),
+    "shelf_of": "SELECT p_partkey, name, " + _shelf("name") + """ AS shelf FROM (
+  SELECT p_partkey, upper(p_name) || ' FUNDING ' || CAST(p_size % 30 + 2000 AS VARCHAR) ||
+    CASE WHEN p_size % 2 = 0 THEN '-' || CAST(p_size % 5 AS VARCHAR) ELSE '' END ||
+    ' NO.' || CAST(p_size % 7 AS VARCHAR) || ' PLC' AS name FROM part)""",
+    "charge_rows": with_cte(CHG_CTE, f"""
+SELECT c.company_number, c.charge_code, c.status, t.category, {_shelf('t.company_name')} AS shelf,
+  CASE c.k % 3 WHEN 0 THEN 'GLAS TRUST CORPORATION LIMITED' WHEN 1 THEN '[individual redacted]'
+    ELSE 'HSBC BANK PLC; [individual redacted]' END AS persons_entitled,
+  c.k % 3 <> 0 AS persons_entitled_has_individual, c.k % 2 = 0 AS contains_negative_pledge
+FROM ch c JOIN tg t ON c.company_number = t.company_number"""),
+    "charge_summary": with_cte(CHG_CTE, """
+SELECT company_number, count(*) AS charges_total, count_if(status = 'outstanding') AS charges_outstanding
+FROM ch GROUP BY company_number"""),
+    "entities": with_cte(CHG_CTE, f"""
+SELECT t.company_number, t.company_name, t.company_status, t.company_type, t.date_of_creation, t.category,
+  t.refined_entity_type, t.asset_class_guess, t.strict_non_bank_lender_scope,
+  CASE WHEN t.category = 'spv' THEN {_shelf('t.company_name')} ELSE '' END AS shelf,
+  coalesce(s.charges_total, 0) AS charges_total, coalesce(s.charges_outstanding, 0) AS charges_outstanding
+FROM tg t LEFT JOIN (SELECT company_number, count(*) AS charges_total,
+  count_if(status = 'outstanding') AS charges_outstanding FROM ch GROUP BY company_number) s
+  ON s.company_number = t.company_number"""),
+    "archive_catalog": with_cte(IDX_CTE, "SELECT name, date, size_mb FROM cat"),
+    "company_catalog": with_cte(IDX_CTE, """
+SELECT DISTINCT 'BasicCompanyDataAsOneFile-' || d || '.zip' AS name, d AS date FROM pg WHERE o_orderstatus = 'P'"""),
+    "monthly_catalog": with_cte(IDX_CTE, "SELECT name, year, month FROM mcat"),
+    "trailing_months": with_cte(IDX_CTE, "SELECT name, year, month FROM mcat ORDER BY year DESC, month DESC LIMIT 12"),
+    "smallest_recent": with_cte(IDX_CTE, """
+SELECT * FROM (SELECT * FROM cat ORDER BY date DESC LIMIT 15) ORDER BY size_mb ASC NULLS LAST, date LIMIT 1"""),
+})

@@ -366,3 +366,152 @@ QUERIES.update({
     "regrade": q_regrade,
     "sign_flips": q_sign_flips,
 })
+
+
+# ---- entities, charges, catalogs ------------------------------------------------------------
+from ..operators import entities as E  # noqa: E402
+from ..sources import catalogs as C  # noqa: E402
+
+
+def part_companies(spark, sf):
+    """Company rows for term matching: one per part (name from part name and brand)."""
+    p = table(spark, sf, "part")
+    plc = F.col("p_size") % 3 == 0
+    return p.select(F.col("p_partkey").cast("string").alias("company_number"),
+                    F.concat(F.upper("p_name"), F.lit(" "), F.upper("p_brand"),
+                             F.when(plc, F.lit(" PLC")).otherwise(F.lit(" LIMITED"))).alias("company_name"),
+                    F.when(plc, F.lit("plc")).otherwise(F.lit("ltd")).alias("company_type"))
+
+
+def part_terms(spark, sf):
+    """Seed terms: the distinct words of part names; even length -> lender list."""
+    w = table(spark, sf, "part").select(F.explode(F.split("p_name", " ")).alias("term")).distinct()
+    w = w.withColumn("category", F.when(F.length("term") % 2 == 0, F.lit("lender")).otherwise(F.lit("spv")))
+    return E.rank_terms(w.withColumn("rank", F.col("term")))
+
+
+def supplier_targets(spark, sf):
+    s = table(spark, sf, "supplier")
+    spv = F.col("s_suppkey") % 2 == 0
+    return s.select(
+        F.col("s_suppkey").cast("string").alias("company_number"),
+        F.format_string("SUPPLIER %d FUNDING 20%02d-1 PLC", F.col("s_suppkey"), F.col("s_nationkey")).alias(
+            "company_name"),
+        F.lit("active").alias("company_status"), F.lit("plc").alias("company_type"),
+        F.lit("2020-01-01").alias("date_of_creation"),
+        F.when(spv, F.lit("spv")).otherwise(F.lit("lender")).alias("category"),
+        F.when(spv, F.lit("securitisation vehicle")).otherwise(F.lit("non-bank lender")).alias("refined_entity_type"),
+        F.when(F.col("s_nationkey") % 3 == 0, F.lit("auto")).when(F.col("s_nationkey") % 3 == 1, F.lit("mortgage"))
+        .otherwise(F.lit("consumer")).alias("asset_class_guess"),
+        (F.col("s_acctbal") > 0).cast("string").alias("strict_non_bank_lender_scope"))
+
+
+def event_charges(spark, sf):
+    """Charges register rows from events: JSON props parsed with a declared schema."""
+    e = table(spark, sf, "events")
+    k = F.from_json("props", "k INT")["k"]
+    person = lambda n: F.struct(F.lit(n).alias("name"))
+    persons = (F.when(k % 3 == 0, F.array(person("GLAS TRUST CORPORATION LIMITED")))
+               .when(k % 3 == 1, F.array(person("Jane Doe")))
+               .otherwise(F.array(person("HSBC BANK PLC"), person("John Smith"))))
+    status = (F.when(F.col("event_type") == "purchase", F.lit("satisfied"))
+              .when(F.col("event_type") == "error", F.lit("part-satisfied")).otherwise(F.lit("outstanding")))
+    day = F.date_format("ts", "yyyy-MM-dd")
+    ch = F.struct(
+        F.concat(F.lit("C"), F.col("event_id").cast("string")).alias("charge_code"),
+        F.col("event_id").alias("charge_number"), status.alias("status"), day.alias("created_on"),
+        day.alias("delivered_on"), F.when(status == "satisfied", day).alias("satisfied_on"),
+        F.struct(F.concat(F.lit("Charge of type "), F.col("event_type")).alias("description")).alias("classification"),
+        F.struct(F.lit("All monies due").alias("description")).alias("secured_details"),
+        F.struct(F.lit("Fixed and floating charge").alias("description"),
+                 (F.col("value") > 50).alias("contains_fixed_charge"),
+                 (F.col("value") <= 50).alias("contains_floating_charge"),
+                 (k % 2 == 0).alias("contains_negative_pledge")).alias("particulars"),
+        persons.alias("persons_entitled"))
+    return e.select(F.col("user_id").cast("string").alias("company_number"), ch.alias("ch"))
+
+
+def q_match_terms(spark, sf):
+    return E.match_terms(part_companies(spark, sf), part_terms(spark, sf)).select("company_number", "term")
+
+
+def q_find_entities(spark, sf):
+    return E.find_entities(part_companies(spark, sf), part_terms(spark, sf)).select(
+        "company_number", "company_name", "category", "matched_terms")
+
+
+def q_term_hits(spark, sf):
+    return E.term_hit_counts(part_companies(spark, sf), part_terms(spark, sf))
+
+
+def q_shelf_of(spark, sf):
+    p = table(spark, sf, "part")
+    name = F.concat(F.upper("p_name"), F.lit(" FUNDING "), (F.col("p_size") % 30 + 2000).cast("string"),
+                    F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("-"), (F.col("p_size") % 5).cast("string")))
+                    .otherwise(F.lit("")), F.lit(" NO."), (F.col("p_size") % 7).cast("string"), F.lit(" PLC"))
+    return p.select("p_partkey", name.alias("name"), E.shelf_of(name).alias("shelf"))
+
+
+def q_charge_rows(spark, sf):
+    return E.charge_rows(event_charges(spark, sf), supplier_targets(spark, sf)).select(
+        "company_number", "charge_code", "status", "category", "shelf", "persons_entitled",
+        "persons_entitled_has_individual", "contains_negative_pledge")
+
+
+def q_charge_summary(spark, sf):
+    return E.charge_summary(event_charges(spark, sf))
+
+
+def q_entities(spark, sf):
+    return E.entity_rows(supplier_targets(spark, sf), event_charges(spark, sf))
+
+
+def index_pages(spark, sf):
+    """Archive index text, one page per order (daily archive, company snapshot, month)."""
+    o = table(spark, sf, "orders")
+    d = F.date_format("o_orderdate", "yyyy-MM-dd")
+    daily = F.concat(F.lit('<li><a href="Accounts_Bulk_Data-'), d, F.lit('.zip">Accounts_Bulk_Data-'), d,
+                     F.lit(".zip"),
+                     F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit(" ("), F.format_number(
+                         F.col("o_totalprice") / 1e4, 1), F.lit(" MiB)"))).otherwise(F.lit("")), F.lit("</a></li>"))
+    company = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("<li>BasicCompanyDataAsOneFile-"), d,
+                                                             F.lit(".zip</li>"))).otherwise(F.lit(""))
+    monthly = F.concat(F.lit("<li>Accounts_Monthly_Data-"), F.date_format("o_orderdate", "MMMM"),
+                       F.date_format("o_orderdate", "yyyy"), F.lit(".zip</li>"))
+    return o.select(F.col("o_orderkey").alias("page_id"), F.concat(daily, company, monthly).alias("html"))
+
+
+def q_archive_catalog(spark, sf):
+    return C.archive_catalog(index_pages(spark, sf))
+
+
+def q_company_catalog(spark, sf):
+    return C.company_catalog(index_pages(spark, sf))
+
+
+def q_monthly_catalog(spark, sf):
+    return C.monthly_catalog(index_pages(spark, sf))
+
+
+def q_trailing_months(spark, sf):
+    return C.trailing_months(C.monthly_catalog(index_pages(spark, sf)), 12)
+
+
+def q_smallest_recent(spark, sf):
+    return C.smallest_recent(C.archive_catalog(index_pages(spark, sf)), 15)
+
+
+QUERIES.update({
+    "match_terms": q_match_terms,
+    "find_entities": q_find_entities,
+    "term_hits": q_term_hits,
+    "shelf_of": q_shelf_of,
+    "charge_rows": q_charge_rows,
+    "charge_summary": q_charge_summary,
+    "entities": q_entities,
+    "archive_catalog": q_archive_catalog,
+    "company_catalog": q_company_catalog,
+    "monthly_catalog": q_monthly_catalog,
+    "trailing_months": q_trailing_months,
+    "smallest_recent": q_smallest_recent,
+})
