@@ -515,3 +515,31 @@ QUERIES.update({
     "trailing_months": q_trailing_months,
     "smallest_recent": q_smallest_recent,
 })
+
+
+# ---- rendering and text checks (rows-only: the oracle has no markup renderer) -------------
+from ..operators import render as R  # noqa: E402
+
+
+def q_render_redacted(spark, sf):
+    p = table(spark, sf, "pages")
+    t = R.render_redacted(F.col("html"))
+    return p.select("page_id", t.alias("text")).select(
+        "page_id", F.length("text").alias("n_chars"), R.css_leak(F.col("text")).alias("css_leak"),
+        (F.length("text") - F.length(F.replace("text", F.lit("[redacted]"), F.lit("")))).alias("redacted_chars"))
+
+
+def q_figure_visible(spark, sf):
+    """V1 + V2 over rendered virtual filings, for the net-assets figure of each record."""
+    f = filings(spark, sf)
+    r = records(spark, sf).select("filing_id", "net_assets").filter(F.col("net_assets").isNotNull())
+    t = f.join(r, "filing_id").select("filing_id", "net_assets", R.render_redacted(F.col("content")).alias("text"))
+    return t.select("filing_id", R.figure_visible(F.col("text"), F.abs("net_assets")).alias("visible"),
+                    R.css_leak(F.col("text")).alias("css_leak"),
+                    (F.instr("text", "[redacted]") > 0).alias("officer_redacted"))
+
+
+QUERIES.update({
+    "render_redacted": q_render_redacted,
+    "figure_visible": q_figure_visible,
+})
