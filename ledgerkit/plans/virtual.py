@@ -68,6 +68,32 @@ _HEAD = (
 )
 
 
+def _context_xml(cid: str, year_arg: str, kind: str, member: str | None = None) -> str:
+    """One context; %3$s is the identifier, year_arg the positional year argument."""
+    seg = ('<xbrli:segment><xbrldi:explicitMember dimension="core:MaturitiesOrExpirationPeriodsDimension">'
+           f"core:{member}</xbrldi:explicitMember></xbrli:segment>") if member else ""
+    period = (f"<xbrli:startDate>{year_arg}-01-01</xbrli:startDate><xbrli:endDate>{year_arg}-12-31</xbrli:endDate>"
+              if kind == "duration" else f"<xbrli:instant>{year_arg}-12-31</xbrli:instant>")
+    return (f'<xbrli:context id="{cid}"><xbrli:entity><xbrli:identifier scheme="http://www.companieshouse.gov.uk/">'
+            f"%3$s</xbrli:identifier>{seg}</xbrli:entity><xbrli:period>{period}</xbrli:period></xbrli:context>")
+
+
+# Positional arguments: 1 ix namespace, 2 taxonomy ref, 3 identifier, 4 year, 5 prior year,
+# 6 currency, 7 fact rows, 8 meta facts.
+_DOC_TEMPLATE = (
+    _HEAD.replace("{ix}", "%1$s").replace("{ref}", "%2$s").replace("{{", "{").replace("}}", "}")
+    + _context_xml("dur_cur", "%4$s", "duration") + _context_xml("dur_prev", "%5$s", "duration")
+    + _context_xml("inst_cur", "%4$s", "instant") + _context_xml("inst_prev", "%5$s", "instant")
+    + _context_xml("inst_cur_within", "%4$s", "instant", "WithinOneYear")
+    + _context_xml("inst_cur_after", "%4$s", "instant", "AfterOneYear")
+    + _context_xml("inst_prev_within", "%5$s", "instant", "WithinOneYear")
+    + _context_xml("inst_prev_after", "%5$s", "instant", "AfterOneYear")
+    + '<xbrli:unit id="CUR"><xbrli:measure>iso4217:%6$s</xbrli:measure></xbrli:unit><xbrli:unit id="pure">'
+    + "<xbrli:measure>xbrli:pure</xbrli:measure></xbrli:unit>"
+    + "</ix:resources></ix:header></div><table>%7$s</table>%8$s</body></html>"
+)
+
+
 def _lit_case(col: Column, mapping: dict, default=None) -> Column:
     expr = None
     for k, v in mapping.items():
@@ -92,6 +118,11 @@ def fact_context(concept: Column, linestatus: Column, returnflag: Column) -> Col
     return F.when(concept.isin(DURATION_CONCEPTS), dur).otherwise(F.concat(base, suffix))
 
 
+_FACT_TEMPLATE = ('<tr><td>%1$s&nbsp;</td><td>%2$s<ix:nonFraction name="core:%1$s" contextRef="%3$s" '
+                  'unitRef="%4$s" decimals="0" scale="%5$s"%6$s format="ixt2:numdotdecimal">%7$s'
+                  '</ix:nonFraction>%8$s</td></tr>')
+
+
 def _fact_markup() -> Column:
     concept = F.col("concept")
     thousands = F.col("l_tax") > 0.04
@@ -101,27 +132,11 @@ def _fact_markup() -> Column:
     d = F.col("l_discount")
     sign_attr = F.when(d >= 0.08, F.lit(' sign="-"')).otherwise(F.lit(""))
     inner = F.when((d >= 0.03) & (d < 0.05), F.concat(F.lit("("), text, F.lit(")"))).otherwise(text)
-    tag = F.concat(
-        F.lit('<ix:nonFraction name="core:'), concept, F.lit('" contextRef="'), F.col("context_ref"),
-        F.lit('" unitRef="'), unit, F.lit('" decimals="0" scale="'), scale, F.lit('"'), sign_attr,
-        F.lit(' format="ixt2:numdotdecimal">'), inner, F.lit("</ix:nonFraction>"))
-    wrapped = (
-        F.when((d >= 0.05) & (d < 0.07), F.concat(F.lit("("), tag, F.lit(")")))
-        .when((d >= 0.07) & (d < 0.08), F.concat(F.lit("<span>(</span>"), tag, F.lit("<span>)</span>")))
-        .otherwise(tag))
-    return F.concat(F.lit("<tr><td>"), concept, F.lit("&nbsp;</td><td>"), wrapped, F.lit("</td></tr>"))
-
-
-def _context_markup(cid: str, ident: Column, period: Column, member: str | None = None) -> Column:
-    seg = F.lit("")
-    if member:
-        seg = F.lit('<xbrli:segment><xbrldi:explicitMember dimension="core:MaturitiesOrExpirationPeriodsDimension">'
-                    f"core:{member}</xbrldi:explicitMember></xbrli:segment>")
-    return F.concat(
-        F.lit(f'<xbrli:context id="{cid}"><xbrli:entity>'
-              '<xbrli:identifier scheme="http://www.companieshouse.gov.uk/">'), ident,
-        F.lit("</xbrli:identifier>"), seg, F.lit("</xbrli:entity><xbrli:period>"), period,
-        F.lit("</xbrli:period></xbrli:context>"))
+    before = (F.when((d >= 0.05) & (d < 0.07), F.lit("(")).when((d >= 0.07) & (d < 0.08), F.lit("<span>(</span>"))
+              .otherwise(F.lit("")))
+    after = (F.when((d >= 0.05) & (d < 0.07), F.lit(")")).when((d >= 0.07) & (d < 0.08), F.lit("<span>)</span>"))
+             .otherwise(F.lit("")))
+    return F.format_string(_FACT_TEMPLATE, concept, before, F.col("context_ref"), unit, scale, sign_attr, inner, after)
 
 
 def _nonnumeric(concept: str, text: Column, prefix: str = "bus") -> Column:
@@ -160,37 +175,10 @@ def virtual_filings(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     f = o.join(rows, o.o_orderkey == rows.l_orderkey, "left")
 
     year = F.year("o_orderdate")
-    pe = F.format_string("%04d-12-31", year)
-    ps = F.format_string("%04d-01-01", year)
-    ppe = F.format_string("%04d-12-31", year - 1)
-    pps = F.format_string("%04d-01-01", year - 1)
     ident = F.col("o_custkey").cast("string")
-
-    def dur(s, e):
-        return F.concat(F.lit("<xbrli:startDate>"), s, F.lit("</xbrli:startDate><xbrli:endDate>"), e,
-                        F.lit("</xbrli:endDate>"))
-
-    def inst(e):
-        return F.concat(F.lit("<xbrli:instant>"), e, F.lit("</xbrli:instant>"))
-
-    contexts = F.concat(
-        _context_markup("dur_cur", ident, dur(ps, pe)),
-        _context_markup("dur_prev", ident, dur(pps, ppe)),
-        _context_markup("inst_cur", ident, inst(pe)),
-        _context_markup("inst_prev", ident, inst(ppe)),
-        _context_markup("inst_cur_within", ident, inst(pe), "WithinOneYear"),
-        _context_markup("inst_cur_after", ident, inst(pe), "AfterOneYear"),
-        _context_markup("inst_prev_within", ident, inst(ppe), "WithinOneYear"),
-        _context_markup("inst_prev_after", ident, inst(ppe), "AfterOneYear"),
-    )
     currency = F.when(F.col("o_orderstatus") == "O", F.lit("EUR")).otherwise(F.lit("GBP"))
-    units = F.concat(F.lit('<xbrli:unit id="CUR"><xbrli:measure>iso4217:'), currency,
-                     F.lit('</xbrli:measure></xbrli:unit><xbrli:unit id="pure">'
-                           "<xbrli:measure>xbrli:pure</xbrli:measure></xbrli:unit>"))
     ix = F.when(F.col("o_orderkey") % 2 == 1, F.lit(IX_2008)).otherwise(F.lit(IX_2013))
     ref = _lit_case(F.col("o_orderpriority"), TAXONOMY_REF_BY_PRIORITY)
-    head = F.format_string(_HEAD.replace("{ix}", "%1$s").replace("{ref}", "%2$s")
-                           .replace("{{", "{").replace("}}", "}"), ix, ref)
     body = F.concat_ws("", F.transform(F.coalesce("rows", F.array()), lambda r: r["markup"]))
 
     ck4 = F.col("o_custkey") % 4
@@ -212,8 +200,8 @@ def virtual_filings(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         _nonnumeric("AccountingStandardsApplied", standard),
         _nonnumeric("NameEntityOfficer", officer),
     )
-    doc = F.concat(head, contexts, units, F.lit("</ix:resources></ix:header></div><table>"), body,
-                   F.lit("</table>"), meta, F.lit("</body></html>"))
+    doc = F.format_string(_DOC_TEMPLATE, ix, ref, ident, F.format_string("%04d", year),
+                          F.format_string("%04d", year - 1), currency, body, meta)
 
     padded = normalise_number(ident)
     source_file = F.format_string("Prod224_%d_%s_%s.html", F.col("o_orderkey"), padded,
