@@ -672,3 +672,58 @@ SELECT DISTINCT 'BasicCompanyDataAsOneFile-' || d || '.zip' AS name, d AS date F
     "smallest_recent": with_cte(IDX_CTE, """
 SELECT * FROM (SELECT * FROM cat ORDER BY date DESC LIMIT 15) ORDER BY size_mb ASC NULLS LAST, date LIMIT 1"""),
 })
+
+
+# ---- raw-filing benchmarks and the post-cut-off slice ----------------------------------------
+RAW_QUOTAS = [("net_assets", 90), ("employees", 70), ("cash", 50), ("current_assets", 40),
+              ("f_within_creditors_total", 30)]
+
+
+def _raw_items_sql(src, seed, prefix, key, named, trap_extra=""):
+    nm = "company_name IS NOT NULL AND " if named else ""
+    parts = []
+    for f, n in RAW_QUOTAS:
+        cond = f"{f} IS NOT NULL" if f == "net_assets" else f"{f} > 0"
+        ans = "CAST(CAST(round_even(employees, 0) AS BIGINT) AS DOUBLE)" if f == "employees" else f
+        parts.append(f"""SELECT * FROM (SELECT 'extraction' AS category, 'numeric' AS answer_type, '{f}' AS field,
+  company_number, filing_id, period_end, {ans} AS answer_num, CAST(NULL AS VARCHAR) AS answer_text, {key} AS k
+  FROM {src} WHERE {nm}{cond} ORDER BY md5('{seed}:{f}:' || {key}) LIMIT {n})""")
+    parts.append(f"""SELECT * FROM (SELECT 'turnover_trap' AS category, 'not_disclosed' AS answer_type,
+  'turnover' AS field, company_number, filing_id, period_end, CAST(NULL AS DOUBLE) AS answer_num,
+  'NOT_DISCLOSED' AS answer_text, {key} AS k
+  FROM {src} WHERE {nm}turnover IS NULL AND net_assets IS NOT NULL AND NOT coalesce(dormant, false){trap_extra}
+  ORDER BY md5('{seed}:turnover:' || {key}) LIMIT 70)""")
+    u = "\nUNION ALL\n".join(parts)
+    return f"""SELECT printf('{prefix}%04d', row_number() OVER (ORDER BY md5('{seed}:' || concat_ws('|', category, field, k))))
+  AS id, category, answer_type, field, company_number, filing_id, period_end, answer_num, answer_text FROM ({u})"""
+
+
+ORACLE.update({
+    "raw_benchmark": "WITH " + PRODUCT_CTE.strip() + """,
+pool AS (SELECT * FROM lat)
+""" + _raw_items_sql("pool", 7, "h", "company_number", True),
+    "latest_in_archive": "WITH " + PRODUCT_CTE.strip() + """,
+newest AS (SELECT max(strftime(o_orderdate, '%Y-%m')) AS m FROM orders)
+SELECT company_number, filing_id, source_file FROM lat
+WHERE source_file IN (SELECT source_file FROM prod WHERE strftime(o_orderdate, '%Y-%m') = (SELECT m FROM newest))""",
+    "contamination_threshold": """
+SELECT CAST(max(released) + INTERVAL 1 DAY AS DATE) AS threshold, arg_max(name, released) AS newest_model FROM (
+  SELECT o_orderpriority AS name, max(CAST(o_orderdate AS DATE)) AS released FROM orders
+  WHERE o_totalprice < 20000 GROUP BY o_orderpriority)""",
+    "post_cutoff": "WITH " + PRODUCT_CTE.strip() + """,
+thr AS (SELECT CAST(max(released) + INTERVAL 1 DAY AS DATE) AS t FROM (SELECT max(CAST(o_orderdate AS DATE)) AS released
+        FROM orders WHERE o_totalprice < 20000 GROUP BY o_orderpriority)),
+elig AS (SELECT * FROM prod WHERE CAST(o_orderdate AS DATE) >= (SELECT t FROM thr)),
+days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM elig ORDER BY d LIMIT 8),
+smp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE)
+          ORDER BY md5('11:' || filing_id)) AS rn FROM elig WHERE CAST(o_orderdate AS DATE) IN (SELECT d FROM days))
+        WHERE rn <= 1500),
+pool AS (SELECT * EXCLUDE (net_assets, employees, cash, current_assets),
+  CASE WHEN net_assets_tag IS NOT NULL THEN CASE WHEN net_assets_in_period THEN net_assets END
+       WHEN equity IS NOT NULL THEN CASE WHEN equity_in_period THEN net_assets END END AS net_assets,
+  CASE WHEN employees_in_period THEN employees END AS employees,
+  CASE WHEN cash_in_period THEN cash END AS cash,
+  CASE WHEN current_assets_in_period THEN current_assets END AS current_assets
+  FROM smp)
+""" + _raw_items_sql("pool", 11, "p", "filing_id", False),
+})

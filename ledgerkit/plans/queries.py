@@ -543,3 +543,51 @@ QUERIES.update({
     "render_redacted": q_render_redacted,
     "figure_visible": q_figure_visible,
 })
+
+
+# ---- raw-filing benchmarks (D5 = B6 + B7) and the post-cut-off slice (B8) --------------------
+from . import raw_benchmark as RB  # noqa: E402
+
+RAW_OUT = ["id", "category", "answer_type", "field", "company_number", "filing_id", "period_end",
+           "answer_num", "answer_text"]
+
+
+def q_raw_benchmark(spark, sf):
+    """D5 over every archive of the data set (members = all filings)."""
+    f = filings(spark, sf)
+    return RB.build_raw_benchmark(latest_table(spark, sf), f, members=f.select("filing_id", "source_file")
+                                  ).select(*RAW_OUT)
+
+
+def q_latest_in_archive(spark, sf):
+    """Companies whose latest filing is in the newest archive month."""
+    f = filings(spark, sf)
+    return RB.latest_in_archive(latest(spark, sf), RB.newest_archive_members(f)).select(
+        "company_number", "filing_id", "source_file")
+
+
+def cutoff_models(spark, sf):
+    """Model release list (S11 shape) derived from the data: one 'model' per order
+    priority, released on the date of its last low-value (< 20,000) order."""
+    o = table(spark, sf, "orders").filter(F.col("o_totalprice") < 20000)
+    return o.groupBy(F.col("o_orderpriority").alias("name")).agg(F.max(F.to_date("o_orderdate")).alias("released"))
+
+
+def q_contamination_threshold(spark, sf):
+    return RB.contamination_threshold(cutoff_models(spark, sf))
+
+
+def q_post_cutoff(spark, sf):
+    from ..session import materialise
+    thr = RB.contamination_threshold(cutoff_models(spark, sf)).first()["threshold"]  # one scalar
+    sampled = materialise(RB.post_cutoff_filings(filings(spark, sf), thr))
+    recs = flatten_record(M.join_metadata(normalise(X.parse_filings(sampled)), meta(spark, sf)))
+    return RB.build_post_cutoff(recs, sampled).select(*RAW_OUT)
+
+
+QUERIES.update({
+    "raw_benchmark": q_raw_benchmark,
+    "latest_in_archive": q_latest_in_archive,
+    "contamination_threshold": q_contamination_threshold,
+    "post_cutoff": q_post_cutoff,
+})
