@@ -78,3 +78,9 @@ def winner_of(groups: DataFrame, value: str, label: str) -> DataFrame:
         F.max(F.struct(F.col(value).alias("v"), (-F.col("pos")).alias("p"), F.col(label).alias("l")))["l"]
         .alias("winner"),
         F.count(F.lit(1)).alias("members"))
+
+
+def cap_per_group(df: DataFrame, group: str, n: int, order: str) -> DataFrame:
+    """At most n rows per group (e.g. filings per archive in a trial build)."""
+    w = Window.partitionBy(group).orderBy(order)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")

@@ -38,3 +38,25 @@ def build_sample(filings: DataFrame, meta: DataFrame | None, out: str) -> dict:
     K.write_csv(written, f"{out}/csv")
     K.write_manifest(A.manifest(written, X.facts(parsed)), f"{out}/manifest")
     return {"records": f"{out}/records"}
+
+
+def build_product(filings: DataFrame, meta: DataFrame | None, base: str, version: str,
+                  months: int = 12, trial_limit: int | None = None) -> dict:
+    """D3: trailing months (W3) -> per-month records (D1, K3) -> publish.
+
+    A trial run caps filings per archive (W5) and skips metadata, and writes to its
+    own folders."""
+    from ..operators.sampling import cap_per_group
+    month = F.date_format("published", "yyyy-MM")
+    keep = filings.select(month.alias("month")).distinct().orderBy(F.desc("month")).limit(months)
+    chosen = filings.withColumn("month", month).join(keep, "month", "left_semi").drop("month")
+    if trial_limit:
+        chosen = cap_per_group(chosen, "archive", trial_limit, "filing_id")
+        base = f"{base.rstrip('/')}_trial"
+    parts = f"{base.rstrip('/')}/_parts"
+    K.write_month_parts(parse_month(chosen), parts)
+    recs = chosen.sparkSession.read.parquet(parts)
+    if meta is None:
+        out = K.write_version(recs, base, version)
+        return {"version": out}
+    return publish(recs.drop("month").withColumn("month", F.date_format("published", "yyyy-MM")), meta, base, version)
