@@ -110,23 +110,46 @@ def _build_expat(markup: str) -> Node:
     """Fast path for well-formed documents (C parser).  HTML entities such as
     ``&nbsp;`` are resolved through the standard name table; names are
     lower-cased to match the lenient path."""
-    tb = _TreeBuilder.__new__(_TreeBuilder)
-    tb.root = Node("#root", {}, None, {"xml": "http://www.w3.org/XML/1998/namespace"})
-    tb.cur = tb.root
+    root = Node("#root", {}, None, {"xml": "http://www.w3.org/XML/1998/namespace"})
+    stack = [root]
+
+    def start(tag, attrs):
+        cur = stack[-1]
+        ns = cur.ns
+        ad = {}
+        for k, v in attrs.items():
+            k = k.lower()
+            ad[k] = v
+            if k.startswith("xmlns") and (len(k) == 5 or k[5] == ":"):
+                if ns is cur.ns:
+                    ns = dict(ns)
+                ns[k[6:]] = v
+        node = Node(tag.lower(), ad, cur, ns)
+        cur.children.append(node)
+        stack.append(node)
+
+    def end(tag):
+        stack.pop()
+
+    def data(d):
+        cur = stack[-1]
+        if cur.children:
+            cur.children[-1].tail += d
+        else:
+            cur.text += d
+
     p = expat.ParserCreate()
+    p.buffer_text = True
+    p.buffer_size = 1 << 16
     p.UseForeignDTD(True)
     p.ExternalEntityRefHandler = lambda *a: 1
-    p.StartElementHandler = lambda tag, attrs: TreeStart(tb, tag, attrs)
-    p.EndElementHandler = lambda tag: tb.handle_endtag(tag.lower())
-    p.CharacterDataHandler = tb.handle_data
-    p.SkippedEntityHandler = lambda name, is_pe: tb.handle_data(
+    p.StartElementHandler = start
+    p.EndElementHandler = end
+    p.CharacterDataHandler = data
+    p.SkippedEntityHandler = lambda name, is_pe: data(
         chr(name2codepoint[name]) if name in name2codepoint else f"&{name};")
     p.Parse(markup, True)
-    return tb.root
-
-
-def TreeStart(tb, tag, attrs):
-    tb.handle_starttag(tag.lower(), [(k.lower(), v) for k, v in attrs.items()])
+    return root
 
 
 def build_tree(markup: str) -> Node:
@@ -169,10 +192,10 @@ def parse_filing(markup: str) -> dict:
     Lists are in document order; nothing is interpreted beyond trimming."""
     root = build_tree(markup)
     refs, contexts, units, facts = [], [], [], []
-    for el in root.iter():
-        if el is root:
-            continue
-        local, ns = el.local(), el.namespace()
+    stack = list(reversed(root.children))
+    while stack:
+        el = stack.pop()
+        local, ns = el.lname, el.uri
         if local == "schemaref" and ns == LINK_NS:
             href = el.attrs.get("xlink:href")
             if href:
@@ -181,53 +204,52 @@ def parse_filing(markup: str) -> dict:
             ident = start = end = instant = None
             dims = []
             for sub in el.iter():
-                sl = sub.local()
+                sl = sub.lname
                 if sl == "explicitmember":
                     dim = (sub.attrs.get("dimension") or "").split(":")[-1]
                     member = sub.itertext().strip().split(":")[-1]
                     dims.append({"dim": dim, "member": member})
                     continue
-                if sub.namespace() != XBRLI_NS:
+                if sub.uri != XBRLI_NS:
                     continue
-                if sl in ("identifier", "startdate", "enddate", "instant"):
-                    txt = sub.text.strip()
-                    if sl == "identifier":
-                        ident = txt
-                    elif sl == "startdate":
-                        start = txt
-                    elif sl == "enddate":
-                        end = txt
-                    else:
-                        instant = txt
+                if sl == "identifier":
+                    ident = sub.text.strip()
+                elif sl == "startdate":
+                    start = sub.text.strip()
+                elif sl == "enddate":
+                    end = sub.text.strip()
+                elif sl == "instant":
+                    instant = sub.text.strip()
             contexts.append({"context_id": el.attrs.get("id"), "identifier": ident,
                              "start_date": start, "end_date": end, "instant": instant,
                              "dimensions": dims})
         elif local == "unit" and ns == XBRLI_NS:
             measure = None
             for sub in el.iter():
-                if sub.local() == "measure":
+                if sub.lname == "measure":
                     measure = sub.text.strip()
             units.append({"unit_id": el.attrs.get("id"), "measure": measure})
-        elif local in ("nonfraction", "nonnumeric") and (ns or "").lower() in IX_NAMESPACES:
+        elif (local == "nonfraction" or local == "nonnumeric") and (ns or "").lower() in IX_NAMESPACES:
             name = el.attrs.get("name")
-            if not name:
-                continue
-            prefix, _, concept = name.partition(":")
-            if not _:
-                concept, prefix = prefix, ""
-            before, after = _neighbour_marks(el)
-            facts.append({
-                "kind": "nonFraction" if local == "nonfraction" else "nonNumeric",
-                "concept": concept,
-                "namespace": el.ns.get(prefix.lower()),
-                "raw_text": el.itertext().strip(),
-                "scale": el.attrs.get("scale"),
-                "sign": el.attrs.get("sign"),
-                "context_ref": el.attrs.get("contextref"),
-                "unit_ref": el.attrs.get("unitref"),
-                "mark_before": before,
-                "mark_after": after,
-            })
+            if name:
+                prefix, sep, concept = name.partition(":")
+                if not sep:
+                    concept, prefix = prefix, ""
+                before, after = _neighbour_marks(el)
+                facts.append({
+                    "kind": "nonFraction" if local == "nonfraction" else "nonNumeric",
+                    "concept": concept,
+                    "namespace": el.ns.get(prefix.lower()),
+                    "raw_text": el.itertext().strip(),
+                    "scale": el.attrs.get("scale"),
+                    "sign": el.attrs.get("sign"),
+                    "context_ref": el.attrs.get("contextref"),
+                    "unit_ref": el.attrs.get("unitref"),
+                    "mark_before": before,
+                    "mark_after": after,
+                })
+        if el.children:
+            stack.extend(reversed(el.children))
     return {"refs": refs, "contexts": contexts, "units": units, "facts": facts}
 
 
