@@ -707,7 +707,7 @@ newest AS (SELECT max(strftime(o_orderdate, '%Y-%m')) AS m FROM orders)
 SELECT company_number, filing_id, source_file FROM lat
 WHERE source_file IN (SELECT source_file FROM prod WHERE strftime(o_orderdate, '%Y-%m') = (SELECT m FROM newest))""",
     "contamination_threshold": """
-SELECT CAST(max(released) + INTERVAL 1 DAY AS DATE) AS threshold, arg_max(name, released) AS newest_model FROM (
+SELECT CAST(max(released) + INTERVAL 1 DAY AS DATE) AS threshold, arg_max(name, (released, name)) AS newest_model FROM (
   SELECT o_orderpriority AS name, max(CAST(o_orderdate AS DATE)) AS released FROM orders
   WHERE o_totalprice < 20000 GROUP BY o_orderpriority)""",
     "post_cutoff": "WITH " + PRODUCT_CTE.strip() + """,
