@@ -727,3 +727,54 @@ pool AS (SELECT * EXCLUDE (net_assets, employees, cash, current_assets),
   FROM smp)
 """ + _raw_items_sql("pool", 11, "p", "filing_id", False),
 })
+
+
+# ---- further operators ------------------------------------------------------------------------
+def _bt_sql():
+    return ORACLE["benchmark_table"]
+
+
+def _dist_json(col):
+    return (f"(SELECT '{{' || string_agg('\"' || {col} || '\":' || CAST(n AS VARCHAR), ',' ORDER BY {col}) || '}}' "
+            f"FROM (SELECT {col}, count(*) AS n FROM prod WHERE {col} IS NOT NULL GROUP BY {col}))")
+
+
+ORACLE.update({
+    "facts_with_context": with_cte(FACTS_CTE + ",\n" + META_CTE, f"""
+SELECT 'F' || CAST(okey AS VARCHAR) AS filing_id, CAST(ord AS INTEGER) AS ord, concept, context_ref,
+  CASE WHEN is_dur THEN 'duration' ELSE 'instant' END AS period_type,
+  printf('%04d-12-31', year(o.o_orderdate) - CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END) AS period_end,
+  CASE WHEN NOT is_dur AND l_returnflag <> 'A' THEN 1 ELSE 0 END AS n_dimensions
+FROM vf JOIN orders o ON o.o_orderkey = vf.okey
+UNION ALL
+SELECT 'F' || CAST(m.okey AS VARCHAR), CAST(coalesce(n.n, 0) + row_number() OVER (PARTITION BY m.okey ORDER BY k) - 1
+  AS INTEGER), concept, 'dur_cur', 'duration', printf('%04d-12-31', year(o.o_orderdate)), 0
+FROM meta m LEFT JOIN nlines n ON n.okey = m.okey JOIN orders o ON o.o_orderkey = m.okey"""),
+    "distinct_numbers": f"SELECT DISTINCT {pad8('CAST(o_custkey AS VARCHAR)')} AS company_number FROM orders",
+    "cap_filings": """
+SELECT archive, filing_id FROM (
+  SELECT 'Accounts_Bulk_Data-' || strftime(o_orderdate, '%Y-%m-%d') || '.zip' AS archive,
+    'F' || CAST(o_orderkey AS VARCHAR) AS filing_id,
+    row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m-%d') ORDER BY 'F' || CAST(o_orderkey AS VARCHAR)) AS rn
+  FROM orders) WHERE rn <= 3""",
+    "items_by_category": "SELECT category, count(*) AS n FROM (" + _bt_sql() + ") GROUP BY category",
+    "candidate_counts": with_cte(ENT_CTE, """
+SELECT category, count(*) AS candidates, count_if(lower(company_type) = 'plc') AS plcs FROM (
+  SELECT company_number, first(company_type) AS company_type, arg_min(category, (cat_rank, rank)) AS category
+  FROM mt GROUP BY company_number) GROUP BY category"""),
+    "targets_in_dataset": """
+SELECT (SELECT count(*) FROM supplier WHERE CAST(s_suppkey AS VARCHAR) IN
+          (SELECT CAST(o_custkey AS VARCHAR) FROM orders)) AS in_dataset,
+       (SELECT count(*) FROM supplier) AS targets""",
+    "first_wrong_answers": "WITH " + PRODUCT_CTE.strip() + ",\n" + _graded_sql() + """
+SELECT provider, model, item_id, category, model_answer FROM (
+  SELECT *, row_number() OVER (PARTITION BY provider, model ORDER BY item_id) AS rn
+  FROM graded WHERE NOT correct AND NOT errored) WHERE rn <= 6""",
+    "item_sample": "SELECT id, category, answer_type, 'Question:' || string_split(question, 'Question:')[-1] AS question, "
+                   "answer_num, answer_text, answer_bool FROM (" + _bt_sql() + ") ORDER BY id LIMIT 12",
+    "manifest": "WITH " + PRODUCT_CTE.strip() + "\nSELECT count(*) AS record_count, " + ", ".join(
+        f"round(count({'NULL' if c in _NULL_ALWAYS else c}) / greatest(count(*), 1), 4) AS cov_{c}" for c in COV)
+        + f", (SELECT count(DISTINCT company_number) FROM prod WHERE company_number IS NOT NULL) AS unique_companies, "
+        + f"{_dist_json('taxonomy')} AS taxonomy_distribution, "
+        + f"{_dist_json('accounts_type')} AS accounts_type_distribution FROM prod",
+})

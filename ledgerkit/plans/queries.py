@@ -591,3 +591,70 @@ QUERIES.update({
     "contamination_threshold": q_contamination_threshold,
     "post_cutoff": q_post_cutoff,
 })
+
+
+# ---- further operators on the same tables ----------------------------------------------------
+from ..sinks import writers as K  # noqa: E402
+
+
+def q_facts_with_context(spark, sf):
+    """J3 / N3 in table form: each fact with its context's period and dimension count.
+    The parsed filings are written once and read as two tables (one parse)."""
+    from ..session import materialise
+    p = materialise(parsed(spark, sf))
+    fc = X.facts_with_context(X.facts(p), X.contexts(p))
+    return fc.select("filing_id", "ord", "concept", "context_ref", "period_type", "period_end",
+                     F.size("dimensions").alias("n_dimensions"))
+
+
+def q_distinct_numbers(spark, sf):
+    return A.distinct_numbers(records(spark, sf))
+
+
+def q_cap_filings(spark, sf):
+    """A trial build's cap, three filings per daily archive."""
+    return W.cap_per_group(filings(spark, sf).drop("content"), "archive", 3, "filing_id").select(
+        "archive", "filing_id")
+
+
+def q_items_by_category(spark, sf):
+    return B.items_by_category(B.benchmark_table(latest_table(spark, sf)))
+
+
+def q_candidate_counts(spark, sf):
+    return E.candidate_counts(E.find_entities(part_companies(spark, sf), part_terms(spark, sf)))
+
+
+def q_targets_in_dataset(spark, sf):
+    return E.targets_in_dataset(supplier_targets(spark, sf), records(spark, sf))
+
+
+def q_first_wrong_answers(spark, sf):
+    return G.first_wrong_answers(graded(spark, sf)).select("provider", "model", "item_id", "category",
+                                                          "model_answer")
+
+
+def q_item_sample(spark, sf):
+    """K9: the public sample of the first items (raw-filing variant shows only the question)."""
+    return K.item_sample(B.benchmark_table(latest_table(spark, sf)), 12, private_context=True)
+
+
+def q_manifest(spark, sf):
+    """One manifest row (coverage, companies, distributions as JSON text)."""
+    m = A.manifest(product(spark, sf))
+    return m.select(*[c for c in m.columns if not c.endswith("_distribution")],
+                    F.to_json("taxonomy_distribution").alias("taxonomy_distribution"),
+                    F.to_json("accounts_type_distribution").alias("accounts_type_distribution"))
+
+
+QUERIES.update({
+    "facts_with_context": q_facts_with_context,
+    "distinct_numbers": q_distinct_numbers,
+    "cap_filings": q_cap_filings,
+    "items_by_category": q_items_by_category,
+    "candidate_counts": q_candidate_counts,
+    "targets_in_dataset": q_targets_in_dataset,
+    "first_wrong_answers": q_first_wrong_answers,
+    "item_sample": q_item_sample,
+    "manifest": q_manifest,
+})

@@ -47,10 +47,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialise(df):
-    """Cut lineage: an eager, reliable checkpoint into the shared checkpoint folder.
-
-    Used where one derived table feeds many branches of a plan (benchmark pools),
-    so the upstream parse runs once, and a lost executor re-reads the files
-    instead of recomputing the chain."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage with a written table in the shared checkpoint folder.
+
+    Used where one derived table feeds many branches of a plan (benchmark pools,
+    parsed filings read as two tables), so the upstream work runs once.  The table
+    is computed in a single job (a reliable ``checkpoint()`` without a persist would
+    compute it twice) and re-read as Parquet, so later scans prune columns and a
+    lost executor re-reads files instead of recomputing the chain."""
+    import uuid
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/ledgerkit-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
