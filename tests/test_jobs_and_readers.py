@@ -74,3 +74,19 @@ def test_term_match_scale_path_equals_broadcast_path(spark):
     finally:
         E.BROADCAST_TERMS_MAX = old
     assert small == big == {("1", "funding"), ("2", "red"), ("3", "red")}
+
+
+def test_verify_suspects_and_archive_provenance(spark):
+    from ledgerkit.operators.aggregates import archive_provenance
+    from ledgerkit.plans.raw_benchmark import verify_items
+    f = _filings(spark).withColumn("member", F.concat(F.lit("Prod_"), F.col("filing_id"), F.lit(
+        "_"), F.when(F.col("filing_id") == "a!1", F.lit("12345678")).otherwise(F.lit("87654321")), F.lit(".html")))
+    suspects = spark.createDataFrame([("12345678", "net_assets", 1350.0), ("87654321", "current_assets", 45000.0),
+                                      ("99999999", "cash", 1.0)], "company_number string, field string, expected double")
+    got = {r.company_number: r.passed for r in verify_items(suspects, f, None).collect()}
+    # 1,350 is shown in thousands (scale 3) and is visible; 45,000 is visible; no filing -> fails
+    assert got == {"12345678": True, "87654321": True, "99999999": False}
+    archives = spark.createDataFrame([("file:/x/Accounts_Bulk_Data-2025-01-02.zip", b"zipbytes")],
+                                     "path string, content binary")
+    prov = archive_provenance(f, archives).collect()[0]
+    assert prov.sampled == 2 and len(prov.sha256) == 64
