@@ -50,6 +50,8 @@ def parse_filings(filings: DataFrame) -> DataFrame:
 
     A filing that cannot be read gets ``parse_error`` set (the ``rejects`` table)
     instead of being dropped silently."""
+    from ..session import cap_arrow_batch
+    cap_arrow_batch(filings.sparkSession)
     keep = [c for c in filings.columns if c != "content"]
     schema = T.StructType([filings.schema[c] for c in keep] + PARSED_FIELDS)
     types = {f.name: _arrow_type(f.dataType) for f in PARSED_FIELDS}

@@ -181,7 +181,10 @@ def picks(parsed: DataFrame) -> DataFrame:
              for label, names in vocab.FUNDING_CONCEPTS.items() for slot in ("within", "after", "plain")]
     aggs += [_creditors_last(slot).alias(f"_cred_{slot}") for slot in ("within", "after", "plain")]
     aggs.append(F.coalesce(F.max(F.lower("concept").contains("exemptionfromaudit")), F.lit(False)).alias("_exempt"))
-    return rows.groupBy(*keys).agg(*aggs)
+    # Grouped by filing_id alone (one hash key for the exchange); the other filing-level
+    # columns are the same on every fact row of a filing and ride along with first().
+    carried = [F.first(k).alias(k) for k in keys if k != "filing_id"]
+    return rows.groupBy("filing_id").agg(*carried, *aggs)
 
 
 def normalise(parsed: DataFrame, keep_internal: bool = False) -> DataFrame:

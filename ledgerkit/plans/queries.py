@@ -581,7 +581,7 @@ def q_post_cutoff(spark, sf):
     from ..session import materialise
     thr = RB.contamination_threshold(cutoff_models(spark, sf)).first()["threshold"]  # one scalar
     sampled = materialise(RB.post_cutoff_filings(filings(spark, sf), thr))
-    recs = flatten_record(M.join_metadata(normalise(X.parse_filings(sampled)), meta(spark, sf)))
+    recs = materialise(flatten_record(M.join_metadata(normalise(X.parse_filings(sampled)), meta(spark, sf))))
     return RB.build_post_cutoff(recs, sampled).select(*RAW_OUT)
 
 

@@ -58,3 +58,12 @@ def materialise(df):
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/ledgerkit-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def cap_arrow_batch(spark: SparkSession, rows: int = ARROW_BATCH_ROWS) -> None:
+    """Filings are up to megabytes each: keep Arrow batches into the Python parsers to
+    ``rows`` records (only ever lowers the session's value)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    cur = int(spark.conf.get(key, "10000"))
+    if cur <= 0 or cur > rows:
+        spark.conf.set(key, str(rows))
