@@ -1,0 +1,103 @@
+"""Archive data source: one Spark partition per member range of each ZIP (S1, scale form).
+
+``binaryFile`` holds a whole archive in one cell (one task, 2 GB cell limit).  For
+large monthly archives this Python Data Source plans the split instead: the
+driver reads only each ZIP's central directory (member names, no content) and
+emits (archive, first, last) index ranges; each task opens the archive and reads
+just its members.  Inner ZIPs are opened one level deep inside the task that owns
+them.  Archives must be on a path every executor can open (a shared mount).
+
+    spark.dataSource.register(FilingArchiveSource)
+    spark.read.format("filing_archive").option("path", dir).option("members_per_partition", 500).load()
+"""
+from __future__ import annotations
+
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+SCHEMA_DDL = ("filing_id STRING, archive STRING, member STRING, member_ord INT, source_file STRING, "
+              "published DATE, content BINARY")
+
+
+class MemberRange(InputPartition):
+    def __init__(self, path: str, first: int, last: int):
+        super().__init__((path, first, last))
+        self.path, self.first, self.last = path, first, last
+
+
+class _Reader(DataSourceReader):
+    def __init__(self, options):
+        self.path = options.get("path")
+        self.per_part = int(options.get("members_per_partition", "500"))
+        self.suffixes = tuple(s.strip().lower() for s in options.get("suffixes", ".html,.xml").split(","))
+
+    def _archives(self):
+        import glob
+        import os
+        if os.path.isdir(self.path):
+            return sorted(glob.glob(os.path.join(self.path, "**", "*.zip"), recursive=True))
+        return sorted(glob.glob(self.path))
+
+    def partitions(self):
+        import zipfile
+        parts = []
+        for a in self._archives():
+            try:
+                with zipfile.ZipFile(a) as z:
+                    n = len(z.infolist())
+            except zipfile.BadZipFile:
+                continue
+            parts += [MemberRange(a, i, min(i + self.per_part, n)) for i in range(0, n, self.per_part)]
+        return parts or [MemberRange("", 0, 0)]
+
+    def read(self, partition):
+        import datetime
+        import io
+        import os
+        import re
+        import zipfile
+        if not partition.path:
+            return
+        archive = os.path.basename(partition.path)
+        m = re.search(r"(\d{4}-\d{2}-\d{2})", archive)
+        published = datetime.date.fromisoformat(m.group(1)) if m else None
+        with zipfile.ZipFile(partition.path) as outer:
+            infos = outer.infolist()[partition.first:partition.last]
+            for k, info in enumerate(infos, start=partition.first):
+                name = info.filename
+                low = name.lower()
+                if low.endswith(".zip"):
+                    try:
+                        inner = zipfile.ZipFile(io.BytesIO(outer.read(name)))
+                    except zipfile.BadZipFile:
+                        continue  # a bad inner archive is skipped
+                    for j, n in enumerate(inner.namelist()):
+                        if n.lower().endswith(self.suffixes):
+                            key = f"{name}!{n}"
+                            yield (f"{archive}!{key}", archive, key, k, os.path.basename(n), published, inner.read(n))
+                elif low.endswith(self.suffixes):
+                    yield (f"{archive}!{name}", archive, name, k, os.path.basename(name), published, outer.read(name))
+
+
+class FilingArchiveSource(DataSource):
+    @classmethod
+    def name(cls):
+        return "filing_archive"
+
+    def schema(self):
+        return SCHEMA_DDL
+
+    def reader(self, schema):
+        return _Reader(self.options)
+
+
+def read_archives(spark, path: str, members_per_partition: int = 500):
+    """Filings from every ZIP under ``path``, split into member ranges."""
+    import sys
+
+    from pyspark import cloudpickle
+    # The reader's methods use only the standard library: ship the classes by value
+    # so executors need not have this package installed.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(FilingArchiveSource)
+    return (spark.read.format("filing_archive").option("path", path)
+            .option("members_per_partition", str(members_per_partition)).load())

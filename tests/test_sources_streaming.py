@@ -43,3 +43,20 @@ def test_incremental_ingest_processes_new_archives_once(spark):
     recs = spark.read.parquet(f"{out}/records")
     assert recs.count() == 2
     assert spark.read.parquet(f"{out}/latest/_current").count() == 2
+
+
+def test_archive_data_source_splits_members(spark):
+    from ledgerkit.sources.archive_source import read_archives
+    d = tempfile.mkdtemp(prefix="lk-ds-")
+    members = {f"m{i}.html": full_filing() for i in range(5)}
+    members["inner.zip"] = _zip({"x/deep.xml": micro_filing()})
+    members["notes.txt"] = "skip"
+    with open(os.path.join(d, "Accounts_Bulk_Data-2025-03-04.zip"), "wb") as f:
+        f.write(_zip(members))
+    df = read_archives(spark, d, members_per_partition=2)
+    assert df.rdd.getNumPartitions() == 4
+    rows = df.select("filing_id", "source_file", "published").collect()
+    assert len(rows) == 6 and len({r.filing_id for r in rows}) == 6
+    assert {str(r.published) for r in rows} == {"2025-03-04"}
+    from ledgerkit.operators.extract import parse_filings, rejects
+    assert rejects(parse_filings(df)).count() == 0
