@@ -173,3 +173,9 @@ def rank_terms(terms: DataFrame) -> DataFrame:
     w = Window.partitionBy("category").orderBy("rank")
     return terms.withColumn("rank", F.row_number().over(w)).withColumn(
         "cat_rank", F.when(F.col("category") == "lender", F.lit(0)).otherwise(F.lit(1)))
+
+
+def entity_financials(entities: DataFrame, latest: DataFrame,
+                      fields=("period_end", "net_assets", "total_assets", "total_liabilities")) -> DataFrame:
+    """J15 (optional extra): entities with their latest filed figures, where any exist."""
+    return entities.join(latest.select("company_number", *fields), "company_number", "left")

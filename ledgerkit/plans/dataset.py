@@ -60,3 +60,19 @@ def build_product(filings: DataFrame, meta: DataFrame | None, base: str, version
         out = K.write_version(recs, base, version)
         return {"version": out}
     return publish(recs.drop("month").withColumn("month", F.date_format("published", "yyyy-MM")), meta, base, version)
+
+
+def read_dataset(spark, base: str, columns=None) -> DataFrame:
+    """The newest ``version=`` folder under ``base`` (by name), reading only the
+    wanted columns that exist in it.  The folder listing is metadata on the driver."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    versions = sorted(st.getPath().getName() for st in fs.listStatus(path)
+                      if st.isDirectory() and st.getPath().getName().startswith("version="))
+    if not versions:
+        raise FileNotFoundError(f"no version folder under {base}")
+    df = spark.read.parquet(f"{base.rstrip('/')}/{versions[-1]}")
+    if columns:
+        df = df.select(*[c for c in columns if c in df.columns])
+    return df

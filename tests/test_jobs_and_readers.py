@@ -90,3 +90,14 @@ def test_verify_suspects_and_archive_provenance(spark):
                                      "path string, content binary")
     prov = archive_provenance(f, archives).collect()[0]
     assert prov.sampled == 2 and len(prov.sha256) == 64
+
+
+def test_read_dataset_takes_newest_version_and_existing_columns(spark):
+    from ledgerkit.plans.dataset import read_dataset
+    from ledgerkit.sinks.writers import write_version
+    base = tempfile.mkdtemp(prefix="lk-ver-")
+    df = spark.createDataFrame([("2025-01", "A", 1.0)], "month string, company_number string, net_assets double")
+    write_version(df, base, "2025-01-01")
+    write_version(df.withColumn("net_assets", F.lit(2.0)), base, "2025-02-01")
+    got = read_dataset(spark, base, ["company_number", "net_assets", "no_such_column"]).collect()
+    assert [tuple(r) for r in got] == [("A", 2.0)]
