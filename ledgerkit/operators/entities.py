@@ -40,6 +40,8 @@ def match_terms(companies: DataFrame, terms: DataFrame, name_col: str = "company
     n_terms = t.count()
     if n_terms <= BROADCAST_TERMS_MAX:
         return c.join(F.broadcast(t), F.col("_name_n").contains(F.col("_term_n")))
+    # Terms under three characters stay broadcast: after normalisation there are at
+    # most 37 + 37^2 distinct such strings, whatever the size of the term list.
     short = t.filter(F.length("_term_n") < 3)
     long_ = t.filter(F.length("_term_n") >= 3).withColumn("_g", F.substring("_term_n", 1, 3))
     grams = c.withColumn("_g", F.explode(F.array_distinct(F.transform(

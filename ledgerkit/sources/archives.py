@@ -13,8 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.extract import PKG_ROOT  # noqa: F401  (workers need only the stdlib here)
-
 FILING_SCHEMA = T.StructType([
     T.StructField("filing_id", T.StringType()), T.StructField("archive", T.StringType()),
     T.StructField("member", T.StringType()), T.StructField("member_ord", T.IntegerType()),
