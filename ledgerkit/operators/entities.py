@@ -2,9 +2,10 @@
 
 Term matching (J7) is a theta join "normalised term contained in normalised
 name".  A term list of checked, bounded size is broadcast into a nested-loop
-join; beyond that bound an exact trigram join is used instead: every term of
+join; beyond that bound an exact n-gram equi-join is used instead: every term of
 three or more characters shares its first trigram with any name containing it,
-so an equi-join on trigrams followed by the ``contains`` check loses nothing.
+so an equi-join on trigrams followed by the ``contains`` check loses nothing, and
+shorter terms are joined on every 1- and 2-character substring of the name.
 """
 from __future__ import annotations
 
@@ -33,22 +34,25 @@ def match_terms(companies: DataFrame, terms: DataFrame, name_col: str = "company
     """(company row, term) pairs where the normalised term occurs in the normalised name.
 
     ``terms`` needs (term, category, cat_rank, rank).  The number of terms is
-    checked: a bounded list is broadcast, a larger one goes through the trigram
-    equi-join.  Empty normalised terms match nothing (they would match every name)."""
+    checked: a bounded list is broadcast, a larger one goes through the n-gram
+    equi-joins (no broadcast).  Empty normalised terms match nothing (they would match every name)."""
     c = companies.withColumn("_name_n", norm_text(name_col))
     t = terms.withColumn("_term_n", norm_text("term")).filter(F.length("_term_n") > 0)
     n_terms = t.count()
     if n_terms <= BROADCAST_TERMS_MAX:
         return c.join(F.broadcast(t), F.col("_name_n").contains(F.col("_term_n")))
-    # Terms under three characters stay broadcast: after normalisation there are at
-    # most 37 + 37^2 distinct such strings, whatever the size of the term list.
-    short = t.filter(F.length("_term_n") < 3)
     long_ = t.filter(F.length("_term_n") >= 3).withColumn("_g", F.substring("_term_n", 1, 3))
     grams = c.withColumn("_g", F.explode(F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.greatest(F.length("_name_n") - 2, F.lit(1))),
         lambda i: F.substring("_name_n", i, 3)))))
     hit_long = grams.join(long_, "_g").filter(F.col("_name_n").contains(F.col("_term_n"))).drop("_g")
-    hit_short = c.join(F.broadcast(short), F.col("_name_n").contains(F.col("_term_n")))
+    # Terms of one or two characters: equi-join on every 1- and 2-character substring.
+    short = t.filter(F.length("_term_n") < 3).withColumn("_g", F.col("_term_n"))
+    n = F.length("_name_n")
+    subs = F.array_distinct(F.concat(
+        F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring("_name_n", i, 1)),
+        F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring("_name_n", i, 2))))
+    hit_short = c.withColumn("_g", F.explode(subs)).join(short, "_g").drop("_g")
     return hit_long.unionByName(hit_short)
 
 

@@ -64,7 +64,7 @@ def test_term_match_scale_path_equals_broadcast_path(spark):
     comps = spark.createDataFrame([("1", "ACME FUNDING PLC", "plc"), ("2", "RED BOLT LTD", "ltd"),
                                    ("3", "HUNDRED HOLDINGS", "ltd")], "company_number string, company_name string, "
                                                                    "company_type string")
-    terms = E.rank_terms(spark.createDataFrame([("funding", "spv", "a"), ("red", "lender", "b"), ("x", "spv", "c")],
+    terms = E.rank_terms(spark.createDataFrame([("funding", "spv", "a"), ("red", "lender", "b"), ("x", "spv", "c"), ("ed", "spv", "d")],
                                                "term string, category string, rank string"))
     small = {(r.company_number, r.term) for r in E.match_terms(comps, terms).collect()}
     old = E.BROADCAST_TERMS_MAX
@@ -73,7 +73,7 @@ def test_term_match_scale_path_equals_broadcast_path(spark):
         big = {(r.company_number, r.term) for r in E.match_terms(comps, terms).collect()}
     finally:
         E.BROADCAST_TERMS_MAX = old
-    assert small == big == {("1", "funding"), ("2", "red"), ("3", "red")}
+    assert small == big == {("1", "funding"), ("2", "red"), ("3", "red"), ("2", "ed"), ("3", "ed")}
 
 
 def test_verify_suspects_and_archive_provenance(spark):
