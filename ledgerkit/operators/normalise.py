@@ -152,11 +152,6 @@ PICK_FIELDS = list(vocab.FIELD_CONCEPTS)
 REPORTED_FIELDS = ["turnover", "gross_profit", "operating_profit", "interest_payable", "interest_receivable",
                    "profit_before_tax", "tax", "profit_for_year", "dividends", "staff_costs", "cash", "provisions"]
 FUNDING_LABELS = list(vocab.FUNDING_CONCEPTS)
-RECORD_MONEY = ["turnover", "gross_profit", "total_assets", "total_liabilities", "net_assets", "employees",
-                "operating_profit", "interest_payable", "interest_receivable", "profit_before_tax", "tax",
-                "profit_for_year", "dividends", "staff_costs", "provisions", "property_plant_equipment",
-                "current_assets", "debtors", "net_current_assets", "total_assets_less_current_liabilities",
-                "cash", "net_debt"]
 PASS_THROUGH = ["filing_id", "source_file", "archive", "member", "published"]
 
 

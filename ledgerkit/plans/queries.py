@@ -4,13 +4,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numbers import displayed_number, raw_number
+from ..functions.numbers import answer_number, displayed_number, raw_number
+from ..operators import aggregates as A
+from ..operators import benchmark as B
+from ..operators import entities as E
 from ..operators import extract as X
+from ..operators import grading as G
+from ..operators import metadata as M
+from ..operators import render as R
+from ..operators import sampling as W
 from ..operators.normalise import flatten_record, normalise
+from ..session import materialise
+from ..sinks import writers as K
+from ..sources import catalogs as C
 from ..sources.tables import table
+from . import raw_benchmark as RB
 from .virtual import virtual_filings
 
-
 def filings(spark: SparkSession, sf: str) -> DataFrame:
     return virtual_filings(table(spark, sf, "orders"), table(spark, sf, "lineitem"))
 
@@ -127,10 +137,6 @@ QUERIES = {
 
 
 # ---- aggregates, metadata, sampling, benchmark items -----------------------------------
-from ..operators import aggregates as A  # noqa: E402
-from ..operators import benchmark as B  # noqa: E402
-from ..operators import metadata as M  # noqa: E402
-from ..operators import sampling as W  # noqa: E402
 
 
 def companies(spark, sf):
@@ -151,8 +157,8 @@ def latest(spark, sf):
 
 
 def latest_table(spark, sf):
-    """``latest`` written once (checkpoint) for jobs that read it many times."""
-    from ..session import materialise
+    """``latest`` written once (a table in the checkpoint folder) for jobs that read it
+    many times."""
     return materialise(latest(spark, sf))
 
 
@@ -268,7 +274,6 @@ QUERIES.update({
 
 
 # ---- grading ------------------------------------------------------------------------------
-from ..operators import grading as G  # noqa: E402
 
 
 def numeric_answers(spark, sf):
@@ -289,7 +294,6 @@ def numeric_answers(spark, sf):
 
 def q_grade_numeric(spark, sf):
     a = numeric_answers(spark, sf)
-    from ..functions.numbers import answer_number
     return a.select("l_orderkey", "l_linenumber", "model_text", answer_number(F.col("model_text")).alias("parsed"),
                     G.grade_numeric(F.col("model_text"), F.col("truth")).alias("correct"))
 
@@ -338,7 +342,6 @@ def item_answers(items):
 
 
 def graded(spark, sf, lat=None):
-    from ..session import materialise
     lat = lat if lat is not None else latest_table(spark, sf)
     items = materialise(B.benchmark_table(lat))
     return G.score(items, item_answers(items))
@@ -369,8 +372,6 @@ QUERIES.update({
 
 
 # ---- entities, charges, catalogs ------------------------------------------------------------
-from ..operators import entities as E  # noqa: E402
-from ..sources import catalogs as C  # noqa: E402
 
 
 def part_companies(spark, sf):
@@ -518,7 +519,6 @@ QUERIES.update({
 
 
 # ---- rendering and text checks (rows-only: the oracle has no markup renderer) -------------
-from ..operators import render as R  # noqa: E402
 
 
 def q_render_redacted(spark, sf):
@@ -546,7 +546,6 @@ QUERIES.update({
 
 
 # ---- raw-filing benchmarks (D5 = B6 + B7) and the post-cut-off slice (B8) --------------------
-from . import raw_benchmark as RB  # noqa: E402
 
 RAW_OUT = ["id", "category", "answer_type", "field", "company_number", "filing_id", "period_end",
            "answer_num", "answer_text"]
@@ -578,7 +577,6 @@ def q_contamination_threshold(spark, sf):
 
 
 def q_post_cutoff(spark, sf):
-    from ..session import materialise
     thr = RB.contamination_threshold(cutoff_models(spark, sf)).first()["threshold"]  # one scalar
     sampled = materialise(RB.post_cutoff_filings(filings(spark, sf), thr))
     recs = materialise(flatten_record(M.join_metadata(normalise(X.parse_filings(sampled)), meta(spark, sf))))
@@ -594,13 +592,11 @@ QUERIES.update({
 
 
 # ---- further operators on the same tables ----------------------------------------------------
-from ..sinks import writers as K  # noqa: E402
 
 
 def q_facts_with_context(spark, sf):
     """J3 / N3 in table form: each fact with its context's period and dimension count.
     The parsed filings are written once and read as two tables (one parse)."""
-    from ..session import materialise
     p = materialise(parsed(spark, sf))
     fc = X.facts_with_context(X.facts(p), X.contexts(p))
     return fc.select("filing_id", "ord", "concept", "context_ref", "period_type", "period_end",
