@@ -108,8 +108,11 @@ def shingles(word: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray,
 
 def distinct_by_doc(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct (document, hash) pairs, sorted by document, then hash."""
-    order = np.lexsort((h, doc))
+    order = np.argsort(doc, kind="stable")  # runs by document: a merge, no comparison sort
     h, doc = h[order], doc[order]
+    edges = np.r_[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]), len(doc)] if len(doc) else []
+    for a, b in zip(edges[:-1], edges[1:]):
+        h[a:b].sort()
     keep = np.ones(len(h), bool)
     keep[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     return h[keep], doc[keep]
