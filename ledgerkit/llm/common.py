@@ -44,6 +44,13 @@ def text_of(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+def set_aside(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with every column but the ``used`` ones under a name that no operator has, and the
+    columns that give the first names back."""
+    names = {c: c if c in used else f"_kept_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), [F.col(n).alias(c) for c, n in names.items()]
+
+
 def crc32_fold(col: Column, modulus: int) -> Column:
     """Remainder of crc32(key as text); a null key counts as the empty string."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit(""))) % F.lit(modulus)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytes_np as B
-from .common import read
+from .common import read, set_aside
 
 #: One edited byte is allowed for so many bytes of an item.
 BYTES_PER_EDIT = 20
@@ -192,7 +192,8 @@ def find_items(docs: DataFrame, items: DataFrame, bytes_per_edit: int = BYTES_PE
 
 def decontaminated(docs: DataFrame, items: DataFrame, bytes_per_edit: int = BYTES_PER_EDIT) -> DataFrame:
     """The documents in which no item occurs."""
-    return find_items(docs, items, bytes_per_edit).where(F.size("hits") == 0).select(*docs.columns)
+    inner, back = set_aside(docs, ("text",))
+    return find_items(inner, items, bytes_per_edit).where(F.size("hits") == 0).select(*back)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

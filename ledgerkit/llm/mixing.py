@@ -19,12 +19,10 @@ kept as they are, the operator's own (domain, n_tokens, epoch, mix_order) win ov
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, read, text_of, written
+from .common import WORD, read, set_aside, text_of, written
 
 LEVELS = ("domain", "lang", "source")
 #: Target weights of the registered query; a node without an entry has DEFAULT_WEIGHT.
@@ -137,6 +135,12 @@ def mix(docs: DataFrame, levels: tuple[str, ...] = LEVELS, weights: dict[str, di
     return whole.select(*keep).unionByName(last.select(*keep))
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """The taken documents with the columns of ``docs``; a document taken in two epochs is there twice."""
+    inner, back = set_aside(docs, ("doc_id", "text", "lang", "source"))
+    return mix(inner.withColumn("domain", domain_of())).select(*back)
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").withColumn("domain", domain_of())
     return mix(docs).select("doc_id", "domain", "lang", "source", "n_tokens", "epoch", "mix_order")

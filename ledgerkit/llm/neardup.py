@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytes_np as B
-from .common import read, text_of, written
+from .common import read, set_aside, text_of, written
 
 WIDTH = 5
 MIN_PERCENT = 85
@@ -231,12 +231,13 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = MIN_PERC
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = MIN_PERCENT) -> DataFrame:
     """``docs`` with one row left of each group: the smallest id, rows without id last."""
+    docs, back = set_aside(docs, ("doc_id", "text"))
     base = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
     rows = written(grouped(base, ["doc_id", "_row"], width, percent).where(F.col("group").isNotNull()), "groups")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
     best = rows.groupBy("group").agg(F.min_by("_row", order).alias("best"))
     dropped = rows.join(best, "group").where("_row != best").select("_row")
-    return base.join(dropped, "_row", "left_anti").select(*docs.columns)
+    return base.join(dropped, "_row", "left_anti").select(*back)
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

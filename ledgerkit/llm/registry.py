@@ -1,12 +1,13 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 from __future__ import annotations
 
-from . import decontamination, mixing, neardup, sharding
+from . import decontamination, mixing, neardup, sharding, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op3_sharding": sharding.op3_sharding,
     "op5_near_duplicates": neardup.op5_near_duplicates,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op8_decontamination": decontamination.op8_decontamination,
 }
 ORACLE_SQL = {"op1_mixing": mixing.ORACLE}
