@@ -15,6 +15,9 @@ probability (1 - (1 - s^half)^groups)^2: 0.9996 at s = 0.85, more above.
 4. Second round, exact for what is left: in tables that still hold more than one component,
    each class outside the table's largest component is checked against every class of another
    component.  A large group of near copies is one component by then and costs nothing here.
+   Before that, classes go in which too many shingles are in no other class still there: they
+   cannot reach the similarity with any (an exact rule), and copies that were edited too much,
+   each in its own way, would otherwise be checked against each other.
 
 A pair is checked only if sizes allow the similarity and MIN_BANDS of the 2 * groups bands agree
 (a true pair fails that with probability 1.4e-4 at 0.85).  A check intersects the full sets.
@@ -151,6 +154,17 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(F.col("both") * 100 >= (F.col("total") - F.col("both")) * percent).select("a", "b"))
 
 
+def can_link(sets: DataFrame, percent: int) -> DataFrame:
+    """The nodes that may reach the similarity with another node of ``sets``: a link needs at least
+    that share of the smaller and of the larger set in common, so a set in which more members are
+    in no other set has no link at all."""
+    alone = (sets.select("node", F.explode("members").alias("member")).groupBy("member")
+             .agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count("*").alias("alone")))
+    size = F.size("members")
+    return (sets.join(alone, "node", "left")
+            .where((size - F.coalesce("alone", F.lit(0))) * 100 >= size * percent).select("node"))
+
+
 def table_keys(classes: DataFrame, groups: int = GROUPS) -> DataFrame:
     """(key, i, j, node): the table keys that at least two classes share, formed from shared bands."""
     bands = classes.where("n_shingles > 0").select("node", F.posexplode(F.array(*[f"g{i}" for i in range(2 * groups)])).alias("i", "band"))
@@ -191,6 +205,8 @@ def link_classes(classes: DataFrame, texts: DataFrame, width: int = WIDTH, perce
     per_key = placed.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi"), F.max_by("label", F.struct("n", "label")).alias("most"))
     left = written(placed.join(per_key.where("lo < hi").select("key", "most"), "key").join(sketches, "node"), "open-keys")
+    able = can_link(sets.join(left.select("node").distinct(), "node", "left_semi"), percent)
+    left = written(left.join(able, "node"), "able-keys")
     x, y = left.where("label != most").alias("x"), left.alias("y")
     _, i, j = _agree(groups, "x", "y")
     once = (F.col("y.label") == F.col("y.most")) | (F.col("x.node") < F.col("y.node"))
