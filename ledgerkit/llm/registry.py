@@ -1,14 +1,15 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 from __future__ import annotations
 
-from . import decontamination, mixing, neardup, secrets, sharding, toxicity
+from . import chat, decontamination, mixing, neardup, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_chat_formatting": chat.op2_chat_formatting,
     "op3_sharding": sharding.op3_sharding,
     "op5_near_duplicates": neardup.op5_near_duplicates,
     "op6_toxicity": toxicity.op6_toxicity,
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_secret_scan": secrets.op9_secret_scan,
 }
-ORACLE_SQL = {"op1_mixing": mixing.ORACLE}
+ORACLE_SQL = {"op1_mixing": mixing.ORACLE, "op2_chat_formatting": chat.ORACLE}
