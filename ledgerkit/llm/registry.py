@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 from __future__ import annotations
 
-from . import chat, decontamination, mixing, neardup, secrets, sharding, toxicity
+from . import chat, decontamination, mixing, neardup, quality_rules, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -11,5 +11,6 @@ QUERIES = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_secret_scan": secrets.op9_secret_scan,
+    "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 ORACLE_SQL = {"op1_mixing": mixing.ORACLE, "op2_chat_formatting": chat.ORACLE}
