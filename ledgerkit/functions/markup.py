@@ -1,15 +1,12 @@
 """Per-row markup helpers: the only Python that runs on workers for filings.
 
-``parse_filing`` turns one inline-XBRL document into plain lists (taxonomy
-references, contexts, units, facts) and ``render_text`` turns one document
-into redacted plain text.  Both are small helpers called from Arrow-batched
-Spark operators in ``ledgerkit.operators``; every interpretation of the
-extracted values (numbers, periods, picks, totals) happens in Spark.
-
-The tree is built with the standard-library ``html.parser``: it is lenient
-(unclosed tags, HTML entities such as ``&nbsp;``, comments and processing
-instructions are all tolerated) and lower-cases tag and attribute names, so
-every name comparison below is case-insensitive.
+One pass over the events of a document; no tree is kept, so memory is bounded by the nesting
+depth plus what is returned, time is linear, and nothing recurses.  ``parse_filing`` collects the
+taxonomy references, contexts, units and facts of an inline-XBRL document, ``render_text`` its
+plain text.  Interpretation (numbers, periods, picks, totals) happens in Spark.
+
+Events come from the C parser; a document that it refuses is read again with the standard
+library's lenient HTML parser, which closes implied and forgotten tags.  Names are lower-cased.
 """
 from __future__ import annotations
 
@@ -26,258 +23,263 @@ XHTML_NS = "http://www.w3.org/1999/xhtml"
 # -----------------------------------------------------------------------------
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements that a new one of the same name closes where the end tag was left out.
+_IMPLIED = frozenset("p li dt dd td th tr option".split())
 _WS = re.compile(r"\s+")
 
 
-class Node:
-    __slots__ = ("tag", "attrs", "children", "text", "tail", "parent", "ns", "lname", "uri")
-
-    def __init__(self, tag, attrs, parent, ns):
-        self.tag = tag
-        self.attrs = attrs
-        self.children = []
-        self.text = ""
-        self.tail = ""
-        self.parent = parent
-        self.ns = ns  # prefix -> namespace in scope
-        prefix, _, local = tag.rpartition(":")
-        self.lname = local
-        self.uri = ns.get(prefix)
-
-    def local(self):
-        return self.lname
+class EmptyFiling(ValueError):
+    """The document has no text or no element."""
 
-    def namespace(self):
-        return self.uri
 
-    def itertext(self):
-        out = [self.text]
-        for ch in self.children:
-            out.append(ch.itertext())
-            out.append(ch.tail)
-        return "".join(out)
+class _Lenient(HTMLParser):
+    """Events of an ill-formed document: every start has its end, stray ends are left out."""
 
-    def iter(self):
-        stack = [self]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(reversed(node.children))
-
-
-class _TreeBuilder(HTMLParser):
-    def __init__(self):
+    def __init__(self, sink):
         super().__init__(convert_charrefs=True)
-        self.root = Node("#root", {}, None, {"xml": "http://www.w3.org/XML/1998/namespace"})
-        self.cur = self.root
-
-    def _open(self, tag, attrs):
-        ad = {}
-        ns = self.cur.ns
-        for k, v in attrs:
-            v = "" if v is None else v
-            ad[k] = v
-            if k == "xmlns" or k.startswith("xmlns:"):
-                if ns is self.cur.ns:
-                    ns = dict(ns)
-                ns[k[6:] if ":" in k else ""] = v
-        node = Node(tag, ad, self.cur, ns)
-        self.cur.children.append(node)
-        return node
+        self.sink, self.open, self.count = sink, [], {}
 
     def handle_starttag(self, tag, attrs):
-        node = self._open(tag, attrs)
-        if tag not in _VOID:
-            self.cur = node
+        if tag in _IMPLIED and self.open and self.open[-1] == tag:
+            self._close()
+        self.sink.start(tag, {k: v or "" for k, v in attrs})
+        if tag in _VOID:
+            self.sink.end()
+        else:
+            self.open.append(tag)
+            self.count[tag] = self.count.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
-        self._open(tag, attrs)
+        self.sink.start(tag, {k: v or "" for k, v in attrs})
+        self.sink.end()
+
+    def _close(self):
+        tag = self.open.pop()
+        self.count[tag] -= 1
+        self.sink.end()
+        return tag
 
     def handle_endtag(self, tag):
-        node = self.cur
-        while node is not self.root and node.tag != tag:
-            node = node.parent
-        if node is not self.root:  # stray end tags are ignored
-            self.cur = node.parent
+        if self.count.get(tag):
+            while self._close() != tag:
+                pass
 
     def handle_data(self, data):
-        if self.cur.children:
-            self.cur.children[-1].tail += data
-        else:
-            self.cur.text += data
-
+        self.sink.text(data)
 
-def _build_expat(markup: str) -> Node:
-    """Fast path for well-formed documents (C parser).  HTML entities such as
-    ``&nbsp;`` are resolved through the standard name table; names are
-    lower-cased to match the lenient path."""
-    root = Node("#root", {}, None, {"xml": "http://www.w3.org/XML/1998/namespace"})
-    stack = [root]
+    def close(self):
+        super().close()
+        while self.open:
+            self._close()
 
-    empty = {}
-
-    def start(tag, attrs):
-        cur = stack[-1]
-        ns = cur.ns
-        prefixed = ":" in tag or ns.get("", XHTML_NS) != XHTML_NS or "xmlns" in attrs
-        ad = {} if (prefixed or attrs) else empty
-        for k, v in attrs.items():
-            k = k.lower()
-            if k.startswith("xmlns") and (len(k) == 5 or k[5] == ":"):
-                if ns is cur.ns:
-                    ns = dict(ns)
-                ns[k[6:]] = v
-            if prefixed or k.startswith("xmlns"):
-                ad[k] = v  # only XBRL (prefixed) elements' attributes are ever read
-        node = Node(tag.lower(), ad, cur, ns)
-        cur.children.append(node)
-        stack.append(node)
-
-    def end(tag):
-        stack.pop()
-
-    def data(d):
-        cur = stack[-1]
-        if cur.children:
-            cur.children[-1].tail += d
-        else:
-            cur.text += d
 
+def _feed(markup: str, make):
+    """The sink that ``make`` gives, after all events of the document."""
+    sink = make()
     p = expat.ParserCreate()
     p.buffer_text = True
     p.buffer_size = 1 << 16
     p.UseForeignDTD(True)
     p.ExternalEntityRefHandler = lambda *a: 1
-    p.StartElementHandler = start
-    p.EndElementHandler = end
-    p.CharacterDataHandler = data
-    p.SkippedEntityHandler = lambda name, is_pe: data(
+    p.StartElementHandler = lambda tag, attrs: sink.start(tag.lower(), attrs)
+    p.EndElementHandler = lambda tag: sink.end()
+    p.CharacterDataHandler = sink.text
+    p.SkippedEntityHandler = lambda name, is_pe: sink.text(
         chr(name2codepoint[name]) if name in name2codepoint else f"&{name};")
-    p.Parse(markup, True)
-    return root
-
-
-def build_tree(markup: str) -> Node:
     try:
-        return _build_expat(markup)
+        p.Parse(markup, True)
+        return sink
     except expat.ExpatError:
-        tb = _TreeBuilder()
-        tb.feed(markup)
-        tb.close()
-        return tb.root
+        sink = make()
+        lenient = _Lenient(sink)
+        lenient.feed(markup)
+        lenient.close()
+        return sink
+
 
+# What is kept of an open element: the last visible character since its last child (or its start),
+# that child's last visible character, the last one of all; namespaces in scope; what it fills.
+_RUN, _CHILD, _ANY, _NS, _FILLS = range(5)
 
-def _siblings(node):
-    sibs = node.parent.children
-    i = next(k for k, s in enumerate(sibs) if s is node)
-    prev = sibs[i - 1] if i > 0 else None
-    nxt = sibs[i + 1] if i + 1 < len(sibs) else None
-    return prev, nxt
 
+class _Facts:
+    """Collects references, contexts, units and facts.
 
-def _neighbour_marks(el):
-    """Last non-blank character before the element and first one after it.
+    The mark before a fact is the last visible character between it and the element before it in
+    the same parent; with nothing visible there, the last one of that element.  The mark after it
+    is the first visible character up to the end of the element after it, or of the parent.  Both
+    fall out of the event order: what precedes is remembered at each open element, and a fact
+    that has ended waits for the next visible character until one of those ends comes first."""
 
-    Looks in the neighbouring text; when that is blank, looks into the
-    neighbouring element (for a ``(`` or ``)`` held in its own span)."""
-    prev, nxt = _siblings(el)
-    before = (prev.tail if prev is not None else el.parent.text) or ""
-    after = el.tail or ""
-    if not before.strip() and prev is not None:
-        before = prev.itertext() + (prev.tail or "")
-    if not after.strip() and nxt is not None:
-        after = (el.tail or "") + nxt.itertext()
-    before, after = before.rstrip(), after.lstrip()
-    return (before[-1:] or None), (after[:1] or None)
+    def __init__(self):
+        self.found = {"refs": [], "contexts": [], "units": [], "facts": []}
+        self.open = [["", "", "", {"xml": "http://www.w3.org/XML/1998/namespace"}, None]]
+        self.collecting: list[list[str]] = []  # text of the open elements whose text is wanted
+        self.waiting: list[list] = []          # [fact, its parent's depth, is the next element open]
+        self.context = self.unit = None
+        self.elements = 0
+
+    def start(self, tag, attrs):
+        self.elements += 1
+        above = self.open[-1]
+        depth = len(self.open)
+        for w in self.waiting:
+            if w[1] == depth:
+                w[2] = True
+        ns = above[_NS]
+        for k, v in attrs.items():
+            if k[:5].lower() == "xmlns" and (len(k) == 5 or k[5] == ":"):
+                if ns is above[_NS]:
+                    ns = dict(ns)
+                ns[k[6:].lower()] = v
+        frame = ["", "", "", ns, None]
+        prefix, _, name = tag.rpartition(":")
+        uri = ns.get(prefix)
+        if uri is not None and uri != XHTML_NS or name == "explicitmember":
+            frame[_FILLS] = self._fills(name, uri, {k.lower(): v for k, v in attrs.items()}, frame, above)
+        self.open.append(frame)
+
+    def _fills(self, name, uri, attrs, frame, above):
+        """(finisher, collected text) of an element that says something, else None."""
+        if uri == LINK_NS and name == "schemaref":
+            if attrs.get("xlink:href"):
+                self.found["refs"].append(attrs["xlink:href"])
+            return None
+        if uri == XBRLI_NS and name == "context":
+            self.context = {"context_id": attrs.get("id"), "identifier": None, "start_date": None, "end_date": None,
+                            "instant": None, "dimensions": []}
+            self.found["contexts"].append(self.context)
+            return (self._end_context, None)
+        if uri == XBRLI_NS and name == "unit":
+            self.unit = {"unit_id": attrs.get("id"), "measure": None}
+            self.found["units"].append(self.unit)
+            return (self._end_unit, None)
+        target = None
+        if self.context is not None and name == "explicitmember":
+            dim = {"dim": attrs.get("dimension", "").split(":")[-1], "member": None}
+            self.context["dimensions"].append(dim)
+            target = lambda text: dim.update(member=text.split(":")[-1])
+        elif self.context is not None and uri == XBRLI_NS and name in _CONTEXT_FIELDS:
+            own, key = self.context, _CONTEXT_FIELDS[name]
+            target = lambda text: own.update({key: text})
+        elif self.unit is not None and name == "measure":
+            own = self.unit
+            target = lambda text: own.update(measure=text)
+        elif name in _FACT_KINDS and (uri or "").lower() in IX_NAMESPACES and attrs.get("name"):
+            fact = self._fact(name, attrs, frame[_NS], above)
+            target = lambda text: fact.update(raw_text=text)
+            self.collecting.append([])
+            return (target, self.collecting[-1], fact)
+        if target is None:
+            return None
+        self.collecting.append([])
+        return (target, self.collecting[-1])
+
+    def _fact(self, name, attrs, ns, above):
+        prefix, colon, concept = attrs["name"].partition(":")
+        if not colon:
+            prefix, concept = "", prefix
+        fact = {"kind": _FACT_KINDS[name], "concept": concept, "namespace": ns.get(prefix.lower()), "raw_text": None,
+                "scale": attrs.get("scale"), "sign": attrs.get("sign"), "context_ref": attrs.get("contextref"),
+                "unit_ref": attrs.get("unitref"), "mark_before": above[_RUN] or above[_CHILD] or None, "mark_after": None}
+        self.found["facts"].append(fact)
+        return fact
+
+    def _end_context(self, _):
+        self.context = None
+
+    def _end_unit(self, _):
+        self.unit = None
+
+    def text(self, data):
+        for part in self.collecting:
+            part.append(data)
+        seen = data.strip()
+        if seen:
+            here = self.open[-1]
+            here[_RUN] = here[_ANY] = seen[-1]
+            if self.waiting:
+                for w in self.waiting:
+                    w[0]["mark_after"] = seen[0]
+                self.waiting.clear()
+
+    def end(self):
+        frame = self.open.pop()
+        depth = len(self.open)
+        if self.waiting:  # the parent of a waiting fact ends, or the element after the fact
+            self.waiting = [w for w in self.waiting if w[1] < depth or w[1] == depth and not w[2]]
+        above = self.open[-1]
+        above[_RUN], above[_CHILD] = "", frame[_ANY]
+        above[_ANY] = frame[_ANY] or above[_ANY]
+        fills = frame[_FILLS]
+        if fills is not None:
+            if fills[1] is None:
+                fills[0](None)
+            else:
+                self.collecting = [c for c in self.collecting if c is not fills[1]]
+                fills[0]("".join(fills[1]).strip())
+                if len(fills) == 3:
+                    self.waiting.append([fills[2], depth, False])
+
+
+_CONTEXT_FIELDS = {"identifier": "identifier", "startdate": "start_date", "enddate": "end_date", "instant": "instant"}
+_FACT_KINDS = {"nonfraction": "nonFraction", "nonnumeric": "nonNumeric"}
 
 
 def parse_filing(markup: str) -> dict:
     """One filing -> {'refs': [...], 'contexts': [...], 'units': [...], 'facts': [...]}.
 
-    Lists are in document order; nothing is interpreted beyond trimming."""
-    root = build_tree(markup)
-    refs, contexts, units, facts = [], [], [], []
-    stack = list(reversed(root.children))
-    while stack:
-        el = stack.pop()
-        local, ns = el.lname, el.uri
-        if local == "schemaref" and ns == LINK_NS:
-            href = el.attrs.get("xlink:href")
-            if href:
-                refs.append(href)
-        elif local == "context" and ns == XBRLI_NS:
-            ident = start = end = instant = None
-            dims = []
-            for sub in el.iter():
-                sl = sub.lname
-                if sl == "explicitmember":
-                    dim = (sub.attrs.get("dimension") or "").split(":")[-1]
-                    member = sub.itertext().strip().split(":")[-1]
-                    dims.append({"dim": dim, "member": member})
-                    continue
-                if sub.uri != XBRLI_NS:
-                    continue
-                if sl == "identifier":
-                    ident = sub.text.strip()
-                elif sl == "startdate":
-                    start = sub.text.strip()
-                elif sl == "enddate":
-                    end = sub.text.strip()
-                elif sl == "instant":
-                    instant = sub.text.strip()
-            contexts.append({"context_id": el.attrs.get("id"), "identifier": ident,
-                             "start_date": start, "end_date": end, "instant": instant,
-                             "dimensions": dims})
-        elif local == "unit" and ns == XBRLI_NS:
-            measure = None
-            for sub in el.iter():
-                if sub.lname == "measure":
-                    measure = sub.text.strip()
-            units.append({"unit_id": el.attrs.get("id"), "measure": measure})
-        elif (local == "nonfraction" or local == "nonnumeric") and (ns or "").lower() in IX_NAMESPACES:
-            name = el.attrs.get("name")
-            if name:
-                prefix, sep, concept = name.partition(":")
-                if not sep:
-                    concept, prefix = prefix, ""
-                before, after = _neighbour_marks(el)
-                facts.append({
-                    "kind": "nonFraction" if local == "nonfraction" else "nonNumeric",
-                    "concept": concept,
-                    "namespace": el.ns.get(prefix.lower()),
-                    "raw_text": el.itertext().strip(),
-                    "scale": el.attrs.get("scale"),
-                    "sign": el.attrs.get("sign"),
-                    "context_ref": el.attrs.get("contextref"),
-                    "unit_ref": el.attrs.get("unitref"),
-                    "mark_before": before,
-                    "mark_after": after,
-                })
-        if el.children:
-            stack.extend(reversed(el.children))
-    return {"refs": refs, "contexts": contexts, "units": units, "facts": facts}
+    Lists are in document order; nothing is interpreted beyond trimming.  A document without
+    any element raises :class:`EmptyFiling`."""
+    sink = _feed(markup, _Facts)
+    if not sink.elements:
+        raise EmptyFiling("no element in the document")
+    return sink.found
+
+
+class _Text:
+    """Collects the plain text; personal facts are blanked, style and script blocks dropped."""
+
+    def __init__(self, hints):
+        self.hints, self.out = hints, []
+        self.space = [False]  # of each open element: is a space due before what follows its last child
+        self.hidden = 0       # open elements inside a blanked or dropped one, itself included
+        self.dropped = False
+
+    def start(self, tag, attrs):
+        if self.hidden:
+            self.hidden += 1
+            return
+        if self.space[-1]:
+            self.out.append(" ")
+            self.space[-1] = False
+        name = tag.rpartition(":")[2]
+        if name in ("style", "script"):
+            self.hidden, self.dropped = 1, True
+        elif name in _FACT_KINDS:
+            told = next((v for k, v in attrs.items() if k.lower() == "name"), "").split(":")[-1].lower()
+            if any(h in told for h in self.hints):
+                self.out.append("[redacted]")
+                self.hidden, self.dropped = 1, False
+        if not self.hidden:
+            self.space.append(False)
+
+    def end(self):
+        if self.hidden:
+            self.hidden -= 1
+            if not self.hidden and not self.dropped:
+                self.space[-1] = True
+            return
+        if self.space.pop():
+            self.out.append(" ")
+        self.space[-1] = True
+
+    def text(self, data):
+        if not self.hidden:
+            self.out.append(data)
 
 
 def render_text(markup: str, redact_hints) -> str:
-    """Whole document -> plain text: style/script blocks dropped, personal facts
-    blanked to ``[redacted]``, a space after every element, whitespace collapsed."""
-    root = build_tree(markup)
-    out = []
-
-    def walk(node):
-        if node.local() in ("nonnumeric", "nonfraction"):
-            nm = (node.attrs.get("name") or "").split(":")[-1].lower()
-            if any(h in nm for h in redact_hints):
-                out.append("[redacted]")
-                return
-        out.append(node.text)
-        for ch in node.children:
-            if ch.local() in ("style", "script"):
-                out.append(ch.tail)  # the block goes, the text after it stays
-                continue
-            walk(ch)
-            out.append(ch.tail)
-            out.append(" ")
-
-    walk(root)
-    return _WS.sub(" ", "".join(out)).strip()
+    """Whole document -> plain text: style/script blocks dropped, personal facts blanked to
+    ``[redacted]``, a space after every element, whitespace collapsed."""
+    return _WS.sub(" ", "".join(_feed(markup, lambda: _Text(redact_hints)).out)).strip()

@@ -89,11 +89,9 @@ def items_not_disclosed(latest: DataFrame, n=vocab.CLEAN_NOT_DISCLOSED, seed=voc
     return pool.select(*_item("not_disclosed", "not_disclosed", q, text=F.lit("NOT_DISCLOSED")))
 
 
-def items_comparison(latest: DataFrame, draws=vocab.CLEAN_COMPARISON_DRAWS, seed=vocab.CLEAN_SEED,
-                     pool_size: int = 4000) -> DataFrame:
+def items_comparison(latest: DataFrame, draws=vocab.CLEAN_COMPARISON_DRAWS, seed=vocab.CLEAN_SEED) -> DataFrame:
     """Which of five companies has the highest net assets (W10 + E16)."""
-    pool = sample_n(named(latest).filter(present("net_assets")), pool_size, seed, F.col("company_number"),
-                    salt="comparison")
+    pool = named(latest).filter(present("net_assets"))
     g = groups_of_draws(pool.select("company_number", "company_name", "net_assets"), "company_number",
                         draws, 5, seed)
     line = F.concat(F.lit("  - "), display_name(), F.lit(": net assets "), money("net_assets"))

@@ -1,11 +1,11 @@
 """Entities and charges.
 
-Term matching (J7) is a theta join "normalised term contained in normalised
-name".  A term list of checked, bounded size is broadcast into a nested-loop
-join; beyond that bound an exact n-gram equi-join is used instead: every term of
-three or more characters shares its first trigram with any name containing it,
-so an equi-join on trigrams followed by the ``contains`` check loses nothing, and
-shorter terms are joined on every 1- and 2-character substring of the name.
+Term matching (J7, "normalised term contained in normalised name") is one
+equi-join at every size: a term of three or more characters shares its first
+trigram with any name that contains it, so a join on trigrams followed by the
+``contains`` check loses nothing; shorter terms are joined on every 1- and
+2-character substring of the name.  Which side moves is left to AQE, which also
+splits the partitions of frequent trigrams.
 """
 from __future__ import annotations
 
@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..vocab import CORP_TOKENS
-
-BROADCAST_TERMS_MAX = 10_000
+from ..functions.numbers import normalise_number
+from ..vocab import CORP_TOKENS, SHELF_PATTERNS
 
 
 def norm_text(s) -> Column:
@@ -33,14 +32,10 @@ def read_terms(spark, path: str, category: str) -> DataFrame:
 def match_terms(companies: DataFrame, terms: DataFrame, name_col: str = "company_name") -> DataFrame:
     """(company row, term) pairs where the normalised term occurs in the normalised name.
 
-    ``terms`` needs (term, category, cat_rank, rank).  The number of terms is
-    checked: a bounded list is broadcast, a larger one goes through the n-gram
-    equi-joins (no broadcast).  Empty normalised terms match nothing (they would match every name)."""
+    ``terms`` needs (term, category, cat_rank, rank).  Empty normalised terms match
+    nothing (they would match every name)."""
     c = companies.withColumn("_name_n", norm_text(name_col))
     t = terms.withColumn("_term_n", norm_text("term")).filter(F.length("_term_n") > 0)
-    n_terms = t.count()
-    if n_terms <= BROADCAST_TERMS_MAX:
-        return c.join(F.broadcast(t), F.col("_name_n").contains(F.col("_term_n")))
     long_ = t.filter(F.length("_term_n") >= 3).withColumn("_g", F.substring("_term_n", 1, 3))
     grams = c.withColumn("_g", F.explode(F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.greatest(F.length("_name_n") - 2, F.lit(1))),
@@ -86,9 +81,8 @@ def candidate_counts(candidates: DataFrame) -> DataFrame:
 def shelf_of(name) -> Column:
     """Issuer shelf name: company-form words, year-series and NO. n removed."""
     n = F.upper(F.coalesce(F.col(name) if isinstance(name, str) else name, F.lit("")))
-    n = F.regexp_replace(n, "\\b(PLC|LIMITED|LTD)\\b", "")
-    n = F.regexp_replace(n, "\\b20\\d{2}[- ]?[0-9A-Z]*\\b", "")
-    n = F.regexp_replace(n, "\\bNO\\.?\\s*\\d+\\b", "")
+    for pattern in SHELF_PATTERNS:
+        n = F.regexp_replace(n, pattern, "")
     n = F.regexp_replace(n, "\\s+", " ")
     return F.btrim(n, F.lit(" -"))
 
@@ -168,7 +162,8 @@ def entity_manifest(entities: DataFrame, charge_rows_df: DataFrame) -> DataFrame
 
 def targets_in_dataset(targets: DataFrame, records: DataFrame) -> DataFrame:
     """Targets that appear in the filing dataset (left semi) with counts."""
-    hit = targets.join(records.select("company_number"), "company_number", "left_semi")
+    number = normalise_number(F.col("company_number")).alias("_number")
+    hit = targets.withColumn("_number", number).join(records.select(number), "_number", "left_semi")
     a = hit.agg(F.count(F.lit(1)).alias("in_dataset")).withColumn("_k", F.lit(1))
     b = targets.agg(F.count(F.lit(1)).alias("targets")).withColumn("_k", F.lit(1))
     return a.join(b, "_k").drop("_k")

@@ -48,10 +48,8 @@ def _arrow_type(dt):
 def parse_filings(filings: DataFrame) -> DataFrame:
     """X1-X6 + X11: one row per filing with the raw refs, contexts, units and facts.
 
-    A filing that cannot be read gets ``parse_error`` set (the ``rejects`` table)
-    instead of being dropped silently."""
-    from ..session import cap_arrow_batch
-    cap_arrow_batch(filings.sparkSession)
+    A filing that cannot be read, is null or has no element gets ``parse_error`` set (the
+    ``rejects`` table) instead of being dropped silently; ``normalise`` leaves it out."""
     keep = [c for c in filings.columns if c != "content"]
     schema = T.StructType([filings.schema[c] for c in keep] + PARSED_FIELDS)
     types = {f.name: _arrow_type(f.dataType) for f in PARSED_FIELDS}
@@ -72,7 +70,7 @@ def parse_filings(filings: DataFrame) -> DataFrame:
                     cols["parse_error"].append(None)
                 except Exception as e:  # a bad filing becomes a reject row
                     p = {"refs": [], "contexts": [], "units": [], "facts": []}
-                    cols["parse_error"].append(f"{type(e).__name__}: {e}"[:500])
+                    cols["parse_error"].append(f"{type(e).__name__}: {e}")
                 for k in ("refs", "contexts", "units", "facts"):
                     cols[k].append(p[k])
             arrays = [b.column(c) for c in keep] + [pa.array(cols[n], type=types[n]) for n in types]

@@ -65,8 +65,9 @@ def metadata_projection(companies: DataFrame) -> DataFrame:
 
 def join_metadata(records: DataFrame, meta: DataFrame) -> DataFrame:
     """Left equi join on the normalised company number (E1 on both sides).
-    The strategy is left to AQE: the register is millions of rows, so no hint."""
-    r = records.withColumn("company_number", normalise_number(F.col("company_number")))
+    A null or blank number stays null and matches nothing.  The strategy is left to AQE:
+    the register is millions of rows, so no hint."""
+    r = records.withColumn("company_number", F.nullif(normalise_number(F.col("company_number")), F.lit("")))
     return r.join(meta, "company_number", "left")
 
 

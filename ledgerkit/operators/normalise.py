@@ -184,7 +184,7 @@ def picks(parsed: DataFrame) -> DataFrame:
 
 def normalise(parsed: DataFrame, keep_internal: bool = False) -> DataFrame:
     """Parsed filings -> records (38 record columns + filing keys + out_of_period)."""
-    df = picks(parsed)
+    df = picks(parsed.filter(F.col("parse_error").isNull()))  # rejects are no records
     v = {f: F.col(f"_p_{f}.v") for f in PICK_FIELDS}
     inp = {f: F.col(f"_p_{f}.p") for f in PICK_FIELDS}
 

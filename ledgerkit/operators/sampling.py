@@ -38,18 +38,14 @@ def shuffle_and_number(df: DataFrame, prefix: str, seed, key: Column, width: int
 
 
 def latest_per_company(records: DataFrame, key: str = "company_number") -> DataFrame:
-    """Newest period_end per company (nulls last; ties to the smaller source file,
-    then filing id).  A grouped min over a sort-key struct: map-side partial
-    aggregation keeps one row per company per task, so a company holding a third of
-    all filings cannot overload one task.  Rows without a key are left out
-    (they belong to ``rejects``)."""
-    pe_days = F.datediff(F.try_to_date(F.col("period_end"), "yyyy-MM-dd"), F.lit("1970-01-01"))
-    order = F.struct(F.col("period_end").isNull().alias("k0"), (-pe_days).alias("k1"),
-                     F.col("source_file").alias("k2"), F.col("filing_id").alias("k3"))
-    payload = [c for c in records.columns if c != key]
-    best = (records.filter(F.col(key).isNotNull())
-            .groupBy(key).agg(F.min(F.struct(order.alias("o"), F.struct(*payload).alias("r"))).alias("b")))
-    return best.select(key, "b.r.*")
+    """Newest period_end per company (no date, or no ISO date, last; ties to the smaller
+    source file, then filing id).  ``row_number() = 1`` is planned as a WindowGroupLimit that
+    also runs before the shuffle: a task passes on one row per company, so a company holding a
+    third of all filings cannot overload one.  Rows without a key are left out."""
+    days = F.datediff(F.try_to_date(F.col("period_end"), "yyyy-MM-dd"), F.lit("1970-01-01"))
+    w = Window.partitionBy(key).orderBy(F.desc_nulls_last(days), "source_file", "filing_id")
+    best = records.filter(F.col(key).isNotNull()).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return best.select(key, *[c for c in records.columns if c != key])
 
 
 def trailing(df: DataFrame, order_col: str, n: int) -> DataFrame:
@@ -57,19 +53,38 @@ def trailing(df: DataFrame, order_col: str, n: int) -> DataFrame:
     return df.orderBy(F.desc(order_col)).limit(n)
 
 
-def groups_of_draws(pool: DataFrame, key: str, draws: int, size: int, seed, fanout: int = 5) -> DataFrame:
-    """``draws`` groups of ``size`` distinct rows; groups may overlap.
-
-    No cross product: each pool row is sent to ``fanout`` draws chosen by hash
-    (an explode of a fixed-size array), then each draw keeps its ``size`` rows with
-    the smallest md5(seed:draw:key).  Bound the pool first (``sample_n``)."""
-    k = F.col(key).cast("string")
-    targets = F.array_distinct(F.array(*[
-        (F.conv(F.substring(hash_key(seed, "draw", j, k), 1, 8), 16, 10).cast("bigint") % draws)
-        for j in range(fanout)]))
-    ex = pool.withColumn("draw", F.explode(targets))
-    w = Window.partitionBy("draw").orderBy(hash_key(seed, F.col("draw").cast("string"), k))
-    return ex.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= size)
+def indexed(df: DataFrame, key: str, seed) -> DataFrame:
+    """Rows numbered 0, 1, ... in hash order (``idx``) without sorting them in one task: counts of
+    4,096 hash ranges give each range's first number, a row's rank in its range the rest."""
+    k = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    rows = df.withColumn("_h", hash_key(seed, "pool", k)).withColumn("_range", F.substring("_h", 1, 3))
+    upto = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    first = (rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+             .select("_range", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_first")))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy("_h", k))
+    return (rows.withColumn("_rank", rank).join(first, "_range")
+            .withColumn("idx", (F.col("_first") + F.col("_rank") - 1).cast("bigint")).drop("_h", "_range", "_rank", "_first"))
+
+
+def groups_of_draws(pool: DataFrame, key: str, draws: int, size: int, seed) -> DataFrame:
+    """``draws`` groups of ``size`` distinct rows (all rows where there are fewer); groups may
+    overlap, every row is as likely as any other.
+
+    Each draw picks its row numbers by hash: for the last ``size`` numbers in turn a number up
+    to it, or itself where that has been picked before, so ``size`` distinct ones come out
+    without a second try.  The picks are joined to the numbered pool; nothing else of the pool moves."""
+    n = pool.agg(F.count(F.lit(1)).alias("n")).scalar()
+    picks = pool.sparkSession.range(draws).select(F.col("id").alias("draw"), n.alias("n"))
+
+    def pick(done: Column, j: Column) -> Column:
+        last = F.col("n") - size + j
+        h = hash_key(seed, "draw", F.col("draw").cast("string"), j.cast("string"))
+        one = F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint") % (last + 1)
+        return F.when(last < 0, done).otherwise(F.concat(done, F.array(F.when(F.array_contains(done, one), last).otherwise(one))))
+
+    chosen = F.aggregate(F.sequence(F.lit(0), F.lit(size - 1)), F.array().cast("array<bigint>"), pick)
+    picks = picks.select("draw", F.posexplode(chosen).alias("pos", "idx")).withColumn("pos", F.col("pos") + 1)
+    return indexed(pool, key, seed).join(picks, "idx").drop("idx")
 
 
 def winner_of(groups: DataFrame, value: str, label: str) -> DataFrame:

@@ -319,6 +319,20 @@ def _extraction_sql(field, n, label, employees):
   ORDER BY md5('42:{field}:' || company_number) LIMIT {n})"""
 
 
+def draws_sql(pool: str, key: str, draws: int = 200) -> str:
+    """CTEs ending in ``drawn``: the pool's rows picked by each draw, with their position."""
+    h = ", ".join(f"CAST('0x' || substr(md5('42:draw:' || d || ':{j}'), 1, 15) AS BIGINT) AS h{j}" for j in range(5))
+    steps = ["p0 AS (SELECT *, h0 % (n - 4) AS i0 FROM h)"]
+    for j in range(1, 5):
+        earlier = ", ".join(f"i{k}" for k in range(j))
+        steps.append(f"p{j} AS (SELECT *, CASE WHEN h{j} % (n - {4 - j}) IN ({earlier}) THEN n - {5 - j} "
+                     f"ELSE h{j} % (n - {4 - j}) END AS i{j} FROM p{j - 1})")
+    return f"""h AS (SELECT d AS draw, (SELECT count(*) FROM {pool}) AS n, {h} FROM range({draws}) t(d)),
+{(","+chr(10)).join(steps)},
+numbered AS (SELECT *, row_number() OVER (ORDER BY md5('42:pool:' || CAST({key} AS VARCHAR)), CAST({key} AS VARCHAR)) - 1 AS idx FROM {pool}),
+drawn AS (SELECT * FROM (SELECT draw, unnest([1, 2, 3, 4, 5]) AS pos, unnest([i0, i1, i2, i3, i4]) AS idx FROM p4) JOIN numbered USING (idx))"""
+
+
 def _items_sql():
     from ..vocab import CLEAN_EXTRACTION_QUOTAS, FIELD_LABELS
     ext = "\nUNION ALL\n".join(_extraction_sql(f, n, FIELD_LABELS[f], f == "employees")
@@ -332,22 +346,16 @@ def _items_sql():
   CAST(NULL AS DOUBLE) AS rel_tol, CAST(NULL AS DOUBLE) AS abs_tol, company_number, CAST(NULL AS VARCHAR) AS field
   FROM lat WHERE company_name IS NOT NULL AND turnover IS NULL AND net_assets IS NOT NULL
   ORDER BY md5('42:not_disclosed:' || company_number) LIMIT 150)"""
-    targets = ", ".join(
-        f"CAST('0x' || substr(md5('42:draw:{j}:' || company_number), 1, 8) AS BIGINT) % 200" for j in range(5))
-    comp = f"""SELECT 'comparison' AS category, 'choice' AS answer_type,
+    comp = f"""SELECT * FROM (WITH dpool AS (SELECT *, {NAME} AS nm, '  - ' || {NAME} || ': net assets ' || {money_sql('net_assets')} AS line
+  FROM lat WHERE company_name IS NOT NULL AND net_assets IS NOT NULL),
+{draws_sql('dpool', 'company_number')}
+SELECT 'comparison' AS category, 'choice' AS answer_type,
   'Net assets of five UK companies:' || chr(10) || string_agg(line, chr(10) ORDER BY pos) || chr(10) || chr(10) ||
   'Question: which company has the highest net assets? Reply with its name.' AS question,
   CAST(NULL AS DOUBLE) AS answer_num, arg_max(nm, (net_assets, -pos)) AS answer_text,
   CAST(NULL AS BOOLEAN) AS answer_bool, CAST(NULL AS DOUBLE) AS rel_tol, CAST(NULL AS DOUBLE) AS abs_tol,
   arg_max(company_number, (net_assets, -pos)) AS company_number, CAST(NULL AS VARCHAR) AS field
-FROM (
-  SELECT *, row_number() OVER (PARTITION BY draw ORDER BY md5('42:' || CAST(draw AS VARCHAR) || ':' || company_number)) AS pos
-  FROM (SELECT DISTINCT company_number, company_name, net_assets, {NAME} AS nm,
-               '  - ' || {NAME} || ': net assets ' || {money_sql('net_assets')} AS line,
-               unnest([{targets}]) AS draw
-        FROM (SELECT * FROM lat WHERE company_name IS NOT NULL AND net_assets IS NOT NULL
-              ORDER BY md5('42:comparison:' || company_number) LIMIT 4000))
-) WHERE pos <= 5 GROUP BY draw"""
+FROM drawn GROUP BY draw)"""
     ratio = f"""SELECT * FROM (SELECT 'ratio' AS category, 'numeric' AS answer_type,
   {NAME} || ' reports total liabilities of ' || {money_sql('total_liabilities')} || ' and net assets (equity) of ' ||
   {money_sql('net_assets')} || '.' || chr(10) ||
@@ -410,13 +418,8 @@ SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION
     "shuffle_number": """
 SELECT printf('q%04d', row_number() OVER (ORDER BY md5('42:' || CAST(c_custkey AS VARCHAR)))) AS id, c_custkey
 FROM (SELECT c_custkey FROM customer ORDER BY md5('42:' || CAST(c_custkey AS VARCHAR)) LIMIT 100)""",
-    "groups_of_five": """
-SELECT draw, arg_max(c_name, (c_acctbal, -pos)) AS winner, count(*) AS members FROM (
-  SELECT *, row_number() OVER (PARTITION BY draw ORDER BY md5('42:' || CAST(draw AS VARCHAR) || ':' || k)) AS pos
-  FROM (SELECT DISTINCT c_custkey, c_name, c_acctbal, CAST(c_custkey AS VARCHAR) AS k, unnest([""" + ", ".join(
-        f"CAST('0x' || substr(md5('42:draw:{j}:' || CAST(c_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 200"
-        for j in range(5)) + """]) AS draw FROM customer)
-) WHERE pos <= 5 GROUP BY draw""",
+    "groups_of_five": f"""WITH {draws_sql('customer', 'c_custkey')}
+SELECT draw, arg_max(c_name, (c_acctbal, -pos)) AS winner, count(DISTINCT c_custkey) AS members FROM drawn GROUP BY draw""",
     "items_extraction": with_cte(PRODUCT_CTE, _ITEMS["items_extraction"]),
     "items_not_disclosed": with_cte(PRODUCT_CTE, _ITEMS["items_not_disclosed"]),
     "items_comparison": with_cte(PRODUCT_CTE, _ITEMS["items_comparison"]),
@@ -708,16 +711,13 @@ SELECT company_number, filing_id, source_file FROM lat
 WHERE source_file IN (SELECT source_file FROM prod WHERE strftime(o_orderdate, '%Y-%m') = (SELECT m FROM newest))""",
     "contamination_threshold": """
 SELECT CAST(max(released) + INTERVAL 1 DAY AS DATE) AS threshold, arg_max(name, (released, name)) AS newest_model FROM (
-  SELECT o_orderpriority AS name, max(CAST(o_orderdate AS DATE)) AS released FROM orders
-  WHERE o_totalprice < 20000 GROUP BY o_orderpriority)""",
+  SELECT o_orderpriority AS name, CAST(min(CAST(o_orderdate AS DATE)) + INTERVAL 30 DAY * CAST(left(o_orderpriority, 1) AS INTEGER) AS DATE) AS released
+  FROM orders GROUP BY o_orderpriority)""",
     "post_cutoff": "WITH " + PRODUCT_CTE.strip() + """,
-thr AS (SELECT CAST(max(released) + INTERVAL 1 DAY AS DATE) AS t FROM (SELECT max(CAST(o_orderdate AS DATE)) AS released
-        FROM orders WHERE o_totalprice < 20000 GROUP BY o_orderpriority)),
-elig AS (SELECT * FROM prod WHERE CAST(o_orderdate AS DATE) >= (SELECT t FROM thr)),
-days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM elig ORDER BY d LIMIT 8),
-smp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE)
-          ORDER BY md5('11:' || filing_id)) AS rn FROM elig WHERE CAST(o_orderdate AS DATE) IN (SELECT d FROM days))
-        WHERE rn <= 1500),
+thr AS (SELECT CAST(max(released) + INTERVAL 1 DAY AS DATE) AS t FROM (
+  SELECT CAST(min(CAST(o_orderdate AS DATE)) + INTERVAL 30 DAY * CAST(left(o_orderpriority, 1) AS INTEGER) AS DATE) AS released
+  FROM orders GROUP BY o_orderpriority)),
+smp AS (SELECT * FROM prod WHERE CAST(o_orderdate AS DATE) >= (SELECT t FROM thr)),
 pool AS (SELECT * EXCLUDE (net_assets, employees, cash, current_assets),
   CASE WHEN net_assets_tag IS NOT NULL THEN CASE WHEN net_assets_in_period THEN net_assets END
        WHEN equity IS NOT NULL THEN CASE WHEN equity_in_period THEN net_assets END END AS net_assets,

@@ -566,10 +566,10 @@ def q_latest_in_archive(spark, sf):
 
 
 def cutoff_models(spark, sf):
-    """Model release list (S11 shape) derived from the data: one 'model' per order
-    priority, released on the date of its last low-value (< 20,000) order."""
-    o = table(spark, sf, "orders").filter(F.col("o_totalprice") < 20000)
-    return o.groupBy(F.col("o_orderpriority").alias("name")).agg(F.max(F.to_date("o_orderdate")).alias("released"))
+    """Model release list (S11 shape) derived from all orders: one 'model' per order
+    priority, released 30 days times its number after its first order."""
+    first = table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("name")).agg(F.min(F.to_date("o_orderdate")).alias("first"))
+    return first.select("name", F.date_add("first", F.substring("name", 1, 1).cast("int") * 30).alias("released"))
 
 
 def q_contamination_threshold(spark, sf):

@@ -1,12 +1,12 @@
 """Session helpers: a local session for tests/bench, and the shared checkpoint folder."""
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
 
-# Filings can be megabytes each; keep Arrow batches into the Python parsers small.
+# Filings can be megabytes each: a session that parses them keeps its Arrow batches small
+# (spark.sql.execution.arrow.maxRecordsPerBatch, set here and never by an operator).
 ARROW_BATCH_ROWS = 64
 
 
@@ -27,22 +27,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    sc = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerkit-ckpt-"))  # one machine: its own disk is shared
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this is set by the operator and is read as-is; only when it is
-    unset (local tests) is a scratch folder created and registered."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or the one the
+    session was given with ``setCheckpointDir``.  There is no fallback to a machine's own disk."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext._jsc.sc().getCheckpointDir()
-        d = d.get() if d.isDefined() else None
+        given = spark.sparkContext._jsc.sc().getCheckpointDir()
+        d = given.get() if given.isDefined() else None
     if not d:
-        d = tempfile.mkdtemp(prefix="ledgerkit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return d
 
 
@@ -55,15 +54,17 @@ def materialise(df):
     compute it twice) and re-read as Parquet, so later scans prune columns and a
     lost executor re-reads files instead of recomputing the chain."""
     import uuid
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/ledgerkit-tables/{uuid.uuid4().hex}"
+    path = f"{_tables(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def cap_arrow_batch(spark: SparkSession, rows: int = ARROW_BATCH_ROWS) -> None:
-    """Filings are up to megabytes each: keep Arrow batches into the Python parsers to
-    ``rows`` records (only ever lowers the session's value)."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    cur = int(spark.conf.get(key, "10000"))
-    if cur <= 0 or cur > rows:
-        spark.conf.set(key, str(rows))
+def _tables(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/ledgerkit-tables/{spark.sparkContext.applicationId}"
+
+
+def drop_materialised(spark: SparkSession) -> None:
+    """Delete the tables that :func:`materialise` wrote in this application, once the results
+    that read them have been saved."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

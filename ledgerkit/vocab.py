@@ -90,7 +90,6 @@ METADATA_COLUMNS = ["company_name", "company_type", "company_status", "sic_codes
 REDACT_HINTS = ["officer", "signing", "signator", "forename", "surname", "nameindividual",
                 "contactname", "addressline", "postalcode", "postcode", "telephone",
                 "phone", "email", "faxnumber", "directorname"]
-MAX_CONTEXT_CHARS = 45000
 
 # ---- fixed values: tokens that mark a secured party's name as corporate -----------------
 CORP_TOKENS = ["LIMITED", "LTD", "PLC", "LLP", " LP", "N.A", " NA", "TRUSTEE", "TRUST", "BANK",
@@ -157,5 +156,9 @@ RAW_EXTRACTION_QUOTAS = {"net_assets": 90, "employees": 70, "cash": 50, "current
                          "f_within_creditors_total": 30}
 RAW_TRAP = 70
 POSTCUTOFF_SEED = 11
-POSTCUTOFF_PER_ARCHIVE = 1500
-POSTCUTOFF_MAX_ARCHIVES = 8
+
+# ---- fixed values: words left out of a company name when answers are compared ---------------
+CHOICE_STOPWORDS = ["ltd", "limited", "plc", "llp", "llc", "uk", "the", "company", "co"]
+
+# ---- fixed values: what is removed from an issuer's name to get its shelf --------------------
+SHELF_PATTERNS = ["\\b(PLC|LIMITED|LTD)\\b", "\\b20\\d{2}[- ]?[0-9A-Z]*\\b", "\\bNO\\.?\\s*\\d+\\b"]

@@ -59,21 +59,16 @@ def test_cutoffs_agreement_and_items_roundtrip(spark):
     assert back[0].id == "q0001" and back[0].answer_num == 1.5 and back[0].meta is None
 
 
-def test_term_match_scale_path_equals_broadcast_path(spark):
+def test_terms_match_inside_words_without_a_nested_loop(spark):
     from ledgerkit.operators import entities as E
     comps = spark.createDataFrame([("1", "ACME FUNDING PLC", "plc"), ("2", "RED BOLT LTD", "ltd"),
                                    ("3", "HUNDRED HOLDINGS", "ltd")], "company_number string, company_name string, "
                                                                    "company_type string")
     terms = E.rank_terms(spark.createDataFrame([("funding", "spv", "a"), ("red", "lender", "b"), ("x", "spv", "c"), ("ed", "spv", "d")],
                                                "term string, category string, rank string"))
-    small = {(r.company_number, r.term) for r in E.match_terms(comps, terms).collect()}
-    old = E.BROADCAST_TERMS_MAX
-    E.BROADCAST_TERMS_MAX = 0
-    try:
-        big = {(r.company_number, r.term) for r in E.match_terms(comps, terms).collect()}
-    finally:
-        E.BROADCAST_TERMS_MAX = old
-    assert small == big == {("1", "funding"), ("2", "red"), ("3", "red"), ("2", "ed"), ("3", "ed")}
+    got = E.match_terms(comps, terms)
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {(r.company_number, r.term) for r in got.collect()} == {("1", "funding"), ("2", "red"), ("3", "red"), ("2", "ed"), ("3", "ed")}
 
 
 def test_verify_suspects_and_archive_provenance(spark):
@@ -83,7 +78,7 @@ def test_verify_suspects_and_archive_provenance(spark):
         "_"), F.when(F.col("filing_id") == "a!1", F.lit("12345678")).otherwise(F.lit("87654321")), F.lit(".html")))
     suspects = spark.createDataFrame([("12345678", "net_assets", 1350.0), ("87654321", "current_assets", 45000.0),
                                       ("99999999", "cash", 1.0)], "company_number string, field string, expected double")
-    got = {r.company_number: r.passed for r in verify_items(suspects, f, None).collect()}
+    got = {r.company_number: r.passed for r in verify_items(suspects, f).collect()}
     # 1,350 is shown in thousands (scale 3) and is visible; 45,000 is visible; no filing -> fails
     assert got == {"12345678": True, "87654321": True, "99999999": False}
     archives = spark.createDataFrame([("file:/x/Accounts_Bulk_Data-2025-01-02.zip", b"zipbytes")],
