@@ -8,6 +8,7 @@ from ..operators import aggregates as A
 from ..operators import extract as X
 from ..operators.metadata import join_metadata
 from ..operators.normalise import flatten_record, normalise
+from ..session import folders, materialise, path_exists
 from ..sinks import writers as K
 
 
@@ -29,7 +30,7 @@ def publish(records: DataFrame, meta: DataFrame, base: str, version: str) -> dic
 
 def build_sample(filings: DataFrame, meta: DataFrame | None, out: str) -> dict:
     """One archive end to end: records, concept counts, CSV + Parquet + manifest."""
-    parsed = X.parse_filings(filings)
+    parsed = materialise(X.parse_filings(filings))  # read as records and as facts, parsed once
     recs = flatten_record(normalise(parsed))
     if meta is not None:
         recs = join_metadata(recs, meta)
@@ -40,36 +41,42 @@ def build_sample(filings: DataFrame, meta: DataFrame | None, out: str) -> dict:
     return {"records": f"{out}/records"}
 
 
+#: A trial build takes so many months and filings per archive.
+TRIAL_MONTHS, TRIAL_FILINGS = 1, 3000
+
+
 def build_product(filings: DataFrame, meta: DataFrame | None, base: str, version: str,
-                  months: int = 12, trial_limit: int | None = None) -> dict:
+                  months: int = 12, trial: bool = False, rebuild: bool = False) -> dict:
     """D3: trailing months (W3) -> per-month records (D1, K3) -> publish.
 
-    A trial run caps filings per archive (W5) and skips metadata, and writes to its
-    own folders."""
+    Months that already have a part are not parsed again (J14) unless ``rebuild``.  A trial takes
+    one month and caps filings per archive (W5); it writes to folders of its own."""
     from ..operators.sampling import cap_per_group
-    month = F.date_format("published", "yyyy-MM")
-    keep = filings.select(month.alias("month")).distinct().orderBy(F.desc("month")).limit(months)
-    chosen = filings.withColumn("month", month).join(keep, "month", "left_semi").drop("month")
-    if trial_limit:
-        chosen = cap_per_group(chosen, "archive", trial_limit, "filing_id")
-        base = f"{base.rstrip('/')}_trial"
+    spark = filings.sparkSession
+    if trial:
+        months, base = TRIAL_MONTHS, f"{base.rstrip('/')}_trial"
     parts = f"{base.rstrip('/')}/_parts"
+    month = F.date_format("published", "yyyy-MM")
+    keep = filings.select(month.alias("month")).where("month is not null").distinct().orderBy(F.desc("month")).limit(months)
+    wanted = keep
+    if not rebuild and path_exists(spark, parts):
+        wanted = K.pending_months(keep, spark.read.parquet(parts))
+    chosen = filings.withColumn("month", month).join(wanted, "month", "left_semi").drop("month")
+    if trial:
+        chosen = cap_per_group(chosen, "archive", TRIAL_FILINGS, "filing_id")
     K.write_month_parts(parse_month(chosen), parts)
-    recs = chosen.sparkSession.read.parquet(parts)
+    recs = spark.read.parquet(parts).withColumn("month", F.col("month").cast("string")).join(keep, "month", "left_semi")
     if meta is None:
         out = K.write_version(recs, base, version)
+        K.write_manifest(A.manifest(spark.read.parquet(out)), f"{out}/_manifest")
         return {"version": out}
-    return publish(recs.drop("month").withColumn("month", F.date_format("published", "yyyy-MM")), meta, base, version)
+    return publish(recs, meta, base, version)
 
 
 def read_dataset(spark, base: str, columns=None) -> DataFrame:
     """The newest ``version=`` folder under ``base`` (by name), reading only the
     wanted columns that exist in it.  The folder listing is metadata on the driver."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    versions = sorted(st.getPath().getName() for st in fs.listStatus(path)
-                      if st.isDirectory() and st.getPath().getName().startswith("version="))
+    versions = [n for n in folders(spark, base) if n.startswith("version=")]
     if not versions:
         raise FileNotFoundError(f"no version folder under {base}")
     df = spark.read.parquet(f"{base.rstrip('/')}/{versions[-1]}")

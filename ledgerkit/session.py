@@ -68,3 +68,19 @@ def drop_materialised(spark: SparkSession) -> None:
     that read them have been saved."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, none where it does not exist (metadata only)."""
+    fs, p = _path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []

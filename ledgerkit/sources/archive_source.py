@@ -14,7 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-SCHEMA_DDL = ("filing_id STRING, archive STRING, member STRING, member_ord INT, source_file STRING, "
+from .archives import zip_filings
+
+SCHEMA_DDL = ("filing_id STRING, archive STRING, member STRING, member_ord BIGINT, source_file STRING, "
               "published DATE, content BINARY")
 
 
@@ -50,32 +52,10 @@ class _Reader(DataSourceReader):
         return parts or [MemberRange("", 0, 0)]
 
     def read(self, partition):
-        import datetime
-        import io
-        import os
-        import re
         import zipfile
-        if not partition.path:
-            return
-        archive = os.path.basename(partition.path)
-        m = re.search(r"(\d{4}-\d{2}-\d{2})", archive)
-        published = datetime.date.fromisoformat(m.group(1)) if m else None
-        with zipfile.ZipFile(partition.path) as outer:
-            infos = outer.infolist()[partition.first:partition.last]
-            for k, info in enumerate(infos, start=partition.first):
-                name = info.filename
-                low = name.lower()
-                if low.endswith(".zip"):
-                    try:
-                        inner = zipfile.ZipFile(io.BytesIO(outer.read(name)))
-                    except zipfile.BadZipFile:
-                        continue  # a bad inner archive is skipped
-                    for j, n in enumerate(inner.namelist()):
-                        if n.lower().endswith(self.suffixes):
-                            key = f"{name}!{n}"
-                            yield (f"{archive}!{key}", archive, key, k, os.path.basename(n), published, inner.read(n))
-                elif low.endswith(self.suffixes):
-                    yield (f"{archive}!{name}", archive, name, k, os.path.basename(name), published, outer.read(name))
+        if partition.path:
+            with zipfile.ZipFile(partition.path) as outer:
+                yield from zip_filings(partition.path, outer, self.suffixes, partition.first, partition.last)
 
 
 class FilingArchiveSource(DataSource):

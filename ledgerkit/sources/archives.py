@@ -2,77 +2,122 @@
 
 ``binaryFile`` lists and reads the archives (one row per ZIP); an Arrow-batched
 ``mapInArrow`` opens each archive (and its inner ZIPs, one level) and emits one
-row per filing.  A filing is keyed by (archive, inner path), so equal member
-names in different inner archives never overwrite each other.  The members are
-repartitioned afterwards so one huge archive does not pin the parse to one task.
+row per filing, a bounded batch at a time.  A filing is keyed by (full archive path,
+inner path), so neither equal member names nor equal archive names overwrite each
+other.  This form serves daily archives; ``archive_source`` splits large ones.
 """
 from __future__ import annotations
 
+import datetime
+import io
+import posixpath
+import re
+import sys
+import zipfile
+
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .catalogs import MONTHS
+
+# The functions below use only the standard library and pyarrow: shipped by value, so
+# executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FILING_SCHEMA = T.StructType([
     T.StructField("filing_id", T.StringType()), T.StructField("archive", T.StringType()),
-    T.StructField("member", T.StringType()), T.StructField("member_ord", T.IntegerType()),
+    T.StructField("member", T.StringType()), T.StructField("member_ord", T.LongType()),
     T.StructField("source_file", T.StringType()), T.StructField("published", T.DateType()),
     T.StructField("content", T.BinaryType()),
 ])
 DEFAULT_SUFFIXES = (".html", ".xml")
+BATCH_BYTES = 8_000_000
+_MONTH_OF = {m: i for i, m in enumerate(MONTHS, 1)}
+
+
+def archive_date(name: str):
+    """The day in a daily archive's name, the first of the month in a monthly one's
+    (``...-January2025.zip``), else None."""
+    day = re.search(r"([0-9]{4})-([0-9]{2})-([0-9]{2})", name)
+    month = re.search(r"([A-Za-z]+)([0-9]{4})", name.rpartition("-")[2])
+    try:
+        if day:
+            return datetime.date(*map(int, day.groups()))
+        if month and month[1].lower() in _MONTH_OF:
+            return datetime.date(int(month[2]), _MONTH_OF[month[1].lower()], 1)
+    except ValueError:  # digits that are no date
+        pass
+    return None
+
+
+def _content(z: zipfile.ZipFile, info: zipfile.ZipInfo):
+    try:
+        return z.read(info)
+    except (zipfile.BadZipFile, OSError, EOFError, NotImplementedError, RuntimeError):
+        return None  # a member that cannot be read becomes a reject
+
+
+def zip_filings(path: str, outer: zipfile.ZipFile, suffixes, first: int = 0, last: int | None = None):
+    """Rows of FILING_SCHEMA for the entries ``first`` to ``last`` of an archive.  Of entries of
+    one name the last one counts, as ZIP readers have it; inner ZIPs are opened one level deep,
+    a bad inner archive is skipped."""
+    archive = posixpath.basename(path)
+    published = archive_date(archive)
+
+    def entries(z, lo, hi):
+        infos = z.infolist()
+        final = {info.filename: k for k, info in enumerate(infos)}
+        for k in range(lo, len(infos) if hi is None else min(hi, len(infos))):
+            if final[infos[k].filename] == k:
+                yield k, infos[k]
+
+    for k, info in entries(outer, first, last):
+        name = info.filename
+        if name.lower().endswith(suffixes):
+            yield (f"{path}!{name}", archive, name, k << 24, posixpath.basename(name), published, _content(outer, info))
+        elif name.lower().endswith(".zip"):
+            try:
+                inner = zipfile.ZipFile(io.BytesIO(_content(outer, info) or b""))
+            except zipfile.BadZipFile:
+                continue
+            for j, deep in entries(inner, 0, None):
+                if deep.filename.lower().endswith(suffixes):
+                    key = f"{name}!{deep.filename}"
+                    yield (f"{path}!{key}", archive, key, (k << 24) + j, posixpath.basename(deep.filename), published,
+                           _content(inner, deep))
 
 
 def explode_archives(raw: DataFrame, suffixes=DEFAULT_SUFFIXES) -> DataFrame:
     """(path, content) rows of ZIP files -> one row per filing member."""
     sfx = tuple(s.lower() for s in suffixes)
     arrow_schema = pa.schema([("filing_id", pa.string()), ("archive", pa.string()), ("member", pa.string()),
-                              ("member_ord", pa.int32()), ("source_file", pa.string()), ("published", pa.date32()),
+                              ("member_ord", pa.int64()), ("source_file", pa.string()), ("published", pa.date32()),
                               ("content", pa.binary())])
 
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), arrow_schema.types)], schema=arrow_schema)
+
     def run(batches):
-        import datetime
-        import io
-        import posixpath
-        import re
-        import zipfile
-        date_re = re.compile(r"(\d{4}-\d{2}-\d{2})")
         for b in batches:
-            rows = {n: [] for n in arrow_schema.names}
-            for path, data in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                archive = posixpath.basename(path)
-                m = date_re.search(archive)
-                published = datetime.date.fromisoformat(m.group(1)) if m else None
+            for path, data in zip(b.column("path").to_pylist(), b.column("content")):
                 try:
-                    outer = zipfile.ZipFile(io.BytesIO(data))
+                    outer = zipfile.ZipFile(io.BytesIO(data.as_py()))
                 except zipfile.BadZipFile:
                     continue
-                k = 0
-                for name in outer.namelist():
-                    lname = name.lower()
-                    members = []
-                    if lname.endswith(".zip"):
-                        try:
-                            inner = zipfile.ZipFile(io.BytesIO(outer.read(name)))
-                            members = [(f"{name}!{n}", inner.read(n)) for n in inner.namelist()
-                                       if n.lower().endswith(sfx)]
-                        except zipfile.BadZipFile:
-                            members = []  # a bad inner archive is skipped
-                    elif lname.endswith(sfx):
-                        members = [(name, outer.read(name))]
-                    for key, content in members:
-                        rows["filing_id"].append(f"{archive}!{key}")
-                        rows["archive"].append(archive)
-                        rows["member"].append(key)
-                        rows["member_ord"].append(k)
-                        rows["source_file"].append(posixpath.basename(key.split("!")[-1]))
-                        rows["published"].append(published)
-                        rows["content"].append(content)
-                        k += 1
-            yield pa.RecordBatch.from_pydict(rows, schema=arrow_schema)
-
-    out = raw.select("path", "content").mapInArrow(run, FILING_SCHEMA)
-    n = int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return out.repartition(n, "filing_id")
+                rows, size = [], 0
+                for row in zip_filings(path, outer, sfx):
+                    rows.append(row)
+                    size += len(row[-1] or b"")
+                    if size >= BATCH_BYTES:
+                        yield batch(rows)
+                        rows, size = [], 0
+                if rows:
+                    yield batch(rows)
+
+    return raw.select("path", "content").mapInArrow(run, FILING_SCHEMA)
 
 
 def scan_archives(spark: SparkSession, path: str, glob: str = "*.zip", suffixes=DEFAULT_SUFFIXES) -> DataFrame:
@@ -91,7 +136,7 @@ def scan_filings(spark: SparkSession, path: str, suffixes=DEFAULT_SUFFIXES) -> D
     name = F.element_at(F.split("path", "/"), -1)
     return raw.filter(cond).select(
         F.col("path").alias("filing_id"), F.lit(None).cast("string").alias("archive"), name.alias("member"),
-        F.lit(0).alias("member_ord"), name.alias("source_file"),
+        F.lit(0).cast("long").alias("member_ord"), name.alias("source_file"),
         F.try_to_date(F.regexp_extract("path", "(\\d{4}-\\d{2}-\\d{2})", 1), "yyyy-MM-dd").alias("published"),
         "content")
 

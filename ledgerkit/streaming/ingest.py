@@ -3,18 +3,23 @@
 A file stream over the archive folder (fixed ``binaryFile`` schema) with
 ``trigger(availableNow=True)`` processes only archives not seen before; the
 stream checkpoint replaces the "part already exists" check.  Each micro-batch
-is parsed, normalised and written as month partitions (dynamic overwrite), and
-the latest-record table is re-derived from (previous latest U new records) into a
-new epoch folder, so no job reads and overwrites the same path.
+is parsed once and written as (month, archive) partitions with dynamic overwrite: a
+batch that is run again replaces its own archives and no other of the same month.
+The latest-record table is derived from (newest earlier epoch U new records) into
+an epoch folder of its own; an epoch counts once Spark has committed it, so a lost
+job never harms the state before it.
 """
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.sampling import latest_per_company
 from ..plans.dataset import parse_month
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, folders, materialise, path_exists
 from ..sources.archives import explode_archives
 
 BINARY_FILE_SCHEMA = T.StructType([
@@ -23,26 +28,32 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
+def latest_epoch(spark: SparkSession, out: str, before: int | None = None) -> str | None:
+    """The folder of the newest committed epoch of the latest-record table, None before the first."""
+    base = f"{out.rstrip('/')}/latest"
+    done = [int(name[6:]) for name in folders(spark, base) if name.startswith("epoch=") and path_exists(spark, f"{base}/{name}/_SUCCESS")]
+    done = [e for e in done if before is None or e < before]
+    return f"{base}/epoch={max(done)}" if done else None
+
+
 def incremental_ingest(spark: SparkSession, src: str, out: str, name: str = "ingest", glob: str = "*.zip"):
-    """T1 + T2: process new archives under ``src`` into ``out``; returns the finished query."""
-    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    """T1 + T2: process new archives under ``src`` into ``out``; returns the finished query.
+    Each pair of source and output has a stream checkpoint of its own."""
+    own = hashlib.sha256(f"{src}\0{out}\0{glob}".encode()).hexdigest()[:16]
+    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{own}"
     stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(src))
 
     def batch(df: DataFrame, epoch: int) -> None:
-        recs = parse_month(explode_archives(df))
+        session = df.sparkSession
+        archive = F.md5(F.substring_index("filing_id", "!", 1))
+        recs = materialise(parse_month(explode_archives(df)).withColumn("archive_part", archive))
         (recs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("month").parquet(f"{out}/records"))
-        new = recs.drop("month")
-        prev_path = f"{out}/latest/_current"
-        try:
-            prev = df.sparkSession.read.parquet(prev_path)
-            base = prev.unionByName(new, allowMissingColumns=True)
-        except Exception:  # first batch: no state yet
-            base = new
-        latest = latest_per_company(base)
-        latest.write.mode("overwrite").parquet(f"{out}/latest/epoch={epoch}")
-        df.sparkSession.read.parquet(f"{out}/latest/epoch={epoch}").write.mode("overwrite").parquet(prev_path)
+         .partitionBy("month", "archive_part").parquet(f"{out}/records"))
+        new = recs.drop("month", "archive_part")
+        state = latest_epoch(session, out, before=epoch)
+        base = new if state is None else session.read.parquet(state).unionByName(new, allowMissingColumns=True)
+        latest_per_company(base).write.mode("overwrite").parquet(f"{out}/latest/epoch={epoch}")
 
     q = stream.writeStream.foreachBatch(batch).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()

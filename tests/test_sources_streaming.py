@@ -42,7 +42,8 @@ def test_incremental_ingest_processes_new_archives_once(spark):
     incremental_ingest(spark, src, out, name=os.path.basename(out))
     recs = spark.read.parquet(f"{out}/records")
     assert recs.count() == 2
-    assert spark.read.parquet(f"{out}/latest/_current").count() == 2
+    from ledgerkit.streaming.ingest import latest_epoch
+    assert spark.read.parquet(latest_epoch(spark, out)).count() == 2
 
 
 def test_archive_data_source_splits_members(spark):
@@ -60,3 +61,100 @@ def test_archive_data_source_splits_members(spark):
     assert {str(r.published) for r in rows} == {"2025-03-04"}
     from ledgerkit.operators.extract import parse_filings, rejects
     assert rejects(parse_filings(df)).count() == 0
+
+
+def test_two_daily_archives_of_one_month_both_stay(spark):
+    from ledgerkit.streaming.ingest import incremental_ingest, latest_epoch
+    src, out = tempfile.mkdtemp(prefix="lk-src-"), tempfile.mkdtemp(prefix="lk-out-")
+    for day, make in (("02", full_filing), ("03", micro_filing)):
+        with open(os.path.join(src, f"Accounts_Bulk_Data-2025-01-{day}.zip"), "wb") as f:
+            f.write(_zip({"a.html": make()}))
+        incremental_ingest(spark, src, out)
+    assert spark.read.parquet(f"{out}/records").count() == 2
+    assert spark.read.parquet(latest_epoch(spark, out)).count() == 2
+
+
+def test_monthly_names_same_names_and_rejects(spark):
+    from ledgerkit.operators.extract import parse_filings, rejects
+    from ledgerkit.operators.normalise import normalise
+    from ledgerkit.sources.archive_source import read_archives
+    from ledgerkit.sources.archives import scan_archives
+    d = tempfile.mkdtemp(prefix="lk-month-")
+    for folder in ("one", "two"):
+        os.mkdir(os.path.join(d, folder))
+        with open(os.path.join(d, folder, "Accounts_Monthly_Data-January2025.zip"), "wb") as f:
+            f.write(_zip({"a.html": full_filing(), "empty.html": b"", "text.html": b"no markup"}))
+    for filings in (scan_archives(spark, d), read_archives(spark, d, members_per_partition=2)):
+        rows = filings.select("filing_id", "published").collect()
+        assert len({r.filing_id for r in rows}) == 6 and {str(r.published) for r in rows} == {"2025-01-01"}
+        parsed = parse_filings(filings)
+        assert {r.filing_id.rpartition("!")[2] for r in rejects(parsed).collect()} == {"empty.html", "text.html"}
+        assert normalise(parsed).count() == 2
+
+
+def test_of_equal_members_the_last_counts(spark):
+    import warnings
+
+    from ledgerkit.sources.archives import scan_archives
+    d = tempfile.mkdtemp(prefix="lk-dup-")
+    with warnings.catch_warnings(), zipfile.ZipFile(os.path.join(d, "Accounts_Bulk_Data-2025-01-02.zip"), "w") as z:
+        warnings.simplefilter("ignore")
+        z.writestr("a.html", "first")
+        z.writestr("a.html", "second")
+    assert [bytes(r.content) for r in scan_archives(spark, d).collect()] == [b"second"]
+
+
+def test_build_product_of_a_monthly_archive_resumes(spark):
+    from ledgerkit.plans.dataset import build_product
+    from ledgerkit.sources.archives import scan_archives
+    d, out = tempfile.mkdtemp(prefix="lk-bp-"), tempfile.mkdtemp(prefix="lk-bpo-")
+    with open(os.path.join(d, "Accounts_Monthly_Data-January2025.zip"), "wb") as f:
+        f.write(_zip({"a.html": full_filing(), "b.html": micro_filing()}))
+    first = build_product(scan_archives(spark, d), None, out, "1")["version"]
+    assert spark.read.parquet(first).count() == 2
+    part, = [p for p in os.listdir(f"{out}/_parts") if p.startswith("month=")]
+    stamp = sorted(os.listdir(f"{out}/_parts/{part}"))
+    with open(os.path.join(d, "Accounts_Monthly_Data-February2025.zip"), "wb") as f:
+        f.write(_zip({"c.html": full_filing()}))
+    second = build_product(scan_archives(spark, d), None, out, "2")["version"]
+    assert spark.read.parquet(second).count() == 3
+    assert sorted(os.listdir(f"{out}/_parts/{part}")) == stamp  # January was not built again
+    trial = build_product(scan_archives(spark, d), None, out, "3", trial=True)["version"]
+    assert spark.read.parquet(trial).select("month").distinct().count() == 1
+
+
+def test_latest_takes_iso_dates_before_others_and_leaves_null_numbers_out(spark):
+    from ledgerkit.operators.sampling import latest_per_company
+    rows = [("1", "31 December 2020", "a", "f1"), ("1", "2024-12-31", "b", "f2"), ("2", None, "c", "f3"),
+            ("2", "x", "a", "f4"), (None, "2024-12-31", "d", "f5"), (None, "2024-12-31", "e", "f6")]
+    df = spark.createDataFrame(rows, "company_number string, period_end string, source_file string, filing_id string")
+    latest = latest_per_company(df)
+    assert {r.company_number: r.filing_id for r in latest.collect()} == {"1": "f2", "2": "f4"}
+    assert "WindowGroupLimit" in latest._jdf.queryExecution().executedPlan().toString()
+
+
+def test_draws_hold_five_different_rows_whatever_the_pool(spark):
+    from ledgerkit.operators.sampling import groups_of_draws
+    for n, size in ((3, 3), (5, 5), (6, 5), (4000, 5)):
+        got = groups_of_draws(spark.range(n), "id", 200, 5, 42).collect()
+        members = {}
+        for r in got:
+            members.setdefault(r.draw, set()).add(r.id)
+        assert len(members) == 200 and {len(m) for m in members.values()} == {size} and len(got) == 200 * size
+
+
+def test_markup_is_one_linear_pass():
+    import time
+
+    from ledgerkit.functions.markup import parse_filing, render_text
+    head = '<html xmlns="http://www.w3.org/1999/xhtml" xmlns:ix="http://www.xbrl.org/2013/inlineXBRL" xmlns:u="u">'
+    fact = '( <ix:nonFraction name="u:A" contextRef="c">1</ix:nonFraction> )'
+    took = []
+    for n in (4000, 16000):
+        t = time.process_time()
+        facts = parse_filing(f"{head}<p>{fact * n}</p></html>")["facts"]
+        took.append(time.process_time() - t)
+        assert len(facts) == n and {(f["mark_before"], f["mark_after"]) for f in facts} == {("(", ")")}
+    assert took[1] < 12 * took[0] + 0.1
+    assert render_text("<p>x" * 1500, ()).count("x") == 1500
+    assert len(parse_filing(f"{head}{'<p><b>' * 1500}{fact}")["facts"]) == 1
