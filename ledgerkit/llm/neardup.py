@@ -9,19 +9,19 @@ probability (1 - (1 - s^half)^groups)^2: 0.9996 at s = 0.85, more above.
 1. Documents with equal shingle sets are one class; only classes go on, so copies cost nothing.
 2. A band that only one class has cannot be half of a shared key, so a class's keys are formed
    from its shared bands alone (on unlike documents: no key at all).
-3. First round: in each table every class is paired with one class drawn by hash, and of those
-   the one with the most bands in common is checked: at most one check a class.  Connected
-   components of the confirmed links are contracted.
-4. Second round, exact for what is left: in tables that still hold more than one component,
-   each class outside the table's largest component is checked against every class of another
-   component.  A large group of near copies is one component by then and costs nothing here.
+3. In turns, each class is paired with classes drawn by hash in each of its tables, and of those
+   the one with the most bands in common is checked: at most one check a class and turn.  Confirmed
+   links contract components, tables that hold one component only are left out, and the turns go
+   on until they find no link.  A large group of near copies becomes one component here.
+4. A last round is exact for what is left: in tables that still hold several components, each
+   class outside the table's largest one is checked against every class of another component.
    Before that, classes go in which too many shingles are in no other class still there: they
    cannot reach the similarity with any (an exact rule), and copies that were edited too much,
    each in its own way, would otherwise be checked against each other.
 
 A pair is checked only if sizes allow the similarity and MIN_BANDS of the 2 * groups bands agree
 (a true pair fails that with probability 1.4e-4 at 0.85).  A check intersects the full sets.
-There is no cap on partners: the rounds lose no link that the tables hold between components.
+There is no cap on partners: no link that the tables hold between components is lost.
 
 Defined results: null and empty texts have empty sets, are linked with nothing and are kept;
 rows that repeat an id or a text are of one class; a class without any id has a null
@@ -189,34 +189,56 @@ def link_classes(classes: DataFrame, texts: DataFrame, width: int = WIDTH, perce
     sets = written(shingle_sets(one_text, width), "sets")
     sketches = written(full.select("node", "n_shingles", *bands), "sketches")
 
-    drawn = keys.withColumn("draw", F.xxhash64("node", "key"))
-    lead = drawn.groupBy("key").agg(F.min("draw").alias("draw"))
-    lead = drawn.join(lead, ["key", "draw"]).select("key", F.col("node").alias("lead"))
-    star = keys.join(lead, "key").where("node != lead").select("node", "lead").distinct()
-    count, _, _ = _agree(groups, "x", "y")
-    star = (star.join(sketches.alias("x"), F.col("x.node") == star["node"]).join(sketches.alias("y"), F.col("y.node") == star["lead"])
-            .where(_may_link(groups, percent, "x", "y")).select(star["node"], "lead", count.alias("agree"))
-            .groupBy("node").agg(F.max_by("lead", F.struct("agree", "lead")).alias("lead")))
-    star = star.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
-    first = written(confirmed(star, sets, percent), "links")
-    labels = components(first)
-
-    placed = keys.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    per_key = placed.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi"), F.max_by("label", F.struct("n", "label")).alias("most"))
-    left = written(placed.join(per_key.where("lo < hi").select("key", "most"), "key").join(sketches, "node"), "open-keys")
-    able = can_link(sets.join(left.select("node").distinct(), "node", "left_semi"), percent)
-    left = written(left.join(able, "node"), "able-keys")
+    at = written(nodes.withColumn("label", F.col("node")), "labels")
+    open_keys, turn = written(keys.withColumn("label", F.col("node")), "open-keys"), 0
+    while True:  # every turn merges components; the turns end when the drawn pairs hold no link
+        links = written(confirmed(drawn_pairs(open_keys, sketches, turn, groups, percent), sets, percent), "links")
+        if links.isEmpty():
+            break
+        at = merged(at, links)
+        open_keys, turn = written(still_open(open_keys, at), "open-keys"), turn + 1
+
+    able = can_link(sets.join(open_keys.select("node").distinct(), "node", "left_semi"), percent)
+    most = open_keys.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("most"))
+    left = written(open_keys.join(able, "node").join(most, "key").join(sketches, "node"), "able-keys")
     x, y = left.where("label != most").alias("x"), left.alias("y")
     _, i, j = _agree(groups, "x", "y")
     once = (F.col("y.label") == F.col("y.most")) | (F.col("x.node") < F.col("y.node"))
     rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & once
                    & _may_link(groups, percent, "x", "y") & (F.col("x.i") == i) & (F.col("x.j") == j))
             .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
-    second = written(confirmed(rest, sets, percent), "links")
-    if second.isEmpty():
-        return labels
-    return components(first.union(second))
+    links = written(confirmed(rest, sets, percent), "links")
+    return at if links.isEmpty() else merged(at, links)
+
+
+def drawn_pairs(open_keys: DataFrame, sketches: DataFrame, turn: int, groups: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components, at most one for each class: in each table two classes
+    are drawn by hash, anew in each turn, and of those a class meets in its tables the one with the
+    most bands in common is taken."""
+    drawn = open_keys.withColumn("draw", F.xxhash64("node", "key", F.lit(turn)))
+    ends = drawn.groupBy("key").agg(F.min("draw").alias("lo"), F.max("draw").alias("hi")).select("key", F.explode(F.array("lo", "hi")).alias("draw"))
+    lead = drawn.join(ends, ["key", "draw"]).select("key", F.col("node").alias("lead"), F.col("label").alias("lead_label"))
+    met = open_keys.join(lead, "key").where("label != lead_label").select("node", "lead").distinct()
+    count, _, _ = _agree(groups, "x", "y")
+    met = (met.join(sketches.alias("x"), F.col("x.node") == met["node"]).join(sketches.alias("y"), F.col("y.node") == met["lead"])
+           .where(_may_link(groups, percent, "x", "y")).select(met["node"], "lead", count.alias("agree"))
+           .groupBy("node").agg(F.max_by("lead", F.struct("agree", "lead")).alias("lead")))
+    return met.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+
+
+def merged(at: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) after ``links`` between classes have joined their components."""
+    a, b = (at.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
+    edges = links.join(a, "a").join(b, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).where("a != b").distinct()
+    to = components(edges).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    return written(at.join(to, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+
+
+def still_open(keys: DataFrame, at: DataFrame) -> DataFrame:
+    """The rows of tables that hold more than one component."""
+    placed = keys.drop("label").join(at, "node")
+    several = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+    return placed.join(several, "key")
 
 
 def grouped(docs: DataFrame, keys: list[str], width: int = WIDTH, percent: int = MIN_PERCENT,
