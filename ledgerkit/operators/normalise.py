@@ -1,13 +1,14 @@
 """Normalisation (N1-N29): parsed filing -> one wide record with provenance.
 
-Every rule works inside one filing, and a parsed filing is one row holding its
-facts and contexts in document order.  So the whole of normalisation is a
-*narrow* projection built from higher-order array functions: no shuffle, no
-join, no Python.  At any scale the cost is one pass over the parsed rows.
+A parsed filing is one row holding its facts and contexts in document order.  Each
+fact finds its context there, then the facts become rows (no shuffle) and one
+aggregation by filing computes all picks and sums; the facts of a filing lie in one
+task, so the partial aggregation leaves one row per filing for its exchange.  No
+join, no Python.  Rejects (``parse_error``) are no records.
 
 Pick rule (N4): synonyms pooled; facts in the preferred period first, then the
-largest absolute value, ties to the first in document order.  This is
-``array_max`` over ``struct(in_period, abs(value), -ord, value)``.
+largest absolute value, ties to the first in document order.  This is the
+maximum of ``struct(in_period, abs(value), -ord, value)``.
 """
 from __future__ import annotations
 
@@ -74,23 +75,28 @@ def with_periods(parsed: DataFrame) -> DataFrame:
     return df.withColumn("period_start", F.array_min(starts))
 
 
-def fact_rows(df: DataFrame) -> DataFrame:
+def fact_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     """Facts as rows (explode, no shuffle): ord, parsed value (X7/X8), raw number
-    (N6), period flags and funding slot (N8/N9).  The context is looked up inside
-    the filing's own row (N3), so no join is needed."""
-    ex = df.select("*", F.posexplode_outer("facts").alias("ord", "f"))
+    (N6), period flags and funding slot (N8/N9).  Each fact finds its context in the
+    filing's own row (N3) before the explode, so no join is needed and the arrays of
+    contexts stay behind: a fact row carries its own few values and ``keys`` only."""
+    def resolved(f: Column, i: Column) -> Column:
+        ref = f["context_ref"]
+        in_inst = F.coalesce(F.array_contains("_inst_ids", ref), F.lit(False))
+        ctx = F.array(_last(F.filter("_ctx", lambda c: c["id"] == ref)))
+        slot = F.get(F.transform(ctx, lambda c: F.when(
+            c.isNotNull() & c["p_end"].eqNullSafe(F.col("period_end")),
+            F.coalesce(c["bucket"], F.when(in_inst, F.lit("plain"))))), F.lit(0))
+        own = [f[k].alias(k) for k in ("concept", "kind", "raw_text", "scale", "sign", "mark_before", "mark_after")]
+        return F.struct(i.alias("ord"), *own, in_inst.alias("in_inst"),
+                        F.coalesce(F.array_contains("_dur_ids", ref), F.lit(False)).alias("in_dur"), slot.alias("slot"))
+
+    ex = df.select(*keys, F.transform("facts", resolved).alias("_facts")).select(*keys, F.explode_outer("_facts").alias("f"))
     f = F.col("f")
-    ctx = _last(F.filter("_ctx", lambda c: c["id"] == f["context_ref"]))
-    in_inst = F.coalesce(F.array_contains("_inst_ids", f["context_ref"]), F.lit(False))
-    in_dur = F.coalesce(F.array_contains("_dur_ids", f["context_ref"]), F.lit(False))
     value = F.when(f["kind"] == "nonFraction", bracket_negated(
         displayed_number(f["raw_text"], f["scale"], f["sign"]), f["mark_before"], f["mark_after"]))
-    slot = F.when(ctx.isNotNull() & ctx["p_end"].eqNullSafe(F.col("period_end")),
-                  F.coalesce(ctx["bucket"], F.when(in_inst, F.lit("plain"))))
-    return ex.withColumns({
-        "concept": f["concept"], "kind": f["kind"], "raw_text": f["raw_text"],
-        "value": value, "raw_num": raw_number(f["raw_text"]),
-        "in_inst": in_inst, "in_dur": in_dur, "slot": slot})
+    return ex.select(*keys, "f.ord", "f.concept", "f.kind", "f.raw_text", value.alias("value"),
+                     raw_number(f["raw_text"]).alias("raw_num"), "f.in_inst", "f.in_dur", "f.slot")
 
 
 def _pick(field: str) -> Column:
@@ -169,7 +175,7 @@ def picks(parsed: DataFrame) -> DataFrame:
         "taxonomy_version": taxonomy_version(F.col("refs")),
         "currency": currency(F.col("units")),
     })
-    rows = fact_rows(df.withColumns({k: v for k, v in keys.items() if k not in df.columns}))
+    rows = fact_rows(df.withColumns({k: v for k, v in keys.items() if k not in df.columns}), list(keys))
     aggs = [_pick(f).alias(f"_p_{f}") for f in PICK_FIELDS]
     aggs += [_meta(tag).alias(f"_m_{key}") for key, tag in vocab.META_TAGS.items()]
     aggs += [_funding_sum(names, slot).alias(f"_fd_{label}_{slot}")

@@ -167,7 +167,7 @@ def q_coverage(spark, sf):
 
 
 def q_distribution(spark, sf):
-    p = product(spark, sf)
+    p = materialise(product(spark, sf).select("taxonomy", "accounts_type"))  # read twice, parsed once
     t = A.distribution(p, "taxonomy").select(F.lit("taxonomy").alias("dimension"),
                                              F.col("taxonomy").alias("value"), "n")
     a = A.distribution(p, "accounts_type").select(F.lit("accounts_type").alias("dimension"),
@@ -637,7 +637,7 @@ def q_item_sample(spark, sf):
 
 def q_manifest(spark, sf):
     """One manifest row (coverage, companies, distributions as JSON text)."""
-    m = A.manifest(product(spark, sf))
+    m = A.manifest(materialise(product(spark, sf)))  # several aggregates, one parse
     return m.select(*[c for c in m.columns if not c.endswith("_distribution")],
                     F.to_json("taxonomy_distribution").alias("taxonomy_distribution"),
                     F.to_json("accounts_type_distribution").alias("accounts_type_distribution"))
