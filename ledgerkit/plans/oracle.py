@@ -778,3 +778,34 @@ SELECT provider, model, item_id, category, model_answer FROM (
         + f"{_dist_json('taxonomy')} AS taxonomy_distribution, "
         + f"{_dist_json('accounts_type')} AS accounts_type_distribution FROM prod",
 })
+
+
+# ---- the rendered text of the virtual filings, straight from the tables -----------------------
+_BOUND = "CASE WHEN l_discount >= 0.07 AND l_discount < 0.08 THEN '{a} ' || t || ' {b}' WHEN l_discount >= 0.03 AND l_discount < 0.07 THEN '{a}' || t || '{b}' ELSE t END".format(a="(", b=")")
+_CONTEXTS = " || ' ' || ".join(
+    ["cid || ' ' || {0} || '-01-01 ' || {0} || '-12-31'".format(y) for y in ("y", "p")]
+    + ["cid || ' ' || {0} || '-12-31'".format(y) for y in ("y", "p")]
+    + ["cid || ' core:{1} ' || {0} || '-12-31'".format(y, m) for y in ("y", "p") for m in ("WithinOneYear", "AfterOneYear")])
+RENDER_CTE = f""",
+shown AS (SELECT okey, ord, concept, l_discount, CASE WHEN scale = '3' THEN format('{{:,}}', CAST(raw_num AS BIGINT))
+    ELSE format('{{:,}}', CAST(round(raw_num * 100) AS BIGINT) // 100) || '.' || lpad(CAST(CAST(round(raw_num * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0') END AS t FROM vf),
+cells AS (SELECT okey, string_agg(concept || ' ' || {_BOUND}, ' ' ORDER BY ord) AS cells FROM shown GROUP BY okey),
+heads AS (SELECT *, CAST(o_custkey AS VARCHAR) AS cid, printf('%04d', year(o_orderdate)) AS y, printf('%04d', year(o_orderdate) - 1) AS p FROM orders),
+texts AS (SELECT 'F' || CAST(o_orderkey AS VARCHAR) AS filing_id, concat_ws(' ', 'Annual accounts', {_CONTEXTS},
+    'iso4217:' || CASE WHEN o_orderstatus = 'O' THEN 'EUR' ELSE 'GBP' END || ' xbrli:pure', cells,
+    CASE o_orderstatus WHEN 'F' THEN 'false' WHEN 'P' THEN 'TRUE' END,
+    CASE o_custkey % 4 WHEN 0 THEN 'Audited' WHEN 1 THEN 'Unaudited' WHEN 2 THEN 'Exempt from audit' END,
+    CASE WHEN o_custkey % 4 = 3 AND o_orderkey % 2 = 0 THEN 'The company is entitled to exemption from audit.' END,
+    CASE WHEN o_totalprice >= 400000 THEN 'Full accounts' END,
+    CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_custkey % 2 = 0 THEN 'FRS102' END, '[redacted]') AS text
+  FROM heads LEFT JOIN cells ON okey = o_orderkey)
+"""
+
+ORACLE.update({
+    "render_filings": with_cte(FACTS_CTE + RENDER_CTE, """
+SELECT filing_id, CAST(length(text) AS INT) AS n_chars, md5(text) AS text_md5, false AS css_leak FROM texts"""),
+    "figure_visible": with_cte(PICKS_CTE + RENDER_CTE, """
+SELECT r.filing_id, strpos(replace(text, ',', ''), CAST(CAST(trunc(abs(net_assets)) AS BIGINT) AS VARCHAR)) > 0 AS visible,
+  false AS css_leak, true AS officer_redacted
+FROM rec r JOIN texts t ON t.filing_id = r.filing_id WHERE net_assets IS NOT NULL"""),
+})

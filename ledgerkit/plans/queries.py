@@ -529,6 +529,13 @@ def q_render_redacted(spark, sf):
         (F.length("text") - F.length(F.replace("text", F.lit("[redacted]"), F.lit("")))).alias("redacted_chars"))
 
 
+def q_render_filings(spark, sf):
+    """E14 over the virtual filings: length and digest of the exact text."""
+    t = filings(spark, sf).select("filing_id", R.render_redacted(F.col("content")).alias("text"))
+    return t.select("filing_id", F.char_length("text").alias("n_chars"), F.md5("text").alias("text_md5"),
+                    R.css_leak(F.col("text")).alias("css_leak"))
+
+
 def q_figure_visible(spark, sf):
     """V1 + V2 over rendered virtual filings, for the net-assets figure of each record."""
     f = filings(spark, sf)
@@ -542,6 +549,7 @@ def q_figure_visible(spark, sf):
 QUERIES.update({
     "render_redacted": q_render_redacted,
     "figure_visible": q_figure_visible,
+    "render_filings": q_render_filings,
 })
 
 
