@@ -37,6 +37,7 @@ SPAN, DECAY, RUN = 6, 0.5, 4
 N_LANDMARKS = 400
 MAX_TOXIC, MAX_CLEAN = 1500, 3000
 ROUNDS, COST = 3, 1.0
+FIT_BYTES = 400_000  # of text at a time while fitting
 MIN_SCORE = 0.7
 
 _BREAK, _DIGIT, _OTHER, _END, _SKIP = 31, 27, 28, 30, 255
@@ -116,7 +117,7 @@ def sentence_margins(seq: np.ndarray, start: np.ndarray, size: np.ndarray, weigh
 
 
 def _encoded(texts: list[str]) -> list[tuple]:
-    return [(a, *letters(buf, offs)) for a, _, buf, offs in B.chunks(pa.array(texts, pa.string()))]
+    return [(a, *letters(buf, offs)) for a, _, buf, offs in B.chunks(pa.array(texts, pa.string()), FIT_BYTES)]
 
 
 class _Landmarks:
@@ -167,15 +168,15 @@ class _Landmarks:
             row, col, w = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(row, kind="stable")
             row, col, w = row[order], col[order], w[order]
-            for lo in range(0, len(pick), 100):
-                hi = min(lo + 100, len(pick))
+            for lo in range(0, len(pick), 25):
+                hi = min(lo + 25, len(pick))
                 x, y = np.searchsorted(row, [lo, hi])
                 k = np.zeros((hi - lo, len(self.vectors)), np.float32)
                 if x < y:
                     first = np.flatnonzero(np.r_[True, row[x + 1:y] != row[x:y - 1]])
                     k[row[x:y][first] - lo] = np.add.reduceat(self.by_code[col[x:y]] * w[x:y, None], first)
-                out.append(k / np.sqrt(size[pick[lo:hi]])[:, None] @ self.root)
-        return np.concatenate(out) if out else np.zeros((0, self.root.shape[1]))
+                out.append((k / np.sqrt(size[pick[lo:hi]])[:, None] @ self.root).astype(np.float32))
+        return np.concatenate(out) if out else np.zeros((0, self.root.shape[1]), np.float32)
 
     def table(self, weights: np.ndarray) -> np.ndarray:
         """Weights of the linear machine as one number for each subsequence."""
@@ -186,16 +187,20 @@ class _Landmarks:
 
 def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
     """Linear support vector machine with squared hinge loss by Newton steps; the last weight is the bias."""
-    x = np.c_[x, np.ones(len(x))]
+    x = np.c_[x, np.ones(len(x), np.float32)]
     w = np.zeros(x.shape[1])
     ridge = np.ones(x.shape[1])
     ridge[-1] = 1e-3
     for _ in range(30):
         miss = 1 - y * (x @ w)
         active = miss > 0
-        xa, ca = x[active], cost[active]
-        grad = ridge * w - xa.T @ (ca * y[active] * miss[active])
-        step = np.linalg.solve((xa * ca[:, None]).T @ xa + np.diag(ridge), grad)
+        curve, grad = np.diag(ridge), ridge * w
+        for lo in range(0, len(x), 4096):  # in blocks: no copy of all active rows
+            on = np.flatnonzero(active[lo:lo + 4096]) + lo
+            xa = x[on].astype(np.float64)
+            grad -= xa.T @ (cost[on] * y[on] * miss[on])
+            curve = curve + (xa * cost[on, None]).T @ xa
+        step = np.linalg.solve(curve, grad)
         w = w - step
         if np.abs(step).max() < 1e-6:
             break
@@ -224,21 +229,9 @@ def fit(texts: list[str], toxic: np.ndarray) -> dict:
     if not len(texts) or toxic.min() == toxic.max():
         return {"weights": np.zeros(1 << 20, np.float32), "bias": 0.0, "slope": 0.0, "offset": -30.0}
     held = np.arange(len(texts)) % 4 == 3
-    words = [set(w for w in _plain(t).split() if 3 <= len(w) <= 24) for t in texts]
-    seen: dict[str, list[int]] = {}
-    for i, own in enumerate(words):
-        if not held[i]:
-            for w in own:
-                seen.setdefault(w, [0, 0])[int(toxic[i])] += 1
-    n = [max(1, int(((toxic == c) & ~held).sum())) for c in (0, 1)]
-    # log odds of a word's documents less one standard error
-    contrast = {w: np.log((c[1] + 0.5) / (c[0] + 0.5) * n[0] / n[1]) - np.sqrt(1 / (c[1] + 0.5) + 1 / (c[0] + 0.5))
-                for w, c in seen.items() if c[1] >= 2}
-    telling = sorted((w for w in contrast if contrast[w] > 0), key=lambda w: (-contrast[w], w))[:N_LANDMARKS * 3 // 4]
-    common = sorted((w for w in seen if w not in set(telling)), key=lambda w: (-sum(seen[w]), w))
-    marks = _Landmarks(telling + common[:N_LANDMARKS - len(telling)])
-
     encoded = _encoded(texts)
+    telling, common = _landmark_words(encoded, toxic, held)
+    marks = _Landmarks(telling + common)
     doc = [a + d for a, _, _, _, d in encoded]
     table, bias = marks.table(marks.root.T @ np.r_[np.ones(len(telling)), -np.ones(len(marks.vectors) - len(telling))]), 0.0
     rng = np.random.default_rng(6)
@@ -274,9 +267,36 @@ _PLAIN[[0, _BREAK]] = ord(" ")
 _PLAIN[_DIGIT] = ord("0")
 
 
-def _plain(text: str) -> str:
-    """The text's folded words, for counting them."""
-    return " ".join(_PLAIN[seq].tobytes().decode() for _, seq, *_ in _encoded([text or ""]))
+def _landmark_words(encoded: list[tuple], toxic: np.ndarray, held: np.ndarray) -> tuple[list[str], list[str]]:
+    """(words that set toxic rows apart, most common other words), folded; words are counted by hash."""
+    runs, hashes, rows = [], [], []
+    for a, seq, start, _, doc in encoded:
+        plain = _PLAIN[seq]
+        s, e, _ = B.words(plain, np.array([0, len(plain)]))
+        fit_size = (e - s >= 3) & (e - s <= 24)
+        s, e = s[fit_size], e[fit_size]
+        h = B.word_hashes(plain, s, e)
+        runs.append((plain, s, e, h))
+        one, row = B.distinct_by_doc(h.copy(), (a + doc[np.searchsorted(start, s, "right") - 1]) if len(s) else np.zeros(0, np.int64))
+        hashes.append(one[~held[row]])
+        rows.append(toxic[row][~held[row]])
+    own, at = np.unique(np.concatenate(hashes), return_inverse=True)
+    label = np.concatenate(rows)
+    c1 = np.bincount(at, label, len(own))
+    c0 = np.bincount(at, 1 - label, len(own))
+    n = [max(1, int(((toxic == c) & ~held).sum())) for c in (0, 1)]
+    # log odds of a word's rows less one standard error
+    contrast = np.log((c1 + 0.5) / (c0 + 0.5) * n[0] / n[1]) - np.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5))
+    contrast[c1 < 2] = 0
+    best = np.lexsort((own, -contrast))[:N_LANDMARKS * 3 // 4]
+    best = best[contrast[best] > 0]
+    rest = np.lexsort((own, -(c0 + c1)))
+    rest = rest[~np.isin(rest, best)][:N_LANDMARKS - len(best)]
+    wanted, found = np.sort(own[np.r_[best, rest]]), {}
+    for plain, s, e, h in runs:
+        for i in np.flatnonzero(np.isin(h, wanted)):
+            found.setdefault(int(h[i]), plain[s[i]:e[i]].tobytes().decode())
+    return [found[int(own[i])] for i in best], [found[int(own[i])] for i in rest]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, fold: int = 3, held_out: int = 1) -> DataFrame:
