@@ -801,6 +801,8 @@ texts AS (SELECT 'F' || CAST(o_orderkey AS VARCHAR) AS filing_id, concat_ws(' ',
   FROM heads LEFT JOIN cells ON okey = o_orderkey)
 """
 
+ORACLE["rejects"] = """SELECT 'F' || CAST(o_orderkey AS VARCHAR) AS filing_id,
+  'EmptyFiling: no element in the document' AS parse_error FROM orders WHERE o_custkey % 10 <= 2"""
 ORACLE.update({
     "render_filings": with_cte(FACTS_CTE + RENDER_CTE, """
 SELECT filing_id, CAST(length(text) AS INT) AS n_chars, md5(text) AS text_md5, false AS css_leak FROM texts"""),

@@ -611,6 +611,15 @@ def q_facts_with_context(spark, sf):
                      F.size("dimensions").alias("n_dimensions"))
 
 
+def q_rejects(spark, sf):
+    """X11 over virtual filings some of which are broken: every tenth customer's filings are
+    empty, the next tenth's are missing, the next one's hold no markup."""
+    f = filings(spark, sf).join(table(spark, sf, "orders").select(
+        F.concat(F.lit("F"), F.col("o_orderkey")).alias("filing_id"), (F.col("o_custkey") % 10).alias("_k")), "filing_id")
+    broken = F.when(F.col("_k") == 0, F.encode(F.lit(""), "UTF-8")).when(F.col("_k") == 2, F.encode(F.lit("no markup"), "UTF-8"))
+    return X.rejects(X.parse_filings(f.withColumn("content", F.when(F.col("_k") <= 2, broken).otherwise(F.col("content"))).drop("_k")))
+
+
 def q_distinct_numbers(spark, sf):
     return A.distinct_numbers(records(spark, sf))
 
@@ -654,6 +663,7 @@ def q_manifest(spark, sf):
 QUERIES.update({
     "facts_with_context": q_facts_with_context,
     "distinct_numbers": q_distinct_numbers,
+    "rejects": q_rejects,
     "cap_filings": q_cap_filings,
     "items_by_category": q_items_by_category,
     "candidate_counts": q_candidate_counts,

@@ -96,3 +96,23 @@ def test_read_dataset_takes_newest_version_and_existing_columns(spark):
     write_version(df.withColumn("net_assets", F.lit(2.0)), base, "2025-02-01")
     got = read_dataset(spark, base, ["company_number", "net_assets", "no_such_column"]).collect()
     assert [tuple(r) for r in got] == [("A", 2.0)]
+
+
+def test_quota_is_filled_however_many_texts_the_guard_rejects(spark):
+    from ledgerkit.plans.raw_benchmark import _take_first_valid
+    cands = spark.createDataFrame([(f"f{i}", "turnover", "turnover_trap", f"{i:04d}") for i in range(60)]
+                                  + [(f"f{i}", "cash", "extraction", f"{i:04d}") for i in range(3)],
+                                  "filing_id string, field string, category string, _h string")
+    filings = spark.createDataFrame([(f"f{i}", f"<p>{'Revenue was' if i < 50 else 'Cash is'} {i}</p>".encode()) for i in range(60)],
+                                    "filing_id string, content binary")
+    got = _take_first_valid(cands, filings, {"turnover": 5, "cash": 4, "employees": 2}, trap_guard=True).collect()
+    assert sorted(r.filing_id for r in got if r.field == "turnover") == [f"f{i}" for i in range(50, 55)]
+    assert sorted(r.filing_id for r in got if r.field == "cash") == ["f0", "f1", "f2"]
+
+
+def test_a_model_whose_answers_all_errored_is_named(spark):
+    from ledgerkit.operators.grading import accuracy
+    rows = [("p", "good", "a", True, False), ("p", "good", "b", False, True), ("p", "bad", "a", False, True)]
+    got = {(r.model, r.category): (r.scored, r.accuracy, r.errors) for r in accuracy(spark.createDataFrame(
+        rows, "provider string, model string, category string, correct boolean, errored boolean")).collect()}
+    assert got == {("good", None): (1, 1.0, 1), ("good", "a"): (1, 1.0, 1), ("bad", None): (0, None, 1)}
