@@ -42,8 +42,8 @@ _NUMERIC = re.compile(r"[\d+(][\d .()+-]*\d")
 _NUMBERS = re.compile(
     r"(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d|\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<card>(?<![\w+])\d(?:[ -]?\d){12,18}(?!\w))"
-    r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w-]))"
+    r"|(?P<card>(?<![\w+])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w))"
+    r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}|\(\d{2,4}\)[ -]?\d{3,4}[ -]\d{3,4}|\d{3}-\d{3}-\d{4})(?![\w-]))"
     r"|(?P<wire>\+\d{8,15}(?!\w))")
 #: Titles with the gender they tell (none: n).
 TITLES = {"Mr": "m", "Mister": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Г-н": "m", "господин": "m",
@@ -176,7 +176,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         for m in _NUMBERS.finditer(text, run.start(), run.end()):
             if any(a < m.end() and m.start() < b for a, b in taken):
                 continue
-            kind, digits = m.lastgroup, re.sub(r"\D", "", m[0])
+            kind, digits = next(k for k in ("ip", "ssn", "card", "phone", "wire") if m[k]), re.sub(r"\D", "", m[0])
             if kind == "ip":
                 parts = m[0].split(".")
                 if max(map(int, parts)) > 255:
