@@ -259,7 +259,8 @@ def grouped(docs: DataFrame, keys: list[str], width: int = WIDTH, percent: int =
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = MIN_PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
     rows = written(grouped(docs, ["doc_id"], width, percent), "groups")
-    least = rows.where(F.col("group").isNotNull()).groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    # written, so the join below reads two plain shuffles and Spark can split the one of a large group
+    least = written(rows.where(F.col("group").isNotNull()).groupBy("group").agg(F.min("doc_id").alias("component_id")), "least")
     linked = rows.where(F.col("group").isNotNull()).join(least, "group")
     alone = rows.where(F.col("group").isNull()).withColumn("component_id", F.col("doc_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
@@ -273,7 +274,7 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = MIN_PERCENT)
     base = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
     rows = written(grouped(base, ["doc_id", "_row"], width, percent).where(F.col("group").isNotNull()), "groups")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
-    best = rows.groupBy("group").agg(F.min_by("_row", order).alias("best"))
+    best = written(rows.groupBy("group").agg(F.min_by("_row", order).alias("best")), "best")
     dropped = rows.join(best, "group").where("_row != best").select("_row")
     return base.join(dropped, "_row", "left_anti").select(*back)
 
