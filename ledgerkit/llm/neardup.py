@@ -12,7 +12,7 @@ probability (1 - (1 - s^half)^groups)^2: 0.9996 at s = 0.85, more above.
 3. In turns, each class is paired with classes drawn by hash in each of its tables, and of those
    the one with the most bands in common is checked: at most one check a class and turn.  Confirmed
    links contract components, tables that hold one component only are left out, and the turns go
-   on until they find no link.  A large group of near copies becomes one component here.
+   on until one finds few links (the next round is exact).  A large group of near copies becomes one component here.
 4. A last round is exact for what is left: in tables that still hold several components, each
    class outside the table's largest one is checked against every class of another component.
    Before that, classes go in which too many shingles are in no other class still there: they
@@ -46,6 +46,8 @@ WIDTH = 5
 MIN_PERCENT = 85
 HALF, GROUPS = 3, 9
 MIN_BANDS = 4
+#: Turns of drawn pairs end with one that finds less than this part of the first turn's links.
+TURNS_END = 20
 SEED = 7
 
 _SET = ["n_shingles", "k1", "k2"]
@@ -191,10 +193,13 @@ def link_classes(classes: DataFrame, texts: DataFrame, width: int = WIDTH, perce
 
     at = written(nodes.withColumn("label", F.col("node")), "labels")
     open_keys, turn = written(keys.withColumn("label", F.col("node")), "open-keys"), 0
-    while True:  # every turn merges components; the turns end when the drawn pairs hold no link
+    first = found = 0
+    while found * TURNS_END >= first:  # the exact round below finds what the turns leave
         links = written(confirmed(drawn_pairs(open_keys, sketches, turn, groups, percent), sets, percent), "links")
-        if links.isEmpty():
+        found = links.count()
+        if not found:
             break
+        first = first or found
         at = merged(at, links)
         open_keys, turn = written(still_open(open_keys, at), "open-keys"), turn + 1
 
