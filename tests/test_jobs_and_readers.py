@@ -116,3 +116,26 @@ def test_a_model_whose_answers_all_errored_is_named(spark):
     got = {(r.model, r.category): (r.scored, r.accuracy, r.errors) for r in accuracy(spark.createDataFrame(
         rows, "provider string, model string, category string, correct boolean, errored boolean")).collect()}
     assert got == {("good", None): (1, 1.0, 1), ("good", "a"): (1, 1.0, 1), ("bad", None): (0, None, 1)}
+
+
+def test_results_are_saved_read_and_regraded(spark):
+    from ledgerkit.operators.grading import accuracy, from_saved, regrade, sign_flips
+    from ledgerkit.sinks.writers import write_results
+    from ledgerkit.sources.inputs import read_items, read_results
+    d = tempfile.mkdtemp(prefix="lk-res-")
+    schema = ("item_id string, provider string, model string, category string, field string, company_number string, "
+              "model_answer string, correct boolean, errored boolean, answer_num double")
+    rows = [("h1", "p", m, "extraction", "net_assets", "1", "100", False, False, -100.0) for m in ("a", "b")]
+    rows += [("h2", "p", m, "turnover_trap", "turnover", "2", "50", False, False, None) for m in ("a", "b")]
+    rows += [("h3", "p", "a", "turnover_trap", "turnover", "3", "none", True, False, None)]
+    graded = spark.createDataFrame(rows, schema)
+    write_results(graded, accuracy(graded), os.path.join(d, "results"))
+    items = spark.createDataFrame([(f"h{i}", (str(i),)) for i in (1, 2, 3)], "id string, meta struct<company_number:string>")
+    items.write.json(os.path.join(d, "items"))
+    saved = read_results(spark, os.path.join(d, "results"))
+    assert saved.count() == 5
+    back = from_saved(saved, read_items(spark, os.path.join(d, "items")))
+    latest = spark.createDataFrame([("2", True), ("3", None)], "company_number string, dormant boolean")
+    got = {(r.model, r.category): (r.scored, r.accuracy) for r in regrade(back, latest).collect()}
+    assert got[("a", None)] == (2, 0.5) and got[("b", None)] == (1, 0.0) and ("b", "turnover_trap") not in got
+    assert {r.model: r.sign_flips for r in sign_flips(back).collect()} == {"a": 1, "b": 1}
