@@ -18,13 +18,33 @@ def parse_month(filings: DataFrame) -> DataFrame:
     return recs.withColumn("month", F.date_format("published", "yyyy-MM"))
 
 
-def publish(records: DataFrame, meta: DataFrame, base: str, version: str) -> dict:
-    """Normalise numbers, join metadata, write the version, preview and manifest."""
+STEPS = ("read the filings of the trailing months out of their archives, inner ones included",
+         "extract the tagged facts and normalise both reporting standards to one record with provenance",
+         "join the company register without personal data, where one is given",
+         "write the records as a versioned Parquet table with preview, coverage and this manifest")
+PERSONAL_DATA = "left out by design: no names of persons, dates of birth or address lines; town and outward postcode only"
+
+
+def described(manifest: DataFrame, version: str, sources=(), licence: str | None = None) -> DataFrame:
+    """K7: the manifest's counts with where the data come from and how they were made."""
+    texts = lambda xs: F.array(*[F.lit(x) for x in xs]).cast("array<string>")
+    return manifest.withColumns({
+        "version": F.lit(version), "generated": F.current_date().cast("string"), "sources": texts(sources),
+        "licence": F.lit(licence).cast("string"), "processing_steps": texts(STEPS), "personal_data": F.lit(PERSONAL_DATA)})
+
+
+def _reports(out: str, spark, version: str, sources, licence) -> None:
+    written = spark.read.parquet(out)
+    K.write_preview(written, f"{out}/_preview")
+    K.write_manifest(described(A.manifest(written), version, sources, licence), f"{out}/_manifest")
+    K.write_manifest(A.field_coverage(written), f"{out}/_coverage")
+
+
+def publish(records: DataFrame, meta: DataFrame, base: str, version: str, sources=(), licence: str | None = None) -> dict:
+    """Normalise numbers, join metadata, write the version, preview, manifest and coverage."""
     joined = join_metadata(records, meta)
     out = K.write_version(joined, base, version)
-    written = joined.sparkSession.read.parquet(out)
-    K.write_preview(written, f"{out}/_preview")
-    K.write_manifest(A.manifest(written), f"{out}/_manifest")
+    _reports(out, joined.sparkSession, version, sources, licence)
     return {"version": out}
 
 
@@ -46,7 +66,7 @@ TRIAL_MONTHS, TRIAL_FILINGS = 1, 3000
 
 
 def build_product(filings: DataFrame, meta: DataFrame | None, base: str, version: str,
-                  months: int = 12, trial: bool = False, rebuild: bool = False) -> dict:
+                  months: int = 12, trial: bool = False, rebuild: bool = False, sources=(), licence: str | None = None) -> dict:
     """D3: trailing months (W3) -> per-month records (D1, K3) -> publish.
 
     Months that already have a part are not parsed again (J14) unless ``rebuild``.  A trial takes
@@ -68,9 +88,9 @@ def build_product(filings: DataFrame, meta: DataFrame | None, base: str, version
     recs = spark.read.parquet(parts).withColumn("month", F.col("month").cast("string")).join(keep, "month", "left_semi")
     if meta is None:
         out = K.write_version(recs, base, version)
-        K.write_manifest(A.manifest(spark.read.parquet(out)), f"{out}/_manifest")
+        _reports(out, spark, version, sources, licence)
         return {"version": out}
-    return publish(recs, meta, base, version)
+    return publish(recs, meta, base, version, sources, licence)
 
 
 def read_dataset(spark, base: str, columns=None) -> DataFrame:

@@ -110,8 +110,11 @@ def test_build_product_of_a_monthly_archive_resumes(spark):
     d, out = tempfile.mkdtemp(prefix="lk-bp-"), tempfile.mkdtemp(prefix="lk-bpo-")
     with open(os.path.join(d, "Accounts_Monthly_Data-January2025.zip"), "wb") as f:
         f.write(_zip({"a.html": full_filing(), "b.html": micro_filing()}))
-    first = build_product(scan_archives(spark, d), None, out, "1")["version"]
+    first = build_product(scan_archives(spark, d), None, out, "1", sources=["archives"], licence="open")["version"]
     assert spark.read.parquet(first).count() == 2
+    told, = spark.read.json(f"{first}/_manifest/*.json").collect()
+    assert (told["version"], told["sources"], told["licence"]) == ("1", ["archives"], "open") and len(told["processing_steps"]) == 4
+    assert spark.read.json(f"{first}/_coverage/*.json").count() == 1
     part, = [p for p in os.listdir(f"{out}/_parts") if p.startswith("month=")]
     stamp = sorted(os.listdir(f"{out}/_parts/{part}"))
     with open(os.path.join(d, "Accounts_Monthly_Data-February2025.zip"), "wb") as f:
