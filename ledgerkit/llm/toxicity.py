@@ -37,7 +37,7 @@ SPAN, DECAY, RUN = 6, 0.5, 4
 N_LANDMARKS = 400
 MAX_TOXIC, MAX_CLEAN = 1500, 3000
 ROUNDS, COST = 3, 1.0
-FIT_BYTES = 400_000  # of text at a time while fitting
+FIT_TEXTS, FIT_BYTES = 100, 200_000  # at a time while fitting
 MIN_SCORE = 0.7
 
 _BREAK, _DIGIT, _OTHER, _END, _SKIP = 31, 27, 28, 30, 255
@@ -117,7 +117,13 @@ def sentence_margins(seq: np.ndarray, start: np.ndarray, size: np.ndarray, weigh
 
 
 def _encoded(texts: list[str]) -> list[tuple]:
-    return [(a, *letters(buf, offs)) for a, _, buf, offs in B.chunks(pa.array(texts, pa.string()), FIT_BYTES)]
+    """(first row, letters, sentence starts, sizes, rows) of runs of a few texts; small arrays only."""
+    out = []
+    for lo in range(0, len(texts), FIT_TEXTS):
+        for a, _, buf, offs in B.chunks(pa.array(texts[lo:lo + FIT_TEXTS], pa.string()), FIT_BYTES):
+            seq, *rest = letters(buf, offs)
+            out.append((lo + a, seq, *(x.astype(np.int32) for x in rest)))
+    return out
 
 
 class _Landmarks:
@@ -187,17 +193,16 @@ class _Landmarks:
 
 def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
     """Linear support vector machine with squared hinge loss by Newton steps; the last weight is the bias."""
-    x = np.c_[x, np.ones(len(x), np.float32)]
-    w = np.zeros(x.shape[1])
-    ridge = np.ones(x.shape[1])
+    w = np.zeros(x.shape[1] + 1)
+    ridge = np.ones(len(w))
     ridge[-1] = 1e-3
     for _ in range(30):
-        miss = 1 - y * (x @ w)
+        miss = 1 - y * (x @ w[:-1].astype(np.float32) + w[-1])
         active = miss > 0
         curve, grad = np.diag(ridge), ridge * w
-        for lo in range(0, len(x), 4096):  # in blocks: no copy of all active rows
-            on = np.flatnonzero(active[lo:lo + 4096]) + lo
-            xa = x[on].astype(np.float64)
+        for lo in range(0, len(x), 1024):  # in blocks: no copy of all active rows
+            on = np.flatnonzero(active[lo:lo + 1024]) + lo
+            xa = np.c_[x[on].astype(np.float64), np.ones(len(on))]
             grad -= xa.T @ (cost[on] * y[on] * miss[on])
             curve = curve + (xa * cost[on, None]).T @ xa
         step = np.linalg.solve(curve, grad)
@@ -231,7 +236,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> dict:
     held = np.arange(len(texts)) % 4 == 3
     encoded = _encoded(texts)
     telling, common = _landmark_words(encoded, toxic, held)
-    marks = _Landmarks(telling + common)
+    marks = _Landmarks(telling + common or ["none"])
     doc = [a + d for a, _, _, _, d in encoded]
     table, bias = marks.table(marks.root.T @ np.r_[np.ones(len(telling)), -np.ones(len(marks.vectors) - len(telling))]), 0.0
     rng = np.random.default_rng(6)
@@ -245,7 +250,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> dict:
             top = m >= (worst[d] - 1e-6 if step == 0 else np.minimum(worst[d] - 1e-6, np.float32(1)))
             carry.append((toxic[d] == 1) & ~held[d] & top)
             clean = (toxic[d] == 0) & ~held[d]
-            rest.append(clean & ((m >= worst[d] - 1e-6) | (rng.random(len(d)) < 0.02)))
+            rest.append(clean & ((m >= worst[d] - 1e-6) | (rng.random(len(d)) < 0.01)))
         chosen = [np.flatnonzero(p | q) for p, q in zip(carry, rest)]
         x = marks.features(encoded, chosen)
         y = np.concatenate([np.where(p[c], 1.0, -1.0) for p, c in zip(carry, chosen)])
@@ -269,31 +274,39 @@ _PLAIN[_DIGIT] = ord("0")
 
 def _landmark_words(encoded: list[tuple], toxic: np.ndarray, held: np.ndarray) -> tuple[list[str], list[str]]:
     """(words that set toxic rows apart, most common other words), folded; words are counted by hash."""
-    runs, hashes, rows = [], [], []
-    for a, seq, start, _, doc in encoded:
-        plain = _PLAIN[seq]
-        s, e, _ = B.words(plain, np.array([0, len(plain)]))
-        fit_size = (e - s >= 3) & (e - s <= 24)
-        s, e = s[fit_size], e[fit_size]
-        h = B.word_hashes(plain, s, e)
-        runs.append((plain, s, e, h))
-        one, row = B.distinct_by_doc(h.copy(), (a + doc[np.searchsorted(start, s, "right") - 1]) if len(s) else np.zeros(0, np.int64))
-        hashes.append(one[~held[row]])
-        rows.append(toxic[row][~held[row]])
-    own, at = np.unique(np.concatenate(hashes), return_inverse=True)
-    label = np.concatenate(rows)
-    c1 = np.bincount(at, label, len(own))
-    c0 = np.bincount(at, 1 - label, len(own))
+    def words():
+        """(plain letters, starts, ends, hashes) of each run's words, and the distinct (hash, row) pairs."""
+        for a, seq, start, _, doc in encoded:
+            plain = _PLAIN[seq]
+            s, e, _ = B.words(plain, np.array([0, len(plain)]))
+            fits = (e - s >= 3) & (e - s <= 24)
+            s, e = s[fits], e[fits]
+            h = B.word_hashes(plain, s, e)
+            at = doc[np.searchsorted(start, s, "right") - 1] if len(s) else np.zeros(0, np.int32)
+            yield plain, s, e, h, *B.distinct_by_doc(h.copy(), a + at)
+
+    # words of toxic rows first: no other word can be telling, and common ones occur there too
+    seen = [one[(toxic[row] == 1) & ~held[row]] for *_, one, row in words()]
+    own, c1 = np.unique(np.concatenate(seen), return_counts=True)
+    own, c1 = own[c1 > 1], c1[c1 > 1]
+    if not len(own):
+        return [], []
+    c0 = np.zeros(len(own) + 1, np.int64)
+    for *_, one, row in words():
+        one = one[(toxic[row] == 0) & ~held[row]]
+        at = np.searchsorted(own, one)
+        at[(at < len(own)) & (own[np.minimum(at, len(own) - 1)] != one)] = len(own)
+        c0 += np.bincount(at, minlength=len(own) + 1)
+    c0 = c0[:-1]
     n = [max(1, int(((toxic == c) & ~held).sum())) for c in (0, 1)]
     # log odds of a word's rows less one standard error
     contrast = np.log((c1 + 0.5) / (c0 + 0.5) * n[0] / n[1]) - np.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5))
-    contrast[c1 < 2] = 0
     best = np.lexsort((own, -contrast))[:N_LANDMARKS * 3 // 4]
     best = best[contrast[best] > 0]
     rest = np.lexsort((own, -(c0 + c1)))
     rest = rest[~np.isin(rest, best)][:N_LANDMARKS - len(best)]
     wanted, found = np.sort(own[np.r_[best, rest]]), {}
-    for plain, s, e, h in runs:
+    for plain, s, e, h, *_ in words():
         for i in np.flatnonzero(np.isin(h, wanted)):
             found.setdefault(int(h[i]), plain[s[i]:e[i]].tobytes().decode())
     return [found[int(own[i])] for i in best], [found[int(own[i])] for i in rest]
