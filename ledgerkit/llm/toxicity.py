@@ -38,6 +38,7 @@ N_LANDMARKS = 400
 MAX_TOXIC, MAX_CLEAN = 1500, 3000
 ROUNDS, COST = 3, 1.0
 FIT_TEXTS, FIT_BYTES = 100, 200_000  # at a time while fitting
+SCORE_BYTES = 500_000  # of text at a time while scoring: some 25 arrays of that length are alive
 MIN_SCORE = 0.7
 
 _BREAK, _DIGIT, _OTHER, _END, _SKIP = 31, 27, 28, 30, 255
@@ -335,7 +336,7 @@ def scored(docs: DataFrame, model: dict, min_score: float = MIN_SCORE) -> DataFr
     def run(batches):
         m = shipped.value
         for batch in batches:
-            for a, b, buf, offs in B.chunks(batch.column(at)):
+            for a, b, buf, offs in B.chunks(batch.column(at), SCORE_BYTES):
                 worst = np.full(b - a, m["bias"])
                 seq, start, size, doc = letters(buf, offs)
                 if len(start):
