@@ -5,9 +5,12 @@ Two strings are alike as far as they share subsequences of four letters that lie
 (``idxiot``, ``id*iot``, ``i d i o t``) keeps most of its subsequences: separators between single
 letters are dropped, other separators are one letter of their own, accents are folded.
 
-The machine judges sentences (at most ``RUN`` words; a longer one is several): a document is as
-toxic as its worst sentence.  Labels are on documents, so training alternates between choosing
-the sentences of toxic documents that carry the label and fitting the machine.  Landmarks are the
+The machine judges sentences; of one of more than ``RUN`` words, each run of ``RUN`` words that
+follow one another, from every word on: a document is as toxic as its worst run.  No pattern
+reaches over more than three words, so each lies whole in a run, wherever the sentence begins.
+Sums are of whole numbers, so a run's margin does not depend on what stands around it.  Labels
+are on documents, so training alternates between choosing the runs of toxic documents that carry
+the label (of runs that overlap, the highest one) and fitting the machine.  Landmarks are the
 words that set toxic documents apart, and the most common words.  The Nyström map of a sentence s
 is K(s, landmarks) K(landmarks, landmarks)^(-1/2); a linear machine on it is a weighted sum of the
 landmarks' subsequences, so scoring needs one table of weights by subsequence (2^20 numbers) and
@@ -60,8 +63,8 @@ PATTERNS = [((*gaps, last), DECAY ** (last - 3)) for last in range(3, SPAN) for
 
 
 def letters(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(letter codes of all sentences with separators, start of each sentence, its letters, its document).
-    Three breaks lie between sentences, more than any pattern can skip."""
+    """(letter codes of all sentences with separators, start of each run of words, its letters, its document).
+    Three breaks lie between sentences, more than any pattern can skip; runs of a sentence overlap."""
     code = _CODE[buf]
     lead = np.flatnonzero(buf[:-1] == 0xC3)
     code[lead] = _FOLD[buf[lead + 1]]
@@ -85,19 +88,21 @@ def letters(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     new[1:] = (doc[word[1:]] != doc[word[:-1]]) | (ends[at[word[1:]]] != ends[at[word[1:] - 1]])
     joined = np.zeros(len(word), bool)
     joined[1:] = ~new[1:] & (size[1:] == 1) & (size[:-1] == 1)
-    n = np.cumsum(~joined)
-    new |= ~joined & ((n - np.maximum.accumulate(np.where(new, n, 0))) % RUN == 0)
     before = np.where(new, 5, np.where(joined, 0, 1))
     extra = np.zeros(len(at), np.int64)
     extra[word] = before
     place = np.arange(len(at)) + np.cumsum(extra)
     out = np.zeros(int(place[-1]) + 5, np.uint8)
     out[place] = seq[at]
-    start = place[word[new]]
     for k in (2, 3, 4):
-        out[start - k] = _BREAK
+        out[place[word[new]] - k] = _BREAK
     out[-3:] = _BREAK
-    return out, start - 1, np.diff(np.r_[word[new], len(at)]), doc[word[new]]
+    # a run from each word (joined letters are one) that has RUN words to the sentence's end, or is its first
+    group, opens = word[~joined], np.flatnonzero(new[~joined])
+    past = np.repeat(np.r_[opens[1:], len(group)], np.diff(np.r_[opens, len(group)]))
+    run = np.flatnonzero(new[~joined] | (np.arange(len(group)) + RUN <= past))
+    first, last = group[run], np.r_[group, len(at)][np.minimum(run + RUN, past[run])]
+    return out, place[first] - 1, last - first, doc[first]
 
 
 def subsequences(seq: np.ndarray):
@@ -110,11 +115,27 @@ def subsequences(seq: np.ndarray):
             yield a[:n] | b[i:n + i] | d[j:n + j] | c[k:], weight
 
 
+def _past(seq: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """End of each run, after the separator that follows its last letter."""
+    place = np.flatnonzero((seq != 0) & (seq != _BREAK))
+    return place[np.searchsorted(place, start) + size - 1] + 2
+
+
 def sentence_margins(seq: np.ndarray, start: np.ndarray, size: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(seq), np.float32)
-    for code, w in subsequences(seq):
-        total[:len(code)] += np.float32(w) * weights[code]
-    return np.add.reduceat(total, start) / np.sqrt(size)
+    """The machine's sum over each run, without the bias: patterns from its first place to its last."""
+    if not len(start):
+        return np.zeros(0)
+    scale = 2.0 ** 27 / max(float(np.abs(weights).max()), 1e-9)
+    whole = np.rint(weights * scale).astype(np.int32)
+    past, margin = _past(seq, start, size), np.zeros(len(start))
+    totals: dict[int, np.ndarray] = {}
+    for code, _ in subsequences(seq):
+        reach = len(seq) - len(code)
+        totals[reach] = totals.get(reach, 0) + whole[code]
+    for reach, total in totals.items():
+        upto = np.r_[0, np.cumsum(total, dtype=np.int64)]
+        margin += DECAY ** (reach - 3) * (upto[np.maximum(past - reach, start)] - upto[start])
+    return margin / scale / np.sqrt(size)
 
 
 def _encoded(texts: list[str]) -> list[tuple]:
@@ -152,25 +173,21 @@ class _Landmarks:
         self.root = basis[:, good] / np.sqrt(values[good])
 
     def features(self, encoded: list[tuple], chosen: list[np.ndarray]) -> np.ndarray:
-        """Nyström features of the chosen sentences of each run of texts."""
+        """Nyström features of the chosen runs of words of each part of the texts."""
         out = []
         for (_, seq, start, size, _), pick in zip(encoded, chosen):
             if not len(pick):
                 continue
-            # only the chosen sentences, each with the breaks before it
-            ends = np.r_[start[1:], len(seq)]
-            inside = np.zeros(len(seq) + 1, np.int64)
-            np.add.at(inside, start[pick], 1)
-            np.add.at(inside, ends[pick], -1)
-            inside = np.cumsum(inside)[:-1] > 0
-            row_of = np.full(len(start), -1, np.int64)
-            row_of[pick] = np.arange(len(pick))
-            sentence = np.searchsorted(start, np.flatnonzero(inside), "right") - 1
-            seq = seq[inside]
+            # only the chosen runs, each with breaks after it
+            long = _past(seq, start, size)[pick] - start[pick] + 3
+            opens = np.cumsum(long) - long
+            row_of = np.repeat(np.arange(len(pick)), long)
+            within = np.arange(len(row_of)) - opens[row_of]
+            seq = np.where(within < long[row_of] - 3, seq[np.minimum(start[pick][row_of] + within, len(seq) - 1)], _BREAK).astype(np.uint8)
             parts = []
             for code, w in subsequences(seq):
-                col, row = self.column[code], row_of[sentence[:len(code)]]
-                ok = (col >= 0) & (row >= 0)
+                col, row = self.column[code], row_of[:len(code)]
+                ok = col >= 0
                 parts.append((row[ok], col[ok], np.full(int(ok.sum()), w, np.float32)))
             row, col, w = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(row, kind="stable")
@@ -227,6 +244,16 @@ def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
+def _peaks(margin: np.ndarray, start: np.ndarray, past: np.ndarray) -> np.ndarray:
+    """Runs whose margin no run that shares a word with them exceeds; the first of equal ones."""
+    peak = np.ones(len(margin), bool)
+    for k in range(1, RUN):
+        shared = start[k:] < past[:-k]
+        peak[:-k] &= ~(shared & (margin[k:] > margin[:-k]))
+        peak[k:] &= ~(shared & (margin[:-k] >= margin[k:]))
+    return peak
+
+
 def fit(texts: list[str], toxic: np.ndarray) -> dict:
     """The model: weights by subsequence, bias, slope and offset of the score.
 
@@ -247,11 +274,11 @@ def fit(texts: list[str], toxic: np.ndarray) -> dict:
         for m, d in zip(margin, doc):
             np.maximum.at(worst, d, m)
         carry, rest = [], []
-        for m, d in zip(margin, doc):
+        for m, d, (_, seq, start, size, _) in zip(margin, doc, encoded):
             top = m >= (worst[d] - 1e-6 if step == 0 else np.minimum(worst[d] - 1e-6, np.float32(1)))
-            carry.append((toxic[d] == 1) & ~held[d] & top)
+            carry.append((toxic[d] == 1) & ~held[d] & top & _peaks(m, start, _past(seq, start, size)))
             clean = (toxic[d] == 0) & ~held[d]
-            rest.append(clean & ((m >= worst[d] - 1e-6) | (rng.random(len(d)) < 0.01)))
+            rest.append(clean & ((m >= worst[d] - 1e-6) | (rng.random(len(d)) < 0.01 / RUN)))
         chosen = [np.flatnonzero(p | q) for p, q in zip(carry, rest)]
         x = marks.features(encoded, chosen)
         y = np.concatenate([np.where(p[c], 1.0, -1.0) for p, c in zip(carry, chosen)])

@@ -122,6 +122,26 @@ def test_gapped_and_inserted_letters_are_tolerated():
     assert score("") == score("!!") <= 0.5
 
 
+def test_insults_in_pieces_are_found_at_every_word():
+    rng = np.random.default_rng(3)
+    bad = np.arange(240) % 3 == 0
+    model = toxicity.fit(sentences(rng, 240, bad), bad.astype(int))
+
+    def margin(text):
+        import pyarrow as pa
+        (_, _, buf, offs), = toxicity.B.chunks(pa.array([text]))
+        return max(toxicity.sentence_margins(*toxicity.letters(buf, offs)[:3], model["weights"]))
+
+    words = "render thone andre stion ofer whel inger hatan mesel dorin render ofer stion thone".split()
+    clean = margin(" ".join(words))
+    for at in range(len(words) + 1):
+        texts = [" ".join(words[:at] + ["grub", "zek"] + words[at:])]
+        texts += [f"{w} {texts[0]}" for w in ("whel", "whel thone", "whel thone ofer")]
+        own = [margin(t) for t in texts]
+        assert min(own) > clean + 0.5, at
+        assert min(own) == own[0], at  # words in front take nothing away
+
+
 def test_kernel_table_is_the_kernel():
     """The table of weights gives the same margin as the Nyström features of a sentence."""
     marks = toxicity._Landmarks(["grubzek", "render", "stion", "whel"])
