@@ -6,7 +6,7 @@ toxicity          documents that the machine rejects go
 near_duplicates   one document of each group of near copies stays (similarity 0.85 on word 5-shingles)
 decontamination   documents in which a benchmark item occurs go
 mixing            leaves of the domain-language-source tree are cut or repeated to their budgets
-sharding          every record gets its shard by the edited slot map
+sharding          every record gets its shard by the edited slot map, whose newest version is kept
 """
 from __future__ import annotations
 
@@ -33,7 +33,7 @@ def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def stage_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sharding.shard(docs)
+    return sharding.shard(docs, map_path=sharding.map_path(spark, "pipeline", sf_dir))
 
 
 STAGES = [("toxicity", stage_toxicity), ("near_duplicates", stage_near_duplicates),

@@ -14,13 +14,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; every executor and the
+def shared_folder(spark: SparkSession, name: str = "ledgerkit-llm") -> str:
+    """A folder in the one that the cluster names in ``spark.checkpoint.dir``; every executor and the
     driver reach it.  Without that setting there is no safe place, so this fails."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return f"{folder.rstrip('/')}/ledgerkit-llm"
+    return f"{folder.rstrip('/')}/{name}"
 
 
 def written(df: DataFrame, name: str = "table") -> DataFrame:

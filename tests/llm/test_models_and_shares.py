@@ -87,6 +87,36 @@ def test_edits_move_few_slots_and_are_stored(spark, tmp_path):
     assert [r["shard"] for r in sharding.load_map(spark, path, 0).orderBy("virtual_slot").collect()] == before.tolist()
 
 
+def test_runs_on_a_grown_table_edit_the_stored_map(spark, tmp_path):
+    import corpus_pipeline as p
+    sf, schema = str(tmp_path), "doc_id long, text string"
+    grow = lambda lo, hi: spark.createDataFrame([(i, "x" * (i * 7919 % 3000)) for i in range(lo, hi)], schema).coalesce(1).write.mode("append").parquet(f"{sf}/documents.parquet")
+    own = {"op3": lambda: sharding.op3_sharding(spark, sf).withColumnRenamed("map_version", "version"),
+           "pipeline": lambda: p.stage_sharding(spark, read(spark, sf, "documents"), sf)}
+    runs = {name: [] for name in own}
+    for lo, hi in ((0, 2000), (2000, 2000), (2000, 3000)):
+        if lo < hi:
+            grow(lo, hi)
+        for name, run in own.items():
+            rows = run().select("doc_id", "shard", "virtual_slot", "version", "size").collect()
+            assert len(rows) == len({r["doc_id"] for r in rows}) == hi
+            runs[name].append(rows)
+    for name, (first, again, grown) in runs.items():
+        assert [{r["version"] for r in x} for x in (first, again, grown)] == [{1}, {1}, {2}]
+        assert sorted(first) == sorted(again)
+        path, size = sharding.map_path(spark, name, sf), np.zeros(sharding.N_SLOTS, int)
+        for r in grown:
+            size[r["virtual_slot"]] += r["size"]
+        maps = [sharding.load_map(spark, path, v).orderBy("virtual_slot").collect() for v in range(3)]
+        assert [len(m) for m in maps] == [sharding.N_SLOTS] * 3
+        one, two = (np.array([r["shard"] for r in m]) for m in maps[1:])
+        assert (two == sharding.rebalance(one, size, 16)).all() and all(two[r["virtual_slot"]] == r["shard"] for r in grown)
+        dealt = sharding.rebalance(sharding.first_map(), size, 16)
+        assert 0 < (one != two).sum() < (one != dealt).sum()
+    fewer = sharding.rebalance(two, size, 12)
+    assert fewer.max() == 11 and (fewer[two < 12] != two[two < 12]).sum() < 400
+
+
 # -- 6, toxicity ------------------------------------------------------------------------------
 
 def sentences(rng, n, bad):
