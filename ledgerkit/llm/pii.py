@@ -12,7 +12,8 @@ name and a surname are replaced each for itself, so "Mr Ada Byron" and "Mr Byron
 
 Names are drawn by hash from a large set and could meet, and any surrogate could be a real value
 of the corpus.  Both are checked over the table of all distinct values: a value whose surrogate is
-taken or real gets its next attempt, until none is left.  Only values with a later attempt (few or
+taken or real gets its next attempt, until none is left.  From the fifth further attempt on a name has
+one syllable more each time, so the names never run out, however many a corpus holds.  Only values with a later attempt (few or
 none) are carried back to the texts that hold them; everything else follows from the key.
 
 Defined results: a null text stays null, an empty one empty; a text without entities is unchanged;
@@ -35,6 +36,7 @@ from .common import read, text_of, written
 KEY = "replace this key"
 ENTITIES = "array<struct<kind:string,first:int,past:int,surrogate:string>>"
 MAX_ATTEMPTS = 40
+NARROW_ATTEMPTS = 5  # with the first format of an e-mail address or name; later ones are wider
 ROUNDS = 8
 
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
@@ -115,7 +117,7 @@ def surrogate(key: str, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "email":
         local, _, host = value.partition("@")
         *labels, last = host.split(".")
-        wider = f"{int.from_bytes(hashlib.shake_256(f'{key}{tweak}{value}'.encode()).digest(4), 'big') % 10000:04d}" if attempt > 4 else ""
+        wider = f"{int.from_bytes(hashlib.shake_256(f'{key}{tweak}{value}'.encode()).digest(4), 'big') % 10000:04d}" if attempt >= NARROW_ATTEMPTS else ""
         return _same_pattern(key, tweak, local) + wider + "@" + ".".join([_same_pattern(key, f"{tweak}:host", x) for x in labels] + [last])
     if kind == "phone":
         lead = value[0] >= "2"
@@ -135,9 +137,10 @@ def surrogate(key: str, kind: str, value: str, attempt: int = 0) -> str:
                 return ".".join(str(number >> s & 255) for s in (24, 16, 8, 0))
     _, script, gender = kind.split("-")
     consonants, vowels = _SYLLABLES[script]
-    draw = int.from_bytes(hashlib.shake_256(f"{key}\0{tweak}\0{value}".encode()).digest(8), "big")
+    syllables = 3 + max(0, attempt - NARROW_ATTEMPTS + 1)
+    draw = int.from_bytes(hashlib.shake_256(f"{key}\0{tweak}\0{value}".encode()).digest(5 + syllables), "big")
     out = ""
-    for _ in range(3):
+    for _ in range(syllables):
         draw, c = divmod(draw, len(consonants))
         draw, v = divmod(draw, len(vowels))
         out += consonants[c] + vowels[v]
@@ -245,9 +248,12 @@ def _attempted(values: DataFrame, key: str) -> DataFrame:
 
 
 def surrogate_table(values: DataFrame, key: str) -> DataFrame:
-    """(kind, value, attempt, surrogate): surrogates that are distinct and no value of the corpus."""
+    """(kind, value, attempt, surrogate): surrogates that are distinct and no value of the corpus.
+
+    An attempt has its turn's number, not the value's own count: a value that gives way late goes
+    straight to the wider formats, else each would push another out of the narrow one."""
     table = written(_attempted(values.select("kind", "value").distinct().withColumn("attempt", F.lit(0)), key), "surrogates")
-    for _ in range(MAX_ATTEMPTS):
+    for turn in range(1, MAX_ATTEMPTS + 1):
         real = table.select("kind", F.col("value").alias("surrogate"))
         meets = table.join(real, ["kind", "surrogate"], "left_semi").select("kind", "value")
         holder = (table.groupBy("kind", "surrogate").agg(F.count("*").alias("n"), F.min_by("value", F.struct(-F.col("attempt"), F.col("value"))).alias("holder"))
@@ -258,7 +264,7 @@ def surrogate_table(values: DataFrame, key: str) -> DataFrame:
             return table
         tried = table.join(again, ["kind", "value"], "left")
         stay = tried.where("again is null").select("kind", "value", "attempt", "surrogate")
-        move = tried.where("again = 1").select("kind", "value", (F.col("attempt") + 1).alias("attempt"))
+        move = tried.where("again = 1").select("kind", "value", F.lit(turn).alias("attempt"))
         table = written(stay.unionByName(_attempted(move, key)), "surrogates")
     raise ValueError(f"no distinct surrogates after {MAX_ATTEMPTS} attempts: a format has too few values")
 

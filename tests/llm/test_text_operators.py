@@ -92,6 +92,17 @@ def test_collisions_get_another_attempt(spark, monkeypatch):
     assert len({r["surrogate"] for r in got}) == 78 and not {r["surrogate"] for r in got} & {r["value"] for r in got}
 
 
+def test_more_names_than_three_syllables_give(spark):
+    """280,000 Cyrillic surnames; there are 65 ** 3 = 274,625 of three syllables."""
+    n = 280_000
+    names = spark.range(n).selectExpr("'name-cyrillic-s' AS kind", "concat('ж', id) AS value")
+    table = pii.surrogate_table(names, "k")
+    assert table.count() == table.select("value").distinct().count() == table.select("surrogate").distinct().count() == n
+    last = table.orderBy("attempt", ascending=False).first()
+    assert last["attempt"] > 4 and last["surrogate"] == pii.surrogate("k", *last[:3])
+    assert [len(pii.surrogate("k", "name-latin-m", "ada", a)) for a in (0, 4, 5, 6, 12)] == [7, 7, 9, 11, 23]
+
+
 def test_later_attempts_reach_the_texts(spark):
     real = pii.surrogate("k", "name-latin-s", "byron")
     docs = spark.createDataFrame([(1, "Mr Byron"), (2, f"Mrs {real.capitalize()}")], "doc_id long, text string")
