@@ -12,7 +12,8 @@ The items are a stated query set: they are read in blocks of at most BLOCK_BYTES
 shipped to the tasks once and run against all documents, which are neither shuffled nor split.
 
 Defined results: a null text is empty; an empty document has no hits; items whose normalised
-text is empty are left out, items of equal text are found together; repeated documents are each
+text is empty are left out, items of equal text are found together, each id once; an item without
+an id is found with a null ``item_id``; repeated documents are each
 searched; an empty table on either side gives no hits; columns of the documents are kept (a
 column ``hits`` of the input is replaced).
 """
@@ -87,7 +88,7 @@ def myers(pattern: bytes, text: bytes) -> tuple[int, int]:
 class Pieces:
     """The pieces of a block of items, by a hash of their first bytes."""
 
-    def __init__(self, items: list[tuple[bytes, list[int]]], bytes_per_edit: int):
+    def __init__(self, items: list[tuple[bytes, list[int | None]]], bytes_per_edit: int):
         self.items = items
         self.edits = [len(t) // bytes_per_edit for t, _ in items]
         found: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
@@ -140,19 +141,22 @@ def occurrences(pieces: Pieces, buf: np.ndarray, offs: np.ndarray) -> dict[int,
 
 def item_blocks(items: DataFrame, bytes_per_edit: int = BYTES_PER_EDIT, block_bytes: int = BLOCK_BYTES) -> Iterator[Pieces]:
     """The items in blocks of bounded bytes, as they come from the executors."""
+    def block() -> Pieces:
+        return Pieces(sorted((t, sorted(i, key=lambda x: (x is not None, x))) for t, i in known.items()), bytes_per_edit)
+
     known, size = {}, 0
-    for r in items.where("text is not null").groupBy("text").agg(F.sort_array(F.collect_set("item_id")).alias("ids")).toLocalIterator():
+    for r in items.where("text is not null").groupBy("text").agg(F.collect_set(F.struct("item_id")).alias("ids")).toLocalIterator():
         arr = pa.array([r["text"]])
         for _, _, buf, offs in B.chunks(arr):
             text = normalised(buf, offs)[0].tobytes().strip()
             if text:
-                known.setdefault(text, []).extend(r["ids"])
+                known.setdefault(text, set()).update(x["item_id"] for x in r["ids"])
                 size += len(text)
         if size >= block_bytes:
-            yield Pieces(sorted((t, sorted(i)) for t, i in known.items()), bytes_per_edit)
+            yield block()
             known, size = {}, 0
     if known:
-        yield Pieces(sorted((t, sorted(i)) for t, i in known.items()), bytes_per_edit)
+        yield block()
 
 
 def _with_hits(docs: DataFrame, pieces: Pieces) -> DataFrame:

@@ -172,6 +172,15 @@ def test_decontamination_edges(spark, edge_docs, no_docs):
     assert decontamination.decontaminated(no_docs, items).count() == 0
 
 
+def test_items_without_an_id_are_found(spark):
+    schema = "item_id long, text string"
+    items = spark.createDataFrame([(None, "gamma delta epsilon"), (None, "Gamma  delta epsilon"), (3, "one two three"), (None, "ONE two three")], schema)
+    docs = spark.createDataFrame([(1, "Alpha, gamma delta epsilon."), (2, "one two three"), (3, "nothing of it")], "doc_id long, text string")
+    got = {r["doc_id"]: [h["item_id"] for h in r["hits"]] for r in decontamination.find_items(docs, items).collect()}
+    assert got == {1: [None], 2: [None, 3], 3: []}
+    assert [r["doc_id"] for r in decontamination.decontaminated(docs, items).collect()] == [3]
+
+
 def test_spans_are_places_in_the_text(spark):
     docs = spark.createDataFrame([(1, "Überall É steht: «Alpha beta, GAMMA delta epsilon» hier")], "doc_id long, text string")
     items = spark.createDataFrame([(7, "alpha beta gamma delta epsilon")], "item_id long, text string")
