@@ -1,7 +1,8 @@
 """Operator 8, benchmark decontamination: pigeonhole edit matching.
 
-Both sides are normalised alike: ASCII and Latin-1 letters to lower case, runs of other
-characters to one space.  An item of n bytes may be found with up to k = n // 20 edited bytes.
+Both sides are normalised alike: ASCII and Latin-1 letters to lower case, runs of ASCII characters
+that are neither letters nor digits, and of Unicode's spaces, punctuation, control and format
+characters, to one space.  Other characters beyond ASCII, symbols too, stay as they are.  An item of n bytes may be found with up to k = n // 20 edited bytes.
 Cut into k + 1 pieces, at least one piece of every such occurrence is unedited, so exact piece
 hits find all candidates: each piece is looked up by a hash of its first bytes (the largest power
 of two that fits, at most 16) at every byte of a document, vectorised.  A hit whose whole piece
@@ -19,6 +20,8 @@ column ``hits`` of the input is replaced).
 """
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +40,24 @@ HITS = "array<struct<item_id:bigint,distance:int,first:int,past:int>>"
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
+#: Code points beyond ASCII that are no part of a word.
+_GAPS = np.array([c for c in range(0x80, sys.maxunicode + 1)
+                  if (kind := unicodedata.category(chr(c)))[0] in "ZP" or kind in ("Cc", "Cf")], np.int32)
+
+
+def gap_bytes(buf: np.ndarray) -> np.ndarray:
+    """Places of all bytes of the characters in ``_GAPS``."""
+    is_gap = np.zeros(sys.maxunicode + 1, bool)
+    is_gap[_GAPS] = True
+    out = []
+    for least, past, n in ((0xC2, 0xE0, 2), (0xE0, 0xF0, 3), (0xF0, 0xF8, 4)):
+        lead = np.flatnonzero((buf >= least) & (buf < past))
+        code = buf[lead].astype(np.int32) & (0x7F >> n)
+        for k in range(1, n):
+            code = code << 6 | buf[lead + k] & 0x3F
+        out += [lead[is_gap[code]] + k for k in range(n)]
+    return np.concatenate(out)
+
 
 def normalised(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, offsets, place of each byte in ``buf``) with one space between and after words."""
@@ -45,6 +66,7 @@ def normalised(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
         upper = (buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] <= 0x9E) & (buf[1:] != 0x97)
         low[1:][upper] += 0x20
     letter = _LETTER[low]
+    letter[gap_bytes(buf)] = False
     low[~letter] = 0x20
     before = np.zeros(len(low), bool)
     before[1:] = letter[:-1]

@@ -189,6 +189,24 @@ def test_spans_are_places_in_the_text(spark):
     assert row["text"][h["first"]:h["past"]] == "Alpha beta, GAMMA delta epsilon" and h["distance"] == 0
 
 
+def test_spaces_and_punctuation_beyond_ascii(spark):
+    """A copy that was typed anew, with no-break spaces, curly quotes and dashes."""
+    said = "the \"old\" mill - built in 1790 - it stands by the river's upper bend, as the écluse and 数 学 do"
+    anew = "“" + said.replace(" ", "\u00a0").replace('"', "”").replace("-", "—").replace("'", "’") + "”\u2003…"
+    docs = spark.createDataFrame([(1, f"¿{anew} 😀"), (2, said), (3, "nothing of it")], "doc_id long, text string")
+    for item in (said, anew):
+        items = spark.createDataFrame([(7, item)], "item_id long, text string")
+        got = {r["doc_id"]: (r["text"], r["hits"]) for r in decontamination.find_items(docs, items).collect()}
+        assert [[h["distance"] for h in got[d][1]] for d in (1, 2, 3)] == [[0], [0], []]
+        text, (h,) = got[1]
+        assert text[h["first"]:h["past"]] == anew.strip("“”\u2003…")
+    every = "".join(chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000).encode()
+    gaps = np.zeros(len(every), bool)
+    gaps[decontamination.gap_bytes(np.frombuffer(every, np.uint8))] = True
+    assert gaps.sum() == sum(len(chr(c).encode()) for c in decontamination._GAPS.tolist())
+    assert set(np.frombuffer(every, np.uint8)[gaps].tobytes().decode()) == {chr(c) for c in decontamination._GAPS.tolist()}
+
+
 # -- 9, secret scans --------------------------------------------------------------------------
 
 def brute_spans(text):
