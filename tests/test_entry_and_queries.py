@@ -1,4 +1,4 @@
-from conftest import SF
+from paths import SF
 
 
 def test_entry_smoke(spark):

@@ -4,7 +4,7 @@ import sys
 
 import pytest
 
-from conftest import ROOT, SF
+from paths import ROOT, SF
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
