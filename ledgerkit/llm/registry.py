@@ -1,7 +1,8 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 from __future__ import annotations
 
-from . import chat, decontamination, mixing, neardup, pii, quality_model, quality_rules, secrets, sharding, toxicity
+from . import (chat, decontamination, embedding_dedup, mixing, neardup, pii, prefix_trie, quality_model, quality_rules, secrets,
+               sharding, toxicity, vector_codes)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -14,5 +15,9 @@ QUERIES = {
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_embedding_dedup": embedding_dedup.op11_embedding_dedup,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_vector_codes": vector_codes.op13_vector_codes,
 }
-ORACLE_SQL = {"op1_mixing": mixing.ORACLE, "op2_chat_formatting": chat.ORACLE}
+ORACLE_SQL = {"op1_mixing": mixing.ORACLE, "op2_chat_formatting": chat.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE,
+              "op13_vector_codes": vector_codes.ORACLE}
