@@ -39,7 +39,7 @@ from .common import read, written
 
 SCALE, PARTS, ENTRIES, ROUNDS = 1024, 4, 256, 4
 LARGEST = 2 ** 26
-RUN = 1024  # leaves walked at a time: a level holds at most that many distance vectors
+RUN = 512  # leaves walked at a time: a level holds at most that many distance vectors
 
 _SUMS = "position int, entry int, dimension int, total decimal(38,0)"
 
@@ -64,18 +64,26 @@ def walk(parts: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray
     node are found, and a node's accumulated vector is its parent's plus the new dimension's."""
     n, dims = parts.shape
     code, error = np.zeros(n, np.int32), np.zeros(n, np.int64)
+    if not n:
+        return code, error
+    most = int(max(np.abs(parts).max(), np.abs(entries).max()))
+    kind = np.int32 if 4 * most * most * dims < 2 ** 31 else np.int64  # whichever holds every distance exactly
+    by_dimension = np.ascontiguousarray(entries.T, kind)
     for lo in range(0, n, RUN):
-        leaves = parts[lo:lo + RUN]
+        leaves = parts[lo:lo + RUN].astype(kind)
         differs = leaves[1:] != leaves[:-1]
         opens = np.zeros(len(leaves), bool)  # leaves at which another node of this level begins
         opens[0] = True
         node = np.zeros(len(leaves), np.int64)  # of each leaf, at the level above
-        along = np.zeros((1, len(entries)), np.int64)
+        along = np.zeros((1, len(entries)), kind)
         for d in range(dims):
             opens[1:] |= differs[:, d]
             first = np.flatnonzero(opens)
-            step = leaves[first, d][:, None] - entries[None, :, d]
-            along = along[node[first]] + step * step
+            if len(first) > len(along):  # nodes with several children: each child takes the vector over
+                along = along[node[first]]
+            step = leaves[first, d][:, None] - by_dimension[d]
+            step *= step
+            along += step
             node = np.cumsum(opens) - 1
         best = along.argmin(axis=1)  # the lower index of equal ones
         code[lo:lo + RUN] = best[node]
