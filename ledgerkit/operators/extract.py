@@ -8,13 +8,12 @@ exploded tables below.
 """
 from __future__ import annotations
 
-import os
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.markup import parse_filing
 from ..functions.numbers import bracket_negated, displayed_number
 
 DIM_T = T.StructType([T.StructField("dim", T.StringType()), T.StructField("member", T.StringType())])
@@ -27,9 +26,6 @@ UNIT_T = T.StructType([T.StructField("unit_id", T.StringType()), T.StructField("
 FACT_T = T.StructType([T.StructField(n, T.StringType()) for n in (
     "kind", "concept", "namespace", "raw_text", "scale", "sign", "context_ref", "unit_ref",
     "mark_before", "mark_after")])
-# Package root, handed to worker closures so local Python workers can import the
-# helpers; on a cluster the package is shipped with --py-files / addPyFile.
-PKG_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 PARSED_FIELDS = [
     T.StructField("parse_error", T.StringType()),
@@ -54,13 +50,7 @@ def parse_filings(filings: DataFrame) -> DataFrame:
     schema = T.StructType([filings.schema[c] for c in keep] + PARSED_FIELDS)
     types = {f.name: _arrow_type(f.dataType) for f in PARSED_FIELDS}
 
-    root = PKG_ROOT
-
     def run(batches):
-        import sys
-        if root not in sys.path:
-            sys.path.insert(0, root)
-        from ledgerkit.functions.markup import parse_filing
         for b in batches:
             cols = {n: [] for n in types}
             for raw in b.column("content").to_pylist():
