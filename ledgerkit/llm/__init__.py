@@ -1,10 +1 @@
-"""Operators of a training-data pipeline, one module each, and their registered queries.
-
-Functions that run inside Spark tasks are shipped by value, so executors need no copy
-of this package on their import path.
-"""
-import sys
-
-from pyspark import cloudpickle
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+"""Operators of a training-data pipeline, one module each, and their registered queries."""

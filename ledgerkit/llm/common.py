@@ -1,8 +1,13 @@
 """Helpers shared by the operators: reading tables, tables written in the shared folder."""
 from __future__ import annotations
 
+import pickle
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +44,16 @@ def drop_written(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship(spark: SparkSession, value: object) -> Broadcast:
+    """``value`` for all tasks, with the classes of its objects, which a plain broadcast would name
+    only; :func:`shipped` gives it back inside a task."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shipped(sent: Broadcast) -> object:
+    return pickle.loads(sent.value)
+
+
 def text_of(col: str | Column = "text") -> Column:
     """The text, empty where null."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
@@ -54,3 +69,24 @@ def set_aside(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, list[C
 def crc32_fold(col: Column, modulus: int) -> Column:
     """Remainder of crc32(key as text); a null key counts as the empty string."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit(""))) % F.lit(modulus)
+
+
+def by_unit(batches: Iterator[pa.RecordBatch], unit: list[str]) -> Iterator[pa.Table]:
+    """The rows of each unit of work, one table after the other, from batches sorted by its columns
+    (whole numbers); only one unit is held."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(c).to_numpy() for c in unit])
+        starts = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0)])
+        for a, b in zip(starts, np.r_[starts[1:], batch.num_rows]):
+            one = tuple(key[:, a])
+            if one != now and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = one
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytes_np as B
-from .common import read, set_aside
+from .common import read, set_aside, ship, shipped
 
 #: One edited byte is allowed for so many bytes of an item.
 BYTES_PER_EDIT = 20
@@ -182,11 +182,11 @@ def item_blocks(items: DataFrame, bytes_per_edit: int = BYTES_PER_EDIT, block_by
 
 
 def _with_hits(docs: DataFrame, pieces: Pieces) -> DataFrame:
-    shipped = docs.sparkSession.sparkContext.broadcast(pieces)
+    sent = ship(docs.sparkSession, pieces)
     at = docs.columns.index("text")
 
     def run(batches):
-        own = shipped.value
+        own = shipped(sent)
         for batch in batches:
             for a, b, buf, offs in B.chunks(batch.column(at)):
                 norm, noffs, place = normalised(buf, offs)

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 
 import pyarrow as pa
@@ -110,7 +110,6 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-@lru_cache(100_000)
 def surrogate(key: str, kind: str, value: str, attempt: int = 0) -> str:
     """The canonical surrogate of a canonical value."""
     tweak = f"{kind}:{attempt}"
@@ -208,13 +207,13 @@ def written_as(place: str, kind: str, value: str) -> str:
     return _cased(place, value)
 
 
-def replaced(text: str, key: str, later: dict[tuple[str, str], int]) -> tuple[str, list[dict]]:
-    """The text with surrogates and the entities' spans in it."""
+def replaced(text: str, key: str, later: dict[tuple[str, str], int], of: Callable = surrogate) -> tuple[str, list[dict]]:
+    """The text with surrogates (as ``of`` gives them) and the entities' spans in it."""
     out, at, size, spans = [], 0, 0, []
     for first, past, kind, value in find(text):
         if first < at:
             continue
-        new = written_as(text[first:past], kind, surrogate(key, kind, value, later.get((kind, value), 0)))
+        new = written_as(text[first:past], kind, of(key, kind, value, later.get((kind, value), 0)))
         size += first - at
         spans.append({"kind": kind, "first": size, "past": size + len(new), "surrogate": new})
         size += len(new)
@@ -285,12 +284,13 @@ def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
     at = columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = lru_cache(100_000)(surrogate)  # made here: a cache in the module would tie the task to the module
         kind = pa.list_(pa.struct([("kind", pa.string()), ("first", pa.int32()), ("past", pa.int32()), ("surrogate", pa.string())]))
         for batch in batches:
             texts, spans = [], []
             for text, later in zip(batch.column(at), batch.column("_later")):
                 own = {(x["kind"], x["value"]): x["attempt"] for x in later.as_py() or []}
-                new, where = (None, []) if not text.is_valid else replaced(text.as_py(), key, own)
+                new, where = (None, []) if not text.is_valid else replaced(text.as_py(), key, own, known)
                 texts.append(new)
                 spans.append(where)
             cols = [batch.column(c) for c in columns]

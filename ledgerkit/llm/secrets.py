@@ -241,7 +241,7 @@ def automaton(rules: tuple = RULES) -> dict:
                 row.append(number[to] if to else -1)
             rows.append(row)
         back.append((rows, [p.end in s for s in number]))
-    return {"class": of_byte, "table": table.astype(np.int32), "mark": mark, "back": back}
+    return {"class": of_byte, "table": table.astype(np.int32), "mark": mark, "back": back, "tails": {tail: _members(tail) for *_, tail in rules if tail is not None}}
 
 
 # -- the pass ---------------------------------------------------------------------------------
@@ -308,28 +308,26 @@ def scan(buf: np.ndarray, offs: np.ndarray, rules: tuple, auto: dict) -> list[tu
                 continue
             size = past - first
             if tail is not None:
-                size = _run_length(joined[first:past], tail)
+                size = _run_length(joined[first:past], auto["tails"][tail])
             if size >= least:
                 found.append((d, r, first - d, past - d))
     return found
 
 
-@lru_cache
 def _members(tail: str) -> np.ndarray:
     own = np.zeros(256, bool)
     own[list(_Program(tail, False).step[1])] = True
     return own
 
 
-def _run_length(match: np.ndarray, tail: str) -> int:
+def _run_length(match: np.ndarray, members: np.ndarray) -> int:
     """Bytes of the value: after the first ``:`` or ``=`` and the blanks and quotes that follow it."""
     at = int(np.flatnonzero((match == 0x3A) | (match == 0x3D))[0]) + 1
     while at < len(match) and match[at] == 0x20:
         at += 1
     if at < len(match) and match[at] in (0x22, 0x27):
         at += 1
-    own = _members(tail)[match[at:]]
-    return int(own.sum())
+    return int(members[match[at:]].sum())
 
 
 def with_spans(docs: DataFrame, rules: tuple = RULES) -> DataFrame:
