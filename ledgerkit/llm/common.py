@@ -1,6 +1,7 @@
 """Helpers shared by the operators: reading tables, tables written in the shared folder."""
 from __future__ import annotations
 
+import gc
 import pickle
 import uuid
 from collections.abc import Iterator
@@ -37,6 +38,13 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files and broadcasts of results that nothing refers to any more:
+    it does so when the driver collects its garbage, which jobs of many small steps seldom force."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_written(spark: SparkSession) -> None:
     """Delete every table that :func:`written` left in the shared folder (after the results
     that read them have been saved)."""

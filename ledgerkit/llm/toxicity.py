@@ -17,29 +17,38 @@ landmarks' subsequences, so scoring needs one table of weights by subsequence (2
 no kernel at all: one lookup for each pattern of gaps at each letter of the text.
 
 Training rows: at most ``MAX_TOXIC`` toxic and ``MAX_CLEAN`` clean labelled documents, those first
-in the order of a hash of their id.  Every document's whole text is scored.
+in the order of a hash of their id; of their runs those that carry the label, the worst one of each
+clean row and a share of ``CLEAN_RUNS`` of the other clean runs, drawn by hash.  Each step of the fit
+is a pass over them on the executors, which sends counts or features back, no text.  Every document's
+whole text is scored.  Letters beyond Latin-1 are all one letter, so words of other scripts differ
+by their lengths only.
 
 Defined results: null and empty texts, and texts without a letter, score as a sentence without
-subsequences; rows that repeat are scored alike; an empty table gives no rows; without a toxic or
+subsequences; rows that repeat are scored alike, and a label row that repeats counts once; a document
+with both labels is a row of each; an empty table gives no rows; without a toxic or
 without a clean training row every score is 0; columns of the documents are kept, ``score`` and
 ``predicted`` win over equal names.
 """
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import bytes_np as B
-from .common import crc32_fold, read, set_aside, text_of
+from .common import crc32_fold, read, release, set_aside, ship, shipped, text_of, written
 
 SPAN, DECAY, RUN = 6, 0.5, 4
 N_LANDMARKS = 400
 MAX_TOXIC, MAX_CLEAN = 1500, 3000
 ROUNDS, COST = 3, 1.0
+CLEAN_RUNS = 0.0025  # share of a clean row's runs, besides its worst one, that the machine is fitted on
 FIT_TEXTS, FIT_BYTES = 100, 200_000  # at a time while fitting
 SCORE_BYTES = 500_000  # of text at a time while scoring: some 25 arrays of that length are alive
 MIN_SCORE = 0.7
@@ -254,78 +263,157 @@ def _peaks(margin: np.ndarray, start: np.ndarray, past: np.ndarray) -> np.ndarra
     return peak
 
 
+class Part(NamedTuple):
+    """Some training rows: their numbers and labels, and the runs of words of their texts."""
+    row: np.ndarray
+    toxic: np.ndarray
+    held: np.ndarray
+    seq: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    doc: np.ndarray
+
+
+def _parts(row: np.ndarray, toxic: np.ndarray, texts: pa.Array) -> Iterator[Part]:
+    for lo in range(0, len(row), FIT_TEXTS):
+        for a, b, buf, offs in B.chunks(texts.slice(lo, FIT_TEXTS), FIT_BYTES):
+            at = slice(lo + a, lo + b)
+            seq, *rest = letters(buf, offs)
+            yield Part(row[at], toxic[at], row[at] % 4 == 3, seq, *(x.astype(np.int32) for x in rest))
+
+
+def _table_runner(rows: DataFrame) -> Callable:
+    """Runs a step over the parts of a table (row, toxic, text) on the executors; what it returns, a
+    few arrays, comes to the driver, the texts do not."""
+    def over(step: Callable, value: object) -> Iterator:
+        sent = ship(rows.sparkSession, value)
+
+        def run(batches):
+            own = shipped(sent)
+            for batch in batches:
+                row, toxic = (batch.column(c).to_numpy() for c in ("row", "toxic"))
+                out = [pickle.dumps(step(part, own)) for part in _parts(row, toxic, batch.column("text"))]
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["out"])
+
+        for r in rows.select("row", "toxic", "text").mapInArrow(run, "out binary").toLocalIterator():
+            yield pickle.loads(r["out"])
+        sent.destroy()
+
+    return over
+
+
 def fit(texts: list[str], toxic: np.ndarray) -> dict:
-    """The model: weights by subsequence, bias, slope and offset of the score.
+    """The model of a few rows that are here already; :func:`fit_table` fits a table."""
+    toxic = np.asarray(toxic, np.int64)
+    row, column = np.arange(len(toxic)), pa.array(texts, pa.string())
+    return _fit(toxic, lambda step, value: (step(part, value) for part in _parts(row, toxic, column)))
+
+
+def _fit(toxic: np.ndarray, over: Callable) -> dict:
+    """The model: weights by subsequence, bias, slope and offset of the score; ``toxic`` has the
+    labels by row number, ``over(step, value)`` runs a step over all parts.
 
     Every fourth row is kept from the machine and sets the score's slope and offset."""
-    toxic = np.asarray(toxic)
-    if not len(texts) or toxic.min() == toxic.max():
+    if not len(toxic) or toxic.min() == toxic.max():
         return {"weights": np.zeros(1 << 20, np.float32), "bias": 0.0, "slope": 0.0, "offset": -30.0}
-    held = np.arange(len(texts)) % 4 == 3
-    encoded = _encoded(texts)
-    telling, common = _landmark_words(encoded, toxic, held)
+    held = np.arange(len(toxic)) % 4 == 3
+    telling, common = _landmark_words(toxic, held, over)
     marks = _Landmarks(telling + common or ["none"])
-    doc = [a + d for a, _, _, _, d in encoded]
     table, bias = marks.table(marks.root.T @ np.r_[np.ones(len(telling)), -np.ones(len(marks.vectors) - len(telling))]), 0.0
-    rng = np.random.default_rng(6)
     for step in range(ROUNDS):
-        margin = [sentence_margins(seq, start, size, table) + bias for _, seq, start, size, _ in encoded]
-        worst = np.full(len(texts), -np.inf)
-        for m, d in zip(margin, doc):
-            np.maximum.at(worst, d, m)
-        carry, rest = [], []
-        for m, d, (_, seq, start, size, _) in zip(margin, doc, encoded):
-            top = m >= (worst[d] - 1e-6 if step == 0 else np.minimum(worst[d] - 1e-6, np.float32(1)))
-            carry.append((toxic[d] == 1) & ~held[d] & top & _peaks(m, start, _past(seq, start, size)))
-            clean = (toxic[d] == 0) & ~held[d]
-            rest.append(clean & ((m >= worst[d] - 1e-6) | (rng.random(len(d)) < 0.01 / RUN)))
-        chosen = [np.flatnonzero(p | q) for p, q in zip(carry, rest)]
-        x = marks.features(encoded, chosen)
-        y = np.concatenate([np.where(p[c], 1.0, -1.0) for p, c in zip(carry, chosen)])
+        row, y, x = (np.concatenate(c) for c in zip(*over(_chosen_runs, (marks, table, bias, step))))
+        order = np.argsort(row, kind="stable")  # sums do not depend on how the rows are spread
+        x, y = x[order], y[order]
+        if len(np.unique(y)) < 2:
+            break
         cost = COST * np.where(y > 0, len(y) / (2 * max(1, (y > 0).sum())), len(y) / (2 * max(1, (y < 0).sum())))
         w = _machine(x, y, cost)
         table, bias = marks.table(w[:-1]), float(w[-1])
-    worst = np.full(len(texts), bias)
-    for (_, seq, start, size, _), d in zip(encoded, doc):
-        first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]]) if len(d) else np.zeros(0, int)
-        if len(first):
-            worst[d[first]] = np.maximum.reduceat(sentence_margins(seq, start, size, table) + bias, first)
+    worst = np.full(len(toxic), bias)
+    for row, margin in over(_worst_runs, (table, bias)):
+        worst[row] = margin
     slope, offset = _logistic(worst[held], toxic[held]) if 0 < toxic[held].sum() < held.sum() else (1.0, 0.0)
     return {"weights": table, "bias": bias, "slope": max(slope, 0.0), "offset": offset}
 
 
+def _chosen_runs(part: Part, value: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, label, Nyström features) of the runs that the machine is fitted on: those of toxic rows
+    that carry the label; of clean rows the worst one and, by hash, a share of ``CLEAN_RUNS``."""
+    marks, table, bias, step = value
+    d = part.doc
+    margin = sentence_margins(part.seq, part.start, part.size, table) + bias
+    worst = np.full(len(part.row), -np.inf)
+    np.maximum.at(worst, d, margin)
+    top = margin >= (worst[d] - 1e-6 if step == 0 else np.minimum(worst[d] - 1e-6, np.float32(1)))
+    fitted = ~part.held[d]
+    carry = fitted & (part.toxic[d] == 1) & top & _peaks(margin, part.start, _past(part.seq, part.start, part.size) if len(d) else part.start)
+    nth = np.arange(len(d)) - np.searchsorted(d, d)
+    draw = B.mix(B.mix(part.row[d].astype(np.uint64)) + (nth * (ROUNDS + 1) + step).astype(np.uint64))
+    rest = fitted & (part.toxic[d] == 0) & ((margin >= worst[d] - 1e-6) | (draw < np.uint64(CLEAN_RUNS * 2.0 ** 64)))
+    pick = np.flatnonzero(carry | rest)
+    x = marks.features([(0, part.seq, part.start, part.size, d)], [pick])
+    return part.row[d[pick]], np.where(carry[pick], 1.0, -1.0), x
+
+
+def _worst_runs(part: Part, value: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """(row, margin of its worst run); a row without runs has the bias."""
+    table, bias = value
+    worst, d = np.full(len(part.row), bias), part.doc
+    if len(d):
+        first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+        worst[d[first]] = np.maximum.reduceat(sentence_margins(part.seq, part.start, part.size, table) + bias, first)
+    return part.row, worst
+
+
 _PLAIN = np.full(32, ord("#"), np.uint8)
 _PLAIN[1:27] = np.arange(ord("a"), ord("z") + 1)
 _PLAIN[[0, _BREAK]] = ord(" ")
 _PLAIN[_DIGIT] = ord("0")
 
 
-def _landmark_words(encoded: list[tuple], toxic: np.ndarray, held: np.ndarray) -> tuple[list[str], list[str]]:
-    """(words that set toxic rows apart, most common other words), folded; words are counted by hash."""
-    def words():
-        """(plain letters, starts, ends, hashes) of each run's words, and the distinct (hash, row) pairs."""
-        for a, seq, start, _, doc in encoded:
-            plain = _PLAIN[seq]
-            s, e, _ = B.words(plain, np.array([0, len(plain)]))
-            fits = (e - s >= 3) & (e - s <= 24)
-            s, e = s[fits], e[fits]
-            h = B.word_hashes(plain, s, e)
-            at = doc[np.searchsorted(start, s, "right") - 1] if len(s) else np.zeros(0, np.int32)
-            yield plain, s, e, h, *B.distinct_by_doc(h.copy(), a + at)
+def _words(part: Part) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(plain letters, starts, ends, hashes) of the words of a part's runs."""
+    plain = _PLAIN[part.seq]
+    s, e, _ = B.words(plain, np.array([0, len(plain)]))
+    fits = (e - s >= 3) & (e - s <= 24)
+    s, e = s[fits], e[fits]
+    return plain, s, e, B.word_hashes(plain, s, e)
+
+
+def _rows_of_words(part: Part, toxic: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words by hash, number of fitted rows of that label that hold them)."""
+    _, s, _, h = _words(part)
+    at = part.doc[np.searchsorted(part.start, s, "right") - 1] if len(s) else np.zeros(0, np.int32)
+    one, row = B.distinct_by_doc(h.copy(), at)
+    return np.unique(one[(part.toxic[row] == toxic) & ~part.held[row]], return_counts=True)
 
+
+def _known_words(part: Part, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in ``own``, number of fitted clean rows) of the words that are there."""
+    h, n = _rows_of_words(part, 0)
+    at = np.minimum(np.searchsorted(own, h), len(own) - 1)
+    known = own[at] == h
+    return at[known], n[known]
+
+
+def _spelt(part: Part, wanted: np.ndarray) -> dict[int, str]:
+    plain, s, e, h = _words(part)
+    return {int(h[i]): plain[s[i]:e[i]].tobytes().decode() for i in np.flatnonzero(np.isin(h, wanted))}
+
+
+def _landmark_words(toxic: np.ndarray, held: np.ndarray, over: Callable) -> tuple[list[str], list[str]]:
+    """(words that set toxic rows apart, most common other words), folded; words are counted by hash."""
     # words of toxic rows first: no other word can be telling, and common ones occur there too
-    seen = [one[(toxic[row] == 1) & ~held[row]] for *_, one, row in words()]
-    own, c1 = np.unique(np.concatenate(seen), return_counts=True)
+    own, c1 = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for h, n in over(_rows_of_words, 1):
+        all_words, place = np.unique(np.r_[own, h], return_inverse=True)
+        own, c1 = all_words, np.bincount(place, np.r_[c1, n], len(all_words)).astype(np.int64)
     own, c1 = own[c1 > 1], c1[c1 > 1]
     if not len(own):
         return [], []
-    c0 = np.zeros(len(own) + 1, np.int64)
-    for *_, one, row in words():
-        one = one[(toxic[row] == 0) & ~held[row]]
-        at = np.searchsorted(own, one)
-        at[(at < len(own)) & (own[np.minimum(at, len(own) - 1)] != one)] = len(own)
-        c0 += np.bincount(at, minlength=len(own) + 1)
-    c0 = c0[:-1]
+    c0 = np.zeros(len(own), np.int64)
+    for at, n in over(_known_words, own):
+        c0[at] += n
     n = [max(1, int(((toxic == c) & ~held).sum())) for c in (0, 1)]
     # log odds of a word's rows less one standard error
     contrast = np.log((c1 + 0.5) / (c0 + 0.5) * n[0] / n[1]) - np.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5))
@@ -333,35 +421,46 @@ def _landmark_words(encoded: list[tuple], toxic: np.ndarray, held: np.ndarray) -
     best = best[contrast[best] > 0]
     rest = np.lexsort((own, -(c0 + c1)))
     rest = rest[~np.isin(rest, best)][:N_LANDMARKS - len(best)]
-    wanted, found = np.sort(own[np.r_[best, rest]]), {}
-    for plain, s, e, h, *_ in words():
-        for i in np.flatnonzero(np.isin(h, wanted)):
-            found.setdefault(int(h[i]), plain[s[i]:e[i]].tobytes().decode())
+    found: dict[int, str] = {}
+    for some in over(_spelt, np.sort(own[np.r_[best, rest]])):
+        found |= some
     return [found[int(own[i])] for i in best], [found[int(own[i])] for i in rest]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, fold: int = 3, held_out: int = 1) -> DataFrame:
-    """(text, toxic) of the bounded sample of labelled rows outside the held-out fold."""
+    """(row, toxic, text) of the bounded sample of labelled rows outside the held-out fold, numbered
+    in the order of a hash of their id; of rows that repeat an id, the smallest text counts."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (crc32_fold(F.col("doc_id"), fold) != held_out))
-    known = known.select("doc_id", "toxic", F.xxhash64("doc_id").alias("draw"))
+    known = known.select("doc_id", F.col("toxic").cast("long").alias("toxic"), F.xxhash64("doc_id").alias("draw")).distinct()
     some = [known.where(F.col("toxic") == c).orderBy("draw", "doc_id").limit(n) for c, n in ((1, MAX_TOXIC), (0, MAX_CLEAN))]
     ids = some[0].union(some[1])  # at most MAX_TOXIC + MAX_CLEAN rows
-    return docs.select("doc_id", text_of().alias("text")).join(F.broadcast(ids), "doc_id").select("draw", "text", "toxic")
+    texts = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(ids.select("doc_id").distinct()), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    found = written(texts, "toxicity-texts")
+    number = F.row_number().over(Window.orderBy("draw", "doc_id", "toxic")).cast("long") - 1  # of the sample's ids alone
+    rows = ids.join(F.broadcast(found.select("doc_id")), "doc_id", "left_semi").select(number.alias("row"), "doc_id", "toxic")
+    return found.join(F.broadcast(rows), "doc_id").select("row", "toxic", "text")
 
 
 def fit_table(docs: DataFrame, labels: DataFrame) -> dict:
-    rows = sorted((r["draw"], r["text"], r["toxic"]) for r in training_rows(docs, labels).toLocalIterator())
-    return fit([t for _, t, _ in rows], np.array([y for *_, y in rows], int))
+    """The model of a table; texts stay on the executors, the driver gets labels, counts of words by
+    hash, the features of the chosen runs and a margin for each row of the sample."""
+    rows = written(training_rows(docs, labels), "toxicity-rows")
+    toxic = np.zeros(rows.count(), np.int64)
+    for r in rows.select("row", "toxic").toLocalIterator():
+        toxic[r["row"]] = r["toxic"]
+    model = _fit(toxic, _table_runner(rows))
+    release(docs.sparkSession)
+    return model
 
 
 def scored(docs: DataFrame, model: dict, min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` with score and predicted."""
     docs = docs.drop("score", "predicted")
     at = docs.columns.index("text")
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        m = shipped.value
+        m = sent.value
         for batch in batches:
             for a, b, buf, offs in B.chunks(batch.column(at), SCORE_BYTES):
                 worst = np.full(b - a, m["bias"])
