@@ -9,19 +9,26 @@ probability (1 - (1 - s^half)^groups)^2: 0.9996 at s = 0.85, more above.
 1. Documents with equal shingle sets are one class; only classes go on, so copies cost nothing.
 2. A band that only one class has cannot be half of a shared key, so a class's keys are formed
    from its shared bands alone (on unlike documents: no key at all).
-3. In turns, each class is paired with classes drawn by hash in each of its tables, and of those
-   the one with the most bands in common is checked: at most one check a class and turn.  Confirmed
-   links contract components, tables that hold one component only are left out, and the turns go
-   on until one finds few links (the next round is exact).  A large group of near copies becomes one component here.
+3. In turns, each class is paired with classes drawn by hash in its tables of one band of the first
+   collection, the next one in each turn, and of those the one met in most tables is checked: one
+   check a class and turn.  Confirmed links contract components, tables that hold one component
+   only are left out, and the turns go on until one finds few links (the next round is exact).  A
+   large group of near copies becomes one component here.
 4. A last round is exact for what is left: in tables that still hold several components, each
-   class outside the table's largest one is checked against every class of another component.
+   class outside the table's largest one meets every class of another component.  A table of more
+   than ``BLOCK_ROWS`` classes is cut into blocks, and each pair of blocks is a unit of work of its
+   own.  A unit compares bands and ``SIGNATURE`` further minhashes of a byte each (made for these
+   classes alone), and sends on the pairs that may reach the similarity: of texts that share much
+   but not enough, such as letters on one form, almost none.
    Before that, classes go in which too many shingles are in no other class still there: they
    cannot reach the similarity with any (an exact rule), and copies that were edited too much,
-   each in its own way, would otherwise be checked against each other.
+   each in its own way, would otherwise meet each other.
 
 A pair is checked only if sizes allow the similarity and MIN_BANDS of the 2 * groups bands agree
-(a true pair fails that with probability 1.4e-4 at 0.85).  A check intersects the full sets.
-There is no cap on partners: no link that the tables hold between components is lost.
+(a true pair fails that with probability 1.4e-4 at 0.85), in the last round also if its signatures
+agree as far as those of pairs of that similarity do, less ``SIGMAS`` spreads (3e-5).  A check
+intersects the full sets.  There is no cap on partners: no link that the tables hold between
+components is lost but by these chances.
 
 Defined results: null and empty texts have empty sets, are linked with nothing and are kept;
 rows that repeat an id or a text are of one class; a class without any id has a null
@@ -40,7 +47,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytes_np as B
-from .common import read, set_aside, text_of, written
+from .common import by_unit, read, release, set_aside, text_of, written
 
 WIDTH = 5
 MIN_PERCENT = 85
@@ -48,6 +55,9 @@ HALF, GROUPS = 3, 9
 MIN_BANDS = 4
 #: Turns of drawn pairs end with one that finds less than this part of the first turn's links.
 TURNS_END = 20
+#: Classes of a block of the last round, and its pairs compared at a time.
+BLOCK_ROWS, PAIRS = 1024, 1 << 18
+SIGNATURE, SIGMAS = 256, 4.0
 SEED = 7
 
 _SET = ["n_shingles", "k1", "k2"]
@@ -134,18 +144,11 @@ def components(edges: DataFrame) -> DataFrame:
     return labels.select("node", "label")
 
 
-def _agree(groups: int, x: str, y: str) -> tuple[Column, Column, Column]:
-    """(bands that agree, first agreeing band of each collection) for two rows of g0, g1, ..."""
-    same = [F.col(f"{x}.g{i}") == F.col(f"{y}.g{i}") for i in range(2 * groups)]
-    count = reduce(lambda p, q: p + q, [s.cast("int") for s in same])
-    first = [F.coalesce(*[F.when(s, F.lit(i)) for i, s in enumerate(same) if lo <= i < lo + groups]) for lo in (0, groups)]
-    return count, first[0], first[1]
-
-
 def _may_link(groups: int, percent: int, x: str, y: str) -> Column:
-    count, a, b = _agree(groups, x, y)
+    """Sizes and bands of two classes of one table allow the similarity."""
+    count = reduce(lambda p, q: p + q, [(F.col(f"{x}.g{i}") == F.col(f"{y}.g{i}")).cast("int") for i in range(2 * groups)])
     small, large = F.least(f"{x}.n_shingles", f"{y}.n_shingles"), F.greatest(f"{x}.n_shingles", f"{y}.n_shingles")
-    return (small * 100 >= large * percent) & a.isNotNull() & b.isNotNull() & (count >= MIN_BANDS)
+    return (small * 100 >= large * percent) & (count >= MIN_BANDS)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -202,33 +205,98 @@ def link_classes(classes: DataFrame, texts: DataFrame, width: int = WIDTH, perce
         first = first or found
         at = merged(at, links)
         open_keys, turn = written(still_open(open_keys, at), "open-keys"), turn + 1
+        release(at.sparkSession)
 
     able = can_link(sets.join(open_keys.select("node").distinct(), "node", "left_semi"), percent)
-    most = open_keys.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("most"))
-    left = written(open_keys.join(able, "node").join(most, "key").join(sketches, "node"), "able-keys")
-    x, y = left.where("label != most").alias("x"), left.alias("y")
-    _, i, j = _agree(groups, "x", "y")
-    once = (F.col("y.label") == F.col("y.most")) | (F.col("x.node") < F.col("y.node"))
-    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & once
-                   & _may_link(groups, percent, "x", "y") & (F.col("x.i") == i) & (F.col("x.j") == j))
-            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
-    links = written(confirmed(rest, sets, percent), "links")
+    left = written(open_keys.join(able, "node"), "able-keys")
+    last = sets.join(left.select("node").distinct(), "node", "left_semi")
+    links = written(confirmed(last_pairs(left, sketches, last, groups, percent), sets, percent), "links")
     return at if links.isEmpty() else merged(at, links)
 
 
 def drawn_pairs(open_keys: DataFrame, sketches: DataFrame, turn: int, groups: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components, at most one for each class: in each table two classes
-    are drawn by hash, anew in each turn, and of those a class meets in its tables the one with the
-    most bands in common is taken."""
-    drawn = open_keys.withColumn("draw", F.xxhash64("node", "key", F.lit(turn)))
+    """Pairs (a, b) of different components, at most one for each class: in each table of the turn's
+    band two classes are drawn by hash, and of those a class meets in its tables the one is taken
+    that it meets in most."""
+    drawn = open_keys.where(F.col("i") == turn % groups).withColumn("draw", F.xxhash64("node", "key", F.lit(turn)))
     ends = drawn.groupBy("key").agg(F.min("draw").alias("lo"), F.max("draw").alias("hi")).select("key", F.explode(F.array("lo", "hi")).alias("draw"))
     lead = drawn.join(ends, ["key", "draw"]).select("key", F.col("node").alias("lead"), F.col("label").alias("lead_label"))
-    met = open_keys.join(lead, "key").where("label != lead_label").select("node", "lead").distinct()
-    count, _, _ = _agree(groups, "x", "y")
-    met = (met.join(sketches.alias("x"), F.col("x.node") == met["node"]).join(sketches.alias("y"), F.col("y.node") == met["lead"])
-           .where(_may_link(groups, percent, "x", "y")).select(met["node"], "lead", count.alias("agree"))
-           .groupBy("node").agg(F.max_by("lead", F.struct("agree", "lead")).alias("lead")))
-    return met.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+    met = drawn.select("key", "node", "label").join(lead, "key").where("label != lead_label").groupBy("node", "lead").agg(F.count("*").alias("tables"))
+    one = met.groupBy("node").agg(F.max_by("lead", F.struct("tables", "lead")).alias("lead"))
+    return (one.join(sketches.alias("x"), F.col("x.node") == one["node"]).join(sketches.alias("y"), F.col("y.node") == one["lead"])
+            .where(_may_link(groups, percent, "x", "y"))
+            .select(F.least(one["node"], "lead").alias("a"), F.greatest(one["node"], "lead").alias("b")).distinct())
+
+
+def signatures(sets: DataFrame) -> DataFrame:
+    """(node, signature): a byte of each of ``SIGNATURE`` minhashes of the full set."""
+    rng = np.random.default_rng(SEED + 1)
+    xor = rng.integers(0, 2 ** 63, SIGNATURE, dtype=np.uint64)
+    mul = rng.integers(0, 2 ** 63, SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for members in batch.column("members"):
+                h = B.mix(members.values.to_numpy().view(np.uint64))
+                out.append(B.mix(np.array([((h ^ x) * m).min() for x, m in zip(xor, mul)], np.uint64)).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], ["node", "signature"])
+
+    return sets.select("node", "members").mapInArrow(run, "node long, signature binary")
+
+
+def last_pairs(keys: DataFrame, sketches: DataFrame, sets: DataFrame, groups: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes of different components of a table that may reach the similarity, each
+    from the first table that it shares; ``keys`` has (key, i, j, node, label)."""
+    most = keys.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("held"), F.max("n").alias("n"))
+    blocks = {"x_blocks": F.ceil((F.col("held") - F.col("n")) / BLOCK_ROWS), "y_blocks": F.ceil(F.col("held") / BLOCK_ROWS)}
+    rows = keys.join(most.where("held > n").withColumns(blocks), "key")
+    own = {c: F.pmod(F.xxhash64("node"), F.col(f"{c}_blocks")) for c in "xy"}
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{c}_blocks") - 1)).alias(c)
+    rest = ["key", "i", "j", "node", "label", (F.col("label") == F.col("most")).alias("in_most")]
+    x = rows.where("label != most").select(*rest, own["x"].alias("x"), upto("y"), F.lit(True).alias("asks"))
+    y = rows.select(*rest, upto("x"), own["y"].alias("y"), F.lit(False).alias("asks"))
+    unit = ["key", "i", "j", "x", "y"]
+    bands = [f"g{k}" for k in range(2 * groups)]
+    placed = x.unionByName(y).join(sketches, "node").join(signatures(sets), "node").select(*unit, "asks", "node", "label", "in_most", "n_shingles", "signature", *bands)
+    share = percent / 100
+    least = SIGNATURE * share - SIGMAS * np.sqrt(SIGNATURE * share * (1 - share))
+
+    def compare(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        column = {c: t.column(c).to_numpy() for c in ("asks", "node", "label", "in_most", "n_shingles")}
+        band = np.stack([t.column(c).to_numpy() for c in bands], axis=1)
+        first = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        byte = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint8).reshape(len(band), SIGNATURE)
+        to, ask = np.flatnonzero(~column["asks"]), np.flatnonzero(column["asks"])
+        if not len(to):
+            return
+        step = max(1, PAIRS // len(to))
+        for lo in range(0, len(ask), step):
+            of = ask[lo:lo + step]
+            two = lambda c: (column[c][of, None], column[c][to][None])
+            (a, b), (p, q), (m, n) = two("node"), two("label"), two("n_shingles")
+            ok = (p != q) & (column["in_most"][to][None] | (a < b)) & (np.minimum(m, n) * 100 >= np.maximum(m, n) * percent)
+            agree = np.zeros(ok.shape, np.int8)
+            for k in range(2 * groups):
+                same = band[of, k][:, None] == band[to, k][None]
+                if k in (first[0], first[1]):
+                    ok &= same
+                elif k < first[0] or groups <= k < first[1]:
+                    ok &= ~same  # the pair meets in an earlier table
+                agree += same
+            i, j = np.nonzero(ok & (agree >= MIN_BANDS))
+            for cut in range(0, len(i), PAIRS // SIGNATURE):
+                u, v = of[i[cut:cut + PAIRS // SIGNATURE]], to[j[cut:cut + PAIRS // SIGNATURE]]
+                near = (byte[u] == byte[v]).sum(axis=1) >= least
+                if near.any():
+                    u, v = column["node"][u[near]], column["node"][v[near]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
+
+    def run(batches):
+        for t in by_unit(batches, unit):
+            yield from compare(t)
+
+    return placed.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(run, "a long, b long")
 
 
 def merged(at: DataFrame, links: DataFrame) -> DataFrame:
