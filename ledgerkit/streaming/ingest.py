@@ -1,9 +1,10 @@
 """Incremental ingest (T1) and latest-per-company state (T2) with Structured Streaming.
 
-A file stream over the archive folder (fixed ``binaryFile`` schema) with
-``trigger(availableNow=True)`` processes only archives not seen before; the
-stream checkpoint replaces the "part already exists" check.  Each micro-batch
-is parsed once and written as (month, archive) partitions with dynamic overwrite: a
+A file stream over the archive folder (fixed ``binaryFile`` schema, of which only the
+paths are read) with ``trigger(availableNow=True)`` processes only archives not seen
+before; the stream checkpoint replaces the "part already exists" check.  A batch's
+archives, monthly ones of any size too, are read by ranges of members, each range a
+task.  Each micro-batch is parsed once and written as (month, archive) partitions with dynamic overwrite: a
 batch that is run again replaces its own archives and no other of the same month.
 The latest-record table is derived from (newest earlier epoch U new records) into
 an epoch folder of its own; an epoch counts once Spark has committed it, so a lost
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from ..operators.sampling import latest_per_company
 from ..plans.dataset import parse_month
 from ..session import checkpoint_dir, folders, materialise, path_exists
-from ..sources.archives import explode_archives
+from ..sources.archives import read_archives
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
@@ -47,7 +48,7 @@ def incremental_ingest(spark: SparkSession, src: str, out: str, name: str = "ing
     def batch(df: DataFrame, epoch: int) -> None:
         session = df.sparkSession
         archive = F.md5(F.substring_index("filing_id", "!", 1))
-        recs = materialise(parse_month(explode_archives(df)).withColumn("archive_part", archive))
+        recs = materialise(parse_month(read_archives(df.select("path"))).withColumn("archive_part", archive))
         (recs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("month", "archive_part").parquet(f"{out}/records"))
         new = recs.drop("month", "archive_part")

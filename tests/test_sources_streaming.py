@@ -47,14 +47,14 @@ def test_incremental_ingest_processes_new_archives_once(spark):
 
 
 def test_archive_data_source_splits_members(spark):
-    from ledgerkit.sources.archive_source import read_archives
+    from ledgerkit.sources.archives import list_archives, read_archives
     d = tempfile.mkdtemp(prefix="lk-ds-")
     members = {f"m{i}.html": full_filing() for i in range(5)}
     members["inner.zip"] = _zip({"x/deep.xml": micro_filing()})
     members["notes.txt"] = "skip"
     with open(os.path.join(d, "Accounts_Bulk_Data-2025-03-04.zip"), "wb") as f:
         f.write(_zip(members))
-    df = read_archives(spark, d, members_per_partition=2)
+    df = read_archives(list_archives(spark, d), most=2)
     assert df.rdd.getNumPartitions() == 4
     rows = df.select("filing_id", "source_file", "published").collect()
     assert len(rows) == 6 and len({r.filing_id for r in rows}) == 6
@@ -63,6 +63,79 @@ def test_archive_data_source_splits_members(spark):
     assert rejects(parse_filings(df)).count() == 0
 
 
+def _archive_with_two_inner_ones(folder, name="Accounts_Monthly_Data-March2025.zip"):
+    members = {f"m{i}.html": full_filing() for i in range(6)} | {"notes.txt": "x", "odd.zip!.html": micro_filing()}
+    members |= {f"in{k}.zip": _zip({f"x/d{i}.xml": micro_filing() for i in range(5)} | {"deep.zip": _zip({"no.html": "x"})}) for k in (1, 2)}
+    with open(os.path.join(folder, name), "wb") as f:
+        f.write(_zip(members))
+
+
+def test_ranges_split_archives_and_inner_ones_and_no_cell_holds_an_archive(spark):
+    from ledgerkit.sources.archives import list_archives, list_filings, member_ranges, read_archives
+    d = tempfile.mkdtemp(prefix="lk ranges-")
+    _archive_with_two_inner_ones(d)
+    with open(os.path.join(d, "none.zip"), "wb") as f:
+        f.write(b"no archive")
+    archives = list_archives(spark, d)
+    assert archives.columns == ["path", "length"]
+    ranges = sorted((r.inner or "", r.first, r.past) for r in member_ranges(archives, most=4).collect())
+    assert ranges == [("", 0, 4), ("", 4, 8), ("in1.zip", 0, 4), ("in1.zip", 4, 5), ("in2.zip", 0, 4), ("in2.zip", 4, 5)]
+    assert len(member_ranges(archives, most_bytes=1).collect()) == 17
+    whole, cut = read_archives(archives), read_archives(archives, most=4)
+    assert (whole.rdd.getNumPartitions(), cut.rdd.getNumPartitions()) == (3, 6)
+    rows = sorted(map(tuple, cut.collect()))
+    assert rows == sorted(map(tuple, whole.collect())) and len(rows) == 17
+    assert not any(bytes(r[-1]).startswith(b"PK") for r in rows)
+    assert sorted(map(tuple, list_filings(archives).collect())) == [r[:-1] for r in rows]
+
+
+def test_late_reading_opens_wanted_members_only(spark, monkeypatch):
+    from ledgerkit.sources import archives as A
+    d = tempfile.mkdtemp(prefix="lk-late-")
+    _archive_with_two_inner_ones(d)
+    path = A.list_archives(spark, d).first()["path"]
+    keys = ["m1.html", "in2.zip!x/d3.xml", "odd.zip!.html", "gone.html", "in1.zip!x/gone.xml"]
+    got = A.read_members(spark.createDataFrame([(f"{path}!{k}",) for k in keys] * 2 + [("elsewhere",), (None,)], "filing_id string")).collect()
+    whole = {r.filing_id: tuple(r) for r in A.scan_archives(spark, d).collect()}
+    assert {r.filing_id: tuple(r) for r in got} == {f"{path}!{k}": whole[f"{path}!{k}"] for k in keys[:3]} and len(got) == 3
+    opened, read = [], A._content
+    monkeypatch.setattr(A, "_content", lambda z, info: (opened.append(info.filename), read(z, info))[1])
+    assert len(list(A.wanted_filings(path, A._opened(path), keys))) == 3
+    assert sorted(opened) == ["m1.html", "odd.zip!.html", "x/d3.xml"]
+
+
+def test_raw_benchmark_reads_its_texts_out_of_the_archives(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerkit.plans.dataset import parse_month
+    from ledgerkit.plans.raw_benchmark import build_raw_benchmark, newest_archive_members
+    from ledgerkit.sources.archives import list_archives, list_filings, read_members, scan_archives
+    d = tempfile.mkdtemp(prefix="lk-raw-")
+    _archive_with_two_inner_ones(d)
+    latest = parse_month(scan_archives(spark, d)).withColumn("company_name", F.lit("A"))
+    members = newest_archive_members(list_filings(list_archives(spark, d)))
+    late = build_raw_benchmark(latest, read_members, members).collect()
+    assert late and late == build_raw_benchmark(latest, scan_archives(spark, d)).collect()
+
+
+def test_provenance_of_an_archive_beyond_two_gigabytes(spark):
+    import hashlib
+
+    from ledgerkit.operators.aggregates import archive_provenance
+    from ledgerkit.sources.archives import list_archives
+    d = tempfile.mkdtemp(prefix="lk-sparse-")
+    size = 2 ** 31 + 12345
+    with open(os.path.join(d, "big.zip"), "wb") as f:
+        f.truncate(size)  # takes no disk
+    state, block = hashlib.sha256(), bytes(1 << 24)
+    for _ in range(size >> 24):
+        state.update(block)
+    state.update(bytes(size % (1 << 24)))
+    sampled = spark.createDataFrame([("big.zip", 1), ("big.zip", 2), ("other.zip", 3)], "archive string, k long")
+    got = {r.archive: (r.sampled, r.sha256) for r in archive_provenance(sampled, list_archives(spark, d)).collect()}
+    assert got == {"big.zip": (2, state.hexdigest()), "other.zip": (1, None)}
+
+
 def test_two_daily_archives_of_one_month_both_stay(spark):
     from ledgerkit.streaming.ingest import incremental_ingest, latest_epoch
     src, out = tempfile.mkdtemp(prefix="lk-src-"), tempfile.mkdtemp(prefix="lk-out-")
@@ -77,14 +150,13 @@ def test_two_daily_archives_of_one_month_both_stay(spark):
 def test_monthly_names_same_names_and_rejects(spark):
     from ledgerkit.operators.extract import parse_filings, rejects
     from ledgerkit.operators.normalise import normalise
-    from ledgerkit.sources.archive_source import read_archives
-    from ledgerkit.sources.archives import scan_archives
+    from ledgerkit.sources.archives import list_archives, read_archives, scan_archives
     d = tempfile.mkdtemp(prefix="lk-month-")
     for folder in ("one", "two"):
         os.mkdir(os.path.join(d, folder))
         with open(os.path.join(d, folder, "Accounts_Monthly_Data-January2025.zip"), "wb") as f:
             f.write(_zip({"a.html": full_filing(), "empty.html": b"", "text.html": b"no markup"}))
-    for filings in (scan_archives(spark, d), read_archives(spark, d, members_per_partition=2)):
+    for filings in (scan_archives(spark, d), read_archives(list_archives(spark, d), most=2)):
         rows = filings.select("filing_id", "published").collect()
         assert len({r.filing_id for r in rows}) == 6 and {str(r.published) for r in rows} == {"2025-01-01"}
         parsed = parse_filings(filings)
