@@ -234,6 +234,9 @@ def parse_filing(markup: str) -> dict:
     sink = _feed(markup, _Facts)
     if not sink.elements:
         raise EmptyFiling("no element in the document")
+    place = {c["context_id"]: i for i, c in enumerate(sink.found["contexts"])}  # of a repeated id the last one
+    for fact in sink.found["facts"]:
+        fact["context_at"] = place.get(fact["context_ref"]) if fact["context_ref"] is not None else None
     return sink.found
 
 

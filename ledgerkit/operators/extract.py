@@ -25,7 +25,7 @@ CONTEXT_T = T.StructType([
 UNIT_T = T.StructType([T.StructField("unit_id", T.StringType()), T.StructField("measure", T.StringType())])
 FACT_T = T.StructType([T.StructField(n, T.StringType()) for n in (
     "kind", "concept", "namespace", "raw_text", "scale", "sign", "context_ref", "unit_ref",
-    "mark_before", "mark_after")])
+    "mark_before", "mark_after")] + [T.StructField("context_at", T.IntegerType())])
 
 PARSED_FIELDS = [
     T.StructField("parse_error", T.StringType()),

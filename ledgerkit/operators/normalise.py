@@ -1,10 +1,11 @@
 """Normalisation (N1-N29): parsed filing -> one wide record with provenance.
 
-A parsed filing is one row holding its facts and contexts in document order.  Each
-fact finds its context there, then the facts become rows (no shuffle) and one
-aggregation by filing computes all picks and sums; the facts of a filing lie in one
-task, so the partial aggregation leaves one row per filing for its exchange.  No
-join, no Python.  Rejects (``parse_error``) are no records.
+A parsed filing is one row holding its facts and contexts in document order, and each
+fact names the place of its context there.  Everything is computed in that row: the
+facts of the record's concepts are taken out once, with their values and contexts,
+and picks, sums and texts are read off that short list.  No fact becomes a row, so
+there is no generator, sort, shuffle, join or Python after the parse, and a filing of
+many facts costs in proportion.  Rejects (``parse_error``) are no records.
 
 Pick rule (N4): synonyms pooled; facts in the preferred period first, then the
 largest absolute value, ties to the first in document order.  This is the
@@ -59,73 +60,71 @@ def _typed_contexts(col: Column) -> Column:
 
 
 def with_periods(parsed: DataFrame) -> DataFrame:
-    """N1 + N2: period end over all contexts, plain in-period context ids, period start."""
+    """N1 + N2: typed contexts, period end over all of them, start of the plain in-period durations."""
     df = parsed.withColumn("_ctx", _typed_contexts(F.col("contexts")))
-    pe = F.array_max(F.transform("_ctx", lambda c: c["p_end"]))
-    df = df.withColumn("period_end", pe)
-
-    def ids(kind):
-        return F.transform(
-            F.filter("_ctx", lambda c: c["plain"] & (c["p_end"] == F.col("period_end")) & (c["ptype"] == kind)),
-            lambda c: c["id"])
-    df = df.withColumn("_inst_ids", ids("instant")).withColumn("_dur_ids", ids("duration"))
-    starts = F.transform(
-        F.filter("_ctx", lambda c: c["plain"] & (c["p_end"] == F.col("period_end")) & (c["ptype"] == "duration")),
-        lambda c: c["p_start"])
-    return df.withColumn("period_start", F.array_min(starts))
-
-
-def fact_rows(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Facts as rows (explode, no shuffle): ord, parsed value (X7/X8), raw number
-    (N6), period flags and funding slot (N8/N9).  Each fact finds its context in the
-    filing's own row (N3) before the explode, so no join is needed and the arrays of
-    contexts stay behind: a fact row carries its own few values and ``keys`` only."""
-    def resolved(f: Column, i: Column) -> Column:
-        ref = f["context_ref"]
-        in_inst = F.coalesce(F.array_contains("_inst_ids", ref), F.lit(False))
-        ctx = F.array(_last(F.filter("_ctx", lambda c: c["id"] == ref)))
-        slot = F.get(F.transform(ctx, lambda c: F.when(
-            c.isNotNull() & c["p_end"].eqNullSafe(F.col("period_end")),
-            F.coalesce(c["bucket"], F.when(in_inst, F.lit("plain"))))), F.lit(0))
-        own = [f[k].alias(k) for k in ("concept", "kind", "raw_text", "scale", "sign", "mark_before", "mark_after")]
-        return F.struct(i.alias("ord"), *own, in_inst.alias("in_inst"),
-                        F.coalesce(F.array_contains("_dur_ids", ref), F.lit(False)).alias("in_dur"), slot.alias("slot"))
-
-    ex = df.select(*keys, F.transform("facts", resolved).alias("_facts")).select(*keys, F.explode_outer("_facts").alias("f"))
-    f = F.col("f")
-    value = F.when(f["kind"] == "nonFraction", bracket_negated(
-        displayed_number(f["raw_text"], f["scale"], f["sign"]), f["mark_before"], f["mark_after"]))
-    return ex.select(*keys, "f.ord", "f.concept", "f.kind", "f.raw_text", value.alias("value"),
-                     raw_number(f["raw_text"]).alias("raw_num"), "f.in_inst", "f.in_dur", "f.slot")
+    df = df.withColumn("period_end", F.array_max(F.transform("_ctx", lambda c: c["p_end"])))
+    starts = F.filter("_ctx", lambda c: c["plain"] & (c["p_end"] == F.col("period_end")) & (c["ptype"] == "duration"))
+    return df.withColumn("period_start", F.array_min(F.transform(starts, lambda c: c["p_start"])))
+
+
+#: Concepts that a record reads; the audit exemption is found by part of its name.
+CONCEPTS = sorted({c for names in (*vocab.FIELD_CONCEPTS.values(), *vocab.FUNDING_CONCEPTS.values(), vocab.CREDITORS_TOTAL_CONCEPTS,
+                                   vocab.META_TAGS.values()) for c in names})
+
+
+def _exempts(concept: Column) -> Column:
+    return F.coalesce(F.lower(concept).contains("exemptionfromaudit"), F.lit(False))
+
+
+def with_facts(df: DataFrame) -> DataFrame:
+    """``_f``: the facts of CONCEPTS in order, with place, parsed value (X7/X8), raw number (N6),
+    period flags and funding slot (N8/N9); the context is read at its place (N3)."""
+    placed = F.transform("facts", lambda f, i: F.struct(f.alias("f"), i.alias("o")))
+    wanted = F.filter(placed, lambda x: x["f"]["concept"].isin(CONCEPTS) | _exempts(x["f"]["concept"]))
+
+    def with_context(x: Column) -> Column:
+        return F.struct(x["f"].alias("f"), x["o"].alias("o"), F.get("_ctx", x["f"]["context_at"]).alias("c"))
+
+    def told(x: Column) -> Column:
+        f, c = x["f"], x["c"]
+        value = F.when(f["kind"] == "nonFraction", bracket_negated(
+            displayed_number(f["raw_text"], f["scale"], f["sign"]), f["mark_before"], f["mark_after"]))
+        flag = lambda kind: F.coalesce(c["plain"] & (c["p_end"] == F.col("period_end")) & (c["ptype"] == kind), F.lit(False))
+        slot = F.when(c.isNotNull() & c["p_end"].eqNullSafe(F.col("period_end")), F.coalesce(c["bucket"], F.when(flag("instant"), F.lit("plain"))))
+        return F.struct(x["o"].alias("o"), f["concept"].alias("concept"), f["raw_text"].alias("raw_text"), value.alias("value"),
+                        raw_number(f["raw_text"]).alias("raw_num"), flag("instant").alias("in_inst"), flag("duration").alias("in_dur"), slot.alias("slot"))
+
+    return df.withColumn("_f", F.transform(F.transform(wanted, with_context), told))
+
+
+def _of(names, more=None) -> Column:
+    """The filing's facts of these concepts, in order."""
+    names = list(names)
+    return F.filter("_f", lambda x: x["concept"].isin(names) if more is None else x["concept"].isin(names) & more(x))
 
 
 def _pick(field: str) -> Column:
     """Max of struct(p in-period, a abs, o -ord, v value) over the field's facts."""
-    pref = F.col("in_dur") if field in vocab.DURATION_FIELDS else F.col("in_inst")
-    names = vocab.FIELD_CONCEPTS[field]
-    val = F.col("raw_num") if field == "employees" else F.col("value")  # N6 uses the raw number
-    cond = F.col("concept").isin(names) & val.isNotNull()
-    return F.max(F.when(cond, F.struct(pref.alias("p"), F.abs(val).alias("a"), (-F.col("ord")).alias("o"),
-                                       val.alias("v"))))
+    pref = "in_dur" if field in vocab.DURATION_FIELDS else "in_inst"
+    val = "raw_num" if field == "employees" else "value"  # N6 uses the raw number
+    facts = _of(vocab.FIELD_CONCEPTS[field], lambda x: x[val].isNotNull())
+    return F.array_max(F.transform(facts, lambda x: F.struct(x[pref].alias("p"), F.abs(x[val]).alias("a"), (-x["o"]).alias("o"), x[val].alias("v"))))
 
 
 def _meta(tag: str) -> Column:
     """First non-blank text of a meta concept."""
-    cond = (F.col("concept") == tag) & (F.length("raw_text") > 0)
-    return F.min(F.when(cond, F.struct(F.col("ord").alias("o"), F.col("raw_text").alias("t"))))["t"]
+    return _first(_of([tag], lambda x: F.length(x["raw_text"]) > 0))["raw_text"]
 
 
 def _funding_sum(names, slot) -> Column:
     """Sum of every matching fact in a slot (exact decimal), null when none."""
-    cond = F.col("concept").isin(names) & F.col("value").isNotNull() & (F.col("slot") == slot)
-    return F.sum(F.when(cond, F.col("value").cast(DEC)))
+    values = F.transform(_of(names, lambda x: x["value"].isNotNull() & (x["slot"] == slot)), lambda x: x["value"].cast(DEC))
+    return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0).cast(DEC), lambda acc, x: (acc + x).cast(DEC)))
 
 
 def _creditors_last(slot) -> Column:
     """Creditors total per slot, last fact wins."""
-    cond = (F.col("concept").isin(vocab.CREDITORS_TOTAL_CONCEPTS) & F.col("value").isNotNull()
-            & (F.col("slot") == slot))
-    return F.max(F.when(cond, F.struct(F.col("ord").alias("o"), F.col("value").alias("v"))))["v"]
+    return _last(_of(vocab.CREDITORS_TOTAL_CONCEPTS, lambda x: x["value"].isNotNull() & (x["slot"] == slot)))["value"]
 
 
 def slot_total(within: Column, after: Column, plain: Column) -> Column:
@@ -162,30 +161,24 @@ PASS_THROUGH = ["filing_id", "source_file", "archive", "member", "published"]
 
 
 def picks(parsed: DataFrame) -> DataFrame:
-    """One aggregated row per filing with ``_p_<field>`` structs, meta texts
-    and funding sums.  Facts of a filing sit together in one partition, so the
-    partial aggregation collapses each filing before the one exchange on filing_id."""
-    df = with_periods(parsed)
-    first_ident = _first(F.filter("_ctx", lambda c: F.length(c["identifier"]) > 0))["identifier"]
+    """One row per filing with ``_p_<field>`` structs, meta texts and funding sums, all
+    computed in the filing's own row."""
+    df = with_facts(with_periods(parsed))
     keys = {c: F.col(c) for c in PASS_THROUGH if c in parsed.columns}
     keys.update({
-        "company_number": first_ident,
+        "company_number": _first(F.filter("_ctx", lambda c: F.length(c["identifier"]) > 0))["identifier"],
         "period_end": F.col("period_end"), "period_start": F.col("period_start"),
         "_refs_text": F.concat_ws(" ", "refs"),
         "taxonomy_version": taxonomy_version(F.col("refs")),
         "currency": currency(F.col("units")),
     })
-    rows = fact_rows(df.withColumns({k: v for k, v in keys.items() if k not in df.columns}), list(keys))
-    aggs = [_pick(f).alias(f"_p_{f}") for f in PICK_FIELDS]
-    aggs += [_meta(tag).alias(f"_m_{key}") for key, tag in vocab.META_TAGS.items()]
-    aggs += [_funding_sum(names, slot).alias(f"_fd_{label}_{slot}")
-             for label, names in vocab.FUNDING_CONCEPTS.items() for slot in ("within", "after", "plain")]
-    aggs += [_creditors_last(slot).alias(f"_cred_{slot}") for slot in ("within", "after", "plain")]
-    aggs.append(F.coalesce(F.max(F.lower("concept").contains("exemptionfromaudit")), F.lit(False)).alias("_exempt"))
-    # Grouped by filing_id alone (one hash key for the exchange); the other filing-level
-    # columns are the same on every fact row of a filing and ride along with first().
-    carried = [F.first(k).alias(k) for k in keys if k != "filing_id"]
-    return rows.groupBy("filing_id").agg(*carried, *aggs)
+    found = {f"_p_{f}": _pick(f) for f in PICK_FIELDS}
+    found |= {f"_m_{key}": _meta(tag) for key, tag in vocab.META_TAGS.items()}
+    found |= {f"_fd_{label}_{slot}": _funding_sum(names, slot)
+              for label, names in vocab.FUNDING_CONCEPTS.items() for slot in ("within", "after", "plain")}
+    found |= {f"_cred_{slot}": _creditors_last(slot) for slot in ("within", "after", "plain")}
+    found["_exempt"] = F.exists("_f", lambda x: _exempts(x["concept"]))
+    return df.select(*[c.alias(k) for k, c in keys.items()], *[c.alias(k) for k, c in found.items()])
 
 
 def normalise(parsed: DataFrame, keep_internal: bool = False) -> DataFrame:

@@ -73,3 +73,42 @@ def test_bad_filing_goes_to_rejects(spark):
     df = spark.createDataFrame([("bad", None)], "filing_id string, content binary")
     assert parse_filings(df).count() == 1
     assert rejects(parse_filings(spark.createDataFrame([("ok", b"<html></html>")], "filing_id string, content binary"))).count() == 0
+
+
+def _large_filing(facts, contexts):
+    """A filing of many contexts, each fact in one of them; the last fact is the turnover's."""
+    ctx = "".join(f'<xbrli:context id="c{i}"><xbrli:entity><xbrli:identifier scheme="s">12345678</xbrli:identifier></xbrli:entity><xbrli:period>'
+                  f"<xbrli:startDate>2024-01-01</xbrli:startDate><xbrli:endDate>2024-12-31</xbrli:endDate></xbrli:period></xbrli:context>" for i in range(contexts))
+    body = "".join(f'<p><ix:nonFraction name="c:{"TurnoverRevenue" if i == facts - 1 else "Other"}" contextRef="c{i % contexts}" unitRef="GBP">{i}</ix:nonFraction></p>' for i in range(facts))
+    return (f'<html xmlns:ix="http://www.xbrl.org/2013/inlineXBRL" xmlns:xbrli="http://www.xbrl.org/2003/instance"><ix:resources>{ctx}</ix:resources>{body}</html>').encode()
+
+
+def test_a_filing_of_many_facts_costs_in_proportion(spark):
+    import time
+    from ledgerkit.operators.extract import parse_filings
+    from ledgerkit.operators.normalise import normalise
+    schema = "filing_id string, content binary"
+
+    def seconds(n):
+        parsed = parse_filings(spark.createDataFrame([("f", _large_filing(n, n // 10))], schema)).cache()
+        parsed.count()
+        took = []
+        for _ in range(3):
+            t0 = time.time()
+            row = normalise(parsed).collect()[0]
+            took.append(time.time() - t0)
+        parsed.unpersist()
+        assert row["company_number"] == "12345678" and row["period_end"] == "2024-12-31"
+        return min(took)
+
+    small, large = seconds(2_000), seconds(20_000)
+    assert large < 20 * small + 2
+
+
+def test_of_contexts_with_one_id_the_last_counts(spark):
+    from ledgerkit.functions.markup import parse_filing
+    text = ('<html xmlns:ix="http://www.xbrl.org/2013/inlineXBRL" xmlns:xbrli="http://www.xbrl.org/2003/instance">'
+            '<xbrli:context id="a"/><xbrli:context id="b"/><xbrli:context id="a"/><xbrli:context/>'
+            '<ix:nonFraction name="c:X" contextRef="a">1</ix:nonFraction><ix:nonFraction name="c:X" contextRef="z">1</ix:nonFraction>'
+            '<ix:nonFraction name="c:X">1</ix:nonFraction></html>')
+    assert [f["context_at"] for f in parse_filing(text)["facts"]] == [2, None, None]
