@@ -435,28 +435,22 @@ SELECT draw, arg_max(c_name, (c_acctbal, -pos)) AS winner, count(DISTINCT c_cust
 
 
 # ---- grading -------------------------------------------------------------------------------
-MULT_RE = "(-?\\(?£?\\d+(?:\\.\\d+)?\\)?)\\s*(k|thousand|mn|million|m|bn|billion|b)\\b"
-FIRST_RE = "-?\\(?£?\\d[\\d]*(?:\\.\\d+)?\\)?"
+FIGURE = "[0-9]+(?:\\.[0-9]+)?"
 NOT_WORD = "[^\\p{L}\\p{N}_]"
 
 
-def _to_float(s):
-    s = f"trim({s})"
-    v = f"TRY_CAST(translate({s}, '()£,+', '') AS DOUBLE)"
-    return f"(CASE WHEN starts_with({s}, '(') AND ends_with({s}, ')') THEN -{v} ELSE {v} END)"
-
-
 def answer_number_sql(x):
-    """E12 in DuckDB; written as a scalar subquery over one prepared text."""
-    t0 = f"replace(lower(regexp_replace({x}, '^\\s+|\\s+$', '', 'g')), ',', '')"
-    t = f"(CASE WHEN strpos({t0}, '=') > 0 THEN trim(string_split({t0}, '=')[-1]) ELSE {t0} END)"
-    mult = ("CASE regexp_extract(t, '" + MULT_RE + "', 2) WHEN 'k' THEN 1e3 WHEN 'thousand' THEN 1e3 "
-            "WHEN 'm' THEN 1e6 WHEN 'mn' THEN 1e6 WHEN 'million' THEN 1e6 WHEN 'bn' THEN 1e9 "
-            "WHEN 'b' THEN 1e9 WHEN 'billion' THEN 1e9 END")
-    wm = f"({_to_float(chr(39).join(['regexp_extract(t, ', MULT_RE, ', 1)']))} * {mult})"
-    first = f"(CASE WHEN regexp_matches(t, '{FIRST_RE}') THEN {_to_float(chr(39).join(['regexp_extract(t, ', FIRST_RE, ', 0)']))} END)"
-    return (f"(SELECT CASE WHEN regexp_matches(t, '{MULT_RE}') AND {wm} IS NOT NULL THEN {wm} ELSE {first} END "
-            f"FROM (SELECT {t} AS t))")
+    """E12 in DuckDB: the figures of the text after the last ``=``, each with what stands before and
+    after it, as a scalar subquery."""
+    times = ("CASE regexp_extract(after, '^\\)?\\s*([a-z]+)\\b', 1) WHEN 'k' THEN 1e3 WHEN 'thousand' THEN 1e3 "
+             "WHEN 'm' THEN 1e6 WHEN 'mn' THEN 1e6 WHEN 'million' THEN 1e6 WHEN 'bn' THEN 1e9 "
+             "WHEN 'b' THEN 1e9 WHEN 'billion' THEN 1e9 END")
+    minus = "contains(marks, '-') OR contains(marks, '(') AND starts_with(after, ')')"
+    return (f"(SELECT coalesce(min_by(v * times, i) FILTER (times IS NOT NULL), min_by(v, i)) FROM (SELECT i, {times} AS times, "
+            f"CASE WHEN {minus} THEN -CAST(figure AS DOUBLE) ELSE CAST(figure AS DOUBLE) END AS v FROM (SELECT i, found[i] AS figure, "
+            "regexp_extract(gaps[i], '[-(£]*$') AS marks, gaps[i + 1] || CASE WHEN i < len(found) THEN '0' ELSE '' END AS after "
+            f"FROM (SELECT found, regexp_split_to_array(t, '{FIGURE}') AS gaps, unnest(range(1, len(found) + 1)) AS i "
+            f"FROM (SELECT t, regexp_extract_all(t, '{FIGURE}') AS found FROM (SELECT string_split(lower(replace({x}, ',', '')), '=')[-1] AS t))))))")
 
 
 def grade_numeric_sql(text, truth, rel="0.01", ab="1.0"):
