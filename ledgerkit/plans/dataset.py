@@ -1,7 +1,9 @@
 """Composite dataset jobs (D1-D4): filings -> records -> published version."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
@@ -10,6 +12,7 @@ from ..operators.metadata import join_metadata
 from ..operators.normalise import flatten_record, normalise
 from ..session import folders, materialise, path_exists
 from ..sinks import writers as K
+from ..sources.archives import archive_months, read_archives
 
 
 def parse_month(filings: DataFrame) -> DataFrame:
@@ -65,32 +68,83 @@ def build_sample(filings: DataFrame, meta: DataFrame | None, out: str) -> dict:
 TRIAL_MONTHS, TRIAL_FILINGS = 1, 3000
 
 
+def _archive_of() -> Column:
+    """The archive that a filing came from, by its full path."""
+    return F.substring_index("filing_id", "!", 1)
+
+
+def _part_of(archive: Column, build: str) -> Column:
+    return F.md5(F.concat(archive, F.lit(f"\0{build}")))
+
+
+def _newest_months(keys: DataFrame, months: int) -> DataFrame:
+    return keys.select("month").where("month is not null").distinct().orderBy(F.desc("month")).limit(months)
+
+
+def _build(keys: DataFrame, filings_of, meta: DataFrame | None, base: str, version: str, months: int,
+           rebuild: bool, sources, licence) -> dict:
+    """``keys``: (month, archive, length) of what there is; ``filings_of(pending)``: the filings of some of them.
+
+    A ledger beside the parts says which archives they hold.  It is written after the parts, and a
+    build's parts have names of its own, so one that died leaves its archives pending and all earlier
+    parts whole.  Parts that the ledger does not name (or no longer) are removed at the end."""
+    spark, build = keys.sparkSession, uuid.uuid4().hex
+    parts, ledger = f"{base.rstrip('/')}/_parts", f"{base.rstrip('/')}/_ledger"
+    keys = materialise(keys.withColumn("archive_part", _part_of(F.col("archive"), build)))
+    keep = _newest_months(keys, months)
+    wanted = keys.join(keep, "month", "left_semi")
+    if not rebuild and path_exists(spark, ledger):
+        wanted = K.pending_archives(wanted, K.read_ledger(spark, ledger))
+    wanted = materialise(wanted)
+    if not wanted.isEmpty():
+        built = parse_month(filings_of(wanted)).withColumn("archive_part", _part_of(_archive_of(), build))
+        K.write_month_parts(built, parts, extra=("archive_part",))
+        K.append_ledger(wanted, spark.read.schema(built.schema).parquet(parts), ledger)
+    if not path_exists(spark, ledger):
+        raise FileNotFoundError(f"no dated archive to build {base} from")
+    K.drop_parts_but(K.read_ledger(spark, ledger), parts)
+    held = K.read_ledger(spark, ledger).where("records > 0").join(keep, "month", "left_semi")
+    recs = (spark.read.parquet(parts).withColumn("month", F.col("month").cast("string"))
+            .join(held, ["month", "archive_part"], "left_semi").drop("archive_part"))
+    if meta is None:
+        out = K.write_version(recs, base, version)
+        _reports(out, spark, version, sources, licence)
+    else:
+        out = publish(recs, meta, base, version, sources, licence)["version"]
+    K.write_manifest(keys.where("month is null").select("archive"), f"{out}/_undated")
+    return {"version": out}
+
+
 def build_product(filings: DataFrame, meta: DataFrame | None, base: str, version: str,
                   months: int = 12, trial: bool = False, rebuild: bool = False, sources=(), licence: str | None = None) -> dict:
     """D3: trailing months (W3) -> per-month records (D1, K3) -> publish.
 
-    Months that already have a part are not parsed again (J14) unless ``rebuild``.  A trial takes
-    one month and caps filings per archive (W5); it writes to folders of its own."""
+    Archives that the ledger names are not parsed again (J14) unless ``rebuild``; an archive that
+    comes after its month's first build is in the next version.  Archives of filings without a
+    publication date belong to no month; they are listed in ``_undated``.  A trial takes one month
+    and caps filings per archive (W5); it writes to folders of its own."""
     from ..operators.sampling import cap_per_group
-    spark = filings.sparkSession
-    if trial:
-        months, base = TRIAL_MONTHS, f"{base.rstrip('/')}_trial"
-    parts = f"{base.rstrip('/')}/_parts"
     month = F.date_format("published", "yyyy-MM")
-    keep = filings.select(month.alias("month")).where("month is not null").distinct().orderBy(F.desc("month")).limit(months)
-    wanted = keep
-    if not rebuild and path_exists(spark, parts):
-        wanted = K.pending_months(keep, spark.read.parquet(parts))
-    chosen = filings.withColumn("month", month).join(wanted, "month", "left_semi").drop("month")
     if trial:
-        chosen = cap_per_group(chosen, "archive", TRIAL_FILINGS, "filing_id")
-    K.write_month_parts(parse_month(chosen), parts)
-    recs = spark.read.parquet(parts).withColumn("month", F.col("month").cast("string")).join(keep, "month", "left_semi")
-    if meta is None:
-        out = K.write_version(recs, base, version)
-        _reports(out, spark, version, sources, licence)
-        return {"version": out}
-    return publish(recs, meta, base, version, sources, licence)
+        months, base = TRIAL_MONTHS, f"{base.rstrip('/')}_trial"
+    keys = filings.select(month.alias("month"), _archive_of().alias("archive"), F.lit(None).cast("long").alias("length")).distinct()
+
+    def chosen(pending: DataFrame) -> DataFrame:
+        rows = filings.withColumns({"month": month, "_archive": _archive_of()})
+        some = pending.select("month", F.col("archive").alias("_archive"))
+        rows = rows.join(some, ["month", "_archive"], "left_semi").drop("month", "_archive")
+        return cap_per_group(rows, "archive", TRIAL_FILINGS, "filing_id") if trial else rows
+
+    return _build(keys, chosen, meta, base, version, months, rebuild, sources, licence)
+
+
+def build_from_archives(archives: DataFrame, meta: DataFrame | None, base: str, version: str,
+                        months: int = 12, rebuild: bool = False, sources=(), licence: str | None = None) -> dict:
+    """D3 over a listing (path, length): months come from the archives' names, so only pending
+    archives are opened.  An archive whose length has changed is pending again."""
+    dated = archives.select("path", "length").distinct().mapInArrow(archive_months, "month string, archive string, length long")
+    return _build(dated, lambda pending: read_archives(pending.select(F.col("archive").alias("path"))),
+                  meta, base, version, months, rebuild, sources, licence)
 
 
 def read_dataset(spark, base: str, columns=None) -> DataFrame:

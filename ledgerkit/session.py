@@ -66,8 +66,7 @@ def _tables(spark: SparkSession) -> str:
 def drop_materialised(spark: SparkSession) -> None:
     """Delete the tables that :func:`materialise` wrote in this application, once the results
     that read them have been saved."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, _tables(spark))
 
 
 def _path(spark: SparkSession, path: str):
@@ -80,6 +79,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the library's own."""
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder, none where it does not exist (metadata only)."""
     fs, p = _path(spark, path)

@@ -176,6 +176,15 @@ def list_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFr
             .load(path).select("path", "length"))
 
 
+def archive_months(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, length) of archives -> (month, archive, length); the month is null where the name holds no date."""
+    for b in batches:
+        paths = b.column("path").to_pylist()
+        days = [archive_date(posixpath.basename(p)) for p in paths]
+        yield pa.RecordBatch.from_arrays([pa.array([d and d.strftime("%Y-%m") for d in days], pa.string()), pa.array(paths, pa.string()),
+                                          b.column("length")], ["month", "archive", "length"])
+
+
 def member_ranges(archives: DataFrame, suffixes=DEFAULT_SUFFIXES, most_bytes: int = RANGE_BYTES, most: int = RANGE_MEMBERS) -> DataFrame:
     """(path, inner, first, past, bytes): the ranges of members of each archive, from its directory alone.
     An archive that is none has no range."""

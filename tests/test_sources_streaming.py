@@ -42,8 +42,8 @@ def test_incremental_ingest_processes_new_archives_once(spark):
     incremental_ingest(spark, src, out, name=os.path.basename(out))
     recs = spark.read.parquet(f"{out}/records")
     assert recs.count() == 2
-    from ledgerkit.streaming.ingest import latest_epoch
-    assert spark.read.parquet(latest_epoch(spark, out)).count() == 2
+    from ledgerkit.streaming.ingest import read_latest
+    assert read_latest(spark, out).count() == 2
 
 
 def test_archive_data_source_splits_members(spark):
@@ -137,14 +137,14 @@ def test_provenance_of_an_archive_beyond_two_gigabytes(spark):
 
 
 def test_two_daily_archives_of_one_month_both_stay(spark):
-    from ledgerkit.streaming.ingest import incremental_ingest, latest_epoch
+    from ledgerkit.streaming.ingest import incremental_ingest, read_latest
     src, out = tempfile.mkdtemp(prefix="lk-src-"), tempfile.mkdtemp(prefix="lk-out-")
     for day, make in (("02", full_filing), ("03", micro_filing)):
         with open(os.path.join(src, f"Accounts_Bulk_Data-2025-01-{day}.zip"), "wb") as f:
             f.write(_zip({"a.html": make()}))
         incremental_ingest(spark, src, out)
     assert spark.read.parquet(f"{out}/records").count() == 2
-    assert spark.read.parquet(latest_epoch(spark, out)).count() == 2
+    assert read_latest(spark, out).count() == 2
 
 
 def test_monthly_names_same_names_and_rejects(spark):
@@ -188,6 +188,8 @@ def test_build_product_of_a_monthly_archive_resumes(spark):
     assert (told["version"], told["sources"], told["licence"]) == ("1", ["archives"], "open") and len(told["processing_steps"]) == 4
     assert spark.read.json(f"{first}/_coverage/*.json").count() == 1
     part, = [p for p in os.listdir(f"{out}/_parts") if p.startswith("month=")]
+    inner, = [p for p in os.listdir(f"{out}/_parts/{part}") if p.startswith("archive_part=")]
+    part = f"{part}/{inner}"
     stamp = sorted(os.listdir(f"{out}/_parts/{part}"))
     with open(os.path.join(d, "Accounts_Monthly_Data-February2025.zip"), "wb") as f:
         f.write(_zip({"c.html": full_filing()}))
@@ -198,6 +200,90 @@ def test_build_product_of_a_monthly_archive_resumes(spark):
     assert spark.read.parquet(trial).select("month").distinct().count() == 1
 
 
+def test_a_batch_rewrites_only_its_own_buckets(spark, monkeypatch):
+    import pytest
+
+    from ledgerkit.operators.sampling import latest_per_company
+    from ledgerkit.streaming import ingest as I
+    out = tempfile.mkdtemp(prefix="lk-state-")
+    schema = "company_number string, period_end string, source_file string, filing_id string"
+
+    def batch(rows):
+        return spark.createDataFrame(rows, schema)
+
+    def files():
+        return {os.path.join(p, n) for p, _, names in os.walk(f"{out}/latest/state") for n in names if n.endswith(".parquet")}
+
+    first = [(str(k), "2024-12-31", "a", f"f{k}") for k in range(400)] + [(None, "2024-12-31", "a", "f")]
+    assert I.read_latest(spark, out) is None
+    I.update_latest(batch(first), out, 0)
+    before = files()
+    assert len(before) > 150 and I.read_latest(spark, out).count() == 400
+    second = [("7", "2025-12-31", "b", "g7"), ("8", "2023-12-31", "b", "g8"), ("new", "2025-12-31", "b", "g9")]
+    I.update_latest(batch(second), out, 1)
+    assert 1 <= len(files() - before) <= 3 and files() >= before
+    want = sorted(map(tuple, latest_per_company(batch(first + second)).collect()))
+    rows = lambda: sorted(map(tuple, I.read_latest(spark, out).select(*schema.replace(" string", "").split(", ")).collect()))
+    assert rows() == want
+    I.update_latest(batch(second), out, 1)  # run again
+    assert rows() == want
+    with monkeypatch.context() as m:  # lost before its pointer
+        m.setattr(type(spark), "createDataFrame", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        extra = spark.read.schema(schema).json(spark.sparkContext.parallelize(['{"company_number": "7", "period_end": "2030-12-31"}']))
+        with pytest.raises(RuntimeError, match="lost"):
+            I.update_latest(extra, out, 2)
+    assert rows() == want
+    I.update_latest(batch([]), out, 2)
+    I.update_latest(batch([("8", "2026-12-31", "c", "h8")]), out, 3)
+    assert {r[0]: r[3] for r in rows()}["8"] == "h8" and len(rows()) == 401
+    assert len(files()) <= len(before) + 4  # what no pointer needs is gone
+
+
+def test_a_late_archive_a_dead_build_and_undated_names(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    import pytest
+
+    from ledgerkit.plans import dataset as D
+    from ledgerkit.sinks import writers as K
+    from ledgerkit.sources.archives import list_archives
+    d, out = tempfile.mkdtemp(prefix="lk-led-"), tempfile.mkdtemp(prefix="lk-ledo-")
+
+    def put(name, members):
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(_zip(members))
+
+    def version(v, **kw):
+        path = D.build_from_archives(list_archives(spark, d), None, out, v, **kw)["version"]
+        return path, {r.source_file: r.accounts_type for r in spark.read.parquet(path).select("source_file", "accounts_type").collect()}
+
+    put("Accounts_Bulk_Data-2025-01-02.zip", {"a.html": full_filing()})
+    put("undated.zip", {"n.html": full_filing()})
+    path, rows = version("1")
+    assert set(rows) == {"a.html"}
+    assert [r.archive.rpartition("/")[2] for r in spark.read.json(f"{path}/_undated").collect()] == ["undated.zip"]
+    put("Accounts_Bulk_Data-2025-01-03.zip", {"b.html": micro_filing()})  # late: its month has a part
+    opened, read = [], D.read_archives
+    monkeypatch.setattr(D, "read_archives", lambda a: (opened.extend(sorted(r.path.rpartition("/")[2] for r in a.collect())), read(a))[1])
+    assert set(version("2")[1]) == {"a.html", "b.html"} and opened == ["Accounts_Bulk_Data-2025-01-03.zip"]
+    # a build that dies after its parts and before the ledger is repeated
+    put("Accounts_Bulk_Data-2025-02-03.zip", {"c.html": micro_filing()})
+    with monkeypatch.context() as m:
+        m.setattr(K, "append_ledger", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            version("3")
+    del opened[:]
+    assert set(version("3")[1]) == {"a.html", "b.html", "c.html"} and opened == ["Accounts_Bulk_Data-2025-02-03.zip"]
+    # an archive that was replaced is built anew, its old part does not count
+    put("Accounts_Bulk_Data-2025-01-03.zip", {"e.html": b"no markup at all", "f.txt": "x" * 999})
+    del opened[:]
+    assert set(version("4")[1]) == {"a.html", "c.html"} and opened == ["Accounts_Bulk_Data-2025-01-03.zip"]
+    assert set(version("5", months=1)[1]) == {"c.html"}
+    ledger = K.read_ledger(spark, f"{out}/_ledger")
+    assert {(r.month, r.records) for r in ledger.collect()} == {("2025-01", 1), ("2025-01", 0), ("2025-02", 1)}
+    assert ledger.where(F.col("month").isNull()).isEmpty()
+
+
 def test_latest_takes_iso_dates_before_others_and_leaves_null_numbers_out(spark):
     from ledgerkit.operators.sampling import latest_per_company
     rows = [("1", "31 December 2020", "a", "f1"), ("1", "2024-12-31", "b", "f2"), ("2", None, "c", "f3"),
