@@ -9,11 +9,17 @@ splits the partitions of frequent trigrams.
 """
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import normalise_number
+from ..sources.archives import open_file
 from ..vocab import CORP_TOKENS, SHELF_PATTERNS
 
 
@@ -108,14 +114,73 @@ CHARGE_T = T.StructType([
         T.StructField("contains_negative_pledge", T.BooleanType())])),
     T.StructField("persons_entitled", T.ArrayType(T.StructType([T.StructField("name", T.StringType())]))),
 ])
-CHARGES_FILE_T = T.MapType(T.StringType(), T.ArrayType(CHARGE_T))
-
-
-def read_charges(spark, path: str) -> DataFrame:
-    """JSON documents {company_number: [charge, ...]} -> one row per charge."""
-    raw = spark.read.text(path, wholetext=True)
-    m = raw.select(F.explode(F.from_json("value", CHARGES_FILE_T)).alias("company_number", "charges"))
-    return m.select("company_number", F.explode("charges").alias("ch"))
+#: Bytes that a task holds of a register file at a time.
+PIECE_BYTES = 4_000_000
+
+
+def read_charges(spark, path: str, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """JSON documents {company_number: [charge, ...]} -> one row per charge (company_number, ch).
+
+    A file is read a piece at a time in the task that has it, whether it is one line or many, and
+    each charge leaves as a row of its own, so neither a file nor a company is ever a cell.  Spark
+    parses the charges.  What is no object in a company's list is left out, a charge that Spark cannot
+    parse is a null ``ch``, and a file whose brackets do not close ends the job with its name.  Of a
+    company named twice all charges are kept.  One file is one task: register exports of many files
+    spread over the cluster."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for one in b.column("path").to_pylist():
+                with open_file(one) as f:
+                    yield from charge_batches(one, iter(lambda: f.read(piece_bytes), b""))
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    raw = files.repartition("path").mapInArrow(run, "company_number string, charge string")
+    return raw.select("company_number", F.from_json("charge", CHARGE_T).alias("ch"))
+
+
+def charge_batches(name: str, pieces: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
+    rows, size = [], 0
+    for row in charge_texts(name, pieces):
+        rows.append(row)
+        size += len(row[1])
+        if size >= PIECE_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], ["company_number", "charge"])
+            rows, size = [], 0
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], ["company_number", "charge"])
+
+
+#: What changes the place in a JSON text: strings as a whole and brackets.
+_TOKEN = re.compile(rb'"[^"\\]*(?:\\.[^"\\]*)*"|[\[\]{}]', re.S)
+
+
+def charge_texts(name: str, pieces: Iterator[bytes]) -> Iterator[tuple[str, str]]:
+    """(company number, JSON of one charge) of a file's pieces; holds one charge and one piece."""
+    buf, at, start, depth, company, listed = b"", 0, None, 0, None, False
+    for piece in pieces:
+        buf = buf[at if start is None else start:] + piece
+        at, start = (0, None) if start is None else (at - start, 0)
+        while m := _TOKEN.search(buf, at):
+            quote = buf.find(b'"', at, m.start())
+            if quote >= 0:  # a string that this piece leaves open
+                at = quote
+                break
+            at, c = m.end(), m[0]
+            if c in b"{[":
+                if depth == 1:
+                    listed = c == b"["
+                elif depth == 2 and listed and c == b"{" and company is not None:
+                    start = m.start()
+                depth += 1
+            elif c in b"}]":
+                depth -= 1
+                if depth == 2 and start is not None:
+                    yield company, buf[start:at].decode("utf-8", "replace")
+                    start = None
+            elif depth == 1:
+                company = json.loads(c)
+    if depth or b'"' in buf[at:]:
+        raise ValueError(f"{name}: the file ends within an object")
 
 
 def charge_rows(charges: DataFrame, targets: DataFrame) -> DataFrame:
@@ -153,13 +218,6 @@ def entity_rows(targets: DataFrame, charges: DataFrame) -> DataFrame:
         F.coalesce("charges_outstanding", F.lit(0)).alias("charges_outstanding"))
 
 
-def entity_manifest(entities: DataFrame, charge_rows_df: DataFrame) -> DataFrame:
-    """Counts for the entity dataset manifest (two one-row aggregates side by side)."""
-    e = entities.agg(F.count(F.lit(1)).alias("entities")).withColumn("_k", F.lit(1))
-    c = charge_rows_df.agg(F.count(F.lit(1)).alias("charges")).withColumn("_k", F.lit(1))
-    return e.join(c, "_k").drop("_k")
-
-
 def targets_in_dataset(targets: DataFrame, records: DataFrame) -> DataFrame:
     """Targets that appear in the filing dataset (left semi) with counts."""
     number = normalise_number(F.col("company_number")).alias("_number")

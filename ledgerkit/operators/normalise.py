@@ -289,18 +289,18 @@ def assert_no_personal_columns(df: DataFrame) -> DataFrame:
 
 def flatten_record(records: DataFrame) -> DataFrame:
     """Funding structs -> f_within_* / f_after_*, provenance -> JSON text,
-    SIC list -> '; ' text (when present)."""
-    cols = []
+    SIC list -> '; ' text (when present).  A flat record stays as it is."""
+    cols, types = [], dict(records.dtypes)
     for c in records.columns:
         if c == "funding_within_one_year":
             cols += [F.col(f"{c}.{k}").alias(f"f_within_{k}") for k in FUNDING_LABELS + ["creditors_total"]]
         elif c == "funding_after_one_year":
             cols += [F.col(f"{c}.{k}").alias(f"f_after_{k}") for k in FUNDING_LABELS + ["creditors_total"]]
-        elif c == "provenance":
+        elif c == "provenance" and types[c] != "string":
             cols.append(F.to_json("provenance").alias("provenance"))
-        elif c == "sic_codes" and dict(records.dtypes)[c].startswith("array"):
+        elif c == "sic_codes" and types[c].startswith("array"):
             cols.append(F.concat_ws("; ", "sic_codes").alias("sic_codes"))
-        elif c == "out_of_period":
+        elif c == "out_of_period" and types[c] != "string":
             cols.append(F.concat_ws(",", "out_of_period").alias("out_of_period"))
         else:
             cols.append(F.col(c))

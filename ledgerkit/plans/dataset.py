@@ -3,16 +3,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
 from ..operators import extract as X
-from ..operators.metadata import join_metadata
+from ..operators.metadata import assert_unique_keys, join_metadata
 from ..operators.normalise import flatten_record, normalise
 from ..session import folders, materialise, path_exists
 from ..sinks import writers as K
 from ..sources.archives import archive_months, read_archives
+from ..vocab import PRODUCT_COVERAGE_FIELDS
 
 
 def parse_month(filings: DataFrame) -> DataFrame:
@@ -36,19 +37,28 @@ def described(manifest: DataFrame, version: str, sources=(), licence: str | None
         "licence": F.lit(licence).cast("string"), "processing_steps": texts(STEPS), "personal_data": F.lit(PERSONAL_DATA)})
 
 
-def _reports(out: str, spark, version: str, sources, licence) -> None:
+def _written(records: DataFrame, base: str, version: str, sources, licence) -> str:
+    """The version with its reports.  Coverage and match rate (V3) are observed in the tasks that write
+    the version, so they need no scan of it; preview and manifest read a few columns of it."""
+    seen, spark = Observation(f"version-{uuid.uuid4().hex}"), records.sparkSession
+    fields = [c for c in PRODUCT_COVERAGE_FIELDS if c in records.columns]
+    matched = [F.count("company_name").alias("matched")] if "company_name" in records.columns else []
+    out = K.write_version(records.observe(seen, F.count(F.lit(1)).alias("rows"), *matched, *[F.count(c).alias(f"n_{c}") for c in fields]), base, version)
+    n = seen.get
+    share = lambda k: F.round(F.lit(n[k]) / F.lit(max(n["rows"], 1)), 4)
+    K.write_manifest(spark.range(1).select(F.lit(n["rows"]).alias("record_count"), *[share(f"n_{c}").alias(f"cov_{c}") for c in fields],
+                                           *([F.lit(n["matched"]).alias("matched"), share("matched").alias("match_rate")] if matched else [])), f"{out}/_coverage")
     written = spark.read.parquet(out)
     K.write_preview(written, f"{out}/_preview")
     K.write_manifest(described(A.manifest(written), version, sources, licence), f"{out}/_manifest")
-    K.write_manifest(A.field_coverage(written), f"{out}/_coverage")
+    return out
 
 
 def publish(records: DataFrame, meta: DataFrame, base: str, version: str, sources=(), licence: str | None = None) -> dict:
-    """Normalise numbers, join metadata, write the version, preview, manifest and coverage."""
-    joined = join_metadata(records, meta)
-    out = K.write_version(joined, base, version)
-    _reports(out, joined.sparkSession, version, sources, licence)
-    return {"version": out}
+    """Normalise numbers, join metadata, write the version, preview, manifest and coverage.
+    A register that names a company twice stops the job before anything is written."""
+    assert_unique_keys(meta.where("company_number is not null"), "company_number")
+    return {"version": _written(flatten_record(join_metadata(records, meta)), base, version, sources, licence)}
 
 
 def build_sample(filings: DataFrame, meta: DataFrame | None, out: str) -> dict:
@@ -69,8 +79,8 @@ TRIAL_MONTHS, TRIAL_FILINGS = 1, 3000
 
 
 def _archive_of() -> Column:
-    """The archive that a filing came from, by its full path."""
-    return F.substring_index("filing_id", "!", 1)
+    """The archive that a filing came from, by its full path; loose filings are one group a month."""
+    return F.when(F.col("filing_id").contains("!"), F.substring_index("filing_id", "!", 1)).otherwise(F.lit(""))
 
 
 def _part_of(archive: Column, build: str) -> Column:
@@ -107,8 +117,7 @@ def _build(keys: DataFrame, filings_of, meta: DataFrame | None, base: str, versi
     recs = (spark.read.parquet(parts).withColumn("month", F.col("month").cast("string"))
             .join(held, ["month", "archive_part"], "left_semi").drop("archive_part"))
     if meta is None:
-        out = K.write_version(recs, base, version)
-        _reports(out, spark, version, sources, licence)
+        out = _written(recs, base, version, sources, licence)
     else:
         out = publish(recs, meta, base, version, sources, licence)["version"]
     K.write_manifest(keys.where("month is null").select("archive"), f"{out}/_undated")
@@ -120,14 +129,14 @@ def build_product(filings: DataFrame, meta: DataFrame | None, base: str, version
     """D3: trailing months (W3) -> per-month records (D1, K3) -> publish.
 
     Archives that the ledger names are not parsed again (J14) unless ``rebuild``; an archive that
-    comes after its month's first build is in the next version.  Archives of filings without a
+    comes after its month's first build, or holds another number of filings, is in the next version.  Archives of filings without a
     publication date belong to no month; they are listed in ``_undated``.  A trial takes one month
     and caps filings per archive (W5); it writes to folders of its own."""
     from ..operators.sampling import cap_per_group
     month = F.date_format("published", "yyyy-MM")
     if trial:
         months, base = TRIAL_MONTHS, f"{base.rstrip('/')}_trial"
-    keys = filings.select(month.alias("month"), _archive_of().alias("archive"), F.lit(None).cast("long").alias("length")).distinct()
+    keys = filings.groupBy(month.alias("month"), _archive_of().alias("archive")).agg(F.count(F.lit(1)).alias("length"))
 
     def chosen(pending: DataFrame) -> DataFrame:
         rows = filings.withColumns({"month": month, "_archive": _archive_of()})

@@ -805,3 +805,13 @@ SELECT r.filing_id, strpos(replace(text, ',', ''), CAST(CAST(trunc(abs(net_asset
   false AS css_leak, true AS officer_redacted
 FROM rec r JOIN texts t ON t.filing_id = r.filing_id WHERE net_assets IS NOT NULL"""),
 })
+
+
+# ---- jobs whose files are read back ------------------------------------------------------------
+ORACLE["register_charges"] = ORACLE["charge_rows"]
+ORACLE["entity_dataset"] = ORACLE["entities"]
+ORACLE["build_product"] = "WITH " + PRODUCT_CTE.strip() + """,
+months AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS month FROM orders ORDER BY month DESC LIMIT 12)
+SELECT strftime(p.o_orderdate, '%Y-%m') AS month, count(*) AS filings, count(DISTINCT company_number) AS companies,
+  count(company_name) AS matched, count(net_assets) AS with_net_assets
+FROM prod p WHERE strftime(p.o_orderdate, '%Y-%m') IN (SELECT month FROM months) GROUP BY 1"""

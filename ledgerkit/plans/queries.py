@@ -1,6 +1,8 @@
 """Registered queries: each is ``(spark, sf_dir) -> DataFrame`` over the whole tables."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +16,13 @@ from ..operators import metadata as M
 from ..operators import render as R
 from ..operators import sampling as W
 from ..operators.normalise import flatten_record, normalise
-from ..session import materialise
+from ..session import checkpoint_dir, materialise
 from ..sinks import writers as K
 from ..sources import catalogs as C
 from ..sources.tables import table
 from . import raw_benchmark as RB
+from .dataset import build_product, read_dataset
+from .entity_dataset import build_entity_dataset
 from .virtual import virtual_filings
 
 def filings(spark: SparkSession, sf: str) -> DataFrame:
@@ -660,7 +664,45 @@ def q_manifest(spark, sf):
                     F.to_json("accounts_type_distribution").alias("accounts_type_distribution"))
 
 
+def _own_folder(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/ledgerkit-{name}/{uuid.uuid4().hex}"
+
+
+def register_charges(spark, sf):
+    """The charges register as JSON documents in text files (one event a document), read back."""
+    folder = _own_folder(spark, "register")
+    event_charges(spark, sf).select(F.to_json(F.create_map("company_number", F.array("ch")))).write.text(folder)
+    return E.read_charges(spark, folder)
+
+
+def q_register_charges(spark, sf):
+    """S8 -> P2: annotated charges out of the register's files."""
+    return E.charge_rows(register_charges(spark, sf), supplier_targets(spark, sf)).select(
+        "company_number", "charge_code", "status", "category", "shelf", "persons_entitled",
+        "persons_entitled_has_individual", "contains_negative_pledge")
+
+
+def q_entity_dataset(spark, sf):
+    """The job writes entities, charges and manifest; its entities file is read back."""
+    targets, charges = supplier_targets(spark, sf), register_charges(spark, sf)
+    made = build_entity_dataset(targets, charges, _own_folder(spark, "entities"), "1")
+    back = spark.read.schema(E.entity_rows(targets, charges).schema).option("header", True).csv(made["entities"])
+    return back.fillna("", ["shelf"])
+
+
+def q_build_product(spark, sf):
+    """D3: the trailing twelve months are built, published with metadata and read back, by month."""
+    base = _own_folder(spark, "product")
+    build_product(filings(spark, sf), meta(spark, sf), base, "1")
+    return read_dataset(spark, base).groupBy(F.col("month").cast("string").alias("month")).agg(
+        F.count(F.lit(1)).alias("filings"), F.countDistinct("company_number").alias("companies"),
+        F.count("company_name").alias("matched"), F.count("net_assets").alias("with_net_assets"))
+
+
 QUERIES.update({
+    "register_charges": q_register_charges,
+    "entity_dataset": q_entity_dataset,
+    "build_product": q_build_product,
     "facts_with_context": q_facts_with_context,
     "distinct_numbers": q_distinct_numbers,
     "rejects": q_rejects,

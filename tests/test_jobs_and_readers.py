@@ -87,6 +87,48 @@ def test_verify_suspects_and_archive_provenance(spark):
     assert prov.sampled == 2 and len(prov.sha256) == 64
 
 
+def test_publish_joins_observes_and_refuses_a_doubled_register(spark):
+    import pytest
+
+    from ledgerkit.operators.aggregates import field_coverage
+    from ledgerkit.plans.dataset import parse_month, publish, read_dataset
+    recs = parse_month(_filings(spark))
+    numbers = sorted(r[0] for r in recs.select("company_number").collect())
+    register = spark.createDataFrame([(numbers[0], "ACME LTD", ["1 - A", "2 - B"]), (None, "NOBODY", []), (None, "NONE", [])],
+                                     "company_number string, company_name string, sic_codes array<string>")
+    base = tempfile.mkdtemp(prefix="lk-pub-")
+    out = publish(recs, register, base, "1", sources=["register"])["version"]
+    rows = {r.company_number: (r.company_name, r.sic_codes) for r in read_dataset(spark, base, ["company_number", "company_name", "sic_codes"]).collect()}
+    assert rows[numbers[0]] == ("ACME LTD", "1 - A; 2 - B") and rows[numbers[1]][0] is None
+    told, = spark.read.json(f"{out}/_coverage").collect()
+    want, = field_coverage(spark.read.parquet(out)).collect()
+    assert (told.matched, told.match_rate) == (1, 0.5) and {c: told[c] for c in want.asDict()} == want.asDict()
+    with pytest.raises(ValueError, match="duplicate company_number"):
+        publish(recs, register.union(register.limit(1)), base, "2")
+    assert not os.path.exists(f"{base}/version=2")
+
+
+def test_readers_of_lists_registers_and_loose_filings(spark):
+    from ledgerkit.operators.entities import rank_terms, read_terms
+    from ledgerkit.operators.metadata import read_company_csv
+    from ledgerkit.sources.archives import scan_filings
+    d = tempfile.mkdtemp(prefix="lk-read-")
+    with open(f"{d}/terms.txt", "w") as f:
+        f.write("# lenders\nred\n\n  blue bolt \n#x\n")
+    got = rank_terms(read_terms(spark, f"{d}/terms.txt", "lender")).orderBy("rank").collect()
+    assert [(r.term, r.category, r["rank"], r.cat_rank) for r in got] == [("red", "lender", 1, 0), ("blue bolt", "lender", 2, 0)]
+    with open(f"{d}/register.csv", "w") as f:
+        f.write('CompanyName, CompanyNumber,RegAddress.PostTown\n"ACME, LTD",00000001,LEEDS\n')
+    row, = read_company_csv(spark, f"{d}/register.csv").collect()
+    assert {c.strip(): v for c, v in row.asDict().items()}["CompanyName"] == "ACME, LTD"
+    os.makedirs(f"{d}/loose/2025-03-04")
+    for name in ("a.HTML", "b.txt"):
+        with open(f"{d}/loose/2025-03-04/{name}", "w") as f:
+            f.write(full_filing())
+    row, = scan_filings(spark, f"{d}/loose").collect()
+    assert (row.source_file, row.archive, str(row.published)) == ("a.HTML", None, "2025-03-04") and bytes(row.content) == full_filing().encode()
+
+
 def test_read_dataset_takes_newest_version_and_existing_columns(spark):
     from ledgerkit.plans.dataset import read_dataset
     from ledgerkit.sinks.writers import write_version
