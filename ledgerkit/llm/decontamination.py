@@ -76,6 +76,12 @@ def normalised(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return low[place], np.searchsorted(place, offs), place
 
 
+def edged(buf: np.ndarray, offs: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Normalised texts with one more space on either side (its place is -1)."""
+    at = np.stack([offs[:-1], offs[1:]], 1).ravel()
+    return np.insert(buf, at, 0x20), offs + 2 * np.arange(len(offs)), np.insert(place, at, -1)
+
+
 def gram_hashes(buf: np.ndarray, width: int) -> np.ndarray:
     """Hash of the ``width`` (a power of two) bytes from each place on."""
     h, step = buf.astype(np.uint64) + np.uint64(1), 1
@@ -112,7 +118,7 @@ class Pieces:
 
     def __init__(self, items: list[tuple[bytes, list[int | None]]], bytes_per_edit: int):
         self.items = items
-        self.edits = [len(t) // bytes_per_edit for t, _ in items]
+        self.edits = [(len(t) - 2) // bytes_per_edit for t, _ in items]  # the spaces on either side do not count
         found: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
         for n, (t, _) in enumerate(items):
             cuts = np.linspace(0, len(t), self.edits[n] + 2).astype(int)
@@ -172,7 +178,7 @@ def item_blocks(items: DataFrame, bytes_per_edit: int = BYTES_PER_EDIT, block_by
         for _, _, buf, offs in B.chunks(arr):
             text = normalised(buf, offs)[0].tobytes().strip()
             if text:
-                known.setdefault(text, set()).update(x["item_id"] for x in r["ids"])
+                known.setdefault(b" " + text + b" ", set()).update(x["item_id"] for x in r["ids"])
                 size += len(text)
         if size >= block_bytes:
             yield block()
@@ -183,13 +189,15 @@ def item_blocks(items: DataFrame, bytes_per_edit: int = BYTES_PER_EDIT, block_by
 
 def _with_hits(docs: DataFrame, pieces: Pieces) -> DataFrame:
     sent = ship(docs.sparkSession, pieces)
-    at = docs.columns.index("text")
+    at, new = docs.columns.index("text"), "_new"
+    while new in docs.columns:
+        new += "_"
 
     def run(batches):
         own = shipped(sent)
         for batch in batches:
             for a, b, buf, offs in B.chunks(batch.column(at)):
-                norm, noffs, place = normalised(buf, offs)
+                norm, noffs, place = edged(*normalised(buf, offs))
                 found = occurrences(own, norm, noffs)
                 points = np.cumsum((buf & 0xC0) != 0x80) if found else None
                 rows = []
@@ -197,15 +205,16 @@ def _with_hits(docs: DataFrame, pieces: Pieces) -> DataFrame:
                     rows.append([])
                     for n, distance, first, past in found.get(i, ()):
                         base = points[offs[i] - 1] if offs[i] else 0
-                        span = [int(points[place[noffs[i] + x]] - base) for x in (first, past - 1)]
+                        inside = np.flatnonzero(norm[noffs[i] + first:noffs[i] + past] != 0x20)  # without the spaces about it
+                        span = [int(points[place[noffs[i] + first + x]] - base) for x in (inside[0], inside[-1])]
                         rows[-1] += [{"item_id": item, "distance": distance, "first": span[0] - 1, "past": span[1]}
                                      for item in own.items[n][1]]
                 kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("first", pa.int32()), ("past", pa.int32())]))
-                yield pa.RecordBatch.from_arrays(batch.slice(a, b - a).columns + [pa.array(rows, kind)], batch.schema.names + ["_new"])
+                yield pa.RecordBatch.from_arrays(batch.slice(a, b - a).columns + [pa.array(rows, kind)], batch.schema.names + [new])
 
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return (docs.mapInArrow(run, f"{schema}, `_new` {HITS}")
-            .withColumn("hits", F.concat("hits", "_new")).drop("_new"))
+    return (docs.mapInArrow(run, f"{schema}, `{new}` {HITS}")
+            .withColumn("hits", F.concat("hits", new)).drop(new))
 
 
 def find_items(docs: DataFrame, items: DataFrame, bytes_per_edit: int = BYTES_PER_EDIT) -> DataFrame:
