@@ -322,7 +322,11 @@ def _attempted(values: DataFrame, key: str) -> DataFrame:
         for batch in batches:
             cols = [batch.column(c).to_pylist() for c in ("kind", "value", "attempt")]
             yield pa.RecordBatch.from_arrays(batch.columns + [pa.array([surrogate(key, *x) for x in zip(*cols)], pa.string())], ["kind", "value", "attempt", "surrogate"])
-    return values.select("kind", "value", "attempt").mapInArrow(run, "kind string, value string, attempt int, surrogate string")
+    # by rows, not bytes: many values are few bytes, and Spark would pack them into one task (by another
+    # expression than the distinct values lie by, else Spark takes their partitions for these)
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = values.select("kind", "value", "attempt").repartition(tasks, F.xxhash64("kind", "value"))
+    return spread.mapInArrow(run, "kind string, value string, attempt int, surrogate string")
 
 
 def surrogate_table(values: DataFrame, key: str) -> DataFrame:

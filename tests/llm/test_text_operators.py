@@ -182,6 +182,13 @@ def test_the_query_against_a_plain_version(spark, tmp_path):
     assert all(r["text"][e["first"]:e["past"]] == e["surrogate"] for r in got for e in r["entities"] or [])
 
 
+def test_draws_are_spread_over_tasks(spark):
+    from pyspark.sql import functions as F
+    values = spark.range(5000).selectExpr("'name-latin-s' AS kind", "concat('x', id) AS value").distinct().withColumn("attempt", F.lit(0))
+    drawn = pii._attempted(values, "k")
+    assert drawn.groupBy(F.spark_partition_id()).count().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_no_key_no_surrogates(spark):
     with pytest.raises(ValueError, match="no key"):
         pii.with_surrogates(spark.createDataFrame([(1, "Mr Byron")], "doc_id long, text string"))
