@@ -31,6 +31,6 @@ def empty_sf(spark, tmp_path_factory):
     """A data folder whose tables have no rows."""
     d = str(tmp_path_factory.mktemp("empty"))
     for name, schema in {"documents": DOCUMENTS, "labels": "doc_id long, quality long, toxic long", "benchmark": "item_id long, text string",
-                         "conversations": "conv_id long, turn long, role string, text string"}.items():
+                         "conversations": "conv_id long, turn long, role string, text string", "embeddings": "vec_id long, embedding array<float>, label int"}.items():
         spark.createDataFrame([], schema).write.parquet(f"{d}/{name}.parquet")
     return d

@@ -242,7 +242,7 @@ def test_every_query_runs_on_empty_tables(spark, empty_sf):
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_sql_agrees(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = registry.QUERIES[name](spark, SF)
     want = con.execute(registry.ORACLE_SQL[name])
