@@ -4,8 +4,10 @@ Term matching (J7, "normalised term contained in normalised name") is one
 equi-join at every size: a term of three or more characters shares its first
 trigram with any name that contains it, so a join on trigrams followed by the
 ``contains`` check loses nothing; shorter terms are joined on every 1- and
-2-character substring of the name.  Which side moves is left to AQE, which also
-splits the partitions of frequent trigrams.
+2-character substring of the name.  Substrings that no term begins with go before
+the join, and both sides of it are shuffled: the planner sizes the substrings of all
+names by the file of names, so left to itself it may send them through the driver.
+AQE splits the partitions of frequent trigrams.
 """
 from __future__ import annotations
 
@@ -46,17 +48,24 @@ def match_terms(companies: DataFrame, terms: DataFrame, name_col: str = "company
     grams = c.withColumn("_g", F.explode(F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.greatest(F.length("_name_n") - 2, F.lit(1))),
         lambda i: F.substring("_name_n", i, 3)))))
-    hit_long = grams.join(long_, "_g").filter(F.col("_name_n").contains(F.col("_term_n"))).drop("_g")
+    hit_long = _joined(grams, long_).filter(F.col("_name_n").contains(F.col("_term_n"))).drop("_g")
     # Terms of one or two characters: equi-join on every 1- and 2-character substring.
     short = t.filter(F.length("_term_n") < 3).withColumn("_g", F.col("_term_n"))
     n = F.length("_name_n")
     subs = F.array_distinct(F.concat(
         F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring("_name_n", i, 1)),
         F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring("_name_n", i, 2))))
-    hit_short = c.withColumn("_g", F.explode(subs)).join(short, "_g").drop("_g")
+    hit_short = _joined(c.withColumn("_g", F.explode(subs)), short).drop("_g")
     return hit_long.unionByName(hit_short)
 
 
+def _joined(grams: DataFrame, terms: DataFrame) -> DataFrame:
+    """``grams`` with the ``terms`` of the same ``_g``.  A ``_g`` has at most three characters out of
+    37, so the set of those in use is bounded (51,000) and may be broadcast; the rows of neither side are."""
+    used = F.broadcast(terms.select("_g").distinct())
+    return grams.join(used, "_g", "left_semi").hint("merge").join(terms, "_g")
+
+
 def find_entities(companies: DataFrame, terms: DataFrame) -> DataFrame:
     """Candidates with the first matching category (W2) and the sorted set of
     matched terms (A6); sorted by category then name (W11)."""
