@@ -11,3 +11,40 @@ def test_no_side_of_the_term_join_is_broadcast(spark, tmp_path):
     assert {(r.company_number, r.term) for r in got.collect()} == {("1", "Steel"), ("1", "acme s"), ("2", "ab"), ("3", "q"), ("5", "Steel")}
     joins = [x for x in got._jdf.queryExecution().sparkPlan().toString().splitlines() if "BroadcastHashJoin" in x]
     assert joins and all("LeftSemi" in x for x in joins)
+
+
+def test_register_files_are_read_in_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from ledgerkit.operators import entities as E
+    for k in range(40):
+        (tmp_path / f"r{k}.json").write_text('{"%d": [{"charge_code": "C%d"}]}' % (k, k))
+    charges = E.read_charges(spark, str(tmp_path)).select("company_number", "ch.charge_code", F.spark_partition_id().alias("task"))
+    got = charges.collect()
+    assert {(r.company_number, r.charge_code) for r in got} == {(str(k), f"C{k}") for k in range(40)}
+    assert len({r.task for r in got}) > 1
+
+
+def test_a_large_batch_of_filings_is_parsed_in_small_ones():
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from fixtures import micro_filing
+    from ledgerkit.operators.extract import PARSED_AT_ONCE, parse_filings
+
+    class Filings:  # gives the function that runs in the tasks
+        columns = ["filing_id", "content"]
+        schema = T.StructType([T.StructField("filing_id", T.StringType()), T.StructField("content", T.BinaryType())])
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    ids = [f"F{k}" for k in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array([micro_filing().encode()] * 1000)], ["filing_id", "content"])
+    got = list(parse_filings(Filings())(iter([batch])))
+    assert [x for b in got for x in b.column("filing_id").to_pylist()] == ids
+    assert max(b.num_rows for b in got) <= PARSED_AT_ONCE
+    assert all(len(f) == 7 for b in got for f in b.column("facts").to_pylist())
