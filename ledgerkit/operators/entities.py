@@ -143,7 +143,8 @@ def read_charges(spark, path: str, piece_bytes: int = PIECE_BYTES) -> DataFrame:
                     yield from charge_batches(one, iter(lambda: f.read(piece_bytes), b""))
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
-    raw = files.repartition("path").mapInArrow(run, "company_number string, charge string")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a count: paths are few bytes, and AQE would read all files in one task
+    raw = files.repartition(n, "path").mapInArrow(run, "company_number string, charge string")
     return raw.select("company_number", F.from_json("charge", CHARGE_T).alias("ch"))
 
 
