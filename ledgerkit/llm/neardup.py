@@ -18,16 +18,19 @@ probability (1 - (1 - s^half)^groups)^2: 0.9996 at s = 0.85, more above.
    class outside the table's largest one meets every class of another component.  A table of more
    than ``BLOCK_ROWS`` classes is cut into blocks, and each pair of blocks is a unit of work of its
    own.  A unit compares bands and ``SIGNATURE`` further minhashes of a byte each (made for these
-   classes alone), and sends on the pairs that may reach the similarity: of texts that share much
-   but not enough, such as letters on one form, almost none.
+   classes alone): of texts that share much but not enough, such as letters on one form, almost no
+   pair passes.  It sends on no pairs but a forest, one row for each component that a passing pair
+   joins to another; what the forests join is a cluster, outside which no link is left.  The classes
+   of a cluster then meet with their full sets, in blocks of ``BLOCK_MEMBERS`` members, and a pair
+   of blocks sends on a forest of the confirmed links.
    Before that, classes go in which too many shingles are in no other class still there: they
    cannot reach the similarity with any (an exact rule), and copies that were edited too much,
    each in its own way, would otherwise meet each other.
 
 A pair is checked only if sizes allow the similarity and MIN_BANDS of the 2 * groups bands agree
 (a true pair fails that with probability 1.4e-4 at 0.85), in the last round also if its signatures
-agree as far as those of pairs of that similarity do, less ``SIGMAS`` spreads (3e-5).  A check
-intersects the full sets.  There is no cap on partners: no link that the tables hold between
+agree as far as those of pairs of that similarity do, less ``SIGMAS`` spreads (3e-5), or if other
+pairs have brought it into one cluster.  A check intersects the full sets.  There is no cap on partners: no link that the tables hold between
 components is lost but by these chances.
 
 Defined results: null and empty texts have empty sets, are linked with nothing and are kept;
@@ -54,9 +57,11 @@ MIN_PERCENT = 85
 HALF, GROUPS = 3, 9
 MIN_BANDS = 4
 #: Turns of drawn pairs end with one that finds less than this part of the first turn's links.
-TURNS_END = 20
+TURNS_END = 2
 #: Classes of a block of the last round, and its pairs compared at a time.
 BLOCK_ROWS, PAIRS = 1024, 1 << 18
+#: Members of the full sets of a block of a cluster.
+BLOCK_MEMBERS = 1 << 19
 SIGNATURE, SIGMAS = 256, 4.0
 SEED = 7
 
@@ -210,7 +215,12 @@ def link_classes(classes: DataFrame, texts: DataFrame, width: int = WIDTH, perce
     able = can_link(sets.join(open_keys.select("node").distinct(), "node", "left_semi"), percent)
     left = written(open_keys.join(able, "node"), "able-keys")
     last = sets.join(left.select("node").distinct(), "node", "left_semi")
-    links = written(confirmed(last_pairs(left, sketches, last, groups, percent), sets, percent), "links")
+    near = written(last_pairs(left, sketches, last, groups, percent).distinct(), "near")
+    if near.isEmpty():
+        return at
+    clusters = components(near).select(F.col("node").alias("label"), F.col("label").alias("cluster"))
+    placed = left.select("node", "label").distinct().join(clusters, "label")
+    links = written(cluster_links(placed, last, percent), "links")
     return at if links.isEmpty() else merged(at, links)
 
 
@@ -228,6 +238,29 @@ def drawn_pairs(open_keys: DataFrame, sketches: DataFrame, turn: int, groups: in
             .select(F.least(one["node"], "lead").alias("a"), F.greatest(one["node"], "lead").alias("b")).distinct())
 
 
+class Forest:
+    """The components of a unit's rows and the pairs of them that joined two trees."""
+
+    def __init__(self, labels: np.ndarray):
+        self.names, self.at = np.unique(labels, return_inverse=True)
+        self.root = np.arange(len(self.names))
+        self.joined: list[tuple[int, int]] = []
+
+    def of(self, rows: np.ndarray | int) -> np.ndarray:
+        return self.root[self.at[rows]]
+
+    def join(self, u: np.ndarray, v: np.ndarray) -> None:
+        for p, q in np.unique(np.stack([self.of(u), self.of(v)], axis=1), axis=0):
+            p, q = sorted((self.root[p], self.root[q]))
+            if p != q:
+                self.root[self.root == q] = p
+                self.joined.append((p, q))
+
+    def rows(self) -> pa.RecordBatch:
+        pairs = self.names[np.array(self.joined, np.int64).reshape(-1, 2)]
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
 def signatures(sets: DataFrame) -> DataFrame:
     """(node, signature): a byte of each of ``SIGNATURE`` minhashes of the full set."""
     rng = np.random.default_rng(SEED + 1)
@@ -246,8 +279,9 @@ def signatures(sets: DataFrame) -> DataFrame:
 
 
 def last_pairs(keys: DataFrame, sketches: DataFrame, sets: DataFrame, groups: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes of different components of a table that may reach the similarity, each
-    from the first table that it shares; ``keys`` has (key, i, j, node, label)."""
+    """Pairs (a, b) of components that hold classes of one table that may reach the similarity, as many
+    of a unit as join what such pairs join there; each pair of classes counts in the first table that
+    it shares; ``keys`` has (key, i, j, node, label)."""
     most = keys.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("held"), F.max("n").alias("n"))
     blocks = {"x_blocks": F.ceil((F.col("held") - F.col("n")) / BLOCK_ROWS), "y_blocks": F.ceil(F.col("held") / BLOCK_ROWS)}
     rows = keys.join(most.where("held > n").withColumns(blocks), "key")
@@ -270,12 +304,13 @@ def last_pairs(keys: DataFrame, sketches: DataFrame, sets: DataFrame, groups: in
         to, ask = np.flatnonzero(~column["asks"]), np.flatnonzero(column["asks"])
         if not len(to):
             return
+        forest = Forest(column["label"])
         step = max(1, PAIRS // len(to))
         for lo in range(0, len(ask), step):
             of = ask[lo:lo + step]
             two = lambda c: (column[c][of, None], column[c][to][None])
-            (a, b), (p, q), (m, n) = two("node"), two("label"), two("n_shingles")
-            ok = (p != q) & (column["in_most"][to][None] | (a < b)) & (np.minimum(m, n) * 100 >= np.maximum(m, n) * percent)
+            (a, b), (m, n) = two("node"), two("n_shingles")
+            ok = (forest.of(of)[:, None] != forest.of(to)[None]) & (column["in_most"][to][None] | (a < b)) & (np.minimum(m, n) * 100 >= np.maximum(m, n) * percent)
             agree = np.zeros(ok.shape, np.int8)
             for k in range(2 * groups):
                 same = band[of, k][:, None] == band[to, k][None]
@@ -288,9 +323,8 @@ def last_pairs(keys: DataFrame, sketches: DataFrame, sets: DataFrame, groups: in
             for cut in range(0, len(i), PAIRS // SIGNATURE):
                 u, v = of[i[cut:cut + PAIRS // SIGNATURE]], to[j[cut:cut + PAIRS // SIGNATURE]]
                 near = (byte[u] == byte[v]).sum(axis=1) >= least
-                if near.any():
-                    u, v = column["node"][u[near]], column["node"][v[near]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
+                forest.join(u[near], v[near])
+        yield forest.rows()
 
     def run(batches):
         for t in by_unit(batches, unit):
@@ -299,6 +333,50 @@ def last_pairs(keys: DataFrame, sketches: DataFrame, sets: DataFrame, groups: in
     return placed.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(run, "a long, b long")
 
 
+def cluster_links(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of components that confirmed links between classes of a cluster join, as many of a
+    unit as join what is linked there; ``placed`` has (node, label, cluster)."""
+    rows = placed.join(sets, "node").withColumn("size", F.size("members").cast("long"))
+    most = (rows.groupBy("cluster", "label").agg(F.sum("size").alias("n")).groupBy("cluster")
+            .agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("held"), F.max("n").alias("n")))
+    blocks = {"x_blocks": F.ceil((F.col("held") - F.col("n")) / BLOCK_MEMBERS), "y_blocks": F.ceil(F.col("held") / BLOCK_MEMBERS)}
+    rows = rows.join(most.where("held > n").withColumns(blocks), "cluster")
+    own = {c: F.pmod(F.xxhash64("node"), F.col(f"{c}_blocks")) for c in "xy"}
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{c}_blocks") - 1)).alias(c)
+    x = rows.where("label != most").select("cluster", "label", "members", own["x"].alias("x"), upto("y"), F.lit(True).alias("asks"))
+    y = rows.select("cluster", "label", "members", upto("x"), own["y"].alias("y"), F.lit(False).alias("asks"))
+    unit = ["cluster", "x", "y"]
+
+    def compare(t: pa.Table) -> pa.RecordBatch:
+        asks, lists = t.column("asks").to_numpy(), t.column("members").combine_chunks()
+        forest = Forest(t.column("label").to_numpy())
+        offs = lists.offsets.to_numpy()
+        known, member = np.unique(lists.values.to_numpy()[offs[0]:offs[-1]], return_inverse=True)
+        offs = offs - offs[0]
+        size, to = np.diff(offs), np.flatnonzero(~asks)
+        if len(to):
+            theirs = member[np.repeat(~asks, size)]
+            starts = np.r_[0, np.cumsum(size[to])[:-1]]
+            mine = np.zeros(len(known), bool)
+            for u in np.flatnonzero(asks):
+                apart = forest.of(to) != forest.of(u)
+                if apart.any():
+                    own = member[offs[u]:offs[u + 1]]
+                    mine[own] = True
+                    both = np.add.reduceat(mine[theirs], starts, dtype=np.int64)
+                    mine[own] = False
+                    v = to[apart & (both * 100 >= (size[u] + size[to] - both) * percent)]
+                    forest.join(np.full(len(v), u), v)
+        return forest.rows()
+
+    def run(batches):
+        for t in by_unit(batches, unit):
+            yield compare(t)
+
+    placed = x.unionByName(y).select(*unit, "asks", "label", "members")
+    return placed.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(run, "a long, b long")
+
+
 def merged(at: DataFrame, links: DataFrame) -> DataFrame:
     """(node, label) after ``links`` between classes have joined their components."""
     a, b = (at.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")

@@ -94,3 +94,34 @@ def test_word_hashes_tell_ranges_apart():
     h = B.word_hashes(raw, s, e)
     assert len(words) == len(h) == len(s)
     assert all((words[i] == words[j]) == (h[i] == h[j]) for i in range(len(h)) for j in range(len(h)))
+
+
+def test_last_round_sends_on_no_pairs(spark):
+    """Copies of one base, each edited in its own way so that their signatures pass and few pairs link."""
+    rng = random.Random(5)
+    base, rows = [f"w{i}" for i in range(400)], []
+    for n in range(90):
+        words = list(base)
+        for at in rng.sample(range(400), rng.choice([5, 6, 7, 8])):
+            words[at] = f"e{n}x{at}"
+        rows.append((n + 1, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = neardup.sketch(docs, ["doc_id"]).withColumnRenamed("doc_id", "node").cache()
+    keys = neardup.table_keys(classes).selectExpr("*", "node AS label").cache()
+    sets = neardup.shingle_sets(docs.withColumnRenamed("doc_id", "node")).cache()
+    near = neardup.last_pairs(keys, classes, sets, neardup.GROUPS, 85).distinct().collect()
+    assert 0 < len(near) < 6 * len(rows)  # of 4,005 pairs
+    placed = spark.createDataFrame([(r[0], r[0], 0) for r in rows], "node long, label long, cluster long")
+    want = brute_components(rows)
+    for members in (neardup.BLOCK_MEMBERS, 2000):
+        neardup.BLOCK_MEMBERS, kept = members, neardup.BLOCK_MEMBERS
+        try:
+            links = neardup.cluster_links(placed, sets, 85).collect()
+        finally:
+            neardup.BLOCK_MEMBERS = kept
+        label = {d: d for d in want}
+        for r in links:
+            p, q = sorted((label[r["a"]], label[r["b"]]))
+            label = {d: p if x == q else x for d, x in label.items()}
+        assert label == {d: c for d, (_, c) in want.items()}
+        assert len(links) < len(rows) or members == 2000
