@@ -133,7 +133,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each step takes the smallest label among a node, its neighbours and its label's own label;
     every step is a written table, the minimum over neighbours is combined before the shuffle,
-    and only a flag reaches the driver."""
+    and only a flag reaches the driver, which drops what a step leaves behind before the next."""
     both = written(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
                    .union(edges.select("b", "a")).distinct(), "edges")
     labels = written(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("v"))
@@ -146,6 +146,7 @@ def components(edges: DataFrame) -> DataFrame:
         best = F.least("label", "near", "jump")
         labels = written(known.join(near, "node").join(jump, "label")
                          .select("node", best.alias("label"), (best < F.col("label")).alias("changed")), "labels")
+        release(labels.sparkSession)
     return labels.select("node", "label")
 
 
@@ -195,12 +196,14 @@ def link_classes(classes: DataFrame, texts: DataFrame, width: int = WIDTH, perce
     keys = written(table_keys(classes, groups), "shared-keys")
     nodes = keys.select("node").distinct()
     full = classes.join(nodes, "node", "left_semi")
+    release(classes.sparkSession)
     one_text = texts.join(full.select("text_hash", "node"), "text_hash").groupBy("node").agg(F.first("text").alias("text"))
     sets = written(shingle_sets(one_text, width), "sets")
     sketches = written(full.select("node", "n_shingles", *bands), "sketches")
 
     at = written(nodes.withColumn("label", F.col("node")), "labels")
     open_keys, turn = written(keys.withColumn("label", F.col("node")), "open-keys"), 0
+    release(at.sparkSession)
     first = found = 0
     while found * TURNS_END >= first:  # the exact round below finds what the turns leave
         links = written(confirmed(drawn_pairs(open_keys, sketches, turn, groups, percent), sets, percent), "links")
@@ -209,18 +212,22 @@ def link_classes(classes: DataFrame, texts: DataFrame, width: int = WIDTH, perce
             break
         first = first or found
         at = merged(at, links)
+        release(at.sparkSession)
         open_keys, turn = written(still_open(open_keys, at), "open-keys"), turn + 1
         release(at.sparkSession)
 
     able = can_link(sets.join(open_keys.select("node").distinct(), "node", "left_semi"), percent)
     left = written(open_keys.join(able, "node"), "able-keys")
     last = sets.join(left.select("node").distinct(), "node", "left_semi")
+    release(at.sparkSession)
     near = written(last_pairs(left, sketches, last, groups, percent).distinct(), "near")
+    release(at.sparkSession)
     if near.isEmpty():
         return at
     clusters = components(near).select(F.col("node").alias("label"), F.col("label").alias("cluster"))
     placed = left.select("node", "label").distinct().join(clusters, "label")
     links = written(cluster_links(placed, last, percent), "links")
+    release(at.sparkSession)
     return at if links.isEmpty() else merged(at, links)
 
 
@@ -397,6 +404,7 @@ def grouped(docs: DataFrame, keys: list[str], width: int = WIDTH, percent: int =
     """keys, n_shingles, ``node`` (the row's class) and ``group`` (its component's smallest class);
     both are null for rows with an empty set."""
     bands = [f"g{i}" for i in range(2 * groups)]
+    release(docs.sparkSession)
     rows = written(sketch(docs, keys, width, half, groups), "sketch")
     classes = written(rows.where("n_shingles > 0").groupBy(*_SET).agg(F.min("text_hash").alias("text_hash"), *[F.first(g).alias(g) for g in bands])
                       .withColumn("node", F.monotonically_increasing_id()), "classes")

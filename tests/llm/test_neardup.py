@@ -125,3 +125,14 @@ def test_last_round_sends_on_no_pairs(spark):
             label = {d: p if x == q else x for d, x in label.items()}
         assert label == {d: c for d, (_, c) in want.items()}
         assert len(links) < len(rows) or members == 2000
+
+
+def test_each_step_of_components_is_released(spark, monkeypatch):
+    steps, freed = [], []
+    written, release = neardup.written, neardup.release
+    monkeypatch.setattr(neardup, "written", lambda df, name="table": steps.append(name) or written(df, name))
+    monkeypatch.setattr(neardup, "release", lambda session: freed.append(len(steps)) or release(session))
+    chain = [(k, k + 1) for k in range(1, 12)] + [(20, 21)]
+    got = {r["node"]: r["label"] for r in neardup.components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert got == {k: 1 for k in range(1, 13)} | {20: 20, 21: 20}
+    assert len(steps) > 3 and freed == [*range(3, len(steps) + 1)]
