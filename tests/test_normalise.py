@@ -112,3 +112,36 @@ def test_of_contexts_with_one_id_the_last_counts(spark):
             '<ix:nonFraction name="c:X" contextRef="a">1</ix:nonFraction><ix:nonFraction name="c:X" contextRef="z">1</ix:nonFraction>'
             '<ix:nonFraction name="c:X">1</ix:nonFraction></html>')
     assert [f["context_at"] for f in parse_filing(text)["facts"]] == [2, None, None]
+
+
+def test_a_record_walks_the_facts_a_few_times_not_once_for_each_field(spark):
+    from ledgerkit.operators.extract import parse_filings
+    from ledgerkit.operators.normalise import normalise
+    parsed = parse_filings(spark.createDataFrame([("f", micro_filing().encode())], "filing_id string, content binary"))
+    spark.conf.set("spark.sql.debug.maxToStringFields", 10_000)
+    try:
+        plan = normalise(parsed)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("lambdafunction(") < 60
+
+
+def test_synonyms_are_pooled_and_slots_are_summed(spark):
+    def fact(concept, context, text):
+        return f'<p><ix:nonFraction name="c:{concept}" contextRef="{context}">{text}</ix:nonFraction></p>'
+
+    def context(cid, period, member=""):
+        member = f'<xbrli:segment><xbrldi:explicitMember dimension="c:M">c:{member}</xbrldi:explicitMember></xbrli:segment>' if member else ""
+        return f'<xbrli:context id="{cid}"><xbrli:entity>{member}</xbrli:entity><xbrli:period>{period}</xbrli:period></xbrli:context>'
+
+    now, before = "<xbrli:instant>2024-12-31</xbrli:instant>", "<xbrli:instant>2023-12-31</xbrli:instant>"
+    text = ('<html xmlns:ix="http://www.xbrl.org/2013/inlineXBRL" xmlns:xbrli="http://www.xbrl.org/2003/instance" xmlns:xbrldi="http://xbrl.org/2006/xbrldi">'
+            + context("n", now) + context("b", before) + context("w", now, "WithinOneYear") + context("a", now, "AfterOneYear")
+            + fact("CashBankOnHand", "b", "900") + fact("CashBankInHand", "n", "(70)") + fact("CashCashEquivalents", "n", "70")
+            + fact("BankLoans", "w", "1.10") + fact("BankOverdrafts", "w", "2.20") + fact("BankLoans", "b", "5") + fact("OtherLoans", "a", "x")
+            + fact("Creditors", "a", "8") + fact("Creditors", "a", "6") + fact("Equity", "b", "4") + fact("NumberEmployees", "z", "(3)") + "</html>")
+    r = _records(spark, [text])[0]["f0"]
+    assert (r.cash, r.net_assets, r.employees) == (-70.0, 4.0, 3.0) and sorted(r.out_of_period) == ["employees", "equity"]
+    assert r.funding_within_one_year["bank_loans"] == 3.3 and r.funding_after_one_year["bank_loans"] is None
+    assert r.funding_after_one_year["other_loans"] is None and r.funding_after_one_year["creditors_total"] == 6.0
+    assert r.net_debt == 73.3 and r.provenance["net_debt"] == "derived(debt-cash)" and r.provenance["cash"] == "reported"
